@@ -32,8 +32,34 @@ NEIGHBOURS = 15
 _WORD = re.compile(r"[^\W_]+")
 
 
+def forms(word: str) -> list[str]:
+    """What a word counts as: itself, and its first four and five letters where it has more (marked ^), as words of one
+    stem come in many forms."""
+    return [word, *("^" + word[:n] for n in (4, 5) if len(word) > n)]
+
+
 def terms(text: str) -> Counter:
-    return Counter(_WORD.findall(text.lower()))
+    """How often each form of each word occurs."""
+    words = Counter(_WORD.findall(text.lower()))
+    out = Counter()
+    for word, n in words.items():
+        for form in forms(word):
+            out[form] += n
+    return out
+
+
+class Known(dict):
+    """The indexed terms of each word; starts anew when it has grown large."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, word: str) -> list[str]:
+        if len(self) > 300_000:
+            self.clear()
+        value = self[word] = [f for f in forms(word) if f in self.vocabulary]
+        return value
 
 
 @dataclass
@@ -101,15 +127,16 @@ class Index:
         v = np.clip(vote, 1e-4, 1 - 1e-4)
         return float(1 / (1 + np.exp(-np.clip(a * np.log(v / (1 - v)) + b, -30, 30))))
 
-    def score(self, text: str, k: int = NEIGHBOURS) -> tuple[float, np.ndarray, np.ndarray]:
+    def score(self, text: str, known: Known, k: int = NEIGHBOURS) -> tuple[float, np.ndarray, np.ndarray]:
         if not self.prior:
             return 0.0, np.empty(0, np.int64), np.empty(0)
-        found, cosines = self.nearest(*self.vector(Counter(filter(self.vocabulary.__contains__, _WORD.findall(text.lower())))), k)
+        found, cosines = self.nearest(*self.vector(Counter(f for got in map(known.__getitem__, _WORD.findall(text.lower())) if got for f in got)), k)
         return self.calibrated(self.vote(found, cosines)), found, cosines
 
 
 def choose_terms(bags: list[Counter], labels: np.ndarray, most: int = TERMS) -> list[str]:
-    """Terms whose presence is associated with the label beyond chance: chi-squared over 30, the strongest ones."""
+    """Terms whose presence is associated with the label: chi-squared over 30, and over a fifth of the strongest one's, as
+    terms that a few copies of one text bring are weaker. At most so many, the strongest ones."""
     n, n1 = len(bags), max(1, int(labels.sum()))
     n0 = max(1, n - n1)
     seen, toxic = Counter(), Counter()
@@ -125,7 +152,8 @@ def choose_terms(bags: list[Counter], labels: np.ndarray, most: int = TERMS) ->
             chi = (a - expected) ** 2 * (n1 + n0) ** 2 / max(1e-9, c * (n - c) * n1 * n0 / (n1 + n0))
             if chi > 30:
                 scored.append((-chi, word))
-    return [w for _, w in sorted(scored)[:most]]
+    least = min(scored)[0] / 5 if scored else 0
+    return [w for x, w in sorted(scored)[:most] if x <= least]
 
 
 def fit(examples: list[tuple[int, str, int]], prior: float) -> Index:
@@ -194,7 +222,8 @@ def _scorer(index):
     @F.arrow_udf(shape)
     def score(texts: pa.Array) -> pa.Array:
         own = index.value
-        got = [own.score(t or "") for t in texts.to_pylist()]
+        known = Known(own.vocabulary)
+        got = [own.score(t or "", known) for t in texts.to_pylist()]
         ids = pa.array([own.ids[f].tolist() for _, f, _ in got], pa.list_(pa.int64()))
         cosines = pa.array([c.tolist() for _, _, c in got], pa.list_(pa.float64()))
         return pa.StructArray.from_arrays([pa.array([s for s, _, _ in got], pa.float64()), ids, cosines], ["score", "ids", "cosines"])
