@@ -2,9 +2,9 @@
 
 A document's tokens are its distinct word shingles. All sets share one order of tokens: light ones first, then heavy
 ones (those that many prefixes hold), each by hash. Two sets that are similar enough differ in few tokens, so short
-prefixes of both must meet: in one light token, or, where a set has too few light tokens and its prefix is extended
-into the heavy ones, in a combination of two tokens of one class of heavy tokens. Only sets that share such a
-signature are compared, and every pair is verified on whole sets.
+prefixes of both must meet: in three light tokens (the prefix is extended by two for that), or, where a set has too few
+light tokens and its prefix reaches into the heavy ones, in a combination of two tokens of one class of heavy tokens.
+Only pairs that meet so are compared, and every one is verified on whole sets.
 
 Equal sets are one node from the start. Signatures that few sets share give pairs; sets that share a signature with
 many others form clusters that are compared block by block, so that no task holds a whole cluster and no row is made
@@ -32,6 +32,8 @@ FEW = 64
 HEAVY = 32
 #: Heavy tokens are sent to all tasks: at most so many, the most frequent ones (8 bytes each).
 MAX_HEAVY = 1_000_000
+#: Light tokens that the prefixes of two similar sets have in common at least, if they share no combination.
+LIGHT = 3
 #: Heavy tokens in one class, about, and sets in one block.
 CLASS_SIZE = 8
 BLOCK = 256
@@ -73,7 +75,7 @@ def missing(n: int, percent: int) -> int:
 
 
 def _window(n: int, percent: int) -> int:
-    return n if n <= 64 else min(n, max(64, 3 * (missing(n, percent) + 1) // 2))
+    return n if n <= 64 else min(n, max(64, 3 * (missing(n, percent) + LIGHT) // 2))
 
 
 def _bands(percent: int) -> np.ndarray:
@@ -84,8 +86,10 @@ def _bands(percent: int) -> np.ndarray:
     return np.array(edges)
 
 
-def signatures(tokens: np.ndarray, n: int, heavy: np.ndarray, percent: int, bands: np.ndarray) -> np.ndarray | None:
-    """Signatures of a set from its first tokens; None if these don't suffice."""
+def signatures(tokens: np.ndarray, n: int, heavy: np.ndarray, percent: int, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Light tokens and combinations of heavy ones that a set is indexed by, from its first tokens; None if these don't
+    suffice. A similar set lacks at most need - 1 tokens of the prefix, and the prefix has need more than LIGHT - 1 light
+    ones and one of each class, so that LIGHT light ones or two of a class are in both."""
     need = missing(n, percent) + 1
     if len(heavy):
         at = np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)
@@ -93,11 +97,11 @@ def signatures(tokens: np.ndarray, n: int, heavy: np.ndarray, percent: int, band
     else:
         is_heavy = np.zeros(len(tokens), bool)
     light = tokens[~is_heavy]
-    if len(light) >= need:
-        return light[:need]
+    if len(light) >= need + LIGHT - 1:
+        return light[: need + LIGHT - 1], np.empty(0, np.uint64)
     if len(tokens) < n:
         return None
-    dark, out = tokens[is_heavy], [light]
+    dark, out = tokens[is_heavy], [np.empty(0, np.uint64)]
     band = int(np.searchsorted(bands, n, side="right")) - 1
     for b in (band, band + 1):
         classes = max(1, -(-(missing(int(bands[b + 1]) - 1, percent) + 1) // CLASS_SIZE))
@@ -106,14 +110,14 @@ def signatures(tokens: np.ndarray, n: int, heavy: np.ndarray, percent: int, band
         rank = np.empty(len(dark), np.int64)
         starts = np.searchsorted(of[order], np.arange(classes, dtype=np.uint64))
         rank[order] = np.arange(len(dark)) - starts[of[order].astype(np.int64)]
-        enough = np.flatnonzero(len(light) + np.cumsum(rank > 0) >= need)
+        enough = np.flatnonzero(max(0, len(light) - LIGHT + 1) + np.cumsum(rank > 0) >= need)
         end = enough[0] + 1 if len(enough) else len(dark)
         for c in range(classes):
             mine = dark[:end][of[:end] == c]
             i, j = np.triu_indices(len(mine), 1)
             pair = (mine[i] * _M[0] ^ (mine[j] >> _S) ^ mine[j]) * _M[1] + np.uint64(b)
             out.append((pair ^ (pair >> _S)) * _M[0])
-    return np.concatenate(out)
+    return light, np.concatenate(out)
 
 
 def _arrays(batch: pa.RecordBatch, *names: str):
@@ -158,10 +162,15 @@ def _signature_rows(heavy, percent: int, whole: bool):
             for i, n in enumerate(sizes):
                 tokens = np.frombuffer(column[i].as_py(), np.uint64) if whole else column[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
                 made.append(signatures(tokens, n, known, percent, bands))
-            lengths = [1 if s is None else len(s) for s in made]
-            sig = np.concatenate([np.zeros(1, np.uint64) if s is None else s for s in made]) if made else np.empty(0, np.uint64)
-            done = np.repeat([s is not None for s in made], lengths) if made else np.empty(0, bool)
-            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64), pa.int64()), pa.array(np.repeat(np.array(ids, np.int64), lengths), pa.int64()), pa.array(np.repeat(np.array(sizes, np.int64), lengths), pa.int64()), pa.array(done, pa.bool_())], ["sig", "id", "n", "done"])
+            none = (np.zeros(1, np.uint64), np.empty(0, np.uint64))
+            parts = [none if s is None else s for s in made]
+            lengths = [len(x) + len(y) for x, y in parts]
+            empty = [np.empty(0, np.uint64)]
+            sig = np.concatenate([z for x, y in parts for z in (x, y)] + empty)
+            light = np.concatenate([np.full(len(z), is_light) for x, y in parts for z, is_light in ((x, True), (y, False))] + [np.empty(0, bool)])
+            done = np.repeat(np.array([s is not None for s in made], bool), lengths)
+            columns = [pa.array(sig.view(np.int64), pa.int64()), pa.array(np.repeat(np.array(ids, np.int64), lengths), pa.int64()), pa.array(np.repeat(np.array(sizes, np.int64), lengths), pa.int64()), pa.array(light, pa.bool_()), pa.array(done, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["sig", "id", "n", "light", "done"])
 
     return run
 
@@ -249,26 +258,27 @@ def join_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataF
     found = [r["token"] for r in frequent.where(F.col("c") > limit).select("token").toLocalIterator()]
     heavy = spark.sparkContext.broadcast(np.sort(np.array(found, np.int64).view(np.uint64)))
 
-    shape = "sig long, id long, n long, done boolean"
+    shape = "sig long, id long, n long, light boolean, done boolean"
     short = nodes.select("id", "n", "tokens").mapInArrow(_signature_rows(heavy, percent, False), shape)
     made = tables.put(short)
     deep = made.where("not done").select("id").distinct()
     again = _of_ids(texts, deep, deep.count()).mapInArrow(_sets(width), "id long, n long, tokens binary")
-    more = again.where("n > 0").mapInArrow(_signature_rows(heavy, percent, True), shape).select("sig", "id", "n")
-    every = made.where("done").select("sig", "id", "n").union(more)
+    more = again.where("n > 0").mapInArrow(_signature_rows(heavy, percent, True), shape).select("sig", "id", "n", "light")
+    every = made.where("done").select("sig", "id", "n", "light").union(more)
     per = Window.partitionBy("sig")
     shared = tables.put(every.withColumns({"c": F.count(F.lit(1)).over(per), "pivot": F.min("id").over(per)}).where("c > 1"))
     tables.drop(made, nodes)
 
-    lists = shared.where(F.col("c") <= FEW).groupBy("sig").agg(F.sort_array(F.collect_set(F.struct("id", "n"))).alias("l")).select("l").distinct()
+    lists = shared.where(F.col("c") <= FEW).groupBy("sig").agg(F.sort_array(F.collect_set(F.struct("id", "n"))).alias("l"), F.max(F.when(F.col("light"), 1).otherwise(LIGHT)).alias("worth"))
+    lists = lists.groupBy("l").agg(F.sum("worth").alias("worth"))
     close = lambda x, y: F.struct(x["id"].alias("a"), y["id"].alias("b"), (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])).alias("ok"))
     every_pair = F.flatten(F.transform("l", lambda x, i: F.filter(F.transform(F.slice("l", i + 2, F.size("l")), lambda y: close(x, y)), lambda p: p["ok"])))
-    pairs = tables.put(lists.select(F.explode(every_pair).alias("p")).select("p.a", "p.b").where("a <> b").distinct())
+    pairs = tables.put(lists.select("worth", F.explode(every_pair).alias("p")).where("p.a <> p.b").groupBy("p.a", "p.b").agg(F.sum("worth").alias("worth")).where(F.col("worth") >= LIGHT).select("a", "b"))
     many = shared.where(F.col("c") > FEW).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     clusters = tables.put(components(many, tables))
 
     asked = tables.put(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(clusters.select("node")).distinct())
-    sets = tables.put(_of_ids(texts, asked, asked.count()).mapInArrow(_sets(width), "id long, n long, tokens binary").where("n > 0").dropDuplicates(["id", "tokens"]))
+    sets = tables.put(_of_ids(texts, asked, asked.count()).mapInArrow(_sets(width), "id long, n long, tokens binary").where("n > 0"))
     with_x = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
     with_y = with_x.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
     links = with_y.select("a", "x", "b", "y").mapInArrow(_similar(percent), "a long, b long")
