@@ -27,6 +27,14 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or with underscores before it until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only where that is unset (tests) a local one is made."""
     found = spark.conf.get("spark.checkpoint.dir", None)

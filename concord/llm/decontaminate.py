@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_of
+from .common import free_name, small_batches, text_of
 
 Q = 10
 #: Edits allowed for each character of an item, and the shortest item looked for (a shorter one would share no q-gram).
@@ -190,18 +190,18 @@ def index_blocks(benchmark: DataFrame, rate: float, q: int, min_item: int, block
         yield Index(np.array(ids), texts, rate, q)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, q: int = Q, min_item: int = MIN_ITEM) -> DataFrame:
-    """All rows and columns of docs and __leaks: an array of (item_ids, edits, starts, ends), one for each block."""
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, q: int = Q, min_item: int = MIN_ITEM, as_: str = "leaks") -> DataFrame:
+    """All rows and columns of docs and as_: an array of (item_ids, edits, starts, ends), one for each block."""
     small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     columns = [_matcher(context.broadcast(index))(text_of()) for index in index_blocks(benchmark, rate, q, min_item)]
-    return docs.withColumn("__leaks", F.array(*columns) if columns else F.array().cast(f"array<{RESULT}>"))
+    return docs.withColumn(as_, F.array(*columns) if columns else F.array().cast(f"array<{RESULT}>"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
     """(doc_id, contaminated, n_items, item_ids, least_edits, starts, ends): a row per document."""
     rows = find_leaks(docs.select("doc_id", "text"), benchmark, **parameters)
-    get = lambda name: F.flatten(F.transform("__leaks", lambda x: x[name]))
+    get = lambda name: F.flatten(F.transform("leaks", lambda x: x[name]))
     rows = rows.select("doc_id", *[get(name).alias(name) for name in ("item_ids", "edits", "starts", "ends")])
     n = F.size("item_ids").cast("long")
     return rows.select("doc_id", (n > 0).alias("contaminated"), n.alias("n_items"), "item_ids", F.array_min("edits").alias("least_edits"), "starts", "ends")
@@ -209,5 +209,6 @@ def report(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
 
 def filter_clean(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
     """Rows of docs without a leaked item."""
-    rows = find_leaks(docs, benchmark, **parameters)
-    return rows.where(~F.exists("__leaks", lambda x: F.size(x["item_ids"]) > 0)).drop("__leaks")
+    leaks = free_name(docs, "leaks")
+    rows = find_leaks(docs, benchmark, as_=leaks, **parameters)
+    return rows.where(~F.exists(leaks, lambda x: F.size(x["item_ids"]) > 0)).drop(leaks)

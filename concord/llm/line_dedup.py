@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Tables, text_of
+from .common import Tables, free_name, text_of
 
 #: A table of boilerplate up to so many lines is broadcast (8 bytes a line); a longer one is joined by host.
 BROADCAST_LINES = 500_000
@@ -48,12 +48,13 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = 0.1,
     """
     tables = Tables(docs.sparkSession, "lines")
     found = tables.put(boilerplate(docs, host, ratio, min_pages))
-    per_host = found.groupBy(F.col("host").alias("__host")).agg(F.collect_set("line").alias("__bad"))
+    at, bad, lines, kept = (free_name(docs, x) for x in ("host_", "bad_", "lines_", "kept_"))
+    per_host = found.groupBy(F.col("host").alias(at)).agg(F.collect_set("line").alias(bad))
     if found.count() <= BROADCAST_LINES:
         per_host = F.broadcast(per_host)
-    rows = docs.withColumn("__lines", _lines(text_of()))
-    rows = rows.join(per_host, F.col(host).eqNullSafe(F.col("__host")), "left")
-    kept = F.when(F.col("__bad").isNull(), F.col("__lines")).otherwise(F.filter("__lines", lambda x: ~(_has_word(x) & F.array_contains("__bad", _key(x)))))
-    rows = rows.withColumn("__kept", kept)
-    n = F.size("__lines").cast("long")
-    return rows.withColumns({"text": F.array_join("__kept", "\n"), "n_lines": n, "n_dropped": n - F.size("__kept")}).drop("__lines", "__host", "__bad", "__kept")
+    rows = docs.withColumn(lines, _lines(text_of()))
+    rows = rows.join(per_host, F.col(host).eqNullSafe(F.col(at)), "left")
+    good = F.filter(lines, lambda x: ~(_has_word(x) & F.array_contains(bad, _key(x))))
+    rows = rows.withColumn(kept, F.when(F.col(bad).isNull(), F.col(lines)).otherwise(good))
+    n = F.size(lines).cast("long")
+    return rows.withColumns({"text": F.array_join(kept, "\n"), "n_lines": n, "n_dropped": n - F.size(kept)}).drop(lines, at, bad, kept)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, small_batches, text_of, words_of
+from .common import free_name, let, small_batches, text_of, words_of
 
 #: Documents in the sample that trains the scorer, the scorer's dimensions, and the score from which a text is good.
 SAMPLE_ROWS = 3000
@@ -187,4 +187,5 @@ def classify(docs: DataFrame) -> DataFrame:
 
 def filter_good(docs: DataFrame) -> DataFrame:
     """Rows of docs that the scorer takes for good."""
-    return docs.withColumn("__score", score_column(docs)).where(F.col("__score") >= GOOD).drop("__score")
+    score = free_name(docs, "score")
+    return docs.withColumn(score, score_column(docs)).where(F.col(score) >= GOOD).drop(score)

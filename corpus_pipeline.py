@@ -49,9 +49,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes, with size (words), target (words of the source) and copies (how often)."""
+    """Documents that the mix takes, with mixed_size (words), mixed_target (words of the source) and copies (how often)."""
     mixed = Tables(spark, "mix").put(mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("id"), "size", "target", "copies").distinct())
-    return docs.join(mixed, docs.doc_id.eqNullSafe(mixed.id) & (mixing.word_count(F.col("text")) == mixed["size"]), "inner").drop("id")
+    mixed = mixed.select(F.col("id").alias("mixed_id"), F.col("size").alias("mixed_size"), F.col("target").alias("mixed_target"), "copies")
+    rows = docs.drop("mixed_id", "mixed_size", "mixed_target", "copies")
+    return rows.join(mixed, rows.doc_id.eqNullSafe(mixed.mixed_id) & (mixing.word_count(F.col("text")) == F.col("mixed_size")), "inner").drop("mixed_id")
 
 
 STAGES = [
