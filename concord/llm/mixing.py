@@ -73,7 +73,7 @@ def thresholds(sized: DataFrame, targets: DataFrame, tables: Tables) -> DataFram
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies): how often the mix takes each document, and its words."""
+    """(doc_id, source, size, source_size, target, taken, copies): how often the mix takes each document, and its words."""
     tables = Tables(docs.sparkSession, "mixing")
     source = F.col("source").cast("string")
     sized = tables.put(
@@ -91,4 +91,4 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, id_
     once_more = (F.col("hash") < F.col("edge")) | ((F.col("hash") == F.col("edge")) & F.col("with_edge"))
     out = sized.join(targets, "key").join(cuts.drop("copies"), "key", "left")
     out = out.withColumn("copies", base + F.when(F.coalesce(once_more, F.lit(False)), 1).otherwise(0))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    return out.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")

@@ -147,13 +147,13 @@ def fit_scorer(texts: list[str], targets: np.ndarray, rounds: int = 400, rate: f
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[LabelModel, Scorer]:
-    """Votes are counted over all documents; the scorer learns from at most sample_rows of them, those with the smallest
-    hashes of their texts among good and among bad ones."""
+    """Votes are counted over all documents; the scorer learns from at most sample_rows of them, of those whose texts have
+    small hashes."""
     votes = labellers()
     names = list(votes)
     rows = docs.select(text_of().alias("text")).withColumn("words", words_of(F.col("text"))).select("text", *[v.alias(k) for k, v in votes.items()])
     part = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
-    patterns = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(part).alias("h")).collect()
+    patterns = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()
     table = np.array([[r[k] for k in names] for r in patterns], np.int64).reshape(-1, len(names))
     counts = np.array([r["n"] for r in patterns], np.float64)
     model = fit_labels(names, table, counts)

@@ -32,14 +32,14 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays; of repeated rows, one."""
+    """Of each group of linked documents the one with the smallest id stays; of rows with one id and text, one."""
     found = ngram_join.join_components(docs, WIDTH, PERCENT)
     keep = Tables(spark, "kept").put(found.where((F.col("doc_id") == F.col("component_id")) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("id")))
     out = docs.join(keep, docs.doc_id.eqNullSafe(keep.id), "left_semi")
     per = keep.where("id is not null").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids")).first()
     if per["n"] == per["ids"]:
         return out
-    named = out.where("doc_id is not null").dropDuplicates(["doc_id"])
+    named = out.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
     return named.unionByName(out.where("doc_id is null"))
 
 
@@ -50,10 +50,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with mixed_size (words), mixed_target (words of the source) and copies (how often)."""
-    mixed = Tables(spark, "mix").put(mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("id"), "size", "target", "copies").distinct())
-    mixed = mixed.select(F.col("id").alias("mixed_id"), F.col("size").alias("mixed_size"), F.col("target").alias("mixed_target"), "copies")
-    rows = docs.drop("mixed_id", "mixed_size", "mixed_target", "copies")
-    return rows.join(mixed, rows.doc_id.eqNullSafe(mixed.mixed_id) & (mixing.word_count(F.col("text")) == F.col("mixed_size")), "inner").drop("mixed_id")
+    mixed = Tables(spark, "mix").put(mixing.mix(docs).where("copies > 0").select("doc_id", "source", "size", "target", "copies").distinct())
+    mixed = mixed.select(F.col("doc_id").alias("mixed_id"), F.col("source").alias("mixed_source"), F.col("size").alias("mixed_size"), F.col("target").alias("mixed_target"), "copies")
+    rows = docs.drop("mixed_id", "mixed_source", "mixed_size", "mixed_target", "copies")
+    same = rows.doc_id.eqNullSafe(mixed.mixed_id) & rows.source.cast("string").eqNullSafe(mixed.mixed_source) & (mixing.word_count(rows.text) == mixed.mixed_size)
+    return rows.join(mixed, same).drop("mixed_id", "mixed_source")
 
 
 STAGES = [

@@ -149,6 +149,15 @@ def test_mix_keeps_targets(spark):
     assert all(r["taken"] <= 3 * r["size"] for r in out)
 
 
+def test_stages_keep_rows_of_equal_and_null_ids(spark):
+    texts = {k: " ".join(f"{k}{n}" for n in range(60)) for k in "pqr"}
+    rows = docs(spark, [(1, texts["p"], "a"), (1, texts["p"], "a"), (1, texts["q"], "a"), (None, texts["r"], "a"), (None, texts["r"], None)])
+    kept = corpus_pipeline.near_duplicates(spark, rows, "")
+    assert sorted((r["doc_id"] or 0, r["text"][0]) for r in kept.collect()) == [(0, "r"), (0, "r"), (1, "p"), (1, "q")]
+    mixed = corpus_pipeline.mix_sources(spark, rows, "").collect()
+    assert len(mixed) <= 5 and all(r["mixed_size"] == 60 for r in mixed)
+
+
 def test_weak_labels_tell_junk(spark):
     junk = [(i, " ".join(f"w{k}&&&" for k in range(80)), "a") for i in range(20)] + [(20 + i, "same " * 90, "a") for i in range(20)]
     good = [(100 + i, PROSE + f" Tail{i} ends here.", "a") for i in range(160)]
