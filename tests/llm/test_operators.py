@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, repeated rows, empty tables, extra columns; brute force where SQL says nothing."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -51,6 +52,26 @@ def test_licenses(spark):
     assert not any(a != b and b[0] <= a[0] and a[1] <= b[1] and b[2] <= a[2] for a in spans for b in spans)
 
 
+def test_licenses_against_brute_force(spark):
+    """Every rule tried on every whole text, without keywords; places of phrases by comparing words one by one."""
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rules = [(re.compile(r.pattern, re.ASCII), r) for r in licenses.default_rules()]
+    texts = {r["doc_id"]: r["text"] or "" for r in table.select("doc_id", "text").collect()}
+    got = {r["doc_id"]: r for r in licenses.scan(table).collect()}
+    assert got.keys() == texts.keys() and any(r["n_base"] for r in got.values())
+    for i, text in texts.items():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text))
+        places = [(at, label) for phrase, label in licenses.BASE for at in range(len(words)) if words[at : at + len(phrase.split())] == phrase.split()]
+        norm = " " + " ".join(words) + " "
+        spans = sorted((m.start(), -m.end(), r.priority, r.label) for pattern, r in rules for m in pattern.finditer(norm))
+        found = {s[3] for n, s in enumerate(spans) if not any(t[1] <= s[1] and t[2] <= s[2] for t in spans[:n])}
+        base = {label for _, label in places}
+        starts = [at for at, _ in places] or [None]
+        r = got[i]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(words), len(places), min(starts), max(starts))
+        assert (r["base_labels"], r["labels"]) == (",".join(sorted(base)), ",".join(sorted(base | found)))
+
+
 def test_chat(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (2, 1, "assistant", "no"), (3, 0, "user", None), (None, 0, None, None)]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
