@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Tables, words_of
+from .common import Tables, free_name, words_of
 
 #: Hash bits settled by each histogram, and how many histograms there are.
 STEP, STEPS = 12, 5
@@ -72,23 +72,44 @@ def thresholds(sized: DataFrame, targets: DataFrame, tables: Tables) -> DataFram
     return state.select("key", "copies", "edge", (F.col("words") - F.col("need") < F.col("need")).alias("with_edge"))
 
 
+def _key(source: Column) -> Column:
+    return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), source.cast("string")))
+
+
+def _sized(docs: DataFrame, id_col: str, tables: Tables) -> DataFrame:
+    source = F.col("source").cast("string")
+    return tables.put(docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), _key(source).alias("key"), word_count(F.col("text")).alias("size"), id_hash(F.col(id_col)).alias("hash")))
+
+
+def source_cuts(sized: DataFrame, weights: tuple[int, ...], cap: int, tables: Tables) -> DataFrame:
+    """One row per source: (key, source_size, target, edge, with_edge), edge being null where no document is at the cut."""
+    targets = tables.put(source_targets(sized, weights, cap))
+    return tables.put(targets.join(thresholds(sized, targets, tables).drop("copies"), "key", "left"))
+
+
+def _copies(hashed: Column, cut) -> Column:
+    """How often a document with that hash is taken; cut gives the columns of source_cuts."""
+    base = F.when(cut("source_size") > 0, F.floor(cut("target") / cut("source_size"))).otherwise(F.lit(0)).cast("long")
+    once_more = (hashed < cut("edge")) | ((hashed == cut("edge")) & cut("with_edge"))
+    return base + F.when(F.coalesce(once_more, F.lit(False)), 1).otherwise(0)
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, copies): how often the mix takes each document, and its words."""
     tables = Tables(docs.sparkSession, "mixing")
-    source = F.col("source").cast("string")
-    sized = tables.put(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            source.alias("source"),
-            F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), source)).alias("key"),
-            word_count(F.col("text")).alias("size"),
-            id_hash(F.col(id_col)).alias("hash"),
-        )
-    )
-    targets = tables.put(source_targets(sized, weights, cap))
-    cuts = thresholds(sized, targets, tables)
-    base = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    once_more = (F.col("hash") < F.col("edge")) | ((F.col("hash") == F.col("edge")) & F.col("with_edge"))
-    out = sized.join(targets, "key").join(cuts.drop("copies"), "key", "left")
-    out = out.withColumn("copies", base + F.when(F.coalesce(once_more, F.lit(False)), 1).otherwise(0))
+    sized = _sized(docs, id_col, tables)
+    out = sized.join(source_cuts(sized, weights, cap, tables), "key").withColumn("copies", _copies(F.col("hash"), F.col))
     return out.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def mix_rows(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, id_col: str = "doc_id") -> DataFrame:
+    """Rows of docs that the mix takes, with mixed_size (words), mixed_target (words of the source) and copies (how often);
+    columns of these names are replaced. Rows meet one row for each source, never each other, so texts aren't shuffled."""
+    tables = Tables(docs.sparkSession, "mixing")
+    cuts = source_cuts(_sized(docs, id_col, tables), weights, cap, tables)
+    rows = docs.drop("mixed_size", "mixed_target", "copies")
+    key, cut = free_name(rows, "mix_key"), free_name(rows, "mix_cut")
+    cuts = cuts.select(F.col("key").alias(key), F.struct("source_size", "target", "edge", "with_edge").alias(cut))
+    out = rows.withColumn(key, _key(F.col("source"))).join(cuts, key)
+    out = out.withColumn("copies", _copies(id_hash(F.col(id_col)), lambda name: F.col(cut)[name])).where("copies > 0")
+    return out.withColumn("mixed_size", word_count(F.col("text"))).withColumn("mixed_target", F.col(cut)["target"]).drop(key, cut)

@@ -50,11 +50,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with mixed_size (words), mixed_target (words of the source) and copies (how often)."""
-    mixed = Tables(spark, "mix").put(mixing.mix(docs).where("copies > 0").select("doc_id", "source", "size", "target", "copies").distinct())
-    mixed = mixed.select(F.col("doc_id").alias("mixed_id"), F.col("source").alias("mixed_source"), F.col("size").alias("mixed_size"), F.col("target").alias("mixed_target"), "copies")
-    rows = docs.drop("mixed_id", "mixed_source", "mixed_size", "mixed_target", "copies")
-    same = rows.doc_id.eqNullSafe(mixed.mixed_id) & rows.source.cast("string").eqNullSafe(mixed.mixed_source) & (mixing.word_count(rows.text) == mixed.mixed_size)
-    return rows.join(mixed, same).drop("mixed_id", "mixed_source")
+    return mixing.mix_rows(docs)
 
 
 STAGES = [
