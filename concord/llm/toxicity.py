@@ -1,20 +1,22 @@
 """Operator 4: toxicity by nearest labelled examples.
 
-A bounded sample of labelled texts is indexed as TF-IDF vectors over the terms that tell the labels apart. Posting
-lists are cut into blocks of examples with the largest weight of each term and block; a query looks at blocks in order
-of the bound that these weights give, and stops where no block can hold a nearer example, so that cosines and
-neighbours are exact. Votes weighted by cosine are calibrated on the examples, each left out of its own vote.
-
-Defined results: null and empty texts, and texts without indexed terms, get the calibrated prior; rows without a label
-teach nothing; ids labelled more than once count as often; without labels every score is the prior 0; rows with equal
-ids are scored one by one; an empty table gives an empty result; extra columns don't matter.
+A bounded sample of labelled texts is indexed as TF-IDF vectors over all terms that the sample has. A term's idf is
+raised by how far its presence tells the labels apart; no term and no example is left out. Terms of many examples are
+held as a dense matrix, all others as posting lists; both together give a query's cosine with every example, and the
+nearest ones are worked out again in double precision. Votes weighted by cosine are calibrated on the examples, each
+left out of its own vote.
+
+Defined results: null and empty texts, and texts without a word of the examples, get the calibrated prior; words that no
+example has don't count; rows without a label teach nothing; ids labelled more than once count as often; without labels
+every score is the prior 0; rows with equal ids are scored one by one; an empty table gives an empty result; extra
+columns don't matter.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +25,13 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, text_of
 
-#: Labelled examples indexed at most (of each label), terms at most, examples in a block, neighbours that vote.
+#: Labelled examples indexed at most (of each label), terms in the dense matrix, neighbours that vote.
 EXAMPLES = 3000
-TERMS = 4096
-BLOCK = 64
+DENSE = 1024
 NEIGHBOURS = 15
+#: Chi-squared that doubles a term's weight. Cosines this far below the least one are looked at again.
+DOUBLES = 30.0
+MARGIN = 1e-4
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -49,74 +53,107 @@ def terms(text: str) -> Counter:
 
 
 class Known(dict):
-    """The indexed terms of each word; starts anew when it has grown large."""
+    """A number for each word, and the terms of each number in table (-1 for none). New terms enter the vocabulary if it
+    learns."""
 
-    def __init__(self, vocabulary: dict[str, int]):
+    def __init__(self, vocabulary: dict[str, int], learns: bool = False):
         super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: str) -> list[str]:
-        if len(self) > 300_000:
+        self.vocabulary, self.learns = vocabulary, learns
+        self.table = np.full((4096, 3), -1)
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        if n == len(self.table):
+            self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
+        self.table[n] = -1
+        for i, f in enumerate(forms(word)):
+            self.table[n, i] = self.vocabulary.setdefault(f, len(self.vocabulary)) if self.learns else self.vocabulary.get(f, -1)
+        return n
+
+    def bag(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and how often each occurs."""
+        if not self.learns and len(self) > 300_000:
             self.clear()
-        value = self[word] = [f for f in forms(word) if f in self.vocabulary]
-        return value
+        words = _WORD.findall(text.lower())
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        t = self.table[numbers].ravel()
+        return np.unique(t[t >= 0], return_counts=True)
+
+
+def _runs(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Places begin, begin + 1, ... of each run, one run after the other."""
+    return np.repeat(begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
 
 
 @dataclass
 class Index:
+    """Terms are numbered from the one of most examples on."""
+
     ids: np.ndarray
     labels: np.ndarray
     vocabulary: dict[str, int]
     idf: np.ndarray
     prior: float
     alpha: tuple[float, float] = (1.0, 0.0)
-    matrix: list = field(default_factory=list)
 
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+    def weighed(self, t: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of length 1: (1 + log tf) idf."""
-        got = [(self.vocabulary[w], c) for w, c in counts.items() if w in self.vocabulary]
-        if not got:
-            return np.empty(0, np.int64), np.empty(0)
-        t, c = np.array(sorted(got)).T
         w = (1 + np.log(c)) * self.idf[t]
         norm = np.sqrt((w * w).sum())
         return t, w / norm if norm else w
 
+    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+        got = sorted((self.vocabulary[w], c) for w, c in counts.items() if w in self.vocabulary)
+        return self.weighed(np.array([t for t, _ in got], np.int64), np.array([c for _, c in got], np.float64))
+
     def build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """Postings by term, in order of examples; where each block begins in them; the largest weight of each block."""
-        n, self.blocks = len(vectors), max(1, -(-len(vectors) // BLOCK))
-        sizes = [len(t) for t, _ in vectors]
-        term = np.concatenate([*(t for t, _ in vectors), np.empty(0, np.int64)])
-        weight = np.concatenate([*(w for _, w in vectors), np.empty(0)])
-        example = np.repeat(np.arange(n), sizes)
-        order = np.lexsort((example, term))
-        self.example, self.weight = example[order], weight[order]
-        cell = term[order] * self.blocks + self.example // BLOCK
-        self.begin = np.searchsorted(cell, np.arange(len(self.vocabulary) * self.blocks + 1))
-        top = np.zeros(len(self.vocabulary) * self.blocks)
-        np.maximum.at(top, cell, self.weight)
-        self.top = top.reshape(len(self.vocabulary), self.blocks)
+        """The examples' vectors one after the other; the first DENSE terms as a matrix, postings of all others by term."""
+        n, size = len(vectors), len(self.vocabulary)
+        self.start = np.cumsum([0, *(len(t) for t, _ in vectors)])
+        self.term = np.concatenate([*(t for t, _ in vectors), np.empty(0, np.int64)]).astype(np.int32)
+        self.weight = np.concatenate([*(w for _, w in vectors), np.empty(0)])
+        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
+        often = self.term < DENSE
+        self.dense = np.zeros((min(DENSE, size), n), np.float32)
+        self.dense[self.term[often], example[often]] = self.weight[often]
+        order = np.argsort(self.term[~often], kind="stable")
+        self.post, self.post_weight = example[~often][order], self.weight[~often][order].astype(np.float32)
+        self.begin = np.searchsorted(self.term[~often][order], np.arange(size + 1))
+
+    def nearest_all(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the k examples of the largest cosine over 0, ties to the earlier example."""
+        n, out = len(self.ids), []
+        if not n:
+            return [(np.empty(0, np.int64), np.empty(0)) for _ in vectors]
+        q = np.zeros((len(vectors), len(self.dense)), np.float32)
+        for row, (t, w) in zip(q, vectors):
+            at = np.searchsorted(t, DENSE)
+            row[t[:at]] = w[:at]
+        sums, full = q @ self.dense, np.zeros(len(self.vocabulary))
+        for i, (t, w) in enumerate(vectors):
+            at = np.searchsorted(t, DENSE)
+            rare, begin = t[at:], self.begin[t[at:]]
+            count = self.begin[rare + 1] - begin
+            places, near = _runs(begin, count), sums[i]
+            near += np.bincount(self.post[places], np.repeat(w[at:].astype(np.float32), count) * self.post_weight[places], n).astype(np.float32)
+            if leave is not None and leave[i] >= 0:
+                near[leave[i]] = 0
+            least = max(0.0, np.partition(near, n - k)[n - k] - MARGIN) if n > k else 0.0
+            found = np.flatnonzero(near > least) if least else np.flatnonzero(near > 0)
+            if not len(found):
+                out.append((found, np.empty(0)))
+                continue
+            full[t] = w
+            size = self.start[found + 1] - self.start[found]
+            places = _runs(self.start[found], size)
+            cosines = np.add.reduceat(full[self.term[places]] * self.weight[places], np.cumsum(size) - size)
+            full[t] = 0
+            order = np.lexsort((found, -cosines))[:k]
+            out.append((found[order], cosines[order]))
+        return out
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the largest cosine over 0, ties to the earlier example."""
-        if not len(t):
-            return np.empty(0, np.int64), np.empty(0)
-        bounds = w @ self.top[t]
-        found, cosines, least = np.empty(0, np.int64), np.empty(0), 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(found) == k and bounds[b] < least - 1e-12:
-                break
-            lo, hi = self.begin[t * self.blocks + b], self.begin[t * self.blocks + b + 1]
-            count = hi - lo
-            at = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            sums = np.bincount(self.example[at] - b * BLOCK, np.repeat(w, count) * self.weight[at], BLOCK)
-            hit = np.flatnonzero(sums > 0)
-            hit = hit[hit + b * BLOCK != leave]
-            found, cosines = np.append(found, hit + b * BLOCK), np.append(cosines, sums[hit])
-            order = np.lexsort((found, -cosines))[:k]
-            found, cosines = found[order], cosines[order]
-            least = cosines[-1] if len(found) == k else 0.0
-        return found, cosines
+        return self.nearest_all([(t, w)], k, [leave])[0]
 
     def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
         """Neighbours' labels by cosine; the prior weighs as much as one neighbour at cosine 0.1."""
@@ -127,56 +164,44 @@ class Index:
         v = np.clip(vote, 1e-4, 1 - 1e-4)
         return float(1 / (1 + np.exp(-np.clip(a * np.log(v / (1 - v)) + b, -30, 30))))
 
-    def score(self, text: str, known: Known, k: int = NEIGHBOURS) -> tuple[float, np.ndarray, np.ndarray]:
+    def scores(self, texts: list[str], known: Known, k: int = NEIGHBOURS) -> list[tuple[float, np.ndarray, np.ndarray]]:
         if not self.prior:
-            return 0.0, np.empty(0, np.int64), np.empty(0)
-        found, cosines = self.nearest(*self.vector(Counter(f for got in map(known.__getitem__, _WORD.findall(text.lower())) if got for f in got)), k)
-        return self.calibrated(self.vote(found, cosines)), found, cosines
-
-
-def choose_terms(bags: list[Counter], labels: np.ndarray, most: int = TERMS) -> list[str]:
-    """Terms whose presence is associated with the label: chi-squared over 30, and over a fifth of the strongest one's, as
-    terms that a few copies of one text bring are weaker. At most so many, the strongest ones."""
-    n, n1 = len(bags), max(1, int(labels.sum()))
-    n0 = max(1, n - n1)
-    seen, toxic = Counter(), Counter()
-    for bag, label in zip(bags, labels):
-        seen.update(bag.keys())
-        if label:
-            toxic.update(bag.keys())
-    scored = []
-    for word, c in seen.items():
-        if c >= 5 and c < n:
-            a = toxic[word]
-            expected = c * n1 / (n1 + n0)
-            chi = (a - expected) ** 2 * (n1 + n0) ** 2 / max(1e-9, c * (n - c) * n1 * n0 / (n1 + n0))
-            if chi > 30:
-                scored.append((-chi, word))
-    least = min(scored)[0] / 5 if scored else 0
-    return [w for x, w in sorted(scored)[:most] if x <= least]
+            return [(0.0, np.empty(0, np.int64), np.empty(0))] * len(texts)
+        got = self.nearest_all([self.weighed(*known.bag(t)) for t in texts], k)
+        return [(self.calibrated(self.vote(found, cosines)), found, cosines) for found, cosines in got]
+
+
+def relevance(seen: np.ndarray, toxic: np.ndarray, n: int, n1: int) -> np.ndarray:
+    """Factor of each term's idf, 1 or more: how far its presence (in seen of n examples, toxic of them of the n1 of label
+    1) is associated with the label, by chi-squared."""
+    n0 = n - n1
+    if not n0 or not n1:
+        return np.ones(len(seen))
+    chi = (toxic - seen * n1 / n) ** 2 * n**3 / np.maximum(1e-9, seen * (n - seen) * float(n1) * n0)
+    return 1 + np.where(seen < n, chi, 0) / DOUBLES
 
 
 def fit(examples: list[tuple[int, str, int]], prior: float) -> Index:
-    """examples: (doc_id, text, label)."""
-    bags = [terms(t) for _, t, _ in examples]
+    """examples: (doc_id, text, label). Those without a word are in the index too; nothing finds them."""
+    first = {}
+    known = Known(first, learns=True)
+    bags = [known.bag(text) for _, text, _ in examples]
     labels = np.array([x[2] for x in examples], np.float64)
-    words = choose_terms(bags, labels) if len(examples) else []
-    vocabulary = {w: i for i, w in enumerate(words)}
-    df = np.zeros(len(words))
-    for bag in bags:
-        for w in bag.keys() & vocabulary.keys():
-            df[vocabulary[w]] += 1
-    idf = np.log((1 + len(bags)) / (1 + df)) + 1
-    index = Index(np.array([x[0] for x in examples], np.int64), labels, vocabulary, idf, prior)
-    vectors = [index.vector(bag) for bag in bags]
-    kept = [i for i, (t, _) in enumerate(vectors) if len(t)]
-    kept.sort(key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), i))  # like examples in one block
-    votes_of = [(i, p) for p, i in enumerate(kept)]
-    index.ids, index.labels = index.ids[kept], labels[kept]
-    index.build([vectors[i] for i in kept])
-    place = dict(votes_of)
-    votes = np.array([index.vote(*index.nearest(*vectors[i], NEIGHBOURS, place.get(i, -1))) for i in range(len(examples))])
-    index.alpha = calibrate(votes, labels, prior)
+    every = np.concatenate([*(t for t, _ in bags), np.empty(0, np.int64)])
+    seen = np.bincount(every, minlength=len(first)).astype(np.float64)
+    toxic = np.bincount(every, np.repeat(labels, [len(t) for t, _ in bags]), len(first))
+    order = np.argsort(-seen, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    idf = (np.log((1 + len(bags)) / (1 + seen)) + 1) * relevance(seen, toxic, len(bags), int(labels.sum()))
+    index = Index(np.array([x[0] for x in examples], np.int64), labels, {w: int(place[i]) for w, i in first.items()}, idf[order], prior)
+    vectors = []
+    for t, c in bags:
+        by_number = np.argsort(place[t])
+        vectors.append(index.weighed(place[t][by_number], c[by_number]))
+    index.build(vectors)
+    got = [x for at in range(0, len(vectors), 256) for x in index.nearest_all(vectors[at : at + 256], NEIGHBOURS, list(range(at, min(at + 256, len(vectors)))))]
+    index.alpha = calibrate(np.array([index.vote(*x) for x in got]), labels, prior)
     return index
 
 
@@ -223,7 +248,7 @@ def _scorer(index):
     def score(texts: pa.Array) -> pa.Array:
         own = index.value
         known = Known(own.vocabulary)
-        got = [own.score(t or "", known) for t in texts.to_pylist()]
+        got = own.scores([t or "" for t in texts.to_pylist()], known)
         ids = pa.array([own.ids[f].tolist() for _, f, _ in got], pa.list_(pa.int64()))
         cosines = pa.array([c.tolist() for _, _, c in got], pa.list_(pa.float64()))
         return pa.StructArray.from_arrays([pa.array([s for s, _, _ in got], pa.float64()), ids, cosines], ["score", "ids", "cosines"])

@@ -161,6 +161,17 @@ def test_nearest_is_exact():
         assert np.allclose(cosines, [c for c in brute if c > 0])
 
 
+def test_copy_of_any_example_finds_it():
+    """Also of those without a term that tells the labels apart."""
+    rng = random.Random(4)
+    text = lambda i: " ".join([f"own{i}", *(f"word{rng.randrange(900)}" for _ in range(40))]) + (" awful insult" if i % 9 == 0 and i % 2 else "")
+    examples = [(i, text(i), int(i % 9 == 0)) for i in range(400)]
+    index = toxicity.fit(examples, 0.1)
+    for i, t, _ in examples:
+        found, cosines = index.nearest(*index.vector(toxicity.terms(t)), toxicity.NEIGHBOURS)
+        assert len(found) and index.ids[found[0]] == i and abs(cosines[0] - 1) < 1e-9
+
+
 def test_mix_keeps_targets(spark):
     rng = random.Random(1)
     out = mixing.mix(docs(spark, [(i, "w " * rng.randrange(1, 50), rng.choice(["a", "b", "b", "b", None])) for i in range(400)])).collect()
