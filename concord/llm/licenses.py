@@ -79,9 +79,81 @@ NAMES = (
     ("proprietary", r"all rights reserved", "all rights reserved"),
 )
 
+#: Expressions for the SPDX ids of names that are not written so themselves, and the words that grants by id begin with.
+IDS = {
+    "apache": (r"apache \d \d", "apache"),
+    "mit": (r"(?:mit(?: 0)?|x11)", "mit|x11"),
+    "bsd": (r"bsd", "bsd"),
+    "isc": (r"isc", "isc"),
+    "cpl": (r"cpl", "cpl"),
+    "zlib": (r"zlib", "zlib"),
+    "artistic": (r"artistic", "artistic"),
+    "python": (r"(?:python|psf)", "python|psf"),
+    "php": (r"php", "php"),
+    "ruby": (r"ruby", "ruby"),
+    "openssl": (r"openssl", "openssl"),
+    "w3c": (r"w3c", "w3c"),
+    "ofl": (r"ofl", "ofl"),
+    "ms-pl": (r"ms pl", "ms pl"),
+    "ms-rl": (r"ms rl", "ms rl"),
+    "postgresql": (r"postgresql", "postgresql"),
+    "ncsa": (r"ncsa", "ncsa"),
+    "afl": (r"afl", "afl"),
+    "osl": (r"osl", "osl"),
+    "qpl": (r"qpl", "qpl"),
+    "ipl": (r"ipl", "ipl"),
+    "vim": (r"vim", "vim"),
+}
+#: Ids that are programs too: 'available under python 3' grants nothing, 'licensed under' does.
+PROGRAMS = ("python", "php", "ruby", "openssl", "w3c", "postgresql", "vim")
+#: What may follow an id.
+TAIL = r"(?: v?\d+(?: \d+)*)?(?: only| or later)?(?: with (?:[a-z0-9]+ ){1,4}exception(?: \d+ \d+)?)?"
+#: Ids that an SPDX expression (a or b and c) may have; a worse priority keeps those before from being suppressed.
+OPERANDS = 4
+
+#: label, characteristic sentence of the license's body, a keyword in it.
+BODIES = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "hereby granted free of charge"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "this permission notice shall"),
+    ("isc", r"permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted provided", "fee is hereby granted"),
+    ("0bsd", r"permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted(?! provided)", "fee is hereby granted"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that", "redistribution and use"),
+    ("bsd-3-clause", r"neither the names? of (?:[^ ]+ ){1,20}may be used to endorse or promote products derived from this software", "neither the name"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "all advertising materials"),
+    ("gpl", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e", "program is free software"),
+    ("lgpl", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e", "library is free software"),
+    ("agpl", "your modified version must prominently offer all users interacting with it remotely", "must prominently offer"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation", "modify this document"),
+    ("apache", "you may not use this file except in compliance with the license", "except in compliance with"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "unless required by applicable law"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license", "this source code form"),
+    ("epl", "the accompanying materials are made available under the terms of the eclipse public license", "accompanying materials"),
+    ("cddl", "cddl header start", "cddl header"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
+    ("zlib", "altered source versions must be plainly marked as such", "altered source versions"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", "hereby granted free of charge"),
+    ("wtfpl", r"you just do what the [^ ]+ you want to", "you just do what"),
+    ("cc0", "has dedicated the work to the public domain by waiving all of his or her rights", "dedicated the work"),
+    ("cc-by", "you must give appropriate credit provide a link to the license and indicate if changes were made", "give appropriate credit"),
+    ("cc-by-sa", "if you remix transform or build upon the material you must distribute your contributions under the same license", "distribute your contributions"),
+    ("cc-by-nc", "you may not use the material for commercial purposes", "the material for commercial"),
+    ("cc-by-nd", "if you remix transform or build upon the material you may not distribute the modified material", "distribute the modified material"),
+    ("postgresql", "for any purpose without fee and without a written agreement is hereby granted", "a written agreement is hereby"),
+    ("w3c", "with or without modification for any purpose and without fee or royalty is hereby granted", "or royalty is hereby granted"),
+    ("python", "psf hereby grants licensee a nonexclusive royalty free world ?wide license", "psf hereby grants"),
+    ("php", "products derived from this software may not be called php", "may not be called php"),
+    ("openssl", "this product includes software developed by the openssl project", "openssl project"),
+    ("artistic", r"you may (?:make and give away|distribute) verbatim copies of the (?:source form of the )?standard version of this package", "standard version of this package"),
+    ("ofl", r"the font software may be sold as part of a larger software package|neither the font software nor any of its individual components", "font software"),
+    ("ncsa", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimers", "the following disclaimers"),
+    ("ms-pl", "if you bring a patent claim against any contributor over patents that you claim are infringed by the software", "bring a patent claim"),
+    ("vim", "there are no restrictions on distributing unmodified copies of vim", "unmodified copies of vim"),
+    ("openrail", "you agree not to use the model or derivatives of the model", "derivatives of the model"),
+    ("beerware", "if we meet some day and you think this stuff is worth it you can buy me a beer in return", "if we meet some day"),
+)
+
 #: kind, expression around a name ({name}), priority (0 is best), confidence.
 FORMS = (
-    ("identifier", r"spdx licen[sc]e identifier {name}", 0, 1.0),
     ("grant", r"(?:licensed|released|distributed|available|published|provided|covered) (?:under|by) (?:the )?(?:terms of (?:the )?)?{name}(?: (?:version |v)?\d+(?: \d+)*)?", 1, 0.95),
     ("version", r"{name}(?: licen[sc]e)? (?:version |v)?\d+(?: \d+)*(?: or (?:any )?later)?", 2, 0.85),
     ("copy", r"(?:copy|text|terms) of (?:the )?{name}", 2, 0.8),
@@ -89,9 +161,10 @@ FORMS = (
 )
 PRIORITIES = 4
 
-#: Parts of words; a text without any of them contains no license name. They begin with different rare letters, so that
+#: Parts of words; a text without any of them contains no license name or body, and a grant by id only where GRANT_GATE
+#: does. They begin with different rare letters, so that
 #: a look for each is one quick pass.
-GATE = ("licen", "spdx", "cc by ", "cc zero ", "cc0", "creative commons", "public domain", "rights reserved", "gpl", "gfdl", "bsd", "mpl", "epl", "cddl", "wtfpl", "odbl", "odc by", "eupl", "rail", "beer", "bsl 1")
+GATE = ("licen", "spdx", "cc by ", "cc zero ", "cc0", "creative commons", "public domain", "rights reserved", "gpl", "gfdl", "bsd", "mpl", "epl", "cddl", "wtfpl", "odbl", "odc by", "eupl", "rail", "beer", "bsl 1", *sorted({word for _, _, word in BODIES}))
 
 
 @dataclass(frozen=True)
@@ -103,10 +176,29 @@ class Rule:
     confidence: float
 
 
+def _grant_words(label: str) -> list[str]:
+    return [lead + word for word in IDS[label][1].split("|") for lead in ("under ", "under the ", "under terms of ", "under terms of the ", "under the terms of ", "under the terms of the ")]
+
+
+#: A text that lacks ' under ' and this has no grant by id.
+GRANT_GATE = r" under (?:the )?(?:terms of (?:the )?)?(?:" + "|".join(word for _, words in IDS.values() for word in words.split("|")) + ")"
+
+
 def default_rules() -> list[Rule]:
-    """Every form of every name, in order."""
-    between = r"(?<= ){}(?= )"
-    return [Rule(label, between.format(form.format(name=name)), word, priority, confidence) for label, name, word in NAMES for _, form, priority, confidence in FORMS]
+    """The SPDX ids, every form of every name, and the bodies, in order."""
+    between = r"(?<= )(?:{})(?= )"
+    spdx = {label: f"(?:{name}|{IDS[label][0]})" if label in IDS else f"(?:{name})" for label, name, _ in NAMES}
+    any_id = f"(?:{'|'.join(spdx.values())}){TAIL} (?:or|and) "
+    rules = []
+    for label, name, word in NAMES:
+        for n in range(OPERANDS):
+            before = f"(?:{any_id}){{{n}}}" if n else ""
+            rules.append(Rule(label, between.format(f"spdx licen[sc]e identifier {before}{spdx[label]}{TAIL}"), "spdx licen", n, 1.0))
+        if label in IDS:
+            verbs = "licensed" if label in PROGRAMS else "licensed|released|distributed|available|published|provided|covered"
+            rules.append(Rule(label, between.format(f"(?:{verbs}) under (?:the )?(?:terms of (?:the )?)?{IDS[label][0]}{TAIL}"), "|".join(_grant_words(label)), 1, 0.95))
+        rules += [Rule(label, between.format(form.format(name=name)), word, priority, confidence) for _, form, priority, confidence in FORMS]
+    return rules + [Rule(label, between.format(body), word, 1, 0.9) for label, body, word in BODIES]
 
 
 def normalised(text: Column) -> Column:
@@ -184,6 +276,7 @@ def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     gate = F.lit(False)
     for word in GATE:
         gate = gate | F.contains("norm", F.lit(word))
+    gate = gate | (F.contains("norm", F.lit(" under ")) & F.col("norm").rlike(GRANT_GATE))
     empty = F.array().cast("array<struct<start:int,stop:int,priority:int,label:string,confidence:double>>")
     tried = F.filter(rules, lambda r: F.exists(r["keywords"], lambda k: F.contains(F.col("norm"), k)))
     spans = F.flatten(F.transform(tried, lambda r: _matches(F.col("norm"), r)))

@@ -72,6 +72,35 @@ def test_licenses_against_brute_force(spark):
         assert (r["base_labels"], r["labels"]) == (",".join(sorted(base)), ",".join(sorted(base | found)))
 
 
+SPDX = {
+    "gpl": "GPL-2.0-only", "lgpl": "LGPL-2.1-or-later", "agpl": "AGPL-3.0-only", "gfdl": "GFDL-1.3-only", "apache": "Apache-2.0", "mit": "MIT", "bsd-2-clause": "BSD-2-Clause", "bsd-3-clause": "BSD-3-Clause",
+    "bsd-4-clause": "BSD-4-Clause", "0bsd": "0BSD", "isc": "ISC", "mpl": "MPL-2.0", "epl": "EPL-2.0", "cddl": "CDDL-1.0", "cpl": "CPL-1.0", "cc-by-sa": "CC-BY-SA-4.0", "cc-by-nd": "CC-BY-ND-4.0", "cc-by-nc": "CC-BY-NC-4.0",
+    "cc-by-nc-sa": "CC-BY-NC-SA-4.0", "cc-by-nc-nd": "CC-BY-NC-ND-4.0", "cc0": "CC0-1.0", "unlicense": "Unlicense", "wtfpl": "WTFPL", "zlib": "Zlib", "boost": "BSL-1.0", "artistic": "Artistic-2.0", "python": "Python-2.0", "php": "PHP-3.01",
+    "ruby": "Ruby", "openssl": "OpenSSL", "w3c": "W3C", "ofl": "OFL-1.1", "odbl": "ODbL-1.0", "odc-by": "ODC-By-1.0", "eupl": "EUPL-1.2", "ms-pl": "MS-PL", "ms-rl": "MS-RL", "postgresql": "PostgreSQL", "ncsa": "NCSA", "afl": "AFL-3.0",
+    "osl": "OSL-3.0", "qpl": "QPL-1.0", "ipl": "IPL-1.0", "vim": "Vim", "beerware": "Beerware",
+}
+
+
+def test_license_ids_grants_and_bodies(spark):
+    """Each SPDX id alone and as a later operand, each grant by id, and the sentence of each body."""
+    texts = [(label, f"// SPDX-License-Identifier: {name}\n") for label, name in SPDX.items()]
+    texts += [(label, f"SPDX-License-Identifier: (MIT OR {name})") for label, name in SPDX.items()]
+    texts += [(label, f"It is licensed under the {SPDX.get(label, 'BSD')}.") for label in licenses.IDS]
+    plain = lambda body: re.sub(r"\(\?![^)]*\)", "", re.sub(r"\(\?:\[\^ \]\+ \)\{1,20\}", "the holder ", body.split("|neither")[0])).replace("[^ ]+", "thing").replace("[sc]", "s")
+    plain_all = lambda body: re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)\??", r"\1", plain(body)).replace(" ?", " ").replace("names?", "name").replace("acknowledge?", "acknowledge")
+    texts += [(label, "So: " + plain_all(body).capitalize() + ".") for label, body, _ in licenses.BODIES]
+    texts += [("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"), ("bsd", "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"), ("apache", "Released under Apache-2.0.")]
+    got = {r["doc_id"]: r for r in licenses.scan(docs(spark, [(i, t, None) for i, (_, t) in enumerate(texts)])).collect()}
+    for i, (label, text) in enumerate(texts):
+        assert label in got[i]["labels"].split(",") and got[i]["score"] >= 0.9, (label, text, got[i])
+    for i, label in enumerate(SPDX):
+        base = lambda r: {*r["base_labels"].split(",")} - {""}
+        assert {*got[i]["labels"].split(",")} == {label, *base(got[i])} and got[i]["score"] == 1.0
+        assert {*got[len(SPDX) + i]["labels"].split(",")} == {"mit", label, *base(got[len(SPDX) + i])}
+    four = licenses.scan(docs(spark, [(1, "SPDX-License-Identifier: MIT OR Apache-2.0 OR ISC AND GPL-2.0-only WITH Classpath-exception-2.0", None), (2, "Available under Python 3 and under the vim of youth.", None)])).collect()
+    assert {r["doc_id"]: r["labels"] for r in four} == {1: "apache,gpl,isc,mit", 2: ""}
+
+
 def test_chat(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (2, 1, "assistant", "no"), (3, 0, "user", None), (None, 0, None, None)]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
