@@ -25,6 +25,9 @@ from .common import free_name, let, small_batches, text_of, words_of
 SAMPLE_ROWS = 3000
 DIMENSIONS = 1 << 12
 GOOD = 0.5
+#: Words over which variety is taken, as longer prose repeats more of its words; words of a passage that comes again.
+STRETCH = 2000
+PASSAGE = 5
 
 
 def labellers() -> dict[str, Column]:
@@ -35,14 +38,16 @@ def labellers() -> dict[str, Column]:
     bad = lambda share, least: F.when(share > least, 0).otherwise(-1)
     both = lambda low, high: F.when(low, 0).when(high, 1).otherwise(-1)
     repeats = F.aggregate("words", F.struct(F.lit("").alias("w"), F.lit(0).alias("n")), lambda acc, w: F.struct(w.alias("w"), (acc["n"] + F.when(w == acc["w"], 1).otherwise(0)).alias("n")), lambda acc: acc["n"]) / n
-    variety = F.size(F.array_distinct("words")) / n
+    distinct = lambda key: F.size(F.array_distinct(F.transform("words", key))) / n
+    variety = distinct(lambda w, i: F.xxhash64(w, F.floor(i / F.lit(STRETCH))))
+    fresh = distinct(lambda w, i: F.xxhash64(w, *(F.get("words", i + k) for k in range(1, PASSAGE))))
     return {
         "symbols": bad(part(r"[#*$%&|<>]"), 0.25),
         "repeats": bad(repeats, 0.25),
         "capitals": bad(part(r"\p{Lu}{2,}"), 0.5),
         "marks": bad(part(r"[!?]{2,}"), 0.3),
         "separators": bad(part(r"(?<=\s)\|(?=\s)"), 0.15),
-        "variety": F.when((n > 60) & (n < 2000) & (variety < 0.2), 0).otherwise(-1),
+        "variety": F.when((n > 60) & ((variety < 0.2) | (fresh < 0.2)), 0).otherwise(-1),
         "sentences": let(part(r"[\p{L}\p{N}][.?](?!\S)"), lambda x: both((x < 0.004) & (n > 60), (x > 0.02) & (x < 0.5))),
         "plain_words": let(part(r"(?<!\S)[\p{L}\p{M}'’-]+[.,;:?!]?(?!\S)"), lambda x: both(x < 0.7, x > 0.85)),
     }
@@ -101,9 +106,18 @@ class Shapes(dict):
         return value
 
 
+def variety(words: list[str]) -> float:
+    """The share of words that their stretch of the text has not had before or, where that is less, of passages that the
+    whole text has not had before; so neither hangs on the text's length."""
+    n = len(words)
+    new = sum(len(set(words[at : at + STRETCH])) for at in range(0, n, STRETCH)) / n
+    passages = zip(*(words[k:] for k in range(PASSAGE)))
+    return min(new, len(set(passages)) / (n - PASSAGE + 1)) if n >= PASSAGE else new
+
+
 def features(text: str, shapes: Shapes) -> np.ndarray:
     """Shares of the text's words by hashed shape; in front the share equal to the word before and the share of words
-    that the text has already had, above what prose of that length shows."""
+    or passages that the text has already had, above what prose shows."""
     words = text.split()
     out = np.zeros(DIMENSIONS, np.float32)
     if words:
@@ -111,7 +125,7 @@ def features(text: str, shapes: Shapes) -> np.ndarray:
         counts = np.bincount(np.fromiter(map(shapes.__getitem__, words), np.int64, n), minlength=DIMENSIONS)
         out[:] = np.sqrt(counts / n)
         out[0] = sum(a == b for a, b in zip(words, words[1:])) / n
-        out[1] = max(0.0, 0.6 - len(set(words)) / n) if n < 2000 else 0.0
+        out[1] = max(0.0, 0.6 - variety(words))
     return out
 
 

@@ -226,6 +226,19 @@ def test_weak_labels_tell_junk(spark):
     assert all(got[i] for i, *_ in good) and not any(got[i] for i, *_ in junk)
 
 
+def test_long_repetition_is_junk(spark):
+    """A sentence of twenty words, and a passage longer than the stretch over which variety is taken, again and again."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    prose = lambda n: " ".join(word() + ("." if k % 12 == 11 else "") for k in range(n))
+    junk = [(i, (prose(20) + " ") * (40 + 20 * i), "a") for i in range(20)] + [(20 + i, (prose(2500) + " ") * 8, "a") for i in range(6)]
+    good = [(100 + i, prose(200 + 40 * i), "a") for i in range(160)]
+    texts = docs(spark, junk + good)
+    votes = texts.select("doc_id", F.split(F.trim("text"), " ").alias("words"), "text").select("doc_id", weak_quality.labellers()["variety"].alias("v"))
+    assert {r["doc_id"] for r in votes.collect() if r["v"] == 0} == set(range(26))
+    assert all((weak_quality.features(t, weak_quality.Shapes())[1] > 0.3) == (i < 100) for i, t, _ in junk + good)
+
+
 def test_pipeline_stages(spark, tmp_path):
     item = " ".join("bench mark alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho".split())
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
