@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: What stands for an empty cell, separators of multi-valued cells, categories from the most severe on.
 SENTINELS = ("", "-", ".")
 SEPARATORS = ("&", ",")
-CATEGORIES = ("truth_only", "candidate_only", "value_diff", "order_diff", "numeric_tol", "flag_expected")
+CATEGORIES = ("truth_only", "value_diff", "candidate_only", "order_diff", "numeric_tol", "flag_expected")
 #: Prefixes of feature names and their kinds; the first that fits decides.
 KINDS = (("ENS", "ENSEMBL"), ("XM_", "REFSEQ"), ("NM_", "REFSEQ"), ("XR_", "REFSEQ"), ("NR_", "REFSEQ"), ("NP_", "REFSEQ"))
 NUMBER = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
@@ -82,8 +82,9 @@ def kind_of(feature: Column, kinds=KINDS) -> Column:
     return out.otherwise("OTHER")
 
 
-def severity(category: Column) -> Column:
-    return F.array_position(F.array(*map(F.lit, CATEGORIES)), category)
+def map_text(m: Column) -> Column:
+    """A map as text: key=value by comma, in order of keys."""
+    return F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
 
 
 def natural_order(c: Column) -> list[Column]:

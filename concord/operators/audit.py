@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concord.functions.cells import norm_contig
+from concord.sources.store import SMALL_ROWS, Store
+
+from .order import running, with_previous
 
 
 def compare_keys(left: DataFrame, right: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -26,29 +29,72 @@ def unranked_contigs(df: DataFrame, ranks: DataFrame) -> DataFrame:
     return df.select(norm_contig(F.col("contig")).alias("contig")).distinct().join(ranks, "contig", "left_anti")
 
 
-def order_violations(df: DataFrame, source: str, contig: str, pos: str, seq: str) -> DataFrame:
-    """Rows whose position is smaller than that of the row before, in file order within source and contig."""
-    before = F.lag(pos).over(Window.partitionBy(source, contig).orderBy(seq))
-    return df.withColumn("previous", before).where(F.col("previous") > F.col(pos)).select(source, contig, seq, pos, "previous")
+def require_ranked(df: DataFrame, ranks: DataFrame) -> DataFrame:
+    """df, if every contig of it has a rank; there is no default one."""
+    lacking = [r["contig"] for r in unranked_contigs(df, ranks).orderBy("contig").limit(20).collect()]
+    if lacking:
+        raise ValueError(f"contigs that no header declares: {lacking}")
+    return df
+
+
+def order_violations(df: DataFrame, source: str, contig: str, pos: str, seq: str, ranks: DataFrame, store: Store) -> DataFrame:
+    """(source, kind, contig, pos, previous_contig, previous_pos, seq) of rows that don't come after the row before them in
+    their source, by rank of the contig, contig and position. kind: position, contig (one of a smaller rank, or one that
+    had come already), unranked. Rows of one position in a row are in order."""
+    rows = df.select(F.col(source).alias("source"), norm_contig(F.col(contig)).alias("contig"), F.col(pos).alias("pos"), F.col(seq).alias("seq"))
+    rows = rows.join(ranks.select("contig", "rank"), "contig", "left")
+    rows = with_previous(rows, ["source", "seq"], ["source", "rank", "contig", "pos"], "p", store)
+    same = F.col("p.source") == F.col("source")
+    back = F.struct("rank", "contig") < F.struct("p.rank", "p.contig")
+    kind = F.when(F.col("rank").isNull(), "unranked").when(same & back, "contig").when(same & (F.col("p.contig") == F.col("contig")) & (F.col("pos") < F.col("p.pos")), "position")
+    return rows.withColumn("kind", kind).where("kind is not null").select("source", "kind", "contig", "pos", F.when(same, F.col("p.contig")).alias("previous_contig"), F.when(same, F.col("p.pos")).alias("previous_pos"), "seq")
 
 
-def positional_residual(left: DataFrame, right: DataFrame, strip: str) -> DataFrame:
-    """Of two bodies (contig, seq, line) compared line by line: lines, those that differ, and those that still do without
-    what strip matches. Row numbers run within a contig."""
-    number = lambda df, name: df.select("contig", F.row_number().over(Window.partitionBy("contig").orderBy("seq", "line")).alias("rn"), F.col("line").alias(name))
+def require_sorted(violations: DataFrame) -> None:
+    """Raises on the first violation, by source and both places."""
+    rows = violations.orderBy("source", "seq").limit(1).collect()
+    for r in rows:
+        raise ValueError(f"{r['source']} is not in order ({r['kind']}): {r['contig']}:{r['pos']} came after {r['previous_contig']}:{r['previous_pos']}")
+
+
+def positional_residual(left: DataFrame, right: DataFrame, strip: str, store: Store) -> DataFrame:
+    """Of two bodies (contig, seq, line) compared line by line: lines, those that differ, those that still do without what
+    strip matches, and the first three of these. Row numbers run within a contig, over range partitions."""
+    one = lambda df: df.select("contig", "seq", "line", F.lit(1).cast("long").alias("one"))
+    number = lambda df, name: running(one(df), ["contig"], ["seq", "line"], "one", "rn", store).select("contig", "rn", F.col("line").alias(name))
     rows = number(left, "a").join(number(right, "b"), ["contig", "rn"], "full_outer")
     bare = lambda c: F.regexp_replace(c, strip, "")
     differs = ~F.col("a").eqNullSafe(F.col("b"))
-    return rows.groupBy("contig").agg(F.count(F.lit(1)).alias("lines"), F.count_if(differs).alias("raw"), F.count_if(differs & ~bare("a").eqNullSafe(bare("b"))).alias("residual"))
+    rests = differs & ~bare("a").eqNullSafe(bare("b"))
+    rows = rows.select("contig", "rn", differs.alias("d"), rests.alias("r"))
+    firsts = lambda acc, k: F.slice(F.array_sort(acc), 1, k)
+    few = rows.where("r").groupBy("contig", F.floor(F.col("rn") / 10_000).alias("__at")).agg(firsts(F.collect_list("rn"), 3).alias("f")).groupBy("contig").agg(firsts(F.flatten(F.collect_list("f")), 3).alias("first"))
+    counts = rows.groupBy("contig").agg(F.count(F.lit(1)).alias("lines"), F.count_if("d").alias("raw"), F.count_if("r").alias("residual"))
+    return counts.join(few, "contig", "left")
 
 
-def id_membership(ids: DataFrame, table: DataFrame, candidates: list[str]) -> DataFrame:
-    """(id, present) for each id; the table's id column is the first of the candidates that it has."""
+def id_column(table: DataFrame, candidates: list[str]) -> str:
     found = next((c for c in candidates if c in table.columns), None)
     if found is None:
         raise ValueError(f"none of {candidates} in {table.schema.simpleString()}")
-    have = table.select(F.col(found).alias("id")).distinct().withColumn("present", F.lit(True))
-    return ids.select("id").distinct().join(have, "id", "left").select("id", F.coalesce("present", F.lit(False)).alias("present"))
+    return found
+
+
+def id_membership(ids: DataFrame, table: DataFrame, candidates: list[str], literals: int = 1000) -> DataFrame:
+    """(id, present) for each id; the table's id column is the first of the candidates that it has. The table loses all
+    other rows before anything is shuffled: few ids become literals that the scan itself filters by, more are a semi join,
+    broadcast up to SMALL_ROWS."""
+    found = id_column(table, candidates)
+    wanted = ids.select("id").distinct()
+    some = wanted.limit(SMALL_ROWS + 1)
+    n = some.count()
+    if n <= literals:
+        have = table.where(F.col(found).isin([r["id"] for r in some.collect()]))
+    else:
+        keys = wanted.select(F.col("id").alias(found))
+        have = table.join(F.broadcast(keys) if n <= SMALL_ROWS else keys, found, "left_semi")
+    have = have.select(F.col(found).alias("id")).distinct().withColumn("present", F.lit(True))
+    return wanted.join(have, "id", "left").select("id", F.coalesce("present", F.lit(False)).alias("present"))
 
 
 def plan_vs_observed(plan: DataFrame, outputs: DataFrame, timings: DataFrame, factor: float = 1.25) -> DataFrame:
@@ -64,11 +110,13 @@ def plan_summary(rows: DataFrame) -> DataFrame:
 
 
 def reconcile_manifest(manifest: DataFrame, listing: DataFrame, allow: list[str] = ()) -> DataFrame:
-    """(name, status) of what is missing, differs or is extra."""
-    good = lambda df, name: df.where(F.col("digest").rlike("^[0-9a-f]{32}$")).select("name", F.col("digest").alias(name))
-    rows = good(manifest, "a").join(good(listing, "b"), "name", "full_outer")
-    status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").when(F.col("a") != F.col("b"), "differs")
-    return rows.withColumn("status", status).where(F.col("status").isNotNull() & ~((F.col("status") == "extra") & F.col("name").isin(*allow))).select("name", "status")
+    """(name, status): malformed (the manifest's digest is none), missing in the listing, differs (any other digest there,
+    none included), extra (in the listing only, unless allowed)."""
+    a, b = manifest.select("name", F.coalesce("digest", F.lit("")).alias("a")), listing.select("name", F.coalesce("digest", F.lit("")).alias("b"))
+    good = F.col("a").rlike("^[0-9a-f]{32}$")
+    extra = F.when(~F.col("name").isin(*allow), "extra") if allow else F.lit("extra")
+    status = F.when(F.col("a").isNull(), extra).when(~good, "malformed").when(F.col("b").isNull(), "missing").when(F.col("a") != F.col("b"), "differs")
+    return a.join(b, "name", "full_outer").select("name", status.alias("status")).where("status is not null")
 
 
 def pairwise_runs(df: DataFrame, tag: str, key: list[str], values: list[str], tags: list[str]) -> DataFrame:
@@ -81,8 +129,28 @@ def pairwise_runs(df: DataFrame, tag: str, key: list[str], values: list[str], ta
 
 
 def audit_settings(settings: DataFrame, allowed: DataFrame) -> DataFrame:
-    """(run, flag, verdict) of settings (run, flag) against an allow-list (flag)."""
-    return settings.join(F.broadcast(allowed.withColumn("__ok", F.lit(True))), "flag", "left").select("run", "flag", F.when(F.col("__ok"), "ok").otherwise("unknown").alias("verdict"))
+    """(run, flag, verdict) of settings (run, flag) against an allow-list (flag, kind): the kind, or unknown, an error."""
+    return settings.select("run", "flag").join(allowed, "flag", "left").select("run", "flag", F.coalesce("kind", F.lit("unknown")).alias("verdict"))
+
+
+def audit_flavours(settings: DataFrame, allowed: DataFrame, declared: DataFrame, default: str) -> DataFrame:
+    """(run, declared, resolved, verdict): the flavour that a run's settings select, default where they select none,
+    against the one declared (run, flavour). verdict: ok, differs, or both where they select two."""
+    chosen = settings.join(allowed.where("kind = 'flavour'").select("flag"), "flag", "left_semi").groupBy("run").agg(F.array_sort(F.collect_set("flag")).alias("flags"))
+    rows = declared.select("run", F.col("flavour").alias("declared")).join(chosen, "run", "left")
+    n = F.coalesce(F.size("flags"), F.lit(0))
+    resolved = F.when(n < 2, F.coalesce(F.get("flags", F.lit(0)), F.lit(default)))
+    verdict = F.when(n > 1, "both").when(resolved == F.col("declared"), "ok").otherwise("differs")
+    return rows.select("run", "declared", resolved.alias("resolved"), verdict.alias("verdict"))
+
+
+def require_settings(settings: DataFrame, allowed: DataFrame, declared: DataFrame, default: str) -> None:
+    """Raises on unknown flags and on flavours other than declared."""
+    bad = audit_settings(settings, allowed).where("verdict = 'unknown'").select("run", F.concat(F.lit("unknown "), "flag").alias("what"))
+    bad = bad.union(audit_flavours(settings, allowed, declared, default).where("verdict <> 'ok'").select("run", F.concat_ws(" ", "verdict", "declared", "resolved")))
+    rows = bad.distinct().orderBy("run", "what").limit(20).collect()
+    if rows:
+        raise ValueError("settings: " + "; ".join(f"{r['run']}: {r['what']}" for r in rows))
 
 
 def integrity_counts(left: DataFrame, right: DataFrame, plan: DataFrame, by: list[str]) -> DataFrame:
@@ -115,8 +183,17 @@ def split_count_gate(df: DataFrame, alt: str = "alt") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("records"), F.sum(n - 1).alias("extra"), F.sum(n).alias("expected"))
 
 
-def assert_annotated(df: DataFrame) -> DataFrame:
-    """The table, if it has rows."""
-    if df.isEmpty():
+def assert_annotated(records: DataFrame, header: DataFrame, key: str = "CSQ") -> DataFrame:
+    """The records, if the header declares the annotation and there is one."""
+    if header.where(F.col("value").startswith(f"<ID={key},")).isEmpty():
+        raise ValueError(f"the header declares no {key}")
+    if records.isEmpty():
         raise ValueError("no annotated record")
-    return df
+    return records
+
+
+def require_union(integrity: DataFrame) -> None:
+    """Raises unless every part has as many rows as it must."""
+    rows = integrity.where("not ok").limit(20).collect()
+    if rows:
+        raise ValueError("; ".join(f"{r['part']}: {r['n']} rows, not {r['expected']}" for r in rows))

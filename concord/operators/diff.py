@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concord.functions.cells import CATEGORIES, SENTINELS, classify_expr, norm_empty, pct, rate
+from concord.functions.cells import CATEGORIES, SENTINELS, classify_expr, locus, natural_order, norm_empty, pct, rate
 
 from .unpack import RECORD
 
@@ -26,25 +26,51 @@ def coverage_counts(joined: DataFrame, by: tuple[str, ...] = ("run",)) -> DataFr
     return joined.groupBy(*by).agg(count("both").alias("aligned"), count("candidate").alias("only_candidate"), count("truth").alias("only_truth"))
 
 
-def cell_mismatches(joined: DataFrame, fields: list[str], flags: dict[str, list[str]], needs: dict[str, str], sentinels=SENTINELS) -> DataFrame:
-    """A row per disagreeing cell. Arrays are compared in place and only disagreements are exploded."""
-    differs = lambda l, r: norm_empty(l, sentinels) != norm_empty(r, sentinels)  # noqa: E731, E741
+def _cells(fields: list[str], sentinels) -> Column:
+    """The disagreeing cells of a joined row: (field, cv, tv)."""
+    differs = lambda c: norm_empty(c["cv"], sentinels) != norm_empty(c["tv"], sentinels)
     names = F.array(*map(F.lit, fields))
-    cells = F.filter(F.arrays_zip(names.alias("field"), F.col("l").alias("cv"), F.col("r").alias("tv")), lambda c: differs(c["cv"], c["tv"]))
-    rows = joined.where("state = 'both'").select(*KEY, "alt", F.explode(cells).alias("c"))
+    return F.filter(F.arrays_zip(names.alias("field"), F.col("l").alias("cv"), F.col("r").alias("tv")), differs)
+
+
+def _category(flags: dict[str, list[str]], needs: dict[str, str], sentinels) -> Column:
     have = F.array().cast("array<string>")
     for run, on in flags.items():
         have = F.when(F.col("run") == run, F.array(*map(F.lit, on)).cast("array<string>")).otherwise(have)
+    return classify_expr(F.col("field"), have, F.col("candidate_val"), F.col("truth_val"), needs, sentinels=sentinels)
+
+
+def cell_mismatches(joined: DataFrame, fields: list[str], flags: dict[str, list[str]], needs: dict[str, str], sentinels=SENTINELS) -> DataFrame:
+    """A row per disagreeing cell. Arrays are compared in place and only disagreements are exploded."""
+    rows = joined.where("state = 'both'").select(*KEY, "alt", F.explode(_cells(fields, sentinels)).alias("c"))
     rows = rows.select(*KEY, "alt", F.col("c.field").alias("field"), F.col("c.cv").alias("candidate_val"), F.col("c.tv").alias("truth_val"))
-    return rows.withColumn("category", classify_expr(F.col("field"), have, F.col("candidate_val"), F.col("truth_val"), needs, sentinels=sentinels))
+    return rows.withColumn("category", _category(flags, needs, sentinels))
+
+
+def tally(joined: DataFrame, fields: list[str], flags: dict[str, list[str]], needs: dict[str, str], by: tuple[str, ...] = ("run", "contig"), sentinels=SENTINELS) -> DataFrame:
+    """(by, field, category, n): how many cells of each field fall into each category and, where field is null, how many
+    annotations into each state. Everything that reports count comes from this small table, so that the join is
+    evaluated once."""
+    one = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("cv"), F.lit(None).cast("string").alias("tv")))
+    rows = joined.select(*by, "state", F.explode(F.when(F.col("state") == "both", F.concat(one, _cells(fields, sentinels))).otherwise(one)).alias("c"))
+    rows = rows.select(*by, "state", F.col("c.field").alias("field"), F.col("c.cv").alias("candidate_val"), F.col("c.tv").alias("truth_val"))
+    category = F.when(F.col("field").isNull(), F.col("state")).otherwise(_category(flags, needs, sentinels))
+    return rows.groupBy(*by, "field", category.alias("category")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def tallied_coverage(counted: DataFrame, by: tuple[str, ...] = ("run",)) -> DataFrame:
+    """coverage_counts() from a tally."""
+    n = lambda s: F.coalesce(F.sum(F.when(F.col("category") == s, F.col("n"))), F.lit(0))
+    return counted.where("field is null").groupBy(*by).agg(n("both").alias("aligned"), n("candidate").alias("only_candidate"), n("truth").alias("only_truth"))
 
 
-def per_field(mismatches: DataFrame, aligned: DataFrame, fields: list[str], by: tuple[str, ...] = ("run",)) -> DataFrame:
-    """(run, field, total, match, one count for each category). Every aligned annotation counts for every field, so that
-    totals come from the aligned counts and no matching cell is ever made a row."""
-    counted = mismatches.groupBy(*by, "field").agg(F.count(F.lit(1)).alias("bad"), *[F.count_if(F.col("category") == c).alias(c) for c in CATEGORIES])
+def per_field(counted: DataFrame, aligned: DataFrame, fields: list[str], by: tuple[str, ...] = ("run",)) -> DataFrame:
+    """(run, field, total, match, one count for each category) from a tally. Every aligned annotation counts for every
+    field, so that totals come from the aligned counts and no matching cell is ever made a row."""
+    n = lambda c: F.sum(F.when(F.col("category") == c, F.col("n")))
+    found = counted.where("field is not null").groupBy(*by, "field").agg(F.sum("n").alias("bad"), *[n(c).alias(c) for c in CATEGORIES])
     grid = aligned.select(*by, "aligned", F.explode(F.array(*map(F.lit, fields))).alias("field"))
-    rows = grid.join(counted, [*by, "field"], "left").fillna(0, ["bad", *CATEGORIES])
+    rows = grid.join(found, [*by, "field"], "left").fillna(0, ["bad", *CATEGORIES])
     return rows.select(*by, "field", F.col("aligned").alias("total"), (F.col("aligned") - F.col("bad")).alias("match"), *CATEGORIES)
 
 
@@ -59,9 +85,11 @@ def join_rate(counts: DataFrame) -> DataFrame:
 
 
 def samples(mismatches: DataFrame, per: int = 5, cap: int = 15) -> DataFrame:
-    """The first few of each (run, contig, field, category), and of these the first of each (run, field)."""
+    """The first few of each (run, contig, field, category), and of these the first of each (run, field), contigs in
+    natural order; locus names the place."""
     order = ["pos", "ref", "alt", "allele", "feature"]
     few = Window.partitionBy("run", "contig", "field", "category").orderBy(*order)
-    most = Window.partitionBy("run", "field").orderBy("contig", *order, "category")
+    most = Window.partitionBy("run", "field").orderBy(*natural_order(F.col("contig")), *order, "category")
     rows = mismatches.withColumn("n", F.row_number().over(few)).where(F.col("n") <= per)
-    return rows.withColumn("place", F.row_number().over(most)).where(F.col("place") <= cap).drop("n", "alts")
+    rows = rows.withColumn("place", F.row_number().over(most)).where(F.col("place") <= cap)
+    return rows.withColumn("locus", locus(*map(F.col, ("contig", "pos", "ref", "alt", "allele", "feature")))).drop("n", "alts")

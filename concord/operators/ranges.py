@@ -2,47 +2,73 @@
 
 from __future__ import annotations
 
-import bisect
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def cut(positions: list[int], upto: list[int], k: int, sequential: bool = True) -> list[tuple[int, int, int, int]]:
-    """(chunk, start, end, n) from distinct positions and their running counts. A cut never falls between equal
-    positions: it moves on to the next one, and where sequential, later cuts move with it."""
-    n = upto[-1]
-    cuts, at, natural = [0], 0, 0
-    for i in range(k - 1):
-        size = n // k + (i < n % k)
-        natural += size
-        want = at + size if sequential else natural
-        at = upto[bisect.bisect_left(upto, min(want, n))] if want > 0 else 0
-        cuts.append(max(at, cuts[-1]))
-    cuts.append(n)
-    out, start = [], positions[0]
-    for a, b in zip(cuts, cuts[1:]):
-        if b > a:
-            last = bisect.bisect_left(upto, b)
-            end = positions[last] if b == n else (positions[last] + positions[last + 1]) // 2
-            out.append((len(out) + 1, start, end, b - a))
-            start = end + 1
-    return out
-
-
-def balanced_ranges(df: DataFrame, contig: str, pos: str, k: int, mode: str = "sequential") -> DataFrame:
-    """(contig, chunk, start, end, n). Counts are summed by position before a contig's distinct positions meet."""
+from concord.sources.store import SMALL_ROWS, Store, broadcast_if_small
+
+from .order import running
+
+
+def _size(n: int, k: int, i: int) -> int:
+    """Rows that chunk i of k should have."""
+    return n // k + (i < n % k)
+
+
+def find_cuts(counts: DataFrame, totals: dict[str, int], k: int, sequential: bool) -> dict[str, list[int]]:
+    """The k - 1 cuts of each contig as running counts. A cut never falls between equal positions: it moves on to the
+    next position, and where sequential, later cuts move with it.
+
+    Each pass looks up all cuts still open at once, as if none of them had to move; those up to the first that did are
+    settled. counts: (contig, pos, n, upto). The driver sees cuts only, k for each contig."""
+    spark = counts.sparkSession
+    cuts: dict[str, list[int]] = {c: [] for c in totals}
+    while open_ := [c for c in cuts if len(cuts[c]) < k - 1]:
+        wanted = []
+        for c in open_:
+            at, done = (cuts[c][-1] if cuts[c] else 0), len(cuts[c])
+            if not sequential:
+                at = sum(_size(totals[c], k, i) for i in range(done))
+            for i in range(done, k - 1):
+                at += _size(totals[c], k, i)
+                wanted.append((c, i, min(at, totals[c])))
+        asked = broadcast_if_small(spark.createDataFrame(wanted, "contig string, i int, want long"))
+        hits = counts.join(asked, "contig").where("upto >= want and upto - n < want").select("contig", "i", "want", "upto")
+        found = sorted((r["contig"], r["i"], r["want"], r["upto"]) for r in hits.collect())
+        moved: set[str] = set()
+        for c, _, want, upto in found:
+            if c not in moved:
+                cuts[c].append(upto)
+                if sequential and upto > want:
+                    moved.add(c)
+    return cuts
+
+
+def balanced_ranges(df: DataFrame, contig: str, pos: str, k: int, store: Store, mode: str = "sequential") -> DataFrame:
+    """(contig, chunk, start, end, n), chunks counted from 0. Rows are summed by position, the sums are added up over
+    range partitions, and only rows at a cut are looked at after that."""
     if k < 1:
         raise ValueError("at least one chunk")
-    per = df.groupBy(F.col(contig).alias("contig"), F.col(pos).cast("long").alias("pos")).agg(F.count(F.lit(1)).alias("n"))
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        rows = cut(pdf["pos"].tolist(), pdf["n"].cumsum().tolist(), k, mode == "sequential")
-        return pd.DataFrame([(pdf["contig"].iloc[0], *r) for r in rows], columns=["contig", "chunk", "start", "end", "n"])
-
-    return per.groupBy("contig").applyInPandas(fold, "contig string, chunk int, start long, end long, n long")
+    per = df.where(F.col(pos).isNotNull()).groupBy(F.col(contig).alias("contig"), F.col(pos).cast("long").alias("pos")).agg(F.count(F.lit(1)).alias("n"))
+    counts = store.put(running(per, ["contig"], ["pos"], "n", "upto", store))
+    spans = counts.groupBy("contig").agg(F.max("upto").alias("total"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+    totals = {r["contig"]: r["total"] for r in spans.collect()}
+    cuts = find_cuts(counts, totals, k, mode == "sequential")
+    bounds = [(c, b) for c in cuts for b in sorted({x for x in cuts[c] if 0 < x < totals[c]} | {totals[c]})]
+    ends = broadcast_if_small(df.sparkSession.createDataFrame(bounds, "contig string, b long"))
+    last = counts.join(ends, (counts.contig == ends.contig) & (F.col("upto") == F.col("b"))).select(ends.contig, "b", F.col("pos").alias("last"))
+    following = counts.join(ends, (counts.contig == ends.contig) & (F.col("upto") - F.col("n") == F.col("b"))).select(ends.contig, "b", F.col("pos").alias("next"))
+    rows = last.join(following, ["contig", "b"], "left").join(spans.select("contig", "lo"), "contig")
+    rows = rows.withColumn("end", F.when(F.col("next").isNull(), F.col("last")).otherwise(F.expr("(last + next) div 2")))
+    order = Window.partitionBy("contig").orderBy("b")
+    before = lambda c: F.lag(c).over(order)
+    return rows.select(
+        "contig",
+        (F.row_number().over(order) - 1).alias("chunk"),
+        F.coalesce(before("end") + 1, "lo").cast("long").alias("start"),
+        F.col("end").cast("long").alias("end"),
+        (F.col("b") - F.coalesce(before("b"), F.lit(0))).cast("long").alias("n"),
+    )
 
 
 def range_violations(regions: DataFrame, totals: DataFrame) -> DataFrame:
@@ -55,20 +81,35 @@ def range_violations(regions: DataFrame, totals: DataFrame) -> DataFrame:
     return gap.union(back).union(sums.select("contig", F.lit(None).cast("int").alias("chunk"), F.lit("total").alias("violation")))
 
 
-def assign_regions(df: DataFrame, regions: DataFrame) -> DataFrame:
-    """Rows (contig, pos, ...) with the chunk that holds them; null outside all. Regions are few by construction."""
-    r = F.broadcast(regions.select(F.col("contig").alias("__c"), "chunk", "start", "end"))
-    return df.join(r, (F.col("contig") == F.col("__c")) & F.col("pos").between(F.col("start"), F.col("end")), "left").drop("__c", "start", "end")
+def assign_regions(df: DataFrame, regions: DataFrame, small: int = SMALL_ROWS) -> DataFrame:
+    """Rows (contig, pos, ...) with the chunk that holds them; null outside all. Up to so many regions are broadcast; more
+    meet the rows by contig and bin of positions, a region standing in each bin that it touches."""
+    r = regions.select(F.col("contig").alias("__c"), "chunk", F.col("start").alias("__a"), F.col("end").alias("__b"))
+    inside = (F.col("contig") == F.col("__c")) & F.col("pos").between(F.col("__a"), F.col("__b"))
+    if r.limit(small + 1).count() <= small:
+        return df.join(F.broadcast(r), inside, "left").drop("__c", "__a", "__b")
+    width = max(1, int(r.agg(F.avg(F.col("__b") - F.col("__a") + 1)).first()[0]))
+    binned = r.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("__a") / width), F.floor(F.col("__b") / width))))
+    rows = df.withColumn("__at", F.floor(F.col("pos") / width))
+    return rows.join(binned, inside & (F.col("__at") == F.col("__bin")), "left").drop("__c", "__a", "__b", "__at", "__bin")
+
+
+def filter_contig(df: DataFrame, contig: str) -> DataFrame:
+    """Rows of one contig, whichever of both spellings they and the argument have: a filter that scans can push down."""
+    bare = contig.removeprefix("chr")
+    return df.where(F.col("contig").isin(bare, "chr" + bare))
 
 
 def slice_region(df: DataFrame, contig: str, start: int, end: int) -> DataFrame:
     """Records that start in the closed interval."""
-    return df.where((F.col("contig") == contig) & F.col("pos").between(start, end))
+    return filter_contig(df, contig).where(F.col("pos").between(start, end))
 
 
 def expand_ranges(spec: DataFrame) -> DataFrame:
-    """(id, item) of specs such as 1-4,X (id, spec)."""
-    part = spec.select("id", F.explode(F.split("spec", ",")).alias("p")).where("p <> ''")
+    """(id, item) of specs such as 1-4,X (id, spec). A spec without an item is an error."""
+    parts = F.filter(F.split(F.coalesce("spec", F.lit("")), ","), lambda p: p != "")
+    held = F.when(F.size(parts) > 0, parts).otherwise(F.raise_error(F.concat(F.lit("an empty range: "), F.coalesce(F.col("id").cast("string"), F.lit("")))).cast("array<string>"))
+    part = spec.select("id", F.explode(held).alias("p"))
     lo, hi = F.regexp_extract("p", r"^(\d+)-(\d+)$", 1), F.regexp_extract("p", r"^(\d+)-(\d+)$", 2)
     items = F.when(F.col("p").rlike(r"^\d+-\d+$"), F.transform(F.sequence(lo.try_cast("long"), hi.try_cast("long")), lambda x: x.cast("string"))).otherwise(F.array("p"))
     return part.select("id", F.explode(items).alias("item")).distinct()

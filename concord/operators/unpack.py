@@ -37,22 +37,36 @@ def entries(records: DataFrame, n_fields: int, key: tuple[int, int] = (0, 1)) ->
     return rows.select(*records.columns, "entry_no", at(key[0]).alias("allele"), at(key[1]).alias("feature"), values.alias("values"), (F.size("parts") <= max(key)).alias("malformed")).drop("packed")
 
 
-def first_entries(rows: DataFrame) -> DataFrame:
-    """Well-formed entries with surplus: False for the first of its key within the record."""
-    per = Window.partitionBy(*RECORD, "seq", "allele", "feature").orderBy("entry_no")
-    return rows.where("not malformed").withColumn("surplus", F.row_number().over(per) > 1)
+def unpacked(records: DataFrame, n_fields: int, key: tuple[int, int] = (0, 1)) -> DataFrame:
+    """entries() of all records with what keeps an entry out of the join: later_record (not the first record of its key),
+    malformed, surplus (not the first entry of its key within the record). One shuffle by record serves both ranks."""
+    later = F.row_number().over(Window.partitionBy(*RECORD).orderBy("seq")) > 1
+    rows = entries(keyed(records).withColumn("later_record", later), n_fields, key)
+    per = Window.partitionBy(*RECORD, "seq", "malformed", "allele", "feature").orderBy("entry_no")
+    return rows.withColumn("surplus", ~F.col("malformed") & (F.row_number().over(per) > 1))
+
+
+def side_counts(rows: DataFrame, side: str, by: tuple[str, ...] = ("run",)) -> DataFrame:
+    """(by, malformed_<side>, duplicate_<side>) of unpacked(): entries without a usable key or after the first of their key,
+    over all records, and records after the first of theirs."""
+    return rows.groupBy(*by).agg(F.count_if(F.col("malformed") | F.col("surplus")).alias(f"malformed_{side}"), F.count_if(F.col("later_record") & (F.col("entry_no") == 0)).alias(f"duplicate_{side}"))
 
 
 def malformed_counts(rows: DataFrame) -> DataFrame:
-    """(run, malformed): entries too short, and those after the first of their key, over all records of a side."""
-    short = rows.where("malformed").select("run")
-    twice = first_entries(rows).where("surplus").select("run")
-    return short.union(twice).groupBy("run").agg(F.count(F.lit(1)).alias("malformed"))
+    """(run, malformed) of unpacked(), for runs that have any."""
+    return side_counts(rows, "side").where("malformed_side > 0").select("run", F.col("malformed_side").alias("malformed"))
+
 
+def annotations(rows: DataFrame) -> DataFrame:
+    """What is joined: well-formed first entries of first records."""
+    return rows.where("not later_record and not malformed and not surplus").drop("later_record", "malformed", "surplus", "entry_no", "seq")
 
-def annotations(records: DataFrame, n_fields: int) -> DataFrame:
-    """Annotations to join: first records, well-formed first entries."""
-    return first_entries(entries(first_records(keyed(records))[0], n_fields)).where("not surplus").drop("surplus", "malformed", "entry_no", "seq")
+
+def named_value(fields: list[str], name: str, column: str = "values") -> Column:
+    """One packed field by its name in the header; a name that the header lacks is an error."""
+    if name not in fields:
+        raise ValueError(f"no field {name} in {fields}")
+    return F.coalesce(F.get(column, F.lit(fields.index(name))), F.lit(""))
 
 
 def split_multi(df: DataFrame, alt: str = "alt") -> DataFrame:
@@ -61,5 +75,12 @@ def split_multi(df: DataFrame, alt: str = "alt") -> DataFrame:
 
 
 def field_asymmetry(candidate: list[str], truth: list[str]) -> tuple[list[str], list[str], list[str]]:
-    """(shared fields in the candidate's order, candidate-only sorted, truth-only sorted): schema work on the driver."""
+    """(shared fields in the candidate's order, candidate-only sorted, truth-only sorted) of two headers' field lists."""
     return [f for f in candidate if f in truth], sorted(set(candidate) - set(truth)), sorted(set(truth) - set(candidate))
+
+
+def compare_fields(candidate: DataFrame, truth: DataFrame) -> DataFrame:
+    """(part, field): the same for fields given as rows (field, repeats allowed)."""
+    a, b = (df.select("field").distinct().withColumn(name, F.lit(True)) for df, name in ((candidate, "a"), (truth, "b")))
+    part = F.when(F.col("b").isNull(), "candidate_only").when(F.col("a").isNull(), "truth_only").otherwise("shared")
+    return a.join(b, "field", "full_outer").select(part.alias("part"), "field")

@@ -12,7 +12,11 @@ N_FIELDS = 8
 RUNS = ["clean", "m", "m_am"]
 #: The flag that Tax needs, and the flags of each run.
 NEEDS = {"Tax": "tax"}
-FLAGS = {run: [] for run in RUNS}
+FLAGS = {"clean": [], "m": [], "m_am": ["tax"]}
+#: The cache of each run, and the packed field that one side has beyond FIELDS.
+CACHES = {"clean": "base", "m": "merged", "m_am": "merged"}
+CANDIDATE_ONLY = {"clean": [], "m": ["Extra"], "m_am": []}
+TRUTH_ONLY = {"clean": [], "m": [], "m_am": ["Score"]}
 
 _ORDER = "l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_shipdate"
 
@@ -24,15 +28,15 @@ def arm_sql(gather: str) -> str:
     join = lambda what, order: gather.format(what=what, order=order)
     return f"""
 e0 as (select case l_suppkey % 3 when 0 then 'clean' when 1 then 'm' else 'm_am' end as run, l_orderkey as pos, concat('chr', cast(l_orderkey % 22 + 1 as string)) as contig,
-  o_orderstatus as ref, l_returnflag as allele, concat('P', cast(l_partkey as string)) as feature, l_partkey as k, {text('l_quantity')} as q, {text('l_quantity + 1')} as q1, {text('l_extendedprice')} as price, {text('l_extendedprice + 0.01')} as price1,
+  o_orderstatus as ref, l_returnflag as allele, case when l_partkey % 97 = 0 then '' else concat(case l_partkey % 4 when 0 then 'ENST' when 1 then 'NM_' when 2 then 'P' else 'XR_' end, cast(l_partkey as string)) end as feature, l_partkey as k, {text('l_quantity')} as q, {text('l_quantity + 1')} as q1, {text('l_extendedprice')} as price, {text('l_extendedprice + 0.01')} as price1,
   {text('l_discount')} as disc, {text('l_tax')} as tax, concat(l_returnflag, '&', l_linestatus) as tags, concat(l_linestatus, '&', l_returnflag) as gats,
   row_number() over (partition by l_suppkey % 3, l_orderkey order by {_ORDER}) as n from lineitem join orders on l_orderkey = o_orderkey),
 e1 as (select * from (select *, row_number() over (partition by run, pos, allele, feature order by n) as rep from e0) x where run <> 'clean' or rep = 1),
 a0 as (select distinct run, pos, allele from e1),
 a1 as (select run, pos, {join('allele', 'allele')} as alt, {join('allele', 'allele desc')} as tla from a0 group by run, pos),
-ec as (select run, contig, pos, ref, {join("concat(allele, '|', feature, '|', q, '|', price, '|', case when k % 79 = 0 then '' else disc end, '|', tax, '|', tags, '|')", 'n')} as packed from e1
+ec as (select run, contig, pos, ref, {join("concat(allele, '|', feature, '|', q, '|', price, '|', case when k % 79 = 0 then '' else disc end, '|', tax, '|', tags, '|', case when run = 'm' then '|e' else '' end)", 'n')} as packed from e1
   where run = 'clean' or k % 101 = 0 or k % 103 <> 0 group by run, contig, pos, ref),
-et as (select run, contig, pos, ref, {join("case when run <> 'clean' and k % 61 = 0 then allele else concat(allele, '|', feature, '|', case when k % 71 = 0 then q1 else q end, '|', case when k % 89 = 0 then price1 else price end, '|', case when k % 83 = 0 then '' else disc end, '||', case when k % 73 = 0 then gats else tags end, '|', case when k % 67 = 0 then '-' else '' end) end", 'n')} as packed from e1
+et as (select run, contig, pos, ref, {join("case when run <> 'clean' and k % 61 = 0 then allele else concat(allele, '|', feature, '|', case when k % 71 = 0 then q1 else q end, '|', case when k % 89 = 0 then price1 else price end, '|', case when k % 83 = 0 then '' else disc end, '||', case when k % 73 = 0 then gats else tags end, '|', case when k % 67 = 0 then '-' else '' end, case when run = 'm_am' then '|s' else '' end) end", 'n')} as packed from e1
   where run = 'clean' or k % 101 <> 0 group by run, contig, pos, ref),
 rec_c0 as (select ec.run, contig, ec.pos, ref, alt, packed, 2 * ec.pos as seq from ec join a1 on ec.run = a1.run and ec.pos = a1.pos),
 rec_c as (select * from rec_c0 union all select run, contig, pos, ref, alt, packed, seq + 1 as seq from rec_c0 where run <> 'clean' and pos % 97 = 0),

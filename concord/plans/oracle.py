@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from .arms import FIELDS, arm_sql
 
-_CATS = ("truth_only", "candidate_only", "value_diff", "order_diff", "numeric_tol", "flag_expected")
+#: From the most severe on: a gap of the candidate, other values, what the candidate alone fills, then what is cosmetic.
+_CATS = ("truth_only", "value_diff", "candidate_only", "order_diff", "numeric_tol", "flag_expected")
 _NUM = r"'^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$'"
 _CLOSE = "(abs({a} - {b}) <= 1e-3 * greatest(abs({a}), abs({b})))"
 _SETS = "(len(string_split({a}, '{s}')) > 1 and list_sort(string_split({a}, '{s}')) = list_sort(string_split({b}, '{s}')) and {a} <> {b})"
@@ -29,7 +30,7 @@ j as (select coalesce(c.run, t.run) as run, coalesce(c.contig, t.contig) as cont
   from ann_c c full join ann_t t on c.run = t.run and c.contig = t.contig and c.pos = t.pos and c.ref = t.ref and c.alts = t.alts and c.allele = t.allele and c.feature = t.feature),
 x0 as (select j.*, f.i, f.field, l[f.i] as candidate_val, r[f.i] as truth_val, case when l[f.i] in ('', '-', '.') then '' else l[f.i] end as a, case when r[f.i] in ('', '-', '.') then '' else r[f.i] end as b
   from j, (values {', '.join(f"({i + 1}, '{f}')" for i, f in enumerate(FIELDS))}) f(i, field) where state = 'both'),
-x as (select run, contig, pos, ref, alt, allele, feature, field, candidate_val, truth_val, case when field = 'Tax' and a <> '' and b = '' then 'flag_expected' when a = '' then 'truth_only' when b = '' then 'candidate_only'
+x as (select run, contig, pos, ref, alt, allele, feature, field, candidate_val, truth_val, case when field = 'Tax' and run <> 'm_am' and a <> '' and b = '' then 'flag_expected' when a = '' then 'truth_only' when b = '' then 'candidate_only'
   when regexp_matches(a, {_NUM}) and regexp_matches(b, {_NUM}) then case when {_CLOSE.format(a='try_cast(a as double)', b='try_cast(b as double)')} then 'numeric_tol' else 'value_diff' end
   when {_SETS.format(a='a', b='b', s='&')} or {_SETS.format(a='a', b='b', s=',')} then 'order_diff' else 'value_diff' end as category from x0 where a <> b),
 cov as (select run, count(*) filter (state = 'both') as aligned, count(*) filter (state = 'candidate') as only_candidate, count(*) filter (state = 'truth') as only_truth from j group by run),
@@ -43,28 +44,43 @@ d_{side} as (select run, ctg as contig, count(*) as duplicate_{name} from n_{sid
 
 
 _COUNTS = ("aligned", "only_candidate", "only_truth", "malformed_candidate", "malformed_truth", "duplicate_candidate", "duplicate_truth")
+_BY_CATEGORY = "array_to_string(list_sort(list_filter([" + ", ".join(f"case when {c} > 0 then '{c}=' || {c} end" for c in _CATS) + "], lambda x: x is not null)), ',')"
 SHARDS = f"""{STUDY},{_bad('c', 'candidate')},{_bad('t', 'truth')},
 covc as (select run, contig, count(*) filter (state = 'both') as aligned, count(*) filter (state = 'candidate') as only_candidate, count(*) filter (state = 'truth') as only_truth from j group by run, contig),
 sh as (select covc.*, coalesce(malformed_candidate, 0) as malformed_candidate, coalesce(malformed_truth, 0) as malformed_truth, coalesce(duplicate_candidate, 0) as duplicate_candidate, coalesce(duplicate_truth, 0) as duplicate_truth
   from covc left join m_c using (run, contig) left join m_t using (run, contig) left join d_c using (run, contig) left join d_t using (run, contig)),
-mg as (select run, {', '.join(f'cast(sum({c}) as bigint) as {c}' for c in _COUNTS)}, string_agg(contig, ',' order by contig) as contigs from sh group by run),
+mg as (select run, {', '.join(f'cast(sum({c}) as bigint) as {c}' for c in _COUNTS)}, string_agg(contig, ',' order by contig) as contigs, string_agg(run || '/' || contig, ',' order by run || '/' || contig) as mismatches, case when run = 'clean' then 'base' else 'merged' end as cache from sh group by run),
 mr as (select *, round_even(aligned / nullif(aligned + only_candidate + only_truth, 0), 4) as join_rate from mg),
 cv as (select *, only_candidate + only_truth as not_compared, list_filter([case when join_rate < 0.99 then 'join_rate' end, case when only_truth > 0 then 'only_truth' end, case when only_candidate > 0 then 'only_candidate' end, case when malformed_candidate > 0 then 'malformed_candidate' end,
-  case when duplicate_candidate > 0 then 'duplicate_candidate' end, case when malformed_truth > 0 then 'malformed_truth' end, case when duplicate_truth > 0 then 'duplicate_truth' end], lambda w: w is not null) as w from mr)"""
+  case when duplicate_candidate > 0 then 'duplicate_candidate' end, case when malformed_truth > 0 then 'malformed_truth' end, case when duplicate_truth > 0 then 'duplicate_truth' end, case when run = 'm_am' then 'truth_only_fields' end, case when run = 'm' then 'candidate_only_fields' end], lambda w: w is not null) as w from mr)"""
 
 _PCT = "round_even(100.0 * {a} / nullif({b}, 0), 3)"
 _DRIFT = f"""dr as (select run, field, {' + '.join(_CATS)} as mismatches, {' + '.join(_CATS)} - flag_expected as real, {_PCT.format(a='cast(match as double)', b='total')} as pct,
-  list_max([{', '.join(f'{{n: {c}, s: -{i}}}' for i, c in enumerate(_CATS))}]).s as s, {' + '.join(_CATS)} = flag_expected as all_expected from fld where {' + '.join(_CATS)} > 0)"""
+  list_max([{', '.join(f'{{n: {c}, s: -{i}}}' for i, c in enumerate(_CATS))}]).s as s, {_BY_CATEGORY} as by_category, {' + '.join(_CATS)} = flag_expected as all_expected from fld where {' + '.join(_CATS)} > 0)"""
 _DAYS = "days as (select o_orderstatus as contig, cast(year(o_orderdate) * 400 + dayofyear(o_orderdate) as bigint) as pos from orders)"
-_CUTS = f"""{_DAYS},
+_SAMPLES = """few as (select *, row_number() over (partition by run, contig, field, category order by pos, ref, alt, allele, feature) as n from x),
+smp as (select *, contig || ':' || pos || ' ' || ref || '>' || alt || ' ' || allele || '|' || feature as locus, row_number() over (partition by run, field order by cast(contig as int), pos, ref, alt, allele, feature, category) as place from few where n <= 5)"""
+_KIND = "case when feature = '' then 'NONE' when starts_with(feature, 'ENS') then 'ENSEMBL' when feature[:3] in ('XM_', 'NM_', 'XR_', 'NR_', 'NP_') then 'REFSEQ' else 'OTHER' end"
+_RANGES = """lim as (select contig, n, at_ as b, lag(at_) over (partition by contig order by i) as a from ct),
+rg0 as (select contig, b - a as n, (select min(pos) from pc where pc.contig = lim.contig and upto > a) as lo, (select max(pos) from pc where pc.contig = lim.contig and upto <= b) as hi, (select min(pos) from pc where pc.contig = lim.contig and upto > b) as nxt, b from lim where b > a),
+rg1 as (select *, case when nxt is null then hi else (hi + nxt) // 2 end as e from rg0),
+rg as (select contig, cast(row_number() over (partition by contig order by b) - 1 as int) as chunk, cast(coalesce(lag(e) over (partition by contig order by b) + 1, lo) as bigint) as start, cast(e as bigint) as "end", cast(n as bigint) as n from rg1)"""
+_COUNTED = f"""{_DAYS},
 pc as (select contig, pos, count(*) as n, sum(count(*)) over (partition by contig order by pos) as upto from days group by contig, pos),
-tot as (select contig, cast(sum(n) as bigint) as n from pc group by contig),
+tot as (select contig, cast(sum(n) as bigint) as n from pc group by contig)"""
+_CUTS = f"""{_COUNTED},
 ct as (select contig, n, 0 as i, cast(0 as bigint) as at_ from tot union all
   select ct.contig, ct.n, i + 1, cast((select min(upto) from pc where pc.contig = ct.contig and pc.upto >= least(ct.n, at_ + ct.n // 9 + case when i < ct.n % 9 then 1 else 0 end)) as bigint) from ct where i < 9),
-lim as (select contig, n, at_ as b, lag(at_) over (partition by contig order by i) as a from ct),
-rg0 as (select contig, b - a as n, (select min(pos) from pc where pc.contig = lim.contig and upto > a) as lo, (select max(pos) from pc where pc.contig = lim.contig and upto <= b) as hi, (select min(pos) from pc where pc.contig = lim.contig and upto > b) as nxt, b from lim where b > a),
-rg1 as (select *, case when nxt is null then hi else (hi + nxt) // 2 end as e from rg0),
-rg as (select contig, cast(row_number() over (partition by contig order by b) as int) as chunk, cast(coalesce(lag(e) over (partition by contig order by b) + 1, lo) as bigint) as start, cast(e as bigint) as "end", cast(n as bigint) as n from rg1)"""
+{_RANGES}"""
+_FREE_CUTS = f"""{_COUNTED},
+ct as (select contig, n, i, cast(case when i = 0 then 0 else (select min(upto) from pc where pc.contig = tot.contig and pc.upto >= i * (tot.n // 9) + least(i, tot.n % 9)) end as bigint) as at_ from tot cross join (select unnest(range(10)) as i) k),
+{_RANGES}"""
+_OVERVIEW = """o as (select run, round_even(100.0 * cast(sum(match) as double) / sum(total), 3) as overall_pct, round_even(100.0 * cast(sum(match + flag_expected) as double) / sum(total), 3) as true_pct from fld group by run)"""
+_RISK = "case when len(w) > 0 then case when not_compared > 0 then 'not_compared ' || not_compared || '/' || (aligned + not_compared) else w[1] end || case when len(w) > 1 then ' +' || (len(w) - 1) || ' more' else '' end end"
+
+
+_SETTINGS = """with e as (select distinct event_type as flag, cast(user_id % 30 as varchar) as run from events where (event_type <> 'purchase' or user_id % 30 % 3 = 0) and (event_type <> 'signup' or user_id % 30 % 4 = 0)),
+k as (select * from (values ('click', 'semantic'), ('view', 'ignored'), ('purchase', 'flavour'), ('signup', 'flavour')) t(flag, kind))"""
 
 
 def sql() -> dict[str, str]:
@@ -78,6 +94,10 @@ def sql() -> dict[str, str]:
       s as (select key, case when n is null then 'missing' when actual is null then 'annotated' else 'done' end as state, coalesce(actual > est * 1.25, false) as overran from p)"""
     return {
         "scan_packed": arms("select run, replace(contig, 'chr', '') as contig, pos, ref, alt, packed, seq from rec_c"),
+        "scan_text": arms("select run, replace(contig, 'chr', '') as contig, pos, ref, alt, packed from rec_c"),
+        "contig_ranks": arms("select run, replace(contig, 'chr', '') as contig, cast(row_number() over (partition by run order by contig) - 1 as int) as rank from (select distinct run, contig from rec_c) q"),
+        "mismatch_text": study("select contig, pos, ref, alt, allele, feature, field, candidate_val, truth_val, category from x"),
+        "summary_text": shards("select mr.run, aligned, only_candidate, only_truth, malformed_candidate, malformed_truth, duplicate_candidate, duplicate_truth, contigs, join_rate, f.total, f.match from mr join (select run, cast(sum(total) as bigint) as total, cast(sum(match) as bigint) as match from fld group by run) f on f.run = mr.run"),
         "unpack_annotations": study("select run, contig, pos, seq, cast(entry_no as bigint) as entry_no, allele, feature, array_to_string(vals, '|') as vals, malformed from v_t"),
         "malformed_counts": study("select run, count(*) as malformed from (select run from v_t where malformed union all select run from f_t where first > 1) q group by run"),
         "duplicate_records": study("select run, count(*) as surplus from n_t where rec > 1 group by run"),
@@ -94,46 +114,88 @@ def sql() -> dict[str, str]:
         "order_only_diff": f"with r as (select concat(l_returnflag, '&', l_linestatus) as a, concat(l_linestatus, '&', case when l_partkey % 3 = 0 then 'X' else l_returnflag end) as b from lineitem) select a, b, count(*) filter ({_SETS.format(a='a', b='b', s='&')}) as order_only from r group by a, b",
         "per_field_concordance": study(f"select {every_field}, {_PCT.format(a='cast(match as double)', b='total')} as pct from fld"),
         "overall_concordance": study("select run, cast(sum(total) as bigint) as total, cast(sum(match) as bigint) as match, round_even(100.0 * cast(sum(match) as double) / sum(total), 3) as overall_pct from fld group by run"),
-        "mismatch_samples": study("select run, contig, pos, ref, alt, allele, feature, field, candidate_val, truth_val, category, cast(place as int) as place from (select *, row_number() over (partition by run, field order by contig, pos, ref, alt, allele, feature, category) as place from (select *, row_number() over (partition by run, contig, field, category order by pos, ref, alt, allele, feature) as n from x) q where n <= 5) z where place <= 15"),
-        "merge_shards": shards("select * from mr"),
-        "shard_set_violations": shards("""select run, contig, 'missing' as violation from sh where run = 'clean' and contig = '5' union all select run, contig, 'failed' from sh where run = 'm' and contig = '3' union all
-          select run, contig, 'duplicate' from sh where run = 'm_am' and contig = '7' union all select run, contig, 'unexpected' from sh where run = 'm' and contig = '9'"""),
-        "run_status": shards("select run, count(*) as shards, count(*) filter (run = 'm' or (run = 'm_am' and contig = '3')) as failed, case run when 'clean' then 'ok' when 'm' then 'stub' else 'mixed' end as run_status from sh group by run"),
+        "mismatch_samples": f"{STUDY}, {_SAMPLES} select run, contig, pos, ref, alt, allele, feature, field, candidate_val, truth_val, category, locus, cast(place as int) as place from smp where place <= 15",
+        "merge_shards": shards("""select run, aligned, only_candidate, only_truth, malformed_candidate, malformed_truth, duplicate_candidate, duplicate_truth, cache, 6 as shared_fields, case when run = 'm' then 'Extra' else '' end as candidate_only_fields,
+          case when run = 'm_am' then 'Score' else '' end as truth_only_fields, 'ok' as status, contigs, mismatches, join_rate from mr"""),
+        "merge_fields": study(f"select {every_field}, {_PCT.format(a='cast(match as double)', b='total')} as pct from fld"),
+        "shard_set_violations": f"""{SHARDS},
+          s1 as (select run, contig, case when run = 'm' and contig = '3' then 'failed' else 'ok' end as status, case when run = 'm' and contig = '4' then 'other' when run = 'clean' then 'base' else 'merged' end as cache, case when run = 'm_am' and contig = '8' then 5 else 6 end as shared_fields from sh where not (run = 'clean' and contig = '5')),
+          s2 as (select * from s1 union all select * from s1 where run = 'm_am' and contig = '7'),
+          want as (select run, contig from sh where not (run = 'm' and contig = '9')),
+          fs as (select run, contig, list_sort(list(field)) as l from (select sh.run, sh.contig, f.field from sh cross join (select unnest({FIELDS!r}) as field) f) q where not (run = 'clean' and contig = '2' and field = 'Note') group by run, contig)
+          select run, contig, 'duplicate' as violation from s2 group by run, contig having count(*) > 1 union all select run, contig, 'failed' from s2 where status <> 'ok'
+          union all select run, contig, 'missing' from (select * from want except select run, contig from s2) a union all select run, contig, 'unexpected' from (select run, contig from s2 except select * from want) b
+          union all select run, null, 'cache' from s2 group by run having count(distinct cache) > 1 union all select run, null, 'shared_fields' from s2 group by run having count(distinct shared_fields) > 1
+          union all select run, null, 'field_set' from fs group by run having count(distinct l) > 1""",
+        "required_runs": arms("select run, 'missing_run' as violation from (select unnest(['clean', 'm_am']) as run) d where run not in (select run from rec_c where run <> 'clean') union all select distinct run, 'unknown_run' from rec_c where run <> 'clean' and run not in ('clean', 'm_am')"),
+        "run_status": f"""{SHARDS}, st as (select run, case when run = 'm' or (run = 'm_am' and contig = '3') then 'no_gt' else 'ok' end as status from sh)
+          select run, count(*) as shards, count(*) filter (status <> 'ok') as failed, case when count(*) filter (status <> 'ok') = 0 then 'ok' when count(*) filter (status = 'ok') = 0 then 'stub' else 'mixed' end as run_status from st group by run""",
         "true_concordance": study("select run, cast(sum(total) as bigint) as total, cast(sum(match + flag_expected) as bigint) as agreed, round_even(100.0 * cast(sum(match + flag_expected) as double) / sum(total), 3) as true_pct from fld where total > 0 group by run"),
         "coverage_verdict": shards("select run, join_rate, not_compared, array_to_string(w, ',') as warnings, cast(len(w) as bigint) as n_warnings, len(w) = 0 as trustworthy from cv"),
-        "headline_risk": shards("select run, case when len(w) > 0 then case when not_compared > 0 then 'not_compared ' || not_compared || '/' || (aligned + not_compared) else w[1] end || case when len(w) > 1 then ' +' || (len(w) - 1) || ' more' else '' end end as risk from cv"),
+        "headline_risk": shards(f"select run, case when run = 'm_am' then 'status no_gt' else {_RISK} end as risk from cv"),
         "category_rollup": study(" union all ".join(f"select {i + 1} as place, '{c}' as category, cast(coalesce(sum({c}), 0) as bigint) as cells from fld" for i, c in enumerate(_CATS))),
-        "drift_rows": f"{STUDY}, {_DRIFT} select run, field, mismatches, real, pct, {list(_CATS)!r}[1 - s] as dominant, all_expected from dr",
-        "worst_fields": f"{STUDY}, {_DRIFT} select run, field, real, cast(place as int) as place from (select *, row_number() over (partition by run order by real desc, mismatches desc, field) as place from dr) q where place <= 2",
-        "triage_rollup": study("select field, category, 'OTHER' as kind, count(*) as cells from x group by field, category"),
+        "drift_rows": f"{STUDY}, {_DRIFT} select run, field, mismatches, real, pct, {list(_CATS)!r}[1 - s] as dominant, by_category, all_expected from dr",
+        "worst_fields": f"""{STUDY}, {_DRIFT}, {_SAMPLES}, ex as (select run, field, string_agg(locus || ' ' || category, ';' order by place) as e from smp where place <= 3 group by run, field)
+          select q.run, q.field, real, cast(place as int) as place, dominant, case when place <= 2 then e end as examples from (select *, {list(_CATS)!r}[1 - s] as dominant, row_number() over (partition by run order by real desc, mismatches desc, field) as place from dr) q join ex on ex.run = q.run and ex.field = q.field where place <= 4""",
+        "triage_counts": study(f"select field, category, {_KIND} as kind, count(*) as cells from x group by 1, 2, 3"),
+        "triage_rollup": f"""{STUDY}, c1 as (select field, string_agg(category || '=' || n, ',' order by category) as by_category from (select field, category, count(*) as n from x group by 1, 2) q group by field),
+          k1 as (select field, string_agg(kind || '=' || n, ',' order by kind) as by_kind, cast(sum(n) as bigint) as total from (select field, {_KIND} as kind, count(*) as n from x group by 1, 2) q group by field),
+          s1 as (select field, string_agg(concat_ws(':', run, contig, pos, allele, feature, category), ';' order by n) as samples from (select *, row_number() over (partition by field order by cast(contig as int), run, pos, ref, alt, allele, feature, category, candidate_val, truth_val) as n from x) q where n <= 5 group by field)
+          select c1.field, total, by_category, by_kind, samples from c1 join k1 using (field) join s1 using (field)""",
         "prefix_kind_rollup": "select case p_partkey % 5 when 0 then 'NONE' when 1 then 'ENSEMBL' when 2 then 'REFSEQ' when 3 then 'REFSEQ' else 'OTHER' end as kind, count(*) as n from part group by 1",
         "slice_distinct_ids": study("select distinct feature from x where field = 'Price' and category = 'numeric_tol' order by feature limit 20"),
-        "fields_moved": study(f"select run, field, total - match as moved, total, {_PCT.format(a='cast(total - match as double)', b='total')} as moved_pct from fld where total > match"),
+        "fields_moved": study(f"select run, field, total - match as moved, total, {_PCT.format(a='cast(match as double)', b='total')} as identical_pct, {_BY_CATEGORY} as by_category from fld where total > match"),
+        "moved_totals": study("select field, cast(sum(total - match) as bigint) as cells from fld group by field having sum(total - match) > 0"),
+        "structure_violations": shards("select run, 'one_sided' as violation from mr where only_candidate > 0 or only_truth > 0 or join_rate is distinct from 1.0"),
+        "moved_summary": f"""{SHARDS}, fit as (select * from mr where only_candidate = 0 and only_truth = 0 and join_rate = 1.0)
+          select (select count(*) from fit) as runs, (select cast(coalesce(sum(aligned * 6), 0) as bigint) from fit) as cells, (select cast(coalesce(sum(total - match), 0) as bigint) from fld where run in (select run from fit)) as moved,
+          round_even(100.0 * (select cast(sum(total - match) as double) from fld where run in (select run from fit)) / (select sum(aligned * 6) from fit), 6) as moved_pct""",
         "moved_matrix": study(matrix("total - match")),
         "concordance_matrix": study(matrix(_PCT.format(a="cast(match as double)", b="total"))),
-        "run_overview": shards("""select o.run, overall_pct, true_pct, join_rate, aligned, len(w) = 0 as trustworthy from (select run, round_even(100.0 * cast(sum(match) as double) / sum(total), 3) as overall_pct, round_even(100.0 * cast(sum(match + flag_expected) as double) / sum(total), 3) as true_pct from fld group by run) o join cv on o.run = cv.run"""),
+        "run_overview": f"""{SHARDS}, {_OVERVIEW} select list_position(['clean', 'm', 'm_am'], cv.run) as place, cv.run, cache, overall_pct, true_pct, join_rate, aligned, 'ok' as status, len(w) = 0 as trustworthy, {_RISK} as risk from o join cv on o.run = cv.run""",
         "contig_counts": arms("select replace(contig, 'chr', '') as contig, count(*) as n from rec_c group by 1"),
         "contig_filter": arms("select run, '7' as contig, pos, ref, alt from rec_c where contig = 'chr7'"),
         "region_slice": arms("select run, contig, pos from rec_c where contig = 'chr7' and pos between 1000 and 20000"),
         "natural_order": arms("select contig, row_number() over (order by case when regexp_matches(contig, '^[0-9]+$') then 0 else 1 end, try_cast(contig as bigint), contig) as place from (select distinct replace(contig, 'chr', '') as contig from rec_c union all select 'X' union all select 'MT') q"),
-        "field_asymmetry": "with a as (select column_name as c from (describe select * from orders) union all select 'shared'), b as (select column_name as c from (describe select * from customer) union all select 'shared') select case when a.c is null then 'truth_only' when b.c is null then 'candidate_only' else 'shared' end as part, coalesce(a.c, b.c) as field from a full join b on a.c = b.c",
+        "field_asymmetry": "with p as (select *, p_brand || '_' || (p_partkey % 40) as field from part), a as (select distinct field as c from p where p_size < 30), b as (select distinct field as c from p where p_size > 20) select case when a.c is null then 'truth_only' when b.c is null then 'candidate_only' else 'shared' end as part, coalesce(a.c, b.c) as field from a full join b on a.c = b.c",
         "keyset_compare": arms(", a as (select distinct contig, pos, ref, alt from rec_c), b as (select distinct contig, pos, ref, alt from rec_t), f as (select a.pos as x, b.pos as y from a full join b on a.contig = b.contig and a.pos = b.pos and a.ref = b.ref and a.alt = b.alt) select count(x) as n_left, count(y) as n_right, count(*) filter (x is not null and y is not null) as n_both, count(*) filter (y is null) as only_left, count(*) filter (x is null) as only_right, count(*) = count(x) and count(*) = count(y) as identical from f"),
         "keyset_only_left": arms("select contig, pos, ref, alt from rec_c except select contig, pos, ref, alt from rec_t"),
+        "keyset_examples": arms("select * from (select contig, pos, ref, alt from rec_t except select contig, pos, ref, alt from rec_c) q order by contig, pos, ref, alt limit 10"),
         "unranked_contigs": arms("select distinct replace(contig, 'chr', '') as contig from rec_c except select cast(n_nationkey as varchar) from nation where cast(n_nationkey as varchar) < '3'"),
-        "order_violations": "with e as (select 'events' as source, event_type as contig, epoch_us(ts) as pos, (case when event_id % 50 = 0 then event_id + 75 else event_id end) * 1000000 + event_id as seq from events), w as (select *, lag(pos) over (partition by contig order by seq) as previous from e) select source, contig, seq, pos, previous from w where previous > pos",
-        "positional_residual": "select o_orderstatus as contig, count(*) as lines, count(*) filter (o_orderkey % 7 = 0 or o_orderkey % 50 = 0) as raw, count(*) filter (o_orderkey % 50 = 0) as residual from orders group by 1",
+        "order_violations": """with e as (select event_type as source, strftime(ts, '%Y-%m-%d') as contig, epoch_us(ts) as pos, (case when event_id % 50 = 0 then event_id + 75 else event_id end) * 1000000 + event_id as seq from events),
+          r as (select contig, row_number() over (order by contig) as rank from (select distinct contig from e where contig not like '%-07') d),
+          w as (select source, e.contig, pos, seq, rank, lag(e.contig) over o as pc, lag(pos) over o as pp, lag(rank) over o as pr from e left join r on r.contig = e.contig window o as (partition by source order by seq)),
+          k as (select *, case when rank is null then 'unranked' when rank < pr then 'contig' when contig = pc and pos < pp then 'position' end as kind from w)
+          select source, kind, contig, pos, pc as previous_contig, pp as previous_pos, seq from k where kind is not null""",
+        "positional_residual": """with l as (select o_orderstatus as contig, row_number() over (partition by o_orderstatus order by o_orderkey) as rn, o_orderkey || case when o_orderkey % 7 = 0 then ';v=1' else '' end || case when o_orderkey % 50 = 0 then ';a' else '' end as a,
+            o_orderkey || case when o_orderkey % 50 = 0 then ';b' else '' end as b from orders),
+          d as (select contig, rn, a <> b as d, regexp_replace(a, ';v=[0-9]+', '', 'g') <> regexp_replace(b, ';v=[0-9]+', '', 'g') as r from l),
+          f as (select contig, string_agg(rn, ',' order by rn) as first from (select contig, rn, row_number() over (partition by contig order by rn) as n from d where r) q where n <= 3 group by contig)
+          select d.contig, count(*) as lines, count(*) filter (d) as raw, count(*) filter (r) as residual, f.first from d left join f on f.contig = d.contig group by d.contig, f.first""",
         "id_membership": "select distinct p_partkey * 3 as id, p_partkey * 3 in (select l_partkey from lineitem) as present from part",
         "plan_vs_observed": f"{plan} select * from s",
         "plan_vs_observed_summary": f"{plan} select state, count(*) as n, count(*) filter (overran) as overran from s group by state",
-        "manifest_reconcile": "select c_name as name, case when c_custkey % 11 = 0 then 'extra' when c_custkey % 7 = 0 then 'missing' else 'differs' end as status from customer where (c_custkey % 11 = 0 and c_custkey % 7 <> 0) or (c_custkey % 7 = 0 and c_custkey % 11 <> 0) or (c_custkey % 13 = 0 and c_custkey % 7 <> 0 and c_custkey % 11 <> 0)",
+        "manifest_reconcile": """with a as (select c_name as name, case when c_custkey % 17 = 0 then 'none' else md5(c_name) end as a from customer where c_custkey % 11 <> 0),
+          b as (select c_name as name, case when c_custkey % 19 = 0 then 'none' else md5(c_name || case when c_custkey % 13 = 0 then 'x' else '' end) end as b from customer where c_custkey % 7 <> 0),
+          s as (select coalesce(a.name, b.name) as name, case when a is null then 'extra' when not regexp_matches(a, '^[0-9a-f]{32}$') then 'malformed' when b is null then 'missing' when a <> b then 'differs' end as status from a full join b on a.name = b.name)
+          select name, status from s where status is not null""",
         "pairwise_runs": "select 'r1' as a, 'r2' as b, count(*) filter (o_orderkey % 10 = 0 and o_orderkey <> 0) as differing from orders union all select 'r1', 'r3', count(*) filter (o_orderkey % 15 = 0 and o_orderkey <> 0) from orders union all select 'r2', 'r3', count(*) filter ((o_orderkey % 10 = 0) <> (o_orderkey % 15 = 0)) from orders",
-        "config_audit": "select distinct cast(user_id % 3 as varchar) as run, event_type as flag, case when event_type in ('click', 'view') then 'ok' else 'unknown' end as verdict from events",
+        "config_audit": f"{_SETTINGS} select e.run, e.flag, coalesce(kind, 'unknown') as verdict from e left join k on k.flag = e.flag",
+        "config_flavours": f"""{_SETTINGS}, d as (select distinct cast(user_id % 30 as varchar) as run, case when user_id % 30 % 3 = 0 then 'purchase' when user_id % 30 % 5 = 0 then 'signup' else 'plain' end as declared from events),
+          c as (select run, list_sort(list(e.flag)) as f from e join k on k.flag = e.flag where kind = 'flavour' group by run),
+          r as (select d.run, declared, case when coalesce(len(f), 0) < 2 then coalesce(f[1], 'plain') end as resolved from d left join c on c.run = d.run) select run, declared, resolved, case when resolved is null then 'both' when resolved = declared then 'ok' else 'differs' end as verdict from r""",
         "integrity_counts": arms("select run, contig, count(*) filter (s = 'c') as n_left, count(*) filter (s = 't') as n_right from (select run, contig, 'c' as s from rec_c union all select run, contig, 't' from rec_t) q group by run, contig"),
         "pending_shards": arms("select run, contig from rec_c except select run, contig from rec_c where pos % 5 = 0 and run <> 'm'"),
-        "union_integrity": arms("select 'candidate' as part, count(*) as n, count(*) as expected, true as ok from rec_c union all select 'truth', count(*), count(*) + 1, false from rec_t"),
-        "attribute_agreement": "with h as (select l_suppkey % 4 as file, 'k' || (l_partkey % 9) as key, case when l_partkey % 9 < 3 then l_returnflag else 'v' end as value from lineitem) select key, count(distinct file) as files, count(distinct value) as vals, case when count(distinct value) > 1 then 'differs' when count(distinct file) < 4 then 'partial' else 'same' end as verdict from h where not (key = 'k5' and file = 2) group by key",
+        "union_integrity": arms(", n as (select 'candidate' as part, (select count(*) from rec_c) as n, (select count(*) from rec_c) as expected union all select 'truth', (select count(*) from rec_t), (select count(*) + 1 from rec_t)) select part, n, expected, n = expected as ok from n"),
+        "attribute_agreement": """with h as (select l_suppkey % 4 as file, 'k' || (l_partkey % 9) as key, case when l_partkey % 9 < 3 then l_returnflag else 'v' end as value from lineitem),
+          g as (select * from h where not (key = 'k5' and file = 2)),
+          v as (select key, string_agg(value || ':' || f, ';' order by value) as by_value from (select key, value, string_agg(file, ',' order by file) as f from (select distinct key, value, file from g) z group by key, value) y group by key)
+          select g.key, count(distinct file) as files, count(distinct value) as vals, case when count(distinct value) > 1 then 'differs' when count(distinct file) < 4 then 'partial' else 'same' end as verdict, by_value from g join v on v.key = g.key group by g.key, by_value""",
         "balanced_ranges": f"with recursive {_CUTS} select * from rg",
-        "range_gaps": f"with recursive {_CUTS} select contig, chunk, 'gap' as violation from rg where chunk % 4 = 0",
+        "independent_ranges": f"with {_FREE_CUTS} select * from rg",
+        "range_gaps": f"""with recursive {_CUTS}, bad as (select contig, chunk, start + case when chunk % 4 = 0 then 1 else 0 end as start, "end", n + case when contig = 'P' and chunk = 2 then 1 else 0 end as n from rg),
+          lg as (select *, lag("end") over (partition by contig order by chunk) as before from bad), sums as (select contig, sum(n) as n from bad group by contig)
+          select contig, chunk, 'gap' as violation from lg where start <> before + 1 union all select contig, chunk, 'reversed' from lg where start > "end" union all select tot.contig, null, 'total' from tot join sums on sums.contig = tot.contig where tot.n <> sums.n""",
         "assign_regions": f"with recursive {_CUTS} select contig, chunk, n from rg",
         "expand_ranges": "with r as (select n_nationkey as id, unnest(list_concat(list_transform(range(n_nationkey + 1, n_nationkey + 5), lambda x: cast(x as varchar)), ['X', cast(n_nationkey as varchar)])) as item from nation) select distinct id, item from r",
         "compress_ranges": "with i as (select distinct l_suppkey % 10 as id, case when l_linenumber = 7 then 'X' else cast(l_partkey % 100 as varchar) end as item from lineitem), n as (select id, try_cast(item as bigint) as n from i where item <> 'X'), g as (select id, n, n - row_number() over (partition by id order by n) as island from n), r as (select id, min(n) as a, case when min(n) = max(n) then cast(min(n) as varchar) else min(n) || '-' || max(n) end as s from g group by id, island), u as (select id, 0 as k, a, s from r union all select id, 1, 0, item from i where item = 'X') select id, string_agg(s, ',' order by k, a) as spec from u group by id",

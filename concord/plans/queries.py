@@ -2,47 +2,108 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concord.functions import cells as C
 from concord.operators import audit, diff, ranges, summary, unpack
+from concord.sources import records
+from concord.sources.store import Store
 
-from .arms import FIELDS, FLAGS, N_FIELDS, NEEDS, arms
+from .arms import CACHES, CANDIDATE_ONLY, FIELDS, FLAGS, N_FIELDS, NEEDS, RUNS, TRUTH_ONLY, arms
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-class _Study:
-    """The pieces of one reconciliation, made on demand."""
+def _constant(by_run: dict, kind: str):
+    """A column that depends on the run only."""
+    out = F.lit(None).cast(kind)
+    for run, value in by_run.items():
+        out = F.when(F.col("run") == run, (F.array(*map(F.lit, value)) if isinstance(value, list) else F.lit(value)).cast(kind)).otherwise(out)
+    return out
 
-    def __init__(self, spark: SparkSession, sf: str):
-        self.c, self.t = arms(spark, sf)
-        self.joined = diff.align(unpack.annotations(self.c, N_FIELDS), unpack.annotations(self.t, N_FIELDS))
 
-    def mismatches(self) -> DataFrame:
-        return diff.cell_mismatches(self.joined, FIELDS, FLAGS, NEEDS)
+class _Study:
+    """The pieces of one reconciliation, made on demand. Queries that count both sides store the arms and take everything
+    from one tally of the join."""
+
+    def __init__(self, spark: SparkSession, sf: str, stored: bool = False):
+        self.store = Store(spark, "study")
+        sides = arms(spark, sf)
+        self.c, self.t = (self.store.put(x) for x in sides) if stored else sides
+        self.sides = [unpack.unpacked(x, N_FIELDS) for x in (self.c, self.t)]
+        self.joined = diff.align(*map(unpack.annotations, self.sides))
+        self._tally = None
+
+    def mismatches(self, stored: bool = False) -> DataFrame:
+        out = diff.cell_mismatches(self.joined, FIELDS, FLAGS, NEEDS)
+        return self.store.put(out) if stored else out
+
+    def tally(self) -> DataFrame:
+        if self._tally is None:
+            self._tally = self.store.put(diff.tally(self.joined, FIELDS, FLAGS, NEEDS))
+        return self._tally
 
     def field(self, by=("run",)) -> DataFrame:
-        return diff.per_field(self.mismatches(), diff.coverage_counts(self.joined, by), FIELDS, by)
-
-    def side(self, records: DataFrame, name: str, by=("run",)) -> DataFrame:
-        keyed = unpack.keyed(records)
-        rows = unpack.entries(keyed, N_FIELDS)
-        short = rows.where("malformed").select(*by).union(unpack.first_entries(rows).where("surplus").select(*by))
-        bad = short.groupBy(*by).agg(F.count(F.lit(1)).alias(f"malformed_{name}"))
-        twice = unpack.first_records(keyed)[1].groupBy(*by).agg(F.count(F.lit(1)).alias(f"duplicate_{name}"))
-        return bad.join(twice, list(by), "full_outer")
+        return diff.per_field(self.tally(), diff.tallied_coverage(self.tally(), by), FIELDS, by)
 
-    def shards(self, by=("run", "contig")) -> DataFrame:
-        by = list(by)
-        out = diff.coverage_counts(self.joined, tuple(by)).join(self.side(self.c, "candidate", by), by, "left").join(self.side(self.t, "truth", by), by, "left")
-        return out.fillna(0).withColumn("status", F.lit("ok"))
+    def shards(self) -> DataFrame:
+        by = ["run", "contig"]
+        out = diff.tallied_coverage(self.tally(), tuple(by))
+        for rows, side in zip(self.sides, ("candidate", "truth")):
+            out = out.join(unpack.side_counts(rows, side, tuple(by)), by, "left")
+        same = {"cache": _constant(CACHES, "string"), "shared_fields": F.lit(len(FIELDS)), "candidate_only_fields": _constant(CANDIDATE_ONLY, "array<string>"), "truth_only_fields": _constant(TRUTH_ONLY, "array<string>")}
+        return out.fillna(0).withColumns({"status": F.lit("ok"), "mismatches": F.concat_ws("/", *by), **same})
 
     def merged(self) -> DataFrame:
-        return summary.merge_shards(self.shards()).withColumn("status", F.lit("ok"))
+        return summary.merge_shards(self.shards())
+
+
+def _counted(spark, sf) -> _Study:
+    return _Study(spark, sf, stored=True)
+
+
+def scan_text(spark, sf):
+    """The candidate arm written as lines of text, a folder for each run, and scanned."""
+    path = Store(spark, "text").path()
+    line = F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("."), F.concat(F.lit("N=1;CSQ="), "packed"))
+    arms(spark, sf)[0].select("run", line.alias("value")).write.partitionBy("run").text(path)
+    rows = records.require_positions(records.scan_records(records.read_lines(spark, path)))
+    rows = rows.where("not skipped").withColumn("run", F.regexp_extract("file", "run=([^/]+)", 1))
+    return rows.select("run", C.norm_contig(F.col("contig")).alias("contig"), "pos", "ref", "alt", "packed")
+
+
+def contig_ranks(spark, sf):
+    """Ranks by the headers of files, one file for each run, written from the contigs that occur."""
+    path = Store(spark, "headers").path()
+    c = arms(spark, sf)[0].select("run", "contig").distinct()
+    c.repartition("run").sortWithinPartitions("run", "contig").select("run", F.concat(F.lit("##contig=<ID="), "contig", F.lit(">")).alias("value")).write.partitionBy("run").text(path)
+    ranks = records.contig_ranks(records.header_catalogue(records.read_lines(spark, path)))
+    return ranks.select(F.regexp_extract("file", "run=([^/]+)", 1).alias("run"), "contig", "rank")
+
+
+def mismatch_text(spark, sf):
+    """The mismatches written as a delimited text and read again."""
+    path = Store(spark, "mismatches").path()
+    records.write_mismatches(_Study(spark, sf).mismatches().select("contig", "pos", "ref", "alt", "allele", "feature", "field", "candidate_val", "truth_val", "category"), path, text=True)
+    return records.read_mismatches(spark, path).withColumn("pos", F.col("pos").cast("long"))
+
+
+def summary_text(spark, sf):
+    """The shards written as JSON summaries, read again and merged."""
+    s = _counted(spark, sf)
+    path = Store(spark, "summaries").path()
+    records.write_summaries(s.shards(), s.field(("run", "contig")), diff.samples(s.mismatches()).limit(0), path)
+    shards, fields, _ = records.read_summaries(spark, path)
+    runs, by_field = summary.merge_checked(shards, fields, s.shards().select("run", "contig"), _runs(spark))
+    totals = by_field.groupBy("run").agg(F.sum("total").alias("total"), F.sum("match").alias("match"))
+    return runs.join(totals, "run").select("run", *summary.SUMS, "contigs", "join_rate", "total", "match")
+
+
+def _runs(spark):
+    return spark.sql("select explode(array(" + ", ".join(f"'{r}'" for r in RUNS) + ")) as run")
 
 
 def scan_packed(spark, sf):
@@ -50,12 +111,12 @@ def scan_packed(spark, sf):
 
 
 def unpack_annotations(spark, sf):
-    rows = unpack.entries(unpack.keyed(arms(spark, sf)[1]), N_FIELDS)
+    rows = unpack.unpacked(arms(spark, sf)[1], N_FIELDS)
     return rows.select("run", "contig", "pos", "seq", F.col("entry_no").cast("long").alias("entry_no"), "allele", "feature", F.array_join("values", "|").alias("vals"), "malformed")
 
 
 def malformed_counts(spark, sf):
-    return unpack.malformed_counts(unpack.entries(unpack.keyed(arms(spark, sf)[1]), N_FIELDS))
+    return unpack.malformed_counts(unpack.unpacked(arms(spark, sf)[1], N_FIELDS))
 
 
 def duplicate_records(spark, sf):
@@ -114,7 +175,7 @@ def order_only_diff(spark, sf):
 
 
 def per_field_concordance(spark, sf):
-    return _Study(spark, sf).field().select("*", C.pct(F.col("match"), F.col("total")).alias("pct"))
+    return _counted(spark, sf).field().select("*", C.pct(F.col("match"), F.col("total")).alias("pct"))
 
 
 def overall_concordance(spark, sf):
@@ -126,19 +187,37 @@ def mismatch_samples(spark, sf):
 
 
 def merge_shards(spark, sf):
-    return summary.merge_shards(_Study(spark, sf).shards())
+    out = summary.merge_shards(_counted(spark, sf).shards())
+    return out.select("run", *summary.SUMS, "cache", "shared_fields", _joined("candidate_only_fields"), _joined("truth_only_fields"), "status", "contigs", F.array_join("mismatches", ",").alias("mismatches"), "join_rate")
+
+
+def _joined(column):
+    return F.array_join(column, ",").alias(column)
+
+
+def merge_fields(spark, sf):
+    return summary.merge_fields(_Study(spark, sf).field(("run", "contig")))
 
 
 def shard_set_violations(spark, sf):
-    shards = _Study(spark, sf).shards()
-    marked = shards.withColumn("status", F.when((F.col("run") == "m") & (F.col("contig") == "3"), "failed").otherwise("ok")).where("not (run = 'clean' and contig = '5')")
-    marked = marked.union(marked.where("run = 'm_am' and contig = '7'"))
-    expected = shards.select("run", "contig").where("not (run = 'm' and contig = '9')")
-    return summary.shard_violations(marked, expected)
+    """Shards and fields with a fault of every kind put in."""
+    s = _counted(spark, sf)
+    shards = s.store.put(s.shards())
+    at = lambda run, contig: (F.col("run") == run) & (F.col("contig") == contig)
+    marked = shards.withColumn("status", F.when(at("m", "3"), "failed").otherwise("ok")).where(~at("clean", "5"))
+    marked = marked.withColumn("cache", F.when(at("m", "4"), "other").otherwise(F.col("cache"))).withColumn("shared_fields", F.when(at("m_am", "8"), 5).otherwise(F.col("shared_fields")))
+    marked = marked.unionByName(marked.where(at("m_am", "7")))
+    fields = s.field(("run", "contig")).where(~(at("clean", "2") & (F.col("field") == "Note")))
+    return summary.shard_violations(marked, shards.select("run", "contig").where(~at("m", "9")), fields)
+
+
+def required_runs(spark, sf):
+    shards = arms(spark, sf)[0].where("run <> 'clean'").select("run", "contig")
+    return summary.required_runs(shards, _runs(spark).where("run <> 'm'"))
 
 
 def run_status(spark, sf):
-    shards = _Study(spark, sf).shards()
+    shards = _counted(spark, sf).shards()
     return summary.run_status(shards.withColumn("status", F.when((F.col("run") == "m") | ((F.col("run") == "m_am") & (F.col("contig") == "3")), "no_gt").otherwise("ok")))
 
 
@@ -147,11 +226,12 @@ def true_concordance(spark, sf):
 
 
 def coverage_verdict(spark, sf):
-    return summary.coverage(_Study(spark, sf).merged()).select("run", "join_rate", "not_compared", "warnings", "n_warnings", "trustworthy")
+    return summary.coverage(_counted(spark, sf).merged()).select("run", "join_rate", "not_compared", "warnings", "n_warnings", "trustworthy")
 
 
 def headline_risk(spark, sf):
-    return summary.headline_risk(summary.coverage(_Study(spark, sf).merged()))
+    runs = _counted(spark, sf).merged()
+    return summary.headline_risk(summary.coverage(runs.withColumn("status", F.when(F.col("run") == "m_am", "no_gt").otherwise(F.col("status")))))
 
 
 def category_rollup(spark, sf):
@@ -159,15 +239,24 @@ def category_rollup(spark, sf):
 
 
 def drift_rows(spark, sf):
-    return summary.drift_rows(_Study(spark, sf).field())
+    return summary.drift_rows(_Study(spark, sf).field()).withColumn("by_category", C.map_text(F.col("by_category")))
 
 
 def worst_fields(spark, sf):
-    return summary.worst_fields(summary.drift_rows(_Study(spark, sf).field()), 2).select("run", "field", "real", "place")
+    s = _Study(spark, sf)
+    out = summary.worst_fields(summary.drift_rows(s.field()), diff.samples(s.mismatches()), 4, 2, 3)
+    shown = F.array_join(F.transform("examples", lambda e: F.concat(e["locus"], F.lit(" "), e["category"])), ";")
+    return out.select("run", "field", "real", "place", "dominant", shown.alias("examples"))
+
+
+def triage_counts(spark, sf):
+    return summary.triage_counts(_Study(spark, sf).mismatches())
 
 
 def triage_rollup(spark, sf):
-    return summary.triage_rollup(_Study(spark, sf).mismatches())
+    out = summary.triage_rollup(_Study(spark, sf).mismatches(stored=True))
+    rows = F.transform("samples", lambda x: F.concat_ws(":", x["run"], x["contig"], x["pos"].cast("string"), x["allele"], x["feature"], x["category"]))
+    return out.select("field", "total", C.map_text(F.col("by_category")).alias("by_category"), C.map_text(F.col("by_kind")).alias("by_kind"), F.array_join(rows, ";").alias("samples"))
 
 
 def prefix_kind_rollup(spark, sf):
@@ -182,7 +271,23 @@ def slice_distinct_ids(spark, sf):
 
 
 def fields_moved(spark, sf):
-    return summary.fields_moved(_Study(spark, sf).field())
+    return summary.fields_moved(_Study(spark, sf).field()).withColumn("by_category", C.map_text(F.col("by_category")))
+
+
+def moved_totals(spark, sf):
+    return summary.moved_totals(_Study(spark, sf).field())
+
+
+def structure_violations(spark, sf):
+    return summary.structure_violations(_counted(spark, sf).merged())
+
+
+def moved_summary(spark, sf):
+    """Over the runs that can be summed."""
+    s = _counted(spark, sf)
+    runs = s.merged()
+    fit = runs.join(summary.structure_violations(runs), "run", "left_anti")
+    return summary.moved_summary(s.store.put(fit), s.field())
 
 
 def moved_matrix(spark, sf):
@@ -194,19 +299,17 @@ def concordance_matrix(spark, sf):
 
 
 def run_overview(spark, sf):
-    s = _Study(spark, sf)
-    field = s.field()
-    out = diff.overall(field).join(summary.true_concordance(field).select("run", "true_pct"), "run").join(summary.coverage(s.merged()).select("run", "join_rate", "aligned", "trustworthy"), "run")
-    return out.select("run", "overall_pct", "true_pct", "join_rate", "aligned", "trustworthy")
+    s = _counted(spark, sf)
+    return summary.overview(s.store.put(s.merged()), s.store.put(s.field()), RUNS)
 
 
 def contig_counts(spark, sf):
-    return unpack.keyed(arms(spark, sf)[0]).groupBy("contig").agg(F.count(F.lit(1)).alias("n"))
+    """Written by contig, counted from what was written."""
+    return records.write_by_contig(unpack.keyed(arms(spark, sf)[0]), Store(spark, "contigs").path())
 
 
 def contig_filter(spark, sf):
-    wanted = C.norm_contig(F.lit("chr7"))
-    return arms(spark, sf)[0].withColumn("contig", C.norm_contig(F.col("contig"))).where(F.col("contig") == wanted).select("run", "contig", "pos", "ref", "alt")
+    return ranges.filter_contig(arms(spark, sf)[0], "7").select("run", C.norm_contig(F.col("contig")).alias("contig"), "pos", "ref", "alt")
 
 
 def region_slice(spark, sf):
@@ -214,18 +317,14 @@ def region_slice(spark, sf):
 
 
 def natural_order(spark, sf):
-    rows = contig_counts(spark, sf).union(spark.sql("select 'X' as contig, 0L as n union all select 'MT', 0L"))
-    from pyspark.sql import Window
-
+    rows = arms(spark, sf)[0].select(C.norm_contig(F.col("contig")).alias("contig")).distinct().union(spark.sql("select explode(array('X', 'MT')) as contig"))
     return rows.select("contig", F.row_number().over(Window.orderBy(*C.natural_order(F.col("contig")))).cast("long").alias("place"))
 
 
 def field_asymmetry(spark, sf):
-    a = _table(spark, sf, "orders").columns + ["shared"]
-    b = ["shared"] + _table(spark, sf, "customer").columns
-    rows = [(x, y) for x, part in zip(("shared", "candidate_only", "truth_only"), unpack.field_asymmetry(a, b)) for y in part]
-    one = _table(spark, sf, "region").select("r_regionkey").where("r_regionkey = 0")
-    return one.select(F.explode(F.array(*[F.struct(F.lit(x).alias("part"), F.lit(y).alias("field")) for x, y in rows])).alias("p")).select("p.*")
+    """Two headers whose fields are the kinds of parts of two ranges of sizes."""
+    part = _table(spark, sf, "part").withColumn("field", F.concat("p_brand", F.lit("_"), (F.col("p_partkey") % 40).cast("string")))
+    return unpack.compare_fields(part.where("p_size < 30"), part.where("p_size > 20"))
 
 
 def keyset_compare(spark, sf):
@@ -238,20 +337,28 @@ def keyset_only_left(spark, sf):
     return audit.compare_keys(c, t, ["contig", "pos", "ref", "alt"])[1]
 
 
+def keyset_examples(spark, sf):
+    c, t = arms(spark, sf)
+    return audit.examples(audit.compare_keys(c, t, ["contig", "pos", "ref", "alt"])[2], 10)
+
+
 def unranked_contigs(spark, sf):
     ranks = _table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("contig")).where("contig < '3'")
     return audit.unranked_contigs(arms(spark, sf)[0], ranks)
 
 
 def order_violations(spark, sf):
-    e = _table(spark, sf, "events").select(F.lit("events").alias("source"), F.col("event_type").alias("contig"), F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)").alias("pos"), F.when(F.col("event_id") % 50 == 0, F.col("event_id") + 75).otherwise(F.col("event_id")).alias("seq"), "event_id")
-    return audit.order_violations(e.withColumn("seq", F.col("seq") * 1000000 + F.col("event_id")), "source", "contig", "pos", "seq")
+    """Events by type as files, months as contigs; one row of fifty stands 75 ids too late."""
+    e = _table(spark, sf, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("contig"), F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)").alias("pos"), (F.when(F.col("event_id") % 50 == 0, F.col("event_id") + 75).otherwise(F.col("event_id")) * 1000000 + F.col("event_id")).alias("seq"))
+    days = e.select("contig").distinct().where("contig not like '%-07'").withColumn("rank", F.row_number().over(Window.orderBy("contig")))
+    return audit.order_violations(e, "event_type", "contig", "pos", "seq", days, Store(spark, "order"))
 
 
 def positional_residual(spark, sf):
     o = _table(spark, sf, "orders")
     body = lambda mark, price: o.select(F.col("o_orderstatus").alias("contig"), F.col("o_orderkey").alias("seq"), F.concat(F.col("o_orderkey").cast("string"), mark, F.when(F.col("o_orderkey") % 50 == 0, price).otherwise("")).alias("line"))
-    return audit.positional_residual(body(F.when(F.col("o_orderkey") % 7 == 0, ";v=1").otherwise(""), F.lit(";a")), body(F.lit(""), F.lit(";b")), ";v=[0-9]+")
+    out = audit.positional_residual(body(F.when(F.col("o_orderkey") % 7 == 0, ";v=1").otherwise(""), F.lit(";a")), body(F.lit(""), F.lit(";b")), ";v=[0-9]+", Store(spark, "lines"))
+    return out.withColumn("first", F.array_join(F.col("first").cast("array<string>"), ","))
 
 
 def id_membership(spark, sf):
@@ -271,8 +378,9 @@ def plan_vs_observed_summary(spark, sf):
 
 def manifest_reconcile(spark, sf):
     c = _table(spark, sf, "customer")
-    listing = lambda salt, cond: c.where(cond).select(F.md5(F.concat("c_name", salt)).alias("digest"), F.col("c_name").alias("name"))
-    return audit.reconcile_manifest(listing(F.lit(""), F.col("c_custkey") % 11 != 0), listing(F.when(F.col("c_custkey") % 13 == 0, "x").otherwise(""), F.col("c_custkey") % 7 != 0))
+    digest = lambda salt, m: F.when(F.col("c_custkey") % m == 0, F.lit("none")).otherwise(F.md5(F.concat("c_name", salt)))
+    listing = lambda salt, m, cond: c.where(cond).select(digest(salt, m).alias("digest"), F.col("c_name").alias("name"))
+    return audit.reconcile_manifest(listing(F.lit(""), 17, F.col("c_custkey") % 11 != 0), listing(F.when(F.col("c_custkey") % 13 == 0, "x").otherwise(""), 19, F.col("c_custkey") % 7 != 0))
 
 
 def pairwise_runs(spark, sf):
@@ -281,9 +389,22 @@ def pairwise_runs(spark, sf):
     return audit.pairwise_runs(part("r1", 10**9).union(part("r2", 10)).union(part("r3", 15)), "tag", ["o_orderkey"], ["v"], ["r1", "r2", "r3"])
 
 
+def _settings(spark, sf):
+    """Settings of runs: the types of their events."""
+    e = _table(spark, sf, "events").select(F.col("event_type").alias("flag"), (F.col("user_id") % 30).cast("string").alias("run"))
+    e = e.where("(flag <> 'purchase' or run % 3 = 0) and (flag <> 'signup' or run % 4 = 0)").distinct()
+    kinds = spark.sql("select * from values ('click', 'semantic'), ('view', 'ignored'), ('purchase', 'flavour'), ('signup', 'flavour') as kinds(flag, kind)")
+    return e, kinds
+
+
 def config_audit(spark, sf):
-    e = _table(spark, sf, "events").select(F.col("event_type").alias("flag"), (F.col("user_id") % 3).cast("string").alias("run")).distinct()
-    return audit.audit_settings(e, spark.sql("select explode(array('click', 'view')) as flag"))
+    return audit.audit_settings(*_settings(spark, sf))
+
+
+def config_flavours(spark, sf):
+    settings, kinds = _settings(spark, sf)
+    declared = _table(spark, sf, "events").select((F.col("user_id") % 30).cast("string").alias("run")).distinct().withColumn("flavour", F.when(F.col("run") % 3 == 0, "purchase").when(F.col("run") % 5 == 0, "signup").otherwise("plain"))
+    return audit.audit_flavours(settings, kinds, declared, "plain")
 
 
 def integrity_counts(spark, sf):
@@ -306,7 +427,9 @@ def union_integrity(spark, sf):
 def attribute_agreement(spark, sf):
     li = _table(spark, sf, "lineitem")
     headers = li.select((F.col("l_suppkey") % 4).alias("file"), F.concat(F.lit("k"), (F.col("l_partkey") % 9).cast("string")).alias("key"), F.when(F.col("l_partkey") % 9 < 3, F.col("l_returnflag")).otherwise("v").alias("value")).where("not (key = 'k5' and file = 2)")
-    return summary.attribute_agreement(headers, 4)
+    out = summary.attribute_agreement(headers, 4)
+    by = F.transform(F.array_sort(F.map_entries("by_value")), lambda e: F.concat(e["key"], F.lit(":"), F.array_join(e["value"].cast("array<string>"), ",")))
+    return out.withColumn("by_value", F.array_join(by, ";"))
 
 
 def _days(spark, sf):
@@ -314,18 +437,22 @@ def _days(spark, sf):
 
 
 def balanced_ranges(spark, sf):
-    return ranges.balanced_ranges(_days(spark, sf), "contig", "pos", 9)
+    return ranges.balanced_ranges(_days(spark, sf), "contig", "pos", 9, Store(spark, "ranges"))
+
+
+def independent_ranges(spark, sf):
+    return ranges.balanced_ranges(_days(spark, sf), "contig", "pos", 9, Store(spark, "ranges"), mode="independent")
 
 
 def range_gaps(spark, sf):
     days = _days(spark, sf)
-    regions = ranges.balanced_ranges(days, "contig", "pos", 9).withColumn("start", F.when(F.col("chunk") % 4 == 0, F.col("start") + 1).otherwise(F.col("start")))
+    regions = balanced_ranges(spark, sf).withColumn("start", F.when(F.col("chunk") % 4 == 0, F.col("start") + 1).otherwise(F.col("start")))
+    regions = regions.withColumn("n", F.when((F.col("contig") == "P") & (F.col("chunk") == 2), F.col("n") + 1).otherwise(F.col("n")))
     return ranges.range_violations(regions, days.groupBy("contig").agg(F.count(F.lit(1)).alias("total")))
 
 
 def assign_regions(spark, sf):
-    days = _days(spark, sf)
-    got = ranges.assign_regions(days, ranges.balanced_ranges(days, "contig", "pos", 9))
+    got = ranges.assign_regions(_days(spark, sf), balanced_ranges(spark, sf))
     return got.groupBy("contig", "chunk").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -343,11 +470,12 @@ def queries() -> dict:
     return {
         f.__name__: f
         for f in (
-            scan_packed, unpack_annotations, malformed_counts, duplicate_records, alt_order_join, split_multiallelic, split_count_gate, annotation_full_outer, coverage_counts, join_rate,
-            cell_mismatches, drift_classify, sentinel_match, numeric_tolerance, order_only_diff, per_field_concordance, overall_concordance, mismatch_samples, merge_shards, shard_set_violations,
-            run_status, true_concordance, coverage_verdict, headline_risk, category_rollup, drift_rows, worst_fields, triage_rollup, prefix_kind_rollup, slice_distinct_ids, fields_moved,
-            moved_matrix, concordance_matrix, run_overview, contig_counts, contig_filter, region_slice, natural_order, field_asymmetry, keyset_compare, keyset_only_left, unranked_contigs,
-            order_violations, positional_residual, id_membership, plan_vs_observed, plan_vs_observed_summary, manifest_reconcile, pairwise_runs, config_audit, integrity_counts, pending_shards,
-            union_integrity, attribute_agreement, balanced_ranges, range_gaps, assign_regions, expand_ranges, compress_ranges,
+            scan_packed, scan_text, contig_ranks, unpack_annotations, malformed_counts, duplicate_records, alt_order_join, split_multiallelic, split_count_gate, annotation_full_outer, coverage_counts, join_rate,
+            cell_mismatches, mismatch_text, drift_classify, sentinel_match, numeric_tolerance, order_only_diff, per_field_concordance, overall_concordance, mismatch_samples, merge_shards, merge_fields, summary_text,
+            shard_set_violations, required_runs, run_status, true_concordance, coverage_verdict, headline_risk, category_rollup, drift_rows, worst_fields, triage_counts, triage_rollup, prefix_kind_rollup,
+            slice_distinct_ids, fields_moved, moved_totals, structure_violations, moved_summary, moved_matrix, concordance_matrix, run_overview, contig_counts, contig_filter, region_slice, natural_order,
+            field_asymmetry, keyset_compare, keyset_only_left, keyset_examples, unranked_contigs, order_violations, positional_residual, id_membership, plan_vs_observed, plan_vs_observed_summary,
+            manifest_reconcile, pairwise_runs, config_audit, config_flavours, integrity_counts, pending_shards, union_integrity, attribute_agreement, balanced_ranges, independent_ranges, range_gaps,
+            assign_regions, expand_ranges, compress_ranges,
         )
     }

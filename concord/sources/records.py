@@ -2,28 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from concord.functions.cells import CATEGORIES, natural_order, norm_contig, pct, rate
 from concord.operators.unpack import extract
 
-SUMMARY = "name string, cache string, status string, chrom string, aligned bigint, only_candidate bigint, only_truth bigint, malformed_candidate bigint, malformed_truth bigint, duplicate_candidate bigint, duplicate_truth bigint"
+from .store import replace
+
+_COUNTERS = ("aligned", "only_candidate", "only_truth", "malformed_candidate", "malformed_truth", "duplicate_candidate", "duplicate_truth")
+#: Keys of a shard's summary and their types: identity, status, counters, what all shards share, what is collected, and
+#: what follows from these.
+SUMMARY = {
+    **dict.fromkeys(("name", "cache", "status", "contig"), "string"),
+    **dict.fromkeys(_COUNTERS, "bigint"),
+    "shared_fields": "int",
+    "candidate_only_fields": "array<string>",
+    "truth_only_fields": "array<string>",
+    "mismatches": "string",
+    "overall_pct": "double",
+    "join_rate": "double",
+    "per_field": "map<string,struct<total:bigint,match:bigint,pct:double,by_category:map<string,bigint>>>",
+    "samples": "map<string,array<array<string>>>",
+}
+#: What stands for a run without a truth side.
+STUB = ("name", "cache", "status")
+
+
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, seq, value): lines of text or gzip files; seq gives the order within a file. A gzip file is one split, so
+    lines of gzip files are dealt out anew once they have their place."""
+    lines = spark.read.text(path)
+    seq = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    out = lines.select(F.col("_metadata.file_path").alias("file"), seq.alias("seq"), "value")
+    return out.repartition(spark.sparkContext.defaultParallelism) if any(f.endswith(".gz") for f in lines.inputFiles()) else out
+
+
+def _columns(lines: DataFrame) -> DataFrame:
+    return lines.where(~F.col("value").startswith("#")).withColumn("__c", F.split("value", "\t"))
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, seq, value): lines of text or gzip files in file order."""
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("seq"), "value")
+def _at(i: int):
+    return F.get("__c", F.lit(i))
 
 
 def scan_records(lines: DataFrame, key: str = "CSQ") -> DataFrame:
     """(file, seq, contig, pos, ref, alt, packed, skipped): records of eight columns and more; skipped tells those
     without the key or with too few columns, which carry no annotation."""
-    cols = F.split("value", "\t")
-    get = lambda i: F.get(cols, F.lit(i))
-    rows = lines.where(~F.col("value").startswith("#")).select("file", "seq", get(0).alias("contig"), get(1).try_cast("long").alias("pos"), get(3).alias("ref"), get(4).alias("alt"), extract(F.coalesce(get(7), F.lit("")), key).alias("packed"), (F.size(cols) < 8).alias("short"))
+    rows = _columns(lines).select("file", "seq", _at(0).alias("contig"), _at(1).try_cast("long").alias("pos"), _at(3).alias("ref"), _at(4).alias("alt"), extract(F.coalesce(_at(7), F.lit("")), key).alias("packed"), (F.size("__c") < 8).alias("short"))
     return rows.withColumn("skipped", F.col("short") | (F.col("packed") == "")).drop("short")
 
 
+def scan_positions(lines: DataFrame) -> DataFrame:
+    """(contig, pos) of each record, from its first two columns."""
+    return _columns(lines).select(norm_contig(_at(0)).alias("contig"), _at(1).try_cast("long").alias("pos"))
+
+
+def scan_keys(lines: DataFrame) -> DataFrame:
+    """Distinct (contig, pos, ref, alt), alternatives as they stand."""
+    return _columns(lines).select(norm_contig(_at(0)).alias("contig"), _at(1).try_cast("long").alias("pos"), _at(3).alias("ref"), _at(4).alias("alt")).distinct()
+
+
 def require_positions(records: DataFrame) -> DataFrame:
     if not records.where("pos is null and not skipped").isEmpty():
         raise ValueError("a position is no integer")
@@ -35,19 +76,34 @@ def header_catalogue(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value").startswith("##")).select("file", "seq", F.regexp_extract("value", r"^##([^=]+)=", 1).alias("key"), F.regexp_extract("value", r"^##[^=]+=(.*)$", 1).alias("value"))
 
 
+def field_lists(header: DataFrame, key: str = "CSQ") -> DataFrame:
+    """(file, fields) as each file's header declares them, the first declaration of each file."""
+    rows = header.where(F.col("value").startswith(f"<ID={key},"))
+    return rows.groupBy("file").agg(F.split(F.regexp_extract(F.min_by("value", "seq"), r'Format: ([^">]+)', 1), "[|]").alias("fields"))
+
+
 def field_list(header: DataFrame, key: str = "CSQ") -> list[str]:
-    """The packed fields that a header declares; a schema, so it comes to the driver."""
-    row = header.where(F.col("value").startswith(f"<ID={key},")).select(F.regexp_extract("value", r'Format: ([^">]+)', 1).alias("f")).first()
-    return row["f"].split("|") if row and row["f"] else []
+    """The packed fields that one side's files declare; a schema, so it comes to the driver. Files that disagree are an
+    error, as are two sides given at once."""
+    found = [r["fields"] for r in field_lists(header, key).select("fields").distinct().limit(2).collect()]
+    if len(found) > 1:
+        raise ValueError(f"files declare different fields: {found}")
+    return [f for f in found[0] if f] if found else []
 
 
-def contig_ranks(header: DataFrame) -> DataFrame:
-    """(contig, rank) in order of declaration."""
-    rows = header.where("key = 'contig'").select(F.regexp_replace(F.regexp_extract("value", r"ID=([^,>]+)", 1), "^chr", "").alias("contig"), "seq")
-    rows = rows.groupBy("contig").agg(F.max("seq").alias("seq"))
-    from pyspark.sql import Window
+def header_value(header: DataFrame, key: str) -> DataFrame:
+    """(file, value) of a free header line, the first of each file."""
+    return header.where(F.col("key") == key).groupBy("file").agg(F.min_by("value", "seq").alias("value"))
+
 
-    return rows.select("contig", (F.row_number().over(Window.orderBy("seq")) - 1).alias("rank"))
+def contig_ranks(header: DataFrame) -> DataFrame:
+    """(file, contig, rank) in order of declaration. A contig declared again takes the number of contigs declared up to
+    then as its rank, which the next new one has too."""
+    rows = header.where("key = 'contig'").select("file", norm_contig(F.regexp_extract("value", r"ID=([^,>]+)", 1)).alias("contig"), "seq")
+    again = F.row_number().over(Window.partitionBy("file", "contig").orderBy("seq"))
+    rows = rows.withColumn("new", F.when(again == 1, 1).otherwise(0))
+    before = F.coalesce(F.sum("new").over(Window.partitionBy("file").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.withColumn("before", before).groupBy("file", "contig").agg(F.max_by("before", "seq").cast("int").alias("rank"))
 
 
 def header_attributes(header: DataFrame) -> DataFrame:
@@ -57,17 +113,29 @@ def header_attributes(header: DataFrame) -> DataFrame:
     return one.select("file", F.regexp_extract("p", r"^([^=]+)=", 1).alias("key"), F.regexp_extract("p", r'="([^"]*)"', 1).alias("value"))
 
 
+def write_staged(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Written beside its place and moved there when it is whole, so that a reader never sees a part of it."""
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(staged)
+    replace(df.sparkSession, staged, path)
+
+
+def write_shards(df: DataFrame, path: str, by: tuple[str, ...] = ("run", "contig")) -> None:
+    """Replaces the shards that df has and leaves all others."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
 def read_mismatches(spark: SparkSession, path: str) -> DataFrame:
-    """A table of mismatches, whatever its line ends."""
+    """A table of mismatches, whatever its line ends; empty cells are empty texts."""
     df = spark.read.csv(path, sep="\t", header=True)
     return df.select([F.rtrim(F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit("\r")).alias(c.rstrip("\r")) for c in df.columns])
 
 
 def write_mismatches(df: DataFrame, path: str, text: bool = False) -> None:
     if text:
-        df.write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", nullValue="")
+        df.write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", nullValue="", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     else:
-        df.write.mode("overwrite").partitionBy("run", "contig").parquet(path)
+        write_shards(df, path)
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -78,7 +146,8 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise ValueError(f"{path} lacks {lacking}")
     if df.isEmpty():
         raise ValueError(f"{path} is empty")
-    return spark.read.csv(path, sep="\t", header=True, schema=schema)
+    kinds = {c.split()[0]: c.split()[1] for c in schema.split(",")}
+    return df.select(*[F.col(c).try_cast(kinds[c]).alias(c) for c in want])
 
 
 def parse_regions(df: DataFrame, spec: str = "region") -> DataFrame:
@@ -87,22 +156,65 @@ def parse_regions(df: DataFrame, spec: str = "region") -> DataFrame:
     return df.withColumns({"contig": part(1), "start": part(2).try_cast("long"), "end": part(3).try_cast("long")})
 
 
-def read_summaries(spark: SparkSession, path: str) -> DataFrame:
-    """Shard summaries by their declared name; unknown or missing keys and unnamed summaries are errors."""
-    raw = spark.read.text(path, wholetext=True)
-    want = sorted(c.split()[0] for c in SUMMARY.split(", "))
-    keys = raw.select(F.array_sort(F.json_object_keys("value")).alias("k"))
-    if not keys.where(~F.col("k").eqNullSafe(F.array(*map(F.lit, want)))).isEmpty():
-        raise ValueError("a summary has other keys than declared")
-    out = raw.select(F.from_json("value", SUMMARY).alias("s")).select("s.*")
-    if not out.where("name is null").isEmpty():
+def write_summaries(shards: DataFrame, shard_fields: DataFrame, samples: DataFrame, path: str) -> None:
+    """A JSON line for each shard (run, contig): its counters, fields by name with counts by category, samples by field.
+    Shards that aren't ok are stubs of three keys."""
+    cats = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, CATEGORIES)), F.array(*map(F.col, CATEGORIES))), lambda _, n: n > 0)
+    stats = F.struct("total", "match", pct(F.col("match"), F.col("total")).alias("pct"), cats.alias("by_category"))
+    fields = shard_fields.groupBy("run", "contig").agg(F.map_from_entries(F.collect_list(F.struct("field", stats))).alias("per_field"), pct(F.sum("match"), F.sum("total")).alias("overall_pct"))
+    one = F.struct("place", F.array("locus", "candidate_val", "truth_val", "category").alias("s"))
+    few = samples.groupBy("run", "contig", "field").agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["s"]).alias("s")).groupBy("run", "contig").agg(F.map_from_entries(F.collect_list(F.struct("field", "s"))).alias("samples"))
+    rows = shards.drop("join_rate", "overall_pct").join(fields, ["run", "contig"], "left").join(few, ["run", "contig"], "left")
+    rows = rows.withColumn("join_rate", rate(F.col("aligned"), F.col("aligned") + F.col("only_candidate") + F.col("only_truth")))
+    empty = F.create_map().cast("map<string,array<array<string>>>")
+    rows = rows.withColumns({"name": F.col("run"), "samples": F.coalesce("samples", empty)})
+    whole, stub = F.to_json(F.struct(*list(SUMMARY)), {"ignoreNullFields": "false"}), F.to_json(F.struct(*STUB))
+    rows.select(F.when(F.col("status") == "ok", whole).otherwise(stub).alias("value")).write.mode("overwrite").text(path)
+
+
+def read_summaries(spark: SparkSession, path: str | list[str], whole_files: bool = False, rename: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(shards, shard_fields, samples) of JSON summaries, one to a line or one to a file, under the name that each declares.
+    A summary has exactly the keys of SUMMARY, or those of STUB if its status isn't ok; anything else and a missing name are errors.
+    rename maps other names of keys to ours."""
+    raw = spark.read.text(path, wholetext=whole_files).where(F.trim("value") != "")
+    keys = F.array_sort(F.transform(F.json_object_keys("value"), lambda k: _renamed(k, rename)))
+    wanted = lambda names: F.array(*map(F.lit, sorted(names)))
+    status = F.get_json_object("value", "$.status")
+    good = keys.eqNullSafe(wanted(SUMMARY)) | ((status != "ok") & keys.eqNullSafe(wanted(STUB)))
+    bad = raw.where(~F.coalesce(good, F.lit(False))).select(F.concat_ws(",", F.array_except(keys, wanted(SUMMARY))).alias("unknown"), F.concat_ws(",", F.array_except(wanted(SUMMARY), keys)).alias("missing")).limit(5).collect()
+    if bad:
+        raise ValueError("summaries with other keys than declared: " + "; ".join(f"unknown {r['unknown']}, missing {r['missing']}" for r in bad))
+    back = {v: k for k, v in (rename or {}).items()}
+    schema = ", ".join(f"`{back.get(c, c)}` {kind}" for c, kind in SUMMARY.items())
+    out = raw.select(F.from_json("value", schema).alias("s")).select(*[F.col(f"s.`{back.get(c, c)}`").alias(c) for c in SUMMARY])
+    if not out.where("name is null or name = ''").isEmpty():
         raise ValueError("a summary has no name")
-    return out
+    shards = out.withColumnRenamed("name", "run").drop("per_field", "samples", "overall_pct", "join_rate")
+    entry = out.select(F.col("name").alias("run"), "contig", F.explode("per_field").alias("field", "s"))
+    fields = entry.select("run", "contig", "field", "s.total", "s.match", *[F.coalesce(F.col("s.by_category")[c], F.lit(0)).alias(c) for c in CATEGORIES])
+    few = out.select(F.col("name").alias("run"), "contig", F.explode("samples").alias("field", "s")).select("run", "contig", "field", F.posexplode("s").alias("place", "s"))
+    at = lambda i: F.get("s", F.lit(i))
+    return shards, fields, few.select("run", "contig", "field", (F.col("place") + 1).alias("place"), at(0).alias("locus"), at(1).alias("candidate_val"), at(2).alias("truth_val"), at(3).alias("category"))
+
+
+def _renamed(key, rename: dict[str, str] | None):
+    for old, new in (rename or {}).items():
+        key = F.when(key == old, new).otherwise(key)
+    return key
+
+
+def write_by_contig(df: DataFrame, path: str, order: tuple[str, ...] = ("pos",)) -> DataFrame:
+    """A folder per contig, written in ranges of contig and order, so that a long contig is many tasks and files; returns
+    counts from what was written and refuses a total of nothing."""
+    df.repartitionByRange("contig", *order).sortWithinPartitions("contig", *order).write.mode("overwrite").partitionBy("contig").parquet(path)
+    schema = df.select(*[c for c in df.columns if c != "contig"]).schema.add("contig", "string")
+    counts = df.sparkSession.read.schema(schema).parquet(path).groupBy("contig").agg(F.count(F.lit(1)).alias("n"))
+    if counts.isEmpty():
+        raise ValueError("nothing to write")
+    return counts
 
 
-def write_by_contig(df: DataFrame, path: str) -> DataFrame:
-    """A partition per contig; returns counts and refuses a total of nothing."""
-    if df.isEmpty():
-        raise ValueError("nothing to write")
-    df.repartition("contig").write.mode("overwrite").partitionBy("contig").parquet(path)
-    return df.groupBy("contig").agg(F.count(F.lit(1)).alias("n"))
+def write_ordered(df: DataFrame, path: str, then: tuple[str, ...] = ("pos",)) -> None:
+    """Files in natural order of contigs and then of the columns given, for readers that go by files."""
+    keys = natural_order(norm_contig(F.col("contig")))
+    df.repartitionByRange(*keys, *then).sortWithinPartitions(*keys, *then).write.mode("overwrite").parquet(path)

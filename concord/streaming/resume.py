@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def ingest_new(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str) -> None:
+def ingest_new(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, by: tuple[str, ...] = ()) -> None:
+    """Takes the files of source that no earlier call with this checkpoint has taken, and adds them to target."""
     stream = spark.readStream.schema(schema).parquet(source)
-    query = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target)
-    query.awaitTermination()
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    (writer.partitionBy(*by) if by else writer).start(target).awaitTermination()

@@ -2,10 +2,12 @@ import math
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from concord.functions import cells as C
-from concord.operators import diff, ranges, summary, unpack
+from concord.operators import diff, ranges, unpack
+from concord.sources.store import Store
 
 RECORD = "run string, contig string, pos long, ref string, alt string, packed string, seq long"
 
@@ -32,17 +34,25 @@ def truth_table(field, flags, a, b):
 def test_classifier_against_plain_python(spark):
     rng = random.Random(7)
     words = ["", "-", ".", "1", "1.0", "1.0005", "1.01", "a&b", "b&a", "a,b", "b,a", "a&b&", "1_0", "inf", "nan", " 1 ", "1d", "1e400", "-1e400", "x"]
-    rows = [(rng.choice("FG"), rng.choice(words), rng.choice(words)) for _ in range(500)]
-    df = spark.createDataFrame(rows, "f string, a string, b string")
-    got = df.select("f", "a", "b", C.classify_expr(F.col("f"), F.array().cast("array<string>"), F.col("a"), F.col("b"), {"F": "f"}).alias("c")).collect()
+    rows = [(rng.choice("FG"), rng.choice(words), rng.choice(words), rng.choice(([], ["f"], ["g", "f"]))) for _ in range(800)]
+    df = spark.createDataFrame(rows, "f string, a string, b string, flags array<string>")
+    got = df.select("*", C.classify_expr(F.col("f"), F.col("flags"), F.col("a"), F.col("b"), {"F": "f"}).alias("c")).collect()
     for r in got:
-        assert r["c"] == truth_table(r["f"], [], r["a"], r["b"]), r
+        assert r["c"] == truth_table(r["f"], r["flags"], r["a"], r["b"]), r
+
+
+def test_flag_is_expected_one_way_only(spark):
+    """A run without the flag is excused where the truth side is empty; a run with it is not, nor is a gap."""
+    cases = [([], "c.1A>G", "", "flag_expected"), (["f"], "c.1A>G", "", "candidate_only"), ([], "", "c.1A>G", "truth_only"), ([], "c.1A>G", "c.2A>G", "value_diff"), ([], "", "-", None)]
+    df = spark.createDataFrame([(c[0], c[1], c[2], i) for i, c in enumerate(cases)], "flags array<string>, a string, b string, i int")
+    got = df.select("i", C.classify_expr(F.lit("F"), F.col("flags"), F.col("a"), F.col("b"), {"F": "f"}).alias("c")).orderBy("i").collect()
+    assert [r["c"] for r in got] == [c[3] for c in cases]
 
 
 def study(spark, c, t, fields=("S", "H")):
     make = lambda rows: spark.createDataFrame([("r", *x) for x in rows], RECORD)
     a, b = make(c), make(t)
-    return a, b, diff.align(unpack.annotations(a, 2 + len(fields)), unpack.annotations(b, 2 + len(fields)))
+    return a, b, diff.align(*(unpack.annotations(unpack.unpacked(x, 2 + len(fields))) for x in (a, b)))
 
 
 def test_order_of_alternatives_and_entries(spark):
@@ -56,7 +66,9 @@ def test_order_of_alternatives_and_entries(spark):
 def test_malformed_and_duplicates(spark):
     c = [("1", 5, "C", "T", "T|f1|1|,T,T|f1|9|,T||3|", 1), ("1", 5, "C", "T", "T|f1|7|,T", 2)]
     a, _, j = study(spark, c, c[:1])
-    assert unpack.malformed_counts(unpack.entries(unpack.keyed(a), 4)).first()["malformed"] == 3
+    r = unpack.side_counts(unpack.unpacked(a, 4), "x").first()
+    assert (r["malformed_x"], r["duplicate_x"]) == (3, 1)
+    assert unpack.malformed_counts(unpack.unpacked(a, 4)).first()["malformed"] == 3
     assert unpack.first_records(unpack.keyed(a))[1].count() == 1
     assert j.count() == 2
 
@@ -67,32 +79,55 @@ def test_partial_and_empty(spark):
     assert (counts["aligned"], counts["only_candidate"], counts["only_truth"], counts["join_rate"]) == (1, 1, 0, 0.5)
     m = diff.cell_mismatches(j, ["S", "H"], {}, {"H": "hgvs"})
     assert [(r["field"], r["category"]) for r in m.collect()] == [("H", "truth_only")]
-    fields = diff.per_field(m, diff.coverage_counts(j), ["S", "H"])
+    counted = diff.tally(j, ["S", "H"], {}, {"H": "hgvs"})
+    assert diff.tallied_coverage(counted).first() == diff.coverage_counts(j).first()
+    fields = diff.per_field(counted, diff.coverage_counts(j), ["S", "H"])
     assert diff.overall(fields).first()["overall_pct"] == 50.0
     *_, none = study(spark, [], [])
     assert none.count() == 0
 
 
-def test_ranges_keep_ties_together():
-    def run(positions, k, sequential=True):
-        distinct = sorted(set(positions))
-        upto = [sum(p <= d for p in positions) for d in distinct]
-        return ranges.cut(distinct, upto, k, sequential)
-
-    assert [n for *_, n in run([1, 2, 3, 4, 5, 50, 50, 50, 60, 70, 80, 90], 2)] == [8, 4]
-    assert run([42] * 10, 3) == [(1, 42, 42, 10)]
+def brute_ranges(positions, k, sequential):
+    """Chunks by walking over the sorted positions one by one."""
+    p, n = sorted(positions), len(positions)
+    cuts, at, natural = [0], 0, 0
+    for i in range(k - 1):
+        size = n // k + (1 if i < n % k else 0)
+        natural += size
+        at = at + size if sequential else natural
+        while 0 < at < n and p[at - 1] == p[at]:
+            at += 1
+        cuts.append(max(cuts[-1], min(at, n)))
+    cuts.append(n)
+    out = []
+    for lo, hi in zip(cuts, cuts[1:]):
+        if lo < hi:
+            start = out[-1][2] + 1 if out else p[lo]
+            out.append((len(out), start, p[-1] if hi == n else (p[hi - 1] + p[hi]) // 2, hi - lo))
+    return out
+
+
+def test_ranges_against_a_walk(spark):
+    """Ties pushed on, a position with a third of all rows, fewer rows than chunks, one position only."""
     rng = random.Random(42)
-    for _ in range(50):
-        positions = sorted(rng.randrange(1, 200) for _ in range(rng.randrange(1, 300)))
-        got = run(positions, rng.randrange(1, 12), rng.random() < 0.5)
-        assert sum(n for *_, n in got) == len(positions)
-        assert all(b[1] == a[2] + 1 for a, b in zip(got, got[1:]))
-        assert all(n == sum(s <= p <= e for p in positions) for _, s, e, n in got)
-
-
-def test_merge_recomputes_ratios(spark):
-    rows = [("r", "1", 90, 10, 0, 0, 0, 0, 0, "ok"), ("r", "2", 10, 0, 0, 0, 0, 0, 0, "ok")]
-    shards = spark.createDataFrame(rows, "run string, contig string, " + ", ".join(f"{c} long" for c in summary.SUMS) + ", status string")
-    out = summary.coverage(summary.merge_shards(shards).withColumn("status", F.lit("ok"))).first()
-    assert (out["join_rate"], out["trustworthy"], out["warnings"]) == (0.9091, False, "join_rate,only_candidate")
-    assert summary.shard_violations(shards, shards.select("run", "contig")).count() == 0
+    contigs = {"a": [rng.randrange(1, 60) for _ in range(300)], "b": [7] * 100 + [rng.randrange(1, 1000) for _ in range(200)], "c": [42] * 10, "d": [3, 1], "e": list(range(1, 50))}
+    df = spark.createDataFrame([(c, p) for c, ps in contigs.items() for p in ps] + [("a", None)], "c string, p long")
+    for k, mode in ((7, "sequential"), (7, "independent"), (1, "sequential")):
+        got = ranges.balanced_ranges(df, "c", "p", k, Store(spark, "t"), mode).collect()
+        for c, ps in contigs.items():
+            mine = sorted((r["chunk"], r["start"], r["end"], r["n"]) for r in got if r["contig"] == c)
+            assert mine == brute_ranges(ps, k, mode == "sequential"), (c, k, mode)
+    found = ranges.balanced_ranges(df, "c", "p", 7, Store(spark, "t"))
+    assert ranges.range_violations(found, df.where("p is not null").groupBy(F.col("c").alias("contig")).agg(F.count("*").alias("total"))).count() == 0
+    with pytest.raises(ValueError):
+        ranges.balanced_ranges(df, "c", "p", 0, Store(spark, "t"))
+    rows = df.select(F.col("c").alias("contig"), F.col("p").alias("pos"))
+    few, many = (sorted(map(tuple, ranges.assign_regions(rows, found, small).collect()), key=str) for small in (1000, 3))
+    assert few == many and {x[0] for x in few if x[2] is None} == {"a"}
+
+
+def test_specs(spark):
+    got = ranges.expand_ranges(spark.createDataFrame([(1, "1-3,X,2")], "id int, spec string")).collect()
+    assert sorted(r["item"] for r in got) == ["1", "2", "3", "X"]
+    with pytest.raises(Exception, match="an empty range"):
+        ranges.expand_ranges(spark.createDataFrame([(1, ",")], "id int, spec string")).collect()
