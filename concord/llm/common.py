@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concord.sources.store import Store as Tables  # noqa: F401
+
 #: ASCII white space as the contracts define it; words are what stands between.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -35,38 +34,6 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where that is unset (tests) a local one is made."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-class Tables:
-    """Intermediate tables in the shared folder. They cut lineage: a lost executor costs its running tasks only."""
-
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-        self.n = 0
-
-    def put(self, df: DataFrame) -> DataFrame:
-        self.n += 1
-        path = f"{self.root}/{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out.stored_at = path
-        return out
-
-    def drop(self, *stored: DataFrame) -> None:
-        """Deletes tables that nothing reads any more."""
-        for df in stored:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Whole texts go to Python in batches of few rows, so that very long ones fit in memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

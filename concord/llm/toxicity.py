@@ -1,15 +1,16 @@
 """Operator 4: toxicity by nearest labelled examples.
 
 A bounded sample of labelled texts is indexed as TF-IDF vectors over all terms that the sample has. A term's idf is
-raised by how far its presence tells the labels apart; no term and no example is left out. Terms of many examples are
-held as a dense matrix, all others as posting lists; both together give a query's cosine with every example, and the
-nearest ones are worked out again in double precision. Votes weighted by cosine are calibrated on the examples, each
-left out of its own vote.
+raised by how far its presence tells the labels apart; no term and no example is left out. Similar examples stand in
+blocks, and the inverted index keeps each term's largest weight in each block beside its postings. These block maxima
+bound a query's cosine with all examples of a block; only blocks whose bound passes the least of the nearest found so
+far are looked into, so the nearest are exact. They are worked out again in double precision. Votes weighted by cosine
+are calibrated on the examples, each left out of its own vote.
 
 Defined results: null and empty texts, and texts without a word of the examples, get the calibrated prior; words that no
-example has don't count; rows without a label teach nothing; ids labelled more than once count as often; without labels
-every score is the prior 0; rows with equal ids are scored one by one; an empty table gives an empty result; extra
-columns don't matter.
+example has don't count; rows without a label teach nothing; an id labelled more than once is toxic if any label says
+so, and of several texts of one id the first in order teaches; without labels every score is the prior 0; rows with
+equal ids are scored one by one; an empty table gives an empty result; extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +27,11 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, text_of
 
-#: Labelled examples indexed at most (of each label), terms in the dense matrix, neighbours that vote.
+#: Labelled examples indexed at most (of each label), terms whose postings are kept as a matrix, examples of a block on
+#: average (twice that at most), neighbours that vote.
 EXAMPLES = 3000
 DENSE = 1024
+BLOCK = 16
 NEIGHBOURS = 15
 #: Chi-squared that doubles a term's weight. Cosines this far below the least one are looked at again.
 DOUBLES = 30.0
@@ -37,9 +41,9 @@ _WORD = re.compile(r"[^\W_]+")
 
 
 def forms(word: str) -> list[str]:
-    """What a word counts as: itself, and its first four and five letters where it has more (marked ^), as words of one
-    stem come in many forms."""
-    return [word, *("^" + word[:n] for n in (4, 5) if len(word) > n)]
+    """What a word counts as: itself, and its first four letters where it has more (marked ^), as words of one stem come
+    in many forms."""
+    return [word, "^" + word[:4]] if len(word) > 4 else [word]
 
 
 def terms(text: str) -> Counter:
@@ -53,31 +57,40 @@ def terms(text: str) -> Counter:
 
 
 class Known(dict):
-    """A number for each word, and the terms of each number in table (-1 for none). New terms enter the vocabulary if it
-    learns."""
+    """The terms of each word by number. New terms enter the vocabulary if it learns."""
 
     def __init__(self, vocabulary: dict[str, int], learns: bool = False):
         super().__init__()
         self.vocabulary, self.learns = vocabulary, learns
-        self.table = np.full((4096, 3), -1)
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        if n == len(self.table):
-            self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
-        self.table[n] = -1
-        for i, f in enumerate(forms(word)):
-            self.table[n, i] = self.vocabulary.setdefault(f, len(self.vocabulary)) if self.learns else self.vocabulary.get(f, -1)
-        return n
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if self.learns:
+            found = tuple(self.vocabulary.setdefault(f, len(self.vocabulary)) for f in forms(word))
+        else:
+            get = self.vocabulary.get
+            whole, stem = get(word), get("^" + word[:4]) if len(word) > 4 else None
+            found = (() if whole is None else (whole,)) if stem is None else (stem,) if whole is None else (whole, stem)
+        self[word] = found
+        return found
 
     def bag(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Terms and how often each occurs."""
         if not self.learns and len(self) > 300_000:
             self.clear()
-        words = _WORD.findall(text.lower())
-        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        t = self.table[numbers].ravel()
-        return np.unique(t[t >= 0], return_counts=True)
+        found = chain.from_iterable(map(self.__getitem__, _WORD.findall(text.lower())))
+        return np.unique(np.fromiter(found, np.int64), return_counts=True)
+
+
+def clusters(rows: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
+    """The cluster of each row by cosine: k means, begun at evenly spaced rows."""
+    centres = rows[np.linspace(0, len(rows) - 1, k).astype(int)].copy()
+    for _ in range(rounds):
+        of = (rows @ centres.T).argmax(1)
+        for j in range(k):
+            mean = rows[of == j].sum(0)
+            if norm := np.sqrt((mean * mean).sum()):
+                centres[j] = mean / norm
+    return of
 
 
 def _runs(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -107,39 +120,82 @@ class Index:
         return self.weighed(np.array([t for t, _ in got], np.int64), np.array([c for _, c in got], np.float64))
 
     def build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """The examples' vectors one after the other; the first DENSE terms as a matrix, postings of all others by term."""
+        """Blocks of similar examples, in order of which everything is held; the examples' vectors one after the other;
+        the first DENSE terms as matrices of weights and of block maxima; for each other term its block maxima, each with
+        the range of its block's postings."""
         n, size = len(vectors), len(self.vocabulary)
+        common = np.zeros((n, min(DENSE, size)), np.float32)
+        for row, (t, w) in zip(common, vectors):
+            at = np.searchsorted(t, DENSE)
+            row[t[:at]] = w[:at]
+        of = clusters(common, max(1, n // BLOCK)) if n else np.empty(0, np.int64)
+        order = np.argsort(of, kind="stable")
+        self.ids, self.labels, common, vectors = self.ids[order], self.labels[order], common[order], [vectors[i] for i in order]
+        sizes = [min(2 * BLOCK, c - at) for c in np.bincount(of) for at in range(0, c, 2 * BLOCK)]
+        self.edge = np.cumsum([0, *sizes])
+        block = np.repeat(np.arange(len(sizes)), sizes)
         self.start = np.cumsum([0, *(len(t) for t, _ in vectors)])
         self.term = np.concatenate([*(t for t, _ in vectors), np.empty(0, np.int64)]).astype(np.int32)
         self.weight = np.concatenate([*(w for _, w in vectors), np.empty(0)])
-        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
-        often = self.term < DENSE
-        self.dense = np.zeros((min(DENSE, size), n), np.float32)
-        self.dense[self.term[often], example[often]] = self.weight[often]
-        order = np.argsort(self.term[~often], kind="stable")
-        self.post, self.post_weight = example[~often][order], self.weight[~often][order].astype(np.float32)
-        self.begin = np.searchsorted(self.term[~often][order], np.arange(size + 1))
+        self.dense = np.ascontiguousarray(common.T)
+        self.dense_max = np.maximum.reduceat(self.dense, self.edge[:-1], axis=1) if n else self.dense
+        rare = self.term >= DENSE
+        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))[rare]
+        by_term = np.argsort(self.term[rare], kind="stable")
+        self.post, self.post_weight = example[by_term], self.weight[rare][by_term].astype(np.float32)
+        key = self.term[rare][by_term].astype(np.int64) * max(1, len(sizes)) + block[self.post]
+        first = np.flatnonzero(np.diff(key, prepend=-1)) if len(key) else np.empty(0, np.int64)
+        self.range = np.append(first, len(key))
+        self.max_block = block[self.post[first]]
+        self.max_weight = np.maximum.reduceat(self.post_weight, first) if len(first) else np.empty(0, np.float32)
+        self.begin = np.searchsorted(key[first] // max(1, len(sizes)), np.arange(size + 1))
+
+    def _score(self, q: np.ndarray, rare: tuple, wanted: np.ndarray, out: np.ndarray) -> None:
+        """Adds to out the cosines of queries (rows) and the examples of the blocks wanted."""
+        for b in np.flatnonzero(wanted.any(0)):
+            rows = np.flatnonzero(wanted[:, b])
+            out[rows, self.edge[b] : self.edge[b + 1]] = q[rows] @ self.dense[:, self.edge[b] : self.edge[b + 1]]
+        row, entry, weight, block = rare
+        kept = np.flatnonzero(wanted[row, block])
+        begin = self.range[entry[kept]]
+        count = self.range[entry[kept] + 1] - begin
+        places = _runs(begin, count)
+        at = np.repeat(row[kept] * out.shape[1], count) + self.post[places]
+        out += np.bincount(at, np.repeat(weight[kept], count) * self.post_weight[places], out.size).reshape(out.shape)
 
     def nearest_all(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each vector the k examples of the largest cosine over 0, ties to the earlier example."""
-        n, out = len(self.ids), []
+        leave = [-1] * len(vectors) if leave is None else leave
+        return [x for at in range(0, len(vectors), 64) for x in self._nearest(vectors[at : at + 64], k, np.array(leave[at : at + 64]))]
+
+    def _nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Each query's two blocks of the largest bounds are scored first; the kth best cosine there decides which others
+        are."""
+        n, m, blocks, out = len(self.ids), len(vectors), len(self.edge) - 1, []
         if not n:
             return [(np.empty(0, np.int64), np.empty(0)) for _ in vectors]
-        q = np.zeros((len(vectors), len(self.dense)), np.float32)
-        for row, (t, w) in zip(q, vectors):
-            at = np.searchsorted(t, DENSE)
+        q, split = np.zeros((m, len(self.dense)), np.float32), [np.searchsorted(t, DENSE) for t, _ in vectors]
+        for row, (t, w), at in zip(q, vectors, split):
             row[t[:at]] = w[:at]
-        sums, full = q @ self.dense, np.zeros(len(self.vocabulary))
+        term = np.concatenate([t[at:] for (t, _), at in zip(vectors, split)])
+        weight = np.concatenate([w[at:] for (_, w), at in zip(vectors, split)]).astype(np.float32)
+        row = np.repeat(np.arange(m), [len(t) - at for (t, _), at in zip(vectors, split)])
+        begin = self.begin[term]
+        count = self.begin[term + 1] - begin
+        entry = _runs(begin, count)
+        rare = (np.repeat(row, count), entry, np.repeat(weight, count), self.max_block[entry])
+        bound = q @ self.dense_max + np.bincount(rare[0] * blocks + rare[3], rare[2] * self.max_weight[entry], m * blocks).reshape(m, blocks)
+        first, near, least = np.zeros((m, blocks), bool), np.zeros((m, n), np.float32), np.zeros(m)
+        first[np.arange(m)[:, None], np.argpartition(-bound, min(2, blocks - 1), axis=1)[:, :2]] = True
+        gone = np.flatnonzero(leave >= 0)
+        for wanted in (first, None):
+            self._score(q, rare, (bound > least[:, None]) & ~first if wanted is None else wanted, near)
+            near[gone, leave[gone]] = 0
+            if n > k:
+                least = np.maximum(0, np.partition(near, n - k, axis=1)[:, n - k] - MARGIN)
+        full = np.zeros(len(self.vocabulary))
         for i, (t, w) in enumerate(vectors):
-            at = np.searchsorted(t, DENSE)
-            rare, begin = t[at:], self.begin[t[at:]]
-            count = self.begin[rare + 1] - begin
-            places, near = _runs(begin, count), sums[i]
-            near += np.bincount(self.post[places], np.repeat(w[at:].astype(np.float32), count) * self.post_weight[places], n).astype(np.float32)
-            if leave is not None and leave[i] >= 0:
-                near[leave[i]] = 0
-            least = max(0.0, np.partition(near, n - k)[n - k] - MARGIN) if n > k else 0.0
-            found = np.flatnonzero(near > least) if least else np.flatnonzero(near > 0)
+            found = np.flatnonzero(near[i] > least[i])
             if not len(found):
                 out.append((found, np.empty(0)))
                 continue
@@ -185,6 +241,7 @@ def fit(examples: list[tuple[int, str, int]], prior: float) -> Index:
     """examples: (doc_id, text, label). Those without a word are in the index too; nothing finds them."""
     first = {}
     known = Known(first, learns=True)
+    examples = sorted(examples)
     bags = [known.bag(text) for _, text, _ in examples]
     labels = np.array([x[2] for x in examples], np.float64)
     every = np.concatenate([*(t for t, _ in bags), np.empty(0, np.int64)])
@@ -200,8 +257,9 @@ def fit(examples: list[tuple[int, str, int]], prior: float) -> Index:
         by_number = np.argsort(place[t])
         vectors.append(index.weighed(place[t][by_number], c[by_number]))
     index.build(vectors)
+    vectors = [(index.term[a:b].astype(np.int64), index.weight[a:b]) for a, b in zip(index.start, index.start[1:])]
     got = [x for at in range(0, len(vectors), 256) for x in index.nearest_all(vectors[at : at + 256], NEIGHBOURS, list(range(at, min(at + 256, len(vectors)))))]
-    index.alpha = calibrate(np.array([index.vote(*x) for x in got]), labels, prior)
+    index.alpha = calibrate(np.array([index.vote(*x) for x in got]), index.labels, prior)
     return index
 
 
@@ -228,16 +286,18 @@ def remainder(column: str = "doc_id"):
 
 
 def training(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> tuple[list[tuple[int, str, int]], float]:
-    """At most most examples of each label, those with the smallest MD5 of their id, and the share of label 1 among all
-    that may teach. Ids whose CRC-32 leaves remainder 0 by 5 never do."""
+    """At most most examples of each label, one for an id, those with the smallest MD5 of their id, and the share of label
+    1 among all that may teach. Ids whose CRC-32 leaves remainder 0 by 5 never do."""
     usable = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("label")).where("id is not null and label in (0, 1)").where(remainder("id") != 0)
+    usable = usable.groupBy("id").agg(F.max("label").alias("label"))
     counts = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     chosen = None
     for label in (0, 1):
         part = usable.where(F.col("label") == label).orderBy(F.md5(F.col("id").cast("string")), "id").limit(most)
         chosen = part if chosen is None else chosen.union(part)
-    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", "label").limit(2 * most).collect()
+    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")).collect()
     return sorted((r["doc_id"], r["text"], r["label"]) for r in rows), (counts.get(1, 0) / total if total else 0.0)
 
 
@@ -247,7 +307,7 @@ def _scorer(index):
     @F.arrow_udf(shape)
     def score(texts: pa.Array) -> pa.Array:
         own = index.value
-        known = Known(own.vocabulary)
+        known = own.__dict__.setdefault("known", Known(own.vocabulary))  # for the batches of a worker
         got = own.scores([t or "" for t in texts.to_pylist()], known)
         ids = pa.array([own.ids[f].tolist() for _, f, _ in got], pa.list_(pa.int64()))
         cosines = pa.array([c.tolist() for _, _, c in got], pa.list_(pa.float64()))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -178,18 +179,77 @@ def test_leaks_against_full_alignment():
 
 
 def test_nearest_is_exact():
+    """Cosines by hand over all examples, for texts of few and of many words, ties and unknown words."""
     rng = random.Random(3)
-    examples = [(i, " ".join(rng.choice(["mean", "rude", "kind", "calm", "tree", "rock"][: 3 + 3 * (i % 2 == 0)]) for _ in range(9)), int(i % 3 == 0)) for i in range(300)]
+    words = [f"{i}word" for i in range(6000)]
+    text = lambda n: " ".join(words[min(int(rng.paretovariate(0.3)), len(words)) - 1] for _ in range(n))
+    examples = [(i, text(rng.randrange(1, 120)), int(i % 3 == 0)) for i in range(500)]
+    examples += [(500 + i, examples[i][1], 1) for i in range(40)] + [(900, "", 0)]
     index = toxicity.fit(examples, 0.3)
-    if index.vocabulary:
-        by_id = {i: index.vector(toxicity.terms(t)) for i, t, _ in examples}
-        t, w = index.vector(toxicity.terms("rude mean tree rock"))
-        q = dict(zip(t, w))
-        found, cosines = index.nearest(t, w, 15)
-        brute = sorted((sum(q.get(a, 0) * b for a, b in zip(*by_id[int(i)])) for i in index.ids), reverse=True)[:15]
+    assert len(index.vocabulary) > toxicity.DENSE and len(index.edge) > 20
+    by_id = {i: dict(zip(*index.vector(toxicity.terms(t)))) for i, t, _ in examples}
+    for query in [text(n) for n in (1, 3, 40, 400)] + [examples[7][1], "nothing known", ""]:
+        t, w = index.vector(toxicity.terms(query))
+        found, cosines = index.nearest(t, w, toxicity.NEIGHBOURS)
+        brute = sorted((sum(x * by_id[int(i)].get(a, 0) for a, x in zip(t, w)) for i in index.ids), reverse=True)[: toxicity.NEIGHBOURS]
         assert np.allclose(cosines, [c for c in brute if c > 0])
 
 
+def test_toxicity_query_against_brute_force(spark):
+    """The whole query on the small table: each document's neighbours from all cosines, votes and predictions from them."""
+    from concord.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    docs_, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    examples, prior = toxicity.training(docs_, labels)
+    assert len({i for i, _, _ in examples}) == len(examples) and not any(zlib.crc32(str(i).encode()) % 5 == 0 for i, _, _ in examples)
+    index = toxicity.fit(examples, prior)
+    vectors = [(label, index.vector(toxicity.terms(t))) for _, t, label in examples]
+    matrix = np.zeros((len(vectors), len(index.vocabulary)))
+    for row, (_, (t, w)) in zip(matrix, vectors):
+        row[t] = w
+    labels_ = np.array([label for label, _ in vectors], float)
+    texts = [(r["doc_id"], r["text"] or "") for r in docs_.select("doc_id", "text").collect()]
+    got = {r["doc_id"]: r for r in queries.op4_toxicity(spark, sf).collect()}
+    assert len(got) == len({i for i, _ in texts})
+    for i, text in texts:
+        q = np.zeros(len(index.vocabulary))
+        t, w = index.vector(toxicity.terms(text))
+        q[t] = w
+        cosines = matrix @ q
+        near = np.sort(cosines)[::-1][: toxicity.NEIGHBOURS]
+        assert np.allclose(got[i]["cosines"], near[near > 1e-12])
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and got[i]["predicted"] == (got[i]["score"] >= 0.5)
+        if len(near) < len(cosines) and len(near) and near[-1] - np.sort(cosines)[::-1][len(near)] > 1e-9:
+            top = np.argsort(-cosines)[: len(near)]
+            vote = (cosines[top] @ labels_[top] + 0.1 * prior) / (cosines[top].sum() + 0.1)
+            assert abs(index.calibrated(vote) - got[i]["score"]) < 1e-9
+
+
+def test_toxicity_on_held_out_rows(spark):
+    """Recall, false alarms and rank of held-out documents of the middle table."""
+    from concord.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null").collect()}
+    rows = [r for r in queries.op4_toxicity(spark, sf).select("doc_id", "held_out", "score").collect() if r["held_out"] and r["doc_id"] in labels]
+    bad, good = (np.array([r["score"] for r in rows if labels[r["doc_id"]] == x]) for x in (1, 0))
+    auc = (bad[:, None] > good).mean() + (bad[:, None] == good).mean() / 2
+    print(f"held out: {len(bad)} toxic of {len(rows)}, recall {(bad >= 0.5).mean():.3f}, false alarms {(good >= 0.5).mean():.4f}, AUC {auc:.3f}")
+    assert (bad >= 0.5).mean() > 0.9 and (good >= 0.5).mean() < 0.02 and auc > 0.97
+
+
+def test_toxicity_teaches_one_text_an_id(spark):
+    """Repeated ids and labels don't crowd out others, whatever the order of rows."""
+    rows = [(i, f"text {i} of {k}", None) for k in range(3) for i in range(40)]
+    labels = spark.createDataFrame([(i, 0, x) for i in range(40) for x in ((0, 1) if i < 5 else (0, 0))], LABELS)
+    got, prior = toxicity.training(docs(spark, rows), labels, most=30)
+    again, _ = toxicity.training(docs(spark, rows[::-1]).repartition(7), labels, most=30)
+    usable = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    assert got == again and len(got) == len({i for i, _, _ in got}) and {i for i, _, label in got if label} == {i for i in usable if i < 5}
+    assert abs(prior - sum(i < 5 for i in usable) / len(usable)) < 1e-12
+
+
 def test_copy_of_any_example_finds_it():
     """Also of those without a term that tells the labels apart."""
     rng = random.Random(4)
