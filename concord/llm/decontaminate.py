@@ -3,7 +3,12 @@
 Items and documents are compared as lower-case words with one space between two. A region of a document that is an
 item with at most k edits shares at least m + 1 - q - k q q-grams with it (m: the item's length), on diagonals that
 differ by at most k. So q-grams that a document shares with each item are counted in bands of diagonals, of width
-2 (k + 1) and each half over the next, and only bands that reach the bound are aligned, in a band of the same width.
+2 (k + 1) by the item's own k and each half over the next, and only bands that reach the bound are aligned. Bands in a
+row are aligned as one. Shared q-grams are counted a bounded number at a time, so that a text and an item that repeat
+one phrase need no more memory than others.
+
+The benchmark is taken in blocks of bounded size. One block is matched in a single pass over the documents; more blocks
+are a pass each, of which only texts with a match are stored, under the MD5 of the text.
 
 Defined results: null and empty texts are clean; items shorter than min_item characters or without words are never
 looked for; rows with equal ids are judged one by one; equal items are found both; an empty table of documents gives
@@ -14,13 +19,14 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, small_batches, text_of
+from .common import Tables, free_name, small_batches, text_of
 
 Q = 10
 #: Edits allowed for each character of an item, and the shortest item looked for (a shorter one would share no q-gram).
@@ -29,6 +35,9 @@ MIN_ITEM = 30
 #: Characters of benchmark in one block. A larger benchmark takes several passes over the documents.
 BLOCK_CHARS = 8_000_000
 
+#: Shared q-grams counted at a time.
+PAIRS = 1_000_000
+
 _NO_WORD = re.compile(r"[\W_]+")
 _BITS = 22
 
@@ -83,43 +92,63 @@ class Index:
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([*(np.arange(len(g)) for g in grams), np.empty(0, np.int64)])
         order = np.argsort(all_, kind="stable")
-        self.grams, self.item, self.place = all_[order], item[order], place[order].astype(np.int64)
+        self.grams, self.item, self.place = all_[order], item[order].astype(np.int32), place[order].astype(np.int32)
         self.bits = np.zeros(1 << _BITS, bool)
         self.bits[self.grams >> np.uint64(64 - _BITS)] = True
         self.bounds = np.array([bound(len(t), self.rate, self.q) for t in self.texts], np.int64)
-        self.width = 2 * (max((budget(len(t), self.rate) for t in self.texts), default=0) + 1)
+        self.half = np.array([budget(len(t), self.rate) + 1 for t in self.texts], np.int64)
         self.least = int(self.bounds.min()) if len(self.bounds) else 1 << 60
 
-    def bands(self, text: str) -> list[tuple[int, int]]:
-        """(item, lowest diagonal) of each band that reaches the bound of its item."""
+    def bands(self, text: str) -> list[tuple[int, int, int]]:
+        """(item, lowest diagonal, diagonals) of each run of bands that reach the bound of their item."""
         h = gram_hashes(text, self.q)
         at = np.flatnonzero(self.bits[h >> np.uint64(64 - _BITS)])
         if len(at) < self.least:
             return []
         lo = np.searchsorted(self.grams, h[at])
         count = np.searchsorted(self.grams, h[at], side="right") - lo
-        total = int(count.sum())
-        if total < self.least:
+        upto = np.cumsum(count)
+        if upto[-1] < self.least:
             return []
-        where = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(total)
-        item, diagonal = self.item[where], np.repeat(at, count) - self.place[where] + (1 << 20)
-        half = self.width // 2
-        found = []
-        key = item * (1 << 40) + diagonal // half
-        keys, n = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-        for k in keys[n >= self.bounds[keys >> 40]]:
-            found.append((int(k >> 40), int(k & ((1 << 40) - 1)) * half - (1 << 20)))
-        return found
+        keys, n, begin = np.empty(0, np.int64), np.empty(0, np.int64), 0
+        while begin < len(at):
+            end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + PAIRS, side="right")))
+            found = self._counted(at[begin:end], lo[begin:end], count[begin:end])
+            keys, back = np.unique(np.concatenate([keys, found[0]]), return_inverse=True)
+            n = np.bincount(back, np.concatenate([n, found[1]]), len(keys)).astype(np.int64)
+            begin = end
+        keys = keys[n >= self.bounds[keys >> 40]]
+        out: list[tuple[int, int, int]] = []
+        for key in keys.tolist():
+            item, band = key >> 40, (key & ((1 << 40) - 1)) - (1 << 32)
+            half = int(self.half[item])
+            if out and out[-1][0] == item and out[-1][1] + out[-1][2] >= band * half + half:
+                out[-1] = (item, out[-1][1], (band + 2) * half - out[-1][1])
+            else:
+                out.append((item, band * half, 2 * half))
+        return out
+
+    def _counted(self, at: np.ndarray, lo: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys (item, band) and how many q-grams at these places of the text fall into each."""
+        where = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+        item = self.item[where].astype(np.int64)
+        band = (np.repeat(at, count) - self.place[where]) // self.half[item] + (1 << 32)
+        keys, n = np.unique(item * (1 << 40) + band, return_counts=True)
+        both, back = np.unique(np.concatenate([keys, keys - 1]), return_inverse=True)
+        return both, np.bincount(back, np.concatenate([n, n]), len(both)).astype(np.int64)
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(item id, edits, start, end) of each item within its budget: its best place in the normalised text."""
+        """(item id, edits, start, end) of each item within its budget: its best place in the normalised text, the first of
+        several."""
         best: dict[int, tuple[int, int, int]] = {}
-        for item, low in self.bands(text):
+        for item, low, width in self.bands(text):
+            if item in best and best[item][0] == 0:
+                continue
             pattern = self.texts[item]
             k = budget(len(pattern), self.rate)
-            begin, end = max(0, low - k), min(len(text), low + self.width + len(pattern) + k)
+            begin, end = max(0, low - k), min(len(text), low + width + len(pattern) + k)
             exact = text.find(pattern, begin, end)
-            hit = (0, exact, exact + len(pattern)) if exact >= 0 else banded(pattern, text[begin:end], low - begin, self.width, k, begin)
+            hit = (0, exact, exact + len(pattern)) if exact >= 0 else banded(pattern, text[begin:end], low - begin, width, k, begin)
             if hit and (item not in best or hit < best[item]):
                 best[item] = hit
         return sorted((int(self.ids[i]), *hit) for i, hit in best.items())
@@ -175,14 +204,16 @@ def _matcher(index):
     return matches
 
 
-def index_blocks(benchmark: DataFrame, rate: float, q: int, min_item: int, block_chars: int = BLOCK_CHARS):
-    """Indexes of the benchmark, block by block: the driver and a task hold one block of bounded size at a time."""
+def index_blocks(benchmark: DataFrame, rate: float, q: int, min_item: int, block_chars: int):
+    """Indexes of the benchmark, block by block; the driver holds the items of one block at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text")).where("item_id is not null")
     ids, texts, chars = [], [], 0
     for row in items.toLocalIterator():
         text = normalised(row["text"])
         if len(text) >= min_item and bound(len(text), rate, q) > 0:
-            ids, texts, chars = [*ids, row["item_id"]] if not ids else ids + [row["item_id"]], texts + [text], chars + len(text)
+            ids.append(row["item_id"])
+            texts.append(text)
+            chars += len(text)
         if chars >= block_chars:
             yield Index(np.array(ids), texts, rate, q)
             ids, texts, chars = [], [], 0
@@ -190,12 +221,27 @@ def index_blocks(benchmark: DataFrame, rate: float, q: int, min_item: int, block
         yield Index(np.array(ids), texts, rate, q)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, q: int = Q, min_item: int = MIN_ITEM, as_: str = "leaks") -> DataFrame:
-    """All rows and columns of docs and as_: an array of (item_ids, edits, starts, ends), one for each block."""
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, q: int = Q, min_item: int = MIN_ITEM, block_chars: int = BLOCK_CHARS, as_: str = "leaks") -> DataFrame:
+    """All rows and columns of docs and as_: an array of (item_ids, edits, starts, ends), one for each block with a match."""
     small_batches(docs.sparkSession)
-    context = docs.sparkSession.sparkContext
-    columns = [_matcher(context.broadcast(index))(text_of()) for index in index_blocks(benchmark, rate, q, min_item)]
-    return docs.withColumn(as_, F.array(*columns) if columns else F.array().cast(f"array<{RESULT}>"))
+    context, tables = docs.sparkSession.sparkContext, Tables(docs.sparkSession, "leaks")
+    blocks = index_blocks(benchmark, rate, q, min_item, block_chars)
+    index, following = next(blocks, None), next(blocks, None)
+    if index is None:
+        return docs.withColumn(as_, F.array().cast(f"array<{RESULT}>"))
+    if following is None:
+        return docs.withColumn(as_, F.filter(F.array(_matcher(context.broadcast(index))(text_of())), lambda x: F.size(x["item_ids"]) > 0))
+    hits = []
+    while index is not None:
+        shared = context.broadcast(index)
+        found = docs.select(text_of().alias("text")).withColumn("m", _matcher(shared)(F.col("text"))).where(F.size("m.item_ids") > 0)
+        hits.append(tables.put(found.select(F.md5("text").alias("key"), "m").dropDuplicates(["key"])))
+        shared.destroy()
+        index, following = following, next(blocks, None)
+    key, of = free_name(docs, "text_key"), free_name(docs, "text_of")
+    every = reduce(DataFrame.union, hits).groupBy(F.col("key").alias(of)).agg(F.array_sort(F.collect_list("m")).alias(as_))
+    rows = docs.withColumn(key, F.md5(text_of())).join(every, F.col(key) == F.col(of), "left").drop(key, of)
+    return rows.withColumn(as_, F.coalesce(as_, F.array().cast(f"array<{RESULT}>")))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
@@ -210,5 +256,4 @@ def report(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
 def filter_clean(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
     """Rows of docs without a leaked item."""
     leaks = free_name(docs, "leaks")
-    rows = find_leaks(docs, benchmark, as_=leaks, **parameters)
-    return rows.where(~F.exists(leaks, lambda x: F.size(x["item_ids"]) > 0)).drop(leaks)
+    return find_leaks(docs, benchmark, as_=leaks, **parameters).where(F.size(leaks) == 0).drop(leaks)
