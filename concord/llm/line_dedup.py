@@ -10,12 +10,15 @@ than min_pages pages containing a line lose nothing; extra columns pass through
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Tables, free_name, text_of
 
-#: A table of boilerplate up to so many lines is broadcast (8 bytes a line); a longer one is joined by host.
+#: Boilerplate lines broadcast at a time (8 bytes a line). A longer table is taken in parts by host, a pass over the
+#: documents of these hosts for each.
 BROADCAST_LINES = 500_000
 
 
@@ -50,10 +53,14 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = 0.1,
     found = tables.put(boilerplate(docs, host, ratio, min_pages))
     at, bad, lines, kept = (free_name(docs, x) for x in ("host_", "bad_", "lines_", "kept_"))
     per_host = found.groupBy(F.col("host").alias(at)).agg(F.collect_set("line").alias(bad))
-    if found.count() <= BROADCAST_LINES:
-        per_host = F.broadcast(per_host)
-    rows = docs.withColumn(lines, _lines(text_of()))
-    rows = rows.join(per_host, F.col(host).eqNullSafe(F.col(at)), "left")
+    total = found.count()
+    n_parts = 1 if total <= BROADCAST_LINES else -(-2 * total // BROADCAST_LINES)
+    part = lambda c: F.pmod(F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("")), F.col(c).isNull()), F.lit(n_parts))
+    passes = []
+    for p in range(n_parts):
+        mine = F.broadcast(per_host.where(part(at) == p))
+        passes.append(docs.where(part(host) == p).join(mine, F.col(host).eqNullSafe(F.col(at)), "left"))
+    rows = reduce(DataFrame.union, passes).withColumn(lines, _lines(text_of()))
     good = F.filter(lines, lambda x: ~(_has_word(x) & F.array_contains(bad, _key(x))))
     rows = rows.withColumn(kept, F.when(F.col(bad).isNull(), F.col(lines)).otherwise(good))
     n = F.size(lines).cast("long")
