@@ -2,7 +2,8 @@
 
 Heuristic labellers vote good, bad or nothing on each text. Expectation-maximisation over the counts of vote patterns
 estimates each labeller's accuracy without any given label, which gives a posterior for every pattern. Posteriors of a
-bounded sample of documents train a logistic scorer over hashed features of word shapes, which scores every document.
+bounded sample of distinct texts out of all train a logistic scorer over hashed features of word shapes, which scores
+every document.
 
 Defined results: null and empty texts get the score of a text without features, that of the labellers' prior, and are
 kept or not by it; rows with equal ids are scored one by one; an empty table gives an empty result; extra columns pass
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, let, small_batches, text_of, words_of
+from .common import Tables, free_name, let, small_batches, text_of, words_of
 
 #: Documents in the sample that trains the scorer, the scorer's dimensions, and the score from which a text is good.
 SAMPLE_ROWS = 3000
@@ -31,16 +32,16 @@ PASSAGE = 5
 
 
 def labellers() -> dict[str, Column]:
-    """Votes (1 good, 0 bad, -1 none) over columns text and words. Those that look for one fault say nothing where they
+    """Votes (1 good, 0 bad, -1 none) over columns text, words and hashes (of the words). Those that look for one fault say nothing where they
     don't see it; only the two that look for prose vote both ways."""
     n = F.greatest(F.size("words"), F.lit(1)).cast("double")
     part = lambda pattern: F.regexp_count("text", F.lit(pattern)) / n
     bad = lambda share, least: F.when(share > least, 0).otherwise(-1)
     both = lambda low, high: F.when(low, 0).when(high, 1).otherwise(-1)
-    repeats = F.aggregate("words", F.struct(F.lit("").alias("w"), F.lit(0).alias("n")), lambda acc, w: F.struct(w.alias("w"), (acc["n"] + F.when(w == acc["w"], 1).otherwise(0)).alias("n")), lambda acc: acc["n"]) / n
-    distinct = lambda key: F.size(F.array_distinct(F.transform("words", key))) / n
-    variety = distinct(lambda w, i: F.xxhash64(w, F.floor(i / F.lit(STRETCH))))
-    fresh = distinct(lambda w, i: F.xxhash64(w, *(F.get("words", i + k) for k in range(1, PASSAGE))))
+    repeats = F.size(F.filter("hashes", lambda h, i: h == F.get("hashes", i - 1))) / n
+    distinct = lambda key: F.size(F.array_distinct(F.transform("hashes", key))) / n
+    variety = distinct(lambda h, i: F.xxhash64(h, F.floor(i / F.lit(STRETCH))))
+    fresh = distinct(lambda h, i: F.xxhash64(h, *(F.get("hashes", i + k) for k in range(1, PASSAGE))))
     return {
         "symbols": bad(part(r"[#*$%&|<>]"), 0.25),
         "repeats": bad(repeats, 0.25),
@@ -53,66 +54,99 @@ def labellers() -> dict[str, Column]:
     }
 
 
+#: What a labeller is taken to say of a good and of a bad text before anything is known: nothing, bad, good.
+GOOD_SAYS = (0.39, 0.01, 0.6)
+BAD_SAYS = (0.5, 0.3, 0.2)
+
+
 @dataclass
 class LabelModel:
-    """Accuracies by labeller and class, and the prior of good."""
+    """The prior of good, and how often each labeller says nothing, bad or good of texts of each class. Silence counts as
+    an answer, so that a labeller that only ever looks for one fault has an accuracy too."""
 
     names: list[str]
     prior: float
-    right_good: np.ndarray
-    right_bad: np.ndarray
+    good: np.ndarray
+    bad: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        g = np.log(self.prior) + np.where(votes == 1, np.log(self.right_good), np.where(votes == 0, np.log1p(-self.right_good), 0)).sum(1)
-        b = np.log1p(-self.prior) + np.where(votes == 0, np.log(self.right_bad), np.where(votes == 1, np.log1p(-self.right_bad), 0)).sum(1)
+        each = np.arange(votes.shape[1])
+        g = np.log(self.prior) + np.log(self.good[each, votes + 1]).sum(1)
+        b = np.log1p(-self.prior) + np.log(self.bad[each, votes + 1]).sum(1)
         return 1 / (1 + np.exp(np.clip(b - g, -500, 500)))
 
 
-def fit_labels(names: list[str], votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> LabelModel:
-    """Expectation-maximisation over vote patterns and how many documents show each."""
-    model = LabelModel(names, 0.8, np.full(len(names), 0.9), np.full(len(names), 0.6))
-    clip = lambda x: np.clip(x, 0.02, 0.995)
+def fit_labels(names: list[str], votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> LabelModel:
+    """Expectation-maximisation over vote patterns and how many documents show each. What is assumed beforehand weighs as
+    much as one document."""
+    start = lambda says: np.tile(np.array(says), (len(names), 1))
+    model = LabelModel(names, 0.8, start(GOOD_SAYS), start(BAD_SAYS))
     for _ in range(rounds):
         p = model.posterior(votes)
-        good, bad = p * counts, (1 - p) * counts
-        voted = votes >= 0
-        share = lambda weight, as_: clip(((votes == as_) * weight[:, None]).sum(0) / np.maximum(1e-9, (voted * weight[:, None]).sum(0)))  # noqa: E731, B023
+        said = lambda weight, says: (np.stack([((votes == v) * weight[:, None]).sum(0) for v in (-1, 0, 1)], 1) + np.array(says)) / (weight.sum() + 1)
         before = model
-        model = LabelModel(names, float(clip(good.sum() / max(1e-9, counts.sum()))), share(good + 1e-6, 1), share(bad + 1e-6, 0))
+        model = LabelModel(names, float(np.clip((p * counts).sum() / max(1e-9, counts.sum()), 0.02, 0.98)), said(p * counts, GOOD_SAYS), said((1 - p) * counts, BAD_SAYS))
         if abs(before.prior - model.prior) < 1e-9:
             break
     return model
 
 
 _LETTERS = [(re.compile(r"[^\W\d_]*[a-zß-öø-ÿ][^\W\d_]*"), "a"), (re.compile(r"[^\W\d_a]{2,}"), "AA"), (re.compile(r"\d+"), "0")]
+_MANY = re.compile(r"(.)\1{2,}")
+_MARKS = frozenset(".,;:?!")
 
 
 def shape(word: str) -> str:
-    """A word's form: runs of letters as a (or AA for capitals only), digits as 0, marks as they are, two of each at most."""
+    """A word's form: runs of letters as a (or AA for capitals only), digits as 0, marks as they are, two of each at most;
+    the first twelve characters of that. Words of letters and one mark at most need no expression."""
+    body, mark = (word[:-1], word[-1]) if word[-1:] in _MARKS else (word, "")
+    if body.isalpha() and body.isascii():
+        return ("a" if not body.isupper() else "AA" if len(body) > 1 else body) + mark
     for pattern, to in _LETTERS:
         word = pattern.sub(to, word)
-    return re.sub(r"(.)\1{2,}", r"\1\1", word)[:12]
+    return _MANY.sub(r"\1\1", word)[:12]
 
 
 class Shapes(dict):
-    """The hashed feature of each word; starts anew when it has grown large."""
+    """A number for each word and, in slots, the hashed feature of its shape; starts anew when it has grown large."""
+
+    def __init__(self):
+        super().__init__()
+        self.slots = np.zeros(4096, np.int64)
+        self.known: dict[str, int] = {}
 
     def __missing__(self, word: str) -> int:
         import xxhash
 
+        n = self[word] = len(self)
+        if n == len(self.slots):
+            self.slots = np.concatenate([self.slots, np.zeros_like(self.slots)])
+        form = shape(word)
+        slot = self.known.get(form)
+        if slot is None:
+            slot = self.known[form] = 2 + xxhash.xxh32_intdigest(form) % (DIMENSIONS - 2)
+        self.slots[n] = slot
+        return n
+
+    def numbers(self, words: list[str]) -> np.ndarray:
         if len(self) > 300_000:
             self.clear()
-        value = self[word] = 2 + xxhash.xxh32_intdigest(shape(word)) % (DIMENSIONS - 2)
-        return value
+            self.known.clear()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
-def variety(words: list[str]) -> float:
-    """The share of words that their stretch of the text has not had before or, where that is less, of passages that the
-    whole text has not had before; so neither hangs on the text's length."""
-    n = len(words)
-    new = sum(len(set(words[at : at + STRETCH])) for at in range(0, n, STRETCH)) / n
-    passages = zip(*(words[k:] for k in range(PASSAGE)))
-    return min(new, len(set(passages)) / (n - PASSAGE + 1)) if n >= PASSAGE else new
+def variety(ids: np.ndarray) -> float:
+    """The share of words (by number) that their stretch of the text has not had before or, where that is less, of
+    passages that the whole text has not had before; so neither hangs on the text's length."""
+    n = len(ids)
+    new = len(np.unique(ids + (np.arange(n) // STRETCH << 32))) / n
+    if n < PASSAGE:
+        return new
+    h = np.zeros(n - PASSAGE + 1, np.uint64)
+    for k in range(PASSAGE):
+        h = (h ^ ids[k : n - PASSAGE + 1 + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return min(new, len(np.unique(h)) / len(h))
 
 
 def features(text: str, shapes: Shapes) -> np.ndarray:
@@ -122,10 +156,10 @@ def features(text: str, shapes: Shapes) -> np.ndarray:
     out = np.zeros(DIMENSIONS, np.float32)
     if words:
         n = len(words)
-        counts = np.bincount(np.fromiter(map(shapes.__getitem__, words), np.int64, n), minlength=DIMENSIONS)
-        out[:] = np.sqrt(counts / n)
-        out[0] = sum(a == b for a, b in zip(words, words[1:])) / n
-        out[1] = max(0.0, 0.6 - variety(words))
+        ids = shapes.numbers(words)
+        out[:] = np.sqrt(np.bincount(shapes.slots[ids], minlength=DIMENSIONS) / n)
+        out[0] = (ids[1:] == ids[:-1]).sum() / n
+        out[1] = max(0.0, 0.6 - variety(ids))
     return out
 
 
@@ -160,21 +194,25 @@ def fit_scorer(texts: list[str], targets: np.ndarray, rounds: int = 400, rate: f
     return Scorer(out, float(b))
 
 
+def sample_of(docs: DataFrame, rows: int, tables: Tables) -> DataFrame:
+    """(text) of so many distinct texts of all of docs at most, those with the smallest hashes, stored. Hashes alone are
+    compared, so each text has the same chance wherever it stands and however many copies it has, and reruns agree."""
+    texts = docs.select(text_of().alias("text")).withColumn("h", F.xxhash64("text"))
+    chosen = texts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).orderBy("h").limit(rows).select(F.col("h").alias("of"))
+    found = texts.join(F.broadcast(chosen), F.col("h") == F.col("of"), "left_semi")
+    return tables.put(found.groupBy("h").agg(F.min("text").alias("text")).select("text"))
+
+
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[LabelModel, Scorer]:
-    """Votes are counted over all documents; the scorer learns from at most sample_rows of them, of those whose texts have
-    small hashes."""
+    """Votes are counted over all documents; the scorer learns from at most sample_rows distinct texts out of all."""
     votes = labellers()
     names = list(votes)
-    rows = docs.select(text_of().alias("text")).withColumn("words", words_of(F.col("text"))).select("text", *[v.alias(k) for k, v in votes.items()])
-    part = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
-    patterns = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()
+    as_votes = lambda df: df.withColumn("words", words_of(F.col("text"))).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).select("text", *[v.alias(k) for k, v in votes.items()])
+    patterns = as_votes(docs.select(text_of().alias("text"))).groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()
     table = np.array([[r[k] for k in names] for r in patterns], np.int64).reshape(-1, len(names))
     counts = np.array([r["n"] for r in patterns], np.float64)
     model = fit_labels(names, table, counts)
-    total = max(1.0, counts.sum())
-    share = min(1.0, 2.0 * sample_rows / total)
-    sample = docs.select(text_of().alias("text")).where(part < F.lit(int(share * (1 << 20)) + 1)).limit(sample_rows).withColumn("words", words_of(F.col("text")))
-    got = sample.select("text", *[v.alias(k) for k, v in votes.items()]).collect()
+    got = as_votes(sample_of(docs, sample_rows, Tables(docs.sparkSession, "quality"))).orderBy("text").collect()
     targets = model.posterior(np.array([[r[k] for k in names] for r in got], np.int64).reshape(-1, len(names))) if got else np.empty(0)
     return model, fit_scorer([r["text"] for r in got], targets)
 
@@ -182,7 +220,8 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[LabelModel,
 def _score(scorer):
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        shapes, own = Shapes(), scorer.value
+        own = scorer.value
+        shapes = own.__dict__.setdefault("shapes", Shapes())  # for the batches of a worker
         return pa.array([own.score(t or "", shapes) for t in texts.to_pylist()], pa.float64())
 
     return score
