@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import url_filter
+
 #: Words by ASCII white space; DuckDB's regular expressions know the same ranges.
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -37,13 +39,13 @@ select conv_id, donor_id, cast(n_common as bigint) as n_common,
 from s
 """
 
-URLS = r"""
+URLS = rf"""
 with u as (select page_id, url, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) end as rest from pages),
 h as (select page_id, rest, coalesce(regexp_extract(rest, '^[^/?#]*'), '') as raw from u),
 p as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, coalesce(regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*'), '') as path from h),
 rules(rh, rp, what) as (values ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'block'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
 best as (select page_id, max_by(rh || rp, length(rh || rp)) as rule, max_by(what, length(rh || rp)) as what from p join rules on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp) group by page_id)
-select p.page_id, host, path, rule, coalesce(what, case when regexp_matches(host, '(^|\.)(spam-farm|cheap-pills|casino-win|free-money)\.example\.(com|net|org)$') then 'block' else 'allow' end) as verdict
+select p.page_id, host, path, rule, coalesce(what, case when regexp_matches(host, '(^|\.)({"|".join(url_filter.FIRST)})-({"|".join(url_filter.SECOND)})\.example\.(com|net|org)$') then 'block' else 'allow' end) as verdict
 from p left join best using (page_id)
 """
 
@@ -57,17 +59,17 @@ select doc_id, source, array_to_string(b, chr(10)) as text, cast(len(a) as bigin
 """
 
 MIX = rf"""
-with d as (select doc_id, source, cast(len({WORDS}) as bigint) as size, cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15) as bigint) as hash from documents),
+with d as (select doc_id, source, cast(len({WORDS}) as bigint) as size, cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))), 1, 15) as bigint) as hash from documents),
 s as (select source, cast(sum(size) as hugeint) as n, row_number() over (order by source nulls last) as place from d group by source),
 w as (select *, [1, 2, 3][(place - 1) % 3 + 1] as weight from s),
 o as (select *, sum(n) over () - 3 * coalesce(sum(n) over b, 0) as rest, sum(weight) over () - coalesce(sum(weight) over b, 0) as wrest from w window b as (order by 3.0 * n / weight, place rows between unbounded preceding and 1 preceding)),
 l as (select *, first(case when rest * weight <= 3 * n * wrest then [rest, wrest] end ignore nulls) over (order by 3.0 * n / weight, place rows between unbounded preceding and current row) as level from o),
 t as (select source, cast(n as bigint) as source_size, case when level is null then cast(3 * n as double) else cast(level[1] as double) * weight / level[2] end as target from l),
 c as (select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as base from t),
-r as (select *, sum(size) over (partition by source, hash) as g, sum(size) over (partition by source order by hash) as upto from d),
-x as (select doc_id, size, source_size, target, base, target - base * source_size as need, g, upto from r join c on r.source is not distinct from c.source)
-select doc_id, size, source_size, target, cast((base + case when upto <= need or (upto - g <= need and g - (need - (upto - g)) < need - (upto - g)) then 1 else 0 end) * size as bigint) as taken,
-  cast(base + case when upto <= need or (upto - g <= need and g - (need - (upto - g)) < need - (upto - g)) then 1 else 0 end as bigint) as copies from x
+r as (select *, sum(size) over (partition by source, hash) as g, row_number() over (partition by source, hash) as nth, sum(size) over (partition by source order by hash) as upto from d),
+x as (select doc_id, size, source_size, target, base, target - base * source_size as need, nth, g, upto from r join c on r.source is not distinct from c.source),
+y as (select *, base + case when upto <= need then 1 when upto - g <= need and nth <= ceil((need - (upto - g)) / size - 0.5) then 1 else 0 end as k from x)
+select doc_id, size, source_size, target, cast(k * size as bigint) as taken, cast(k as bigint) as copies from y
 """
 
 
