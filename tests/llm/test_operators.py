@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from concord.llm import chat_format, decontaminate, licenses, line_dedup, mixing, ngram_join, quality_rules, toxicity, url_filter, weak_quality
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, words string, norm string, host string, __bad string"
+#: With extra columns named like those that operators use within.
+EXTRA = ("words", "norm", "host", "host_", "bad_", "lines_", "kept_", "n_lines", "hashes", "hash", "key", "leaks", "text_key", "copies", "cut", "score", "label", "id", "at")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in EXTRA)
 PROSE = " ".join(f"word{i % 37} of prose{i} stands." for i in range(40))
 
 
 def docs(spark, rows):
-    return spark.createDataFrame([(i, t, None, s, None, "x", "x", "x", "x") for i, t, s in rows], DOCS)
+    return spark.createDataFrame([(i, t, None, s, None, *["x"] * len(EXTRA)) for i, t, s in rows], DOCS)
 
 
 ODD = [(1, None, None), (2, "", "a"), (3, PROSE, "a"), (3, PROSE, "a"), (4, "long words here " * 20000, None), (5, " \n\t ", "b"), (None, "no id", "b"), (6, "x", "b")]
@@ -35,9 +37,57 @@ def runs(spark):
         "8": line_dedup.drop_boilerplate,
         "9": mixing.mix,
         "10": ngram_join.join_components,
+        "pipeline 1": weak_quality.filter_good,
+        "pipeline 6": lambda d: decontaminate.filter_clean(d, bench()).unionByName(d.limit(0)),
+        "pipeline 9": lambda d: mixing.mix_rows(d),
     }
 
 
+@pytest.mark.parametrize("op", ["pipeline 1", "pipeline 6", "pipeline 9"])
+def test_filters_keep_columns_of_odd_rows(spark, op):
+    run, rows = runs(spark)[op], docs(spark, ODD)
+    out = run(rows)
+    assert set(rows.columns) <= set(out.columns) and out.count() <= 3 * len(ODD)
+    assert run(docs(spark, [])).collect() == []
+
+
+def test_odd_conversations(spark):
+    """Long and repeated turns, nulls in every column, extra columns named like those within."""
+    shape = "conv_id long, turn long, role string, text string, turns string, give string, at long, chosen string"
+    rows = [(1, 0, "user", "long " * 100000), (1, 1, "assistant", "long " * 100000), (1, 1, "assistant", "long " * 100000), (2, 0, "user", "q"), (2, None, "assistant", "a"), (3, 0, None, None), (None, None, None, None), (None, 1, "assistant", "n")]
+    run = lambda x: chat_format.format_preferences(chat_format.with_rejected(chat_format.conversations(spark.createDataFrame([(*r, "x", "x", 9, "x") for r in x], shape)))).collect()
+    got = {r["conv_id"]: r for r in run(rows)}
+    assert set(got) == {1, 2, 3, None} and got[3]["status"] == "no_reply" and got[None]["n_common"] is not None
+    assert got[1]["donor_id"] == 2 and got[1]["prompt"].count("<|end|>") == 2 and got[1]["rejected"] == "<|assistant|>\na<|end|>\n" or got[1]["n_common"] >= 1
+    assert run([]) == []
+
+
+def test_odd_pages(spark):
+    rows = [(1, None), (2, ""), (3, "http://" + "a." * 2000 + "com/en/" + "x" * 100000), (4, "://"), (5, "http:///en/"), (5, "http:///en/"), (None, "http://COM/en/"), (6, "x://a.net/de/?q#f"), (7, "http://..com/en/")]
+    df = spark.createDataFrame([(*r, "h", "r", "k", "f") for r in rows], "page_id long, url string, host string, rule string, keys string, found string")
+    got = sorted(((r["page_id"] or 0, r["rule"], r["verdict"]) for r in url_filter.judge(df).collect()), key=str)
+    assert got == sorted([(1, None, "allow"), (2, None, "allow"), (3, "com/en/", "block"), (4, None, "allow"), (5, None, "allow"), (5, None, "allow"), (0, "com/en/", "block"), (6, "net/de/", "block"), (7, "com/en/", "block")], key=str)
+    assert url_filter.judge(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("bits,n", [(1 << 23, 100_000), (1 << 15, 6_000)])
+def test_long_lists(spark, monkeypatch, bits, n):
+    """A list of a hundred thousand hosts, and one far beyond the bits of a part: exact for every page."""
+    monkeypatch.setattr(url_filter, "MAX_BITS", bits)
+    hosts = spark.range(n).select(F.concat(F.lit("h"), (F.col("id") * 3).cast("string"), F.lit(".example.com")).alias("host"))
+    pages = spark.range(20_000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://www.h"), F.col("id").cast("string"), F.lit(".example.com"), F.when(F.col("id") % 5 == 0, "/en/7").otherwise("/fr/")).alias("url"))
+    out = url_filter.judge(pages, hosts=hosts).collect()
+    assert len(out) == 20_000
+    for r in out:
+        i = r["page_id"]
+        assert (r["rule"], r["verdict"]) == (("example.com/en/7", "allow") if i % 5 == 0 else (None, "block" if i % 3 == 0 and i < 3 * n else "allow"))
+
+
+def test_listed_hosts(spark):
+    got = [r["host"] for r in url_filter.listed_hosts(spark).collect()]
+    assert len(got) == len(set(got)) == 2184 and "spam-farm.example.com" in got
+
+
 @pytest.mark.parametrize("op", ["1", "2", "3", "4", "6", "8", "9", "10"])
 def test_odd_rows_and_empty_tables(spark, op):
     run = runs(spark)[op]
@@ -114,7 +164,7 @@ def test_chat(spark):
 
 
 def test_urls(spark):
-    urls = [(1, "http://a.com/en/1"), (2, "http://x.EXAMPLE.com/en/77?q"), (3, None), (4, "com/en/"), (5, "https://spam-farm.example.org/de/1"), (6, "http://net/de/"), (6, "http://net/de/"), (7, "http://bcom/en/")]
+    urls = [(1, "http://a.com/en/1"), (2, "http://x.EXAMPLE.com/en/77?q"), (3, None), (4, "com/en/"), (5, "https://spam-farm.example.org/fr/1"), (6, "http://net/de/"), (6, "http://net/de/"), (7, "http://bcom/en/")]
     df = spark.createDataFrame(urls, "page_id long, url string")
     got = sorted((r["page_id"], r["rule"] or "", r["verdict"]) for r in url_filter.judge(df).collect())
     assert got == [(1, "com/en/", "block"), (2, "example.com/en/7", "allow"), (3, "", "allow"), (4, "", "allow"), (5, "", "block"), (6, "net/de/", "block"), (6, "net/de/", "block"), (7, "", "allow")]
@@ -261,6 +311,167 @@ def test_copy_of_any_example_finds_it():
         assert len(found) and index.ids[found[0]] == i and abs(cosines[0] - 1) < 1e-9
 
 
+def test_repetitive_texts_need_little_memory():
+    """An item and a long text of one phrase over and over; the same with edits."""
+    import tracemalloc
+
+    items = ["ha " * 266 + "ha", "ha hi " * 100 + "ha", "one two three four five six seven eight nine ten eleven twelve"]
+    index = decontaminate.Index(np.arange(3), items, 0.05, decontaminate.Q)
+    tracemalloc.start()
+    got = index.matches("ha " * 100_000 + "end")
+    edited = index.matches(("ha " * 30 + "hu ") * 3_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300_000_000
+    assert [m[:2] for m in got] == [(0, 0)] and [m[:2] for m in edited] == [(0, edits(items[0], ("ha " * 30 + "hu ") * 30))]
+
+
+def test_long_item_does_not_widen_others():
+    words = [f"w{i}" for i in range(4000)]
+    index = decontaminate.Index(np.arange(2), [" ".join(words), "a short item of some thirty letters or more"], 0.05, decontaminate.Q)
+    assert index.half[1] <= 3 < index.half[0]
+
+
+def test_blocks_of_benchmark_agree_with_one(spark, monkeypatch):
+    """Three blocks are passes of their own, one index each, and find what one block finds."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdeinorst") for _ in range(rng.randrange(2, 8)))
+    items = [" ".join(word() for _ in range(20)) for _ in range(6)]
+    bench = spark.createDataFrame(list(enumerate(items)) + [(None, items[0])], "item_id long, text string")
+    rows = docs(spark, [(i, f"before {items[i % 6]} after" if i % 4 else "clean " * 9, None) for i in range(30)] + [(30, items[0] + " " + items[5], None), (30, None, None)] + ODD)
+    sizes = []
+    make = decontaminate.Index.__post_init__
+    monkeypatch.setattr(decontaminate.Index, "__post_init__", lambda self: (make(self), sizes.append(len(self.texts)))[0])
+    shape = lambda out: sorted((str(r["doc_id"]), r["n_items"], sorted(r["item_ids"]), r["least_edits"]) for r in out.collect())
+    one, three = (shape(decontaminate.report(rows, bench, block_chars=n)) for n in (1 << 20, 2 * len(items[0])))
+    assert one == three and len(one) == rows.count() and sizes[0] == 6 and max(sizes[1:]) <= 3 and len(sizes) > 3
+    assert decontaminate.filter_clean(rows, bench, block_chars=200).count() == sum(not n for _, n, _, _ in one)
+
+
+def test_leaks_query_against_full_alignment(spark):
+    """The query over the whole small table, each text and item aligned in full where a tenth of the item's q-grams is
+    shared, which no item within its budget can fall short of."""
+    from concord.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    items = {r["item_id"]: decontaminate.normalised(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    items = {i: t for i, t in items.items() if len(t) >= decontaminate.MIN_ITEM}
+    grams = lambda t: {t[k : k + decontaminate.Q] for k in range(len(t) - decontaminate.Q + 1)}
+    of_item = {i: grams(t) for i, t in items.items()}
+    got = {r["doc_id"]: r for r in queries.op6_benchmark_decontamination(spark, sf).collect()}
+    hits = 0
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        text = decontaminate.normalised(r["text"] or "")
+        mine, want = grams(text), {}
+        for i, item in items.items():
+            if 10 * len(mine & of_item[i]) >= len(of_item[i]):
+                e = 0 if item in text else edits(item, text)
+                if e <= decontaminate.budget(len(item), decontaminate.EDIT_RATE):
+                    want[i] = e
+        hits += len(want)
+        assert sorted(got[r["doc_id"]]["item_ids"]) == sorted(want) and got[r["doc_id"]]["least_edits"] == min(want.values(), default=None)
+    assert hits
+
+
+def test_lines_in_parts_agree(spark, monkeypatch):
+    """More boilerplate than is broadcast at once is taken in parts by host, null hosts too."""
+    rows = docs(spark, [(i, f"menu {i % 3}\nown line {i}\nfooter of {s}\n\n", s) for i in range(90) for s in ("a", "b", "c", None)] + ODD)
+    shape = lambda: sorted((str(r["doc_id"]), str(r["source"]), r["text"], r["n_dropped"]) for r in line_dedup.drop_boilerplate(rows).collect())
+    whole = shape()
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 5)
+    assert shape() == whole and sum(n for *_, n in whole) > 600
+
+
+def test_cascade_order_follows_costs(spark):
+    """The order comes from what rules cost and reject; verdicts don't depend on it."""
+    rows = docs(spark, [(i, (PROSE if i % 2 else "ALL CAPS HERE " * 30), "a") for i in range(60)])
+    slow = quality_rules.Rule("slow", F.regexp_count("text", F.lit(r"(\w+\s+){3,}Z")) > 0)
+    fast = quality_rules.Rule("fast", F.col("text").startswith("ALL"))
+    never = quality_rules.Rule("never", F.length("text") < 0)
+    ordered = quality_rules.order_rules(rows, [slow, never, fast])
+    assert ordered[0][0].name == "fast" and abs(ordered[0][2] - 0.5) < 1e-9 and all(seconds > 0 for _, seconds, _ in ordered)
+    kept = [sorted((r["doc_id"], r["kept"]) for r in quality_rules.judge(rows, rules).collect()) for rules in ([slow, fast], [fast, slow])]
+    assert kept[0] == kept[1]
+    assert quality_rules.sample_of(docs(spark, [(i, "t", None) for i in range(5000)]), 400).count() in range(300, 500)
+
+
+def test_label_model_against_enumeration():
+    """Posteriors and one round of expectation-maximisation worked out document by document."""
+    rng = random.Random(2)
+    votes = [tuple(rng.choice((-1, 0, 1)) for _ in range(3)) for _ in range(200)]
+    patterns = sorted(set(votes))
+    counts = np.array([votes.count(p) for p in patterns], float)
+    model = weak_quality.fit_labels(["a", "b", "c"], np.array(patterns), counts, rounds=1)
+    prior, good, bad = 0.8, weak_quality.GOOD_SAYS, weak_quality.BAD_SAYS
+    p = []
+    for v in votes:
+        g, b = prior, 1 - prior
+        for x in v:
+            g, b = g * good[x + 1], b * bad[x + 1]
+        p.append(g / (g + b))
+    assert abs(model.prior - sum(p) / len(p)) < 1e-12
+    for j in range(3):
+        for x in (-1, 0, 1):
+            said = sum(q for q, v in zip(p, votes) if v[j] == x) + good[x + 1]
+            assert abs(model.good[j, x + 1] - said / (sum(p) + 1)) < 1e-12
+            said = sum(1 - q for q, v in zip(p, votes) if v[j] == x) + bad[x + 1]
+            assert abs(model.bad[j, x + 1] - said / (len(p) - sum(p) + 1)) < 1e-12
+
+
+def test_shapes_by_the_short_way_and_the_long(monkeypatch):
+    words = ["word", "Word", "WORD", "W", "w", "WoRD,", "A.", "AB!", "x1", "12", "naïve", "Éa", "ÉÀ", "a--b", "...", "", "a,,", ",", "日本", "don't"]
+    short = [weak_quality.shape(w) for w in words]
+    monkeypatch.setattr(weak_quality, "_MARKS", frozenset())
+    monkeypatch.setattr(weak_quality, "shape", weak_quality.shape)
+
+    def long(word):
+        for pattern, to in weak_quality._LETTERS:
+            word = pattern.sub(to, word)
+        return weak_quality._MANY.sub(r"\1\1", word)[:12]
+
+    assert short == [long(w) for w in words]
+
+
+def test_sample_covers_the_whole_table(spark):
+    """Junk of a kind that only the last half of the table has is learned; copies of one text don't crowd others out."""
+    rng = random.Random(8)
+    prose = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) + ("." if k % 12 == 11 else "") for k in range(120))
+    rows = [(i, prose(), "a") for i in range(400)] + [(400 + i, PROSE, "a") for i in range(400)]
+    rows += [(800 + i, (prose() if i % 2 else " ".join(f"{w} | " for w in prose().split())), "a") for i in range(800)]
+    table = docs(spark, rows).coalesce(1).repartitionByRange(8, "doc_id")
+    sample = [r["text"] for r in weak_quality.sample_of(table, 200, weak_quality.Tables(spark, "t")).collect()]
+    again = [r["text"] for r in weak_quality.sample_of(docs(spark, rows[::-1]), 200, weak_quality.Tables(spark, "t")).collect()]
+    assert len(sample) == len(set(sample)) == 200 and sorted(sample) == sorted(again) and 40 < sum(" | " in t for t in sample) < 110
+    got = {r["doc_id"]: r["kept"] for r in weak_quality.classify(table).collect()}
+    assert not any(got[800 + i] for i in range(0, 800, 2)) and all(got[i] for i in range(400))
+
+
+def test_quality_query_against_labels(spark):
+    """The query over the whole middle table, held against its labels, which it never sees."""
+    from concord.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality is not null").collect()}
+    rows = [(labels[r["doc_id"]], r["kept"]) for r in queries.op1_quality_classifier(spark, sf).collect() if r["doc_id"] in labels]
+    kept = lambda q: sum(k for label, k in rows if label == q) / sum(label == q for label, _ in rows)
+    print(f"kept: {kept(1):.4f} of good, {kept(0):.4f} of bad")
+    assert kept(1) > 0.99 and kept(0) < 0.05
+
+
+def test_mix_counts_repeats_of_one_document(spark):
+    """Sources of one document over and over, of null ids with different texts, and of both."""
+    rows = [(7, "same text here", "a")] * 300 + [(None, f"text {i} of many", "b") for i in range(300)] + [(i, "w " * 10, "c") for i in range(300)]
+    out = mixing.mix(docs(spark, rows)).collect()
+    assert len(out) == 900
+    for name, size in (("a", 3), ("b", 4), ("c", 10)):
+        part = [r for r in out if r["source"] == name]
+        assert abs(sum(r["taken"] for r in part) - part[0]["target"]) <= size / 2 + 1e-9 and all(r["taken"] <= 3 * r["size"] for r in part)
+    count = lambda x: sorted((str(r["doc_id"]), r["source"], r["copies"]) for r in x)
+    assert count(mixing.mix(docs(spark, rows).repartition(3)).collect()) == count(out)
+    taken = mixing.mix_rows(docs(spark, rows)).groupBy("source").agg(F.sum(F.col("mixed_size") * F.col("copies").cast("long")).alias("n")).collect()
+    assert {r["source"]: r["n"] for r in taken} == {s: sum(r["taken"] for r in out if r["source"] == s) for s in "abc"}
+
+
 def test_mix_keeps_targets(spark):
     rng = random.Random(1)
     out = mixing.mix(docs(spark, [(i, "w " * rng.randrange(1, 50), rng.choice(["a", "b", "b", "b", None])) for i in range(400)])).collect()
@@ -294,7 +505,7 @@ def test_long_repetition_is_junk(spark):
     junk = [(i, (prose(20) + " ") * (40 + 20 * i), "a") for i in range(20)] + [(20 + i, (prose(2500) + " ") * 8, "a") for i in range(6)]
     good = [(100 + i, prose(200 + 40 * i), "a") for i in range(160)]
     texts = docs(spark, junk + good)
-    votes = texts.select("doc_id", F.split(F.trim("text"), " ").alias("words"), "text").select("doc_id", weak_quality.labellers()["variety"].alias("v"))
+    votes = texts.select("doc_id", F.split(F.trim("text"), " ").alias("words"), "text").withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).select("doc_id", weak_quality.labellers()["variety"].alias("v"))
     assert {r["doc_id"] for r in votes.collect() if r["v"] == 0} == set(range(26))
     assert all((weak_quality.features(t, weak_quality.Shapes())[1] > 0.3) == (i < 100) for i, t, _ in junk + good)
 
