@@ -29,9 +29,11 @@ from .common import small_batches, text_of
 
 #: Labelled examples indexed at most (of each label), terms whose postings are kept as a matrix, examples of a block on
 #: average (twice that at most), neighbours that vote.
-EXAMPLES = 3000
+EXAMPLES = 2000
 DENSE = 1024
-BLOCK = 16
+BLOCK = 32
+#: Queries whose postings are added up at once, so that what they take stays in a core's cache.
+SLICE = 16
 NEIGHBOURS = 15
 #: Chi-squared that doubles a term's weight. Cosines this far below the least one are looked at again.
 DOUBLES = 30.0
@@ -95,7 +97,10 @@ def clusters(rows: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
 
 def _runs(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Places begin, begin + 1, ... of each run, one run after the other."""
-    return np.repeat(begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+    if not len(count):
+        return np.empty(0, np.int32)
+    upto = np.cumsum(count, dtype=np.int32)
+    return np.repeat(begin - upto + count, count) + np.arange(upto[-1], dtype=np.int32)
 
 
 @dataclass
@@ -134,7 +139,7 @@ class Index:
         sizes = [min(2 * BLOCK, c - at) for c in np.bincount(of) for at in range(0, c, 2 * BLOCK)]
         self.edge = np.cumsum([0, *sizes])
         block = np.repeat(np.arange(len(sizes)), sizes)
-        self.start = np.cumsum([0, *(len(t) for t, _ in vectors)])
+        self.start = np.cumsum([0, *(len(t) for t, _ in vectors)]).astype(np.int32)
         self.term = np.concatenate([*(t for t, _ in vectors), np.empty(0, np.int64)]).astype(np.int32)
         self.weight = np.concatenate([*(w for _, w in vectors), np.empty(0)])
         self.dense = np.ascontiguousarray(common.T)
@@ -145,23 +150,24 @@ class Index:
         self.post, self.post_weight = example[by_term], self.weight[rare][by_term].astype(np.float32)
         key = self.term[rare][by_term].astype(np.int64) * max(1, len(sizes)) + block[self.post]
         first = np.flatnonzero(np.diff(key, prepend=-1)) if len(key) else np.empty(0, np.int64)
-        self.range = np.append(first, len(key))
-        self.max_block = block[self.post[first]]
+        self.range = np.append(first, len(key)).astype(np.int32)
+        self.max_block = block[self.post[first]].astype(np.int32)
         self.max_weight = np.maximum.reduceat(self.post_weight, first) if len(first) else np.empty(0, np.float32)
-        self.begin = np.searchsorted(key[first] // max(1, len(sizes)), np.arange(size + 1))
+        self.begin = np.searchsorted(key[first] // max(1, len(sizes)), np.arange(size + 1)).astype(np.int32)
 
     def _score(self, q: np.ndarray, rare: tuple, wanted: np.ndarray, out: np.ndarray) -> None:
         """Adds to out the cosines of queries (rows) and the examples of the blocks wanted."""
         for b in np.flatnonzero(wanted.any(0)):
             rows = np.flatnonzero(wanted[:, b])
             out[rows, self.edge[b] : self.edge[b + 1]] = q[rows] @ self.dense[:, self.edge[b] : self.edge[b + 1]]
-        row, entry, weight, block = rare
-        kept = np.flatnonzero(wanted[row, block])
-        begin = self.range[entry[kept]]
-        count = self.range[entry[kept] + 1] - begin
-        places = _runs(begin, count)
-        at = np.repeat(row[kept] * out.shape[1], count) + self.post[places]
-        out += np.bincount(at, np.repeat(weight[kept], count) * self.post_weight[places], out.size).reshape(out.shape)
+        for first, row, entry, weight, block in rare:
+            part = out[first : first + SLICE]
+            kept = np.flatnonzero(wanted[first : first + SLICE].ravel()[row * np.int32(wanted.shape[1]) + block])
+            begin = self.range[entry[kept]]
+            count = self.range[entry[kept] + 1] - begin
+            places = _runs(begin, count)
+            at = np.repeat(row[kept] * np.int32(out.shape[1]), count) + self.post[places]
+            part += np.bincount(at, np.repeat(weight[kept], count) * self.post_weight[places], part.size).reshape(part.shape)
 
     def nearest_all(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each vector the k examples of the largest cosine over 0, ties to the earlier example."""
@@ -177,14 +183,18 @@ class Index:
         q, split = np.zeros((m, len(self.dense)), np.float32), [np.searchsorted(t, DENSE) for t, _ in vectors]
         for row, (t, w), at in zip(q, vectors, split):
             row[t[:at]] = w[:at]
-        term = np.concatenate([t[at:] for (t, _), at in zip(vectors, split)])
-        weight = np.concatenate([w[at:] for (_, w), at in zip(vectors, split)]).astype(np.float32)
-        row = np.repeat(np.arange(m), [len(t) - at for (t, _), at in zip(vectors, split)])
-        begin = self.begin[term]
-        count = self.begin[term + 1] - begin
-        entry = _runs(begin, count)
-        rare = (np.repeat(row, count), entry, np.repeat(weight, count), self.max_block[entry])
-        bound = q @ self.dense_max + np.bincount(rare[0] * blocks + rare[3], rare[2] * self.max_weight[entry], m * blocks).reshape(m, blocks)
+        bound, rare = q @ self.dense_max, []
+        for at in range(0, m, SLICE):
+            some = [(t[c:], w[c:]) for (t, w), c in zip(vectors[at : at + SLICE], split[at : at + SLICE])]
+            term = np.concatenate([t for t, _ in some])
+            begin = self.begin[term]
+            count = self.begin[term + 1] - begin
+            entry = _runs(begin, count)
+            row = np.repeat(np.repeat(np.arange(len(some), dtype=np.int32), [len(t) for t, _ in some]), count)
+            weight = np.repeat(np.concatenate([w for _, w in some]).astype(np.float32), count)
+            block = self.max_block[entry]
+            rare.append((at, row, entry, weight, block))
+            bound[at : at + SLICE] += np.bincount(row * np.int32(blocks) + block, weight * self.max_weight[entry], len(some) * blocks).reshape(-1, blocks)
         first, near, least = np.zeros((m, blocks), bool), np.zeros((m, n), np.float32), np.zeros(m)
         first[np.arange(m)[:, None], np.argpartition(-bound, min(2, blocks - 1), axis=1)[:, :2]] = True
         gone = np.flatnonzero(leave >= 0)
@@ -256,9 +266,13 @@ def fit(examples: list[tuple[int, str, int]], prior: float) -> Index:
     for t, c in bags:
         by_number = np.argsort(place[t])
         vectors.append(index.weighed(place[t][by_number], c[by_number]))
+    del bags, known, every
     index.build(vectors)
-    vectors = [(index.term[a:b].astype(np.int64), index.weight[a:b]) for a, b in zip(index.start, index.start[1:])]
-    got = [x for at in range(0, len(vectors), 256) for x in index.nearest_all(vectors[at : at + 256], NEIGHBOURS, list(range(at, min(at + 256, len(vectors)))))]
+    del vectors
+    got, n = [], len(index.ids)
+    for at in range(0, n, 64):
+        some = [(index.term[a:b].astype(np.int64), index.weight[a:b]) for a, b in zip(index.start[at : at + 64], index.start[at + 1 : at + 65])]
+        got += index.nearest_all(some, NEIGHBOURS, list(range(at, min(at + 64, n))))
     index.alpha = calibrate(np.array([index.vote(*x) for x in got]), index.labels, prior)
     return index
 
