@@ -6,9 +6,12 @@ prefixes of both must meet: in three light tokens (the prefix is extended by two
 light tokens and its prefix reaches into the heavy ones, in a combination of two tokens of one class of heavy tokens.
 Only pairs that meet so are compared, and every one is verified on whole sets.
 
-Equal sets are one node from the start. Signatures that few sets share give pairs; sets that share a signature with
-many others form clusters that are compared block by block, so that no task holds a whole cluster and no row is made
-for a pair that isn't a link.
+Equal sets are one node from the start. Signatures that few sets share give pairs. Sets that share a signature with
+many others form clusters. Each set of a cluster is compared with the cluster's first set, its representative: those
+similar to it are linked by that and never compared with each other. As the Jaccard distance is a metric, two sets can
+be similar only if their distances from the representative differ by no more than similar sets do. So the rest is dealt
+into rings by that distance, and only sets of a ring and the next one are compared, block by block, so that no task
+holds a whole ring and no row is made for a pair that isn't a link.
 
 Defined results: null and empty texts have the empty set and are linked with nothing; a text shorter than the width is
 one token; rows with equal ids keep rows of their own, judged by their own text; a null id stays null; an empty table
@@ -223,16 +226,63 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], left: np.ndarray, perce
     return out
 
 
+def _rings(percent: int):
+    """(root, node, ring, linked): how far each set is from its cluster's representative, in distances within which sets
+    are similar, rounded down, and whether both are similar."""
+
+    def run(batches):
+        for batch in batches:
+            xs, ys = batch.column("tokens"), batch.column("pivot")
+            rings, linked = [], []
+            for i in range(batch.num_rows):
+                x, y = np.frombuffer(xs[i].as_py(), np.uint64), np.frombuffer(ys[i].as_py(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                union = len(x) + len(y) - both
+                rings.append(100 * (union - both) // max(1, (100 - percent) * union))
+                linked.append(100 * both >= percent * union)
+            yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("node"), pa.array(rings, pa.int32()), pa.array(linked, pa.bool_())], ["root", "node", "ring", "linked"])
+
+    return run
+
+
 def _block_pairs(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = [np.frombuffer(t, np.uint64) for t in pdf["tokens"]]
-        left = (pdf["block"] == pdf["p"]).to_numpy()
-        links = block_links(pdf["id"].to_numpy(), sets, left, percent) if left.any() and ((pdf["p"] == pdf["q"]).all() or (~left).any()) else []
+        left, one = pdf["left"].to_numpy(), bool(pdf["one"].iloc[0])
+        links = block_links(pdf["id"].to_numpy(), sets, left, percent) if left.any() and (one or not left.all()) else []
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def cluster_links(clusters: DataFrame, sets: DataFrame, percent: int, tables: Tables) -> DataFrame:
+    """(a, b): links that connect all similar sets of each cluster (node, root). sets: (id, tokens)."""
+    blocks = lambda n: F.ceil(n / BLOCK)
+    sizes = clusters.groupBy("root").agg(blocks(F.count(F.lit(1))).alias("blocks"))
+    placed = clusters.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    members = placed.join(sets, placed.node == sets.id)
+    pivots = members.where("node = root").select("root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("tokens").alias("pivot"))
+    near = members.select("root", "block", "node", "tokens").join(pivots, ["root", "block"]).select("root", "node", "tokens", "pivot")
+    near = tables.put(near.mapInArrow(_rings(percent), "root long, node long, ring int, linked boolean"))
+
+    # cells: rings from 1 on of sets that aren't linked, -1 and -2 of linked ones in ring 0 and (just at the limit) ring 1
+    rows = near.select("root", "node", F.when(F.col("linked"), -1 - F.col("ring")).otherwise(F.col("ring")).alias("cell"))
+    cells = tables.put(rows.groupBy("root", "cell").agg(blocks(F.count(F.lit(1))).alias("blocks")))
+    a, b = (cells.select("root", F.col("cell").alias(x), F.col("blocks").alias("n" + x)) for x in "ab")
+    meet = a.join(b, "root").where("a > 0 and (b in (a, a + 1) or (b = -1 and a = 1) or (b = -2 and a in (1, 2)))")
+    meet = tables.put(meet)
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    first = rows.join(meet.withColumnRenamed("a", "cell"), ["root", "cell"]).select("root", F.col("cell").alias("a"), "b", "node", mine("na").alias("i"), upto("nb").alias("j"))
+    same = F.col("a") == F.col("b")
+    first = first.select("root", "a", "b", "node", F.when(same, F.least("i", "j")).otherwise(F.col("i")).alias("p"), F.when(same, F.greatest("i", "j")).otherwise(F.col("j")).alias("q"), (~same | (F.col("i") <= F.col("j"))).alias("left"))
+    second = rows.join(meet.where("a <> b").withColumnRenamed("b", "cell"), ["root", "cell"]).select("root", "a", F.col("cell").alias("b"), "node", upto("na").alias("p"), mine("nb").alias("q"), F.lit(False).alias("left"))
+    dealt = first.union(second).withColumn("one", same & (F.col("p") == F.col("q")))
+    in_blocks = dealt.join(sets, dealt.node == sets.id).select("root", "a", "b", "p", "q", "one", "left", "id", "tokens")
+    found = in_blocks.groupBy("root", "a", "b", "p", "q").applyInPandas(_block_pairs(percent), "a long, b long")
+    return near.where("linked and node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(found)
+
+
 def _of_ids(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     return docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, docs.doc_id == ids.id, "left_semi")
 
@@ -283,13 +333,7 @@ def join_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataF
     with_y = with_x.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
     links = with_y.select("a", "x", "b", "y").mapInArrow(_similar(percent), "a long, b long")
 
-    sizes = clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    placed = clusters.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = placed.select("root", "node", "block", other).select("root", "node", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
-    in_blocks = dealt.join(sets, dealt.node == sets.id).select("root", "p", "q", "block", "id", "tokens")
-    block_found = in_blocks.groupBy("root", "p", "q").applyInPandas(_block_pairs(percent), "a long, b long")
-    found_links = tables.put(links.union(block_found))
+    found_links = tables.put(links.union(cluster_links(clusters, sets, percent, tables)))
     tables.drop(shared, pairs, asked, sets)
 
     roots = tables.put(components(found_links, tables))

@@ -171,13 +171,19 @@ def test_urls(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
-def test_join_against_brute_force(spark, width, percent, monkeypatch):
+@pytest.mark.parametrize("width,percent,changes", [(3, 90, {}), (5, 80, {}), (5, 80, {"MAX_HEAVY": 20, "BROADCAST_IDS": 1}), (3, 80, {"FEW": 2})])
+def test_join_against_brute_force(spark, width, percent, changes, monkeypatch):
+    """Clusters of near copies, chains in which ends differ, templates that share a part only; every switch both ways."""
     rng = random.Random(width)
-    monkeypatch.setattr(ngram_join, "HEAVY", 4)
-    monkeypatch.setattr(ngram_join, "FEW", 6)
-    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    for name, value in {"HEAVY": 4, "FEW": 6, "BLOCK": 8, **changes}.items():
+        monkeypatch.setattr(ngram_join, name, value)
     rows = []
+    chain = [f"c{i}" for i in range(60)]
+    for i in range(40):
+        rows.append((len(rows), " ".join(chain), None))
+        chain[rng.randrange(60)] = f"d{i}"
+    for i in range(30):
+        rows.append((len(rows), " ".join([f"t{k}" for k in range(40)] + [f"u{i % 9}_{k}" for k in range(rng.choice([4, 5, 20]))]), None))
     for g in range(12):
         base = [f"w{rng.randrange(300)}" for _ in range(rng.choice([8, 30, 60, 120]))]
         for _ in range(rng.choice([1, 2, 5, 30])):
@@ -236,7 +242,7 @@ def test_nearest_is_exact():
     examples = [(i, text(rng.randrange(1, 120)), int(i % 3 == 0)) for i in range(500)]
     examples += [(500 + i, examples[i][1], 1) for i in range(40)] + [(900, "", 0)]
     index = toxicity.fit(examples, 0.3)
-    assert len(index.vocabulary) > toxicity.DENSE and len(index.edge) > 20
+    assert len(index.vocabulary) > toxicity.DENSE and len(index.edge) > 10
     by_id = {i: dict(zip(*index.vector(toxicity.terms(t)))) for i, t, _ in examples}
     for query in [text(n) for n in (1, 3, 40, 400)] + [examples[7][1], "nothing known", ""]:
         t, w = index.vector(toxicity.terms(query))
