@@ -10,6 +10,6 @@ os.environ["PYTHONPATH"] = sys.path[0] + os.pathsep + os.environ.get("PYTHONPATH
 
 @pytest.fixture(scope="session")
 def spark():
-    s = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g").getOrCreate()
+    s = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "2").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g").getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     return s

@@ -150,6 +150,7 @@ def test_settings(spark):
 
 def test_order_over_partitions(spark):
     """Places, sums and the row before, over many range partitions and one group with nearly all rows."""
+    before_ = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "7")
     rows = [("a" if i % 50 else "b", i, i % 5) for i in range(1000)]
     df = spark.createDataFrame(rows, "g string, i long, v long").repartition(5)
@@ -160,7 +161,7 @@ def test_order_over_partitions(spark):
         assert got[g, i] == sums[g]
     before = {r["i"]: r["p"] and r["p"]["i"] for r in order.with_previous(df, ["i"], ["i"], "p", Store(spark, "t")).collect()}
     assert before == {i: i - 1 if i else None for i in range(1000)}
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.shuffle.partitions", before_)
 
 
 def test_order_audit(spark):
