@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concord.sources.store import SMALL_ROWS, Store, broadcast_if_small
+from concord.sources.store import SMALL_ROWS, Store
 
 from .order import running
 
@@ -32,7 +32,8 @@ def find_cuts(counts: DataFrame, totals: dict[str, int], k: int, sequential: boo
             for i in range(done, k - 1):
                 at += _size(totals[c], k, i)
                 wanted.append((c, i, min(at, totals[c])))
-        asked = broadcast_if_small(spark.createDataFrame(wanted, "contig string, i int, want long"))
+        asked = spark.createDataFrame(wanted, "contig string, i int, want long")
+        asked = F.broadcast(asked) if len(wanted) <= SMALL_ROWS else asked
         hits = counts.join(asked, "contig").where("upto >= want and upto - n < want").select("contig", "i", "want", "upto")
         found = sorted((r["contig"], r["i"], r["want"], r["upto"]) for r in hits.collect())
         moved: set[str] = set()
@@ -55,7 +56,8 @@ def balanced_ranges(df: DataFrame, contig: str, pos: str, k: int, store: Store,
     totals = {r["contig"]: r["total"] for r in spans.collect()}
     cuts = find_cuts(counts, totals, k, mode == "sequential")
     bounds = [(c, b) for c in cuts for b in sorted({x for x in cuts[c] if 0 < x < totals[c]} | {totals[c]})]
-    ends = broadcast_if_small(df.sparkSession.createDataFrame(bounds, "contig string, b long"))
+    ends = df.sparkSession.createDataFrame(bounds, "contig string, b long")
+    ends = F.broadcast(ends) if len(bounds) <= SMALL_ROWS else ends
     last = counts.join(ends, (counts.contig == ends.contig) & (F.col("upto") == F.col("b"))).select(ends.contig, "b", F.col("pos").alias("last"))
     following = counts.join(ends, (counts.contig == ends.contig) & (F.col("upto") - F.col("n") == F.col("b"))).select(ends.contig, "b", F.col("pos").alias("next"))
     rows = last.join(following, ["contig", "b"], "left").join(spans.select("contig", "lo"), "contig")

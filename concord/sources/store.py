@@ -1,4 +1,4 @@
-"""Intermediate tables in the folder that driver and executors share, and small tables worth a broadcast."""
+"""Intermediate tables in the folder that driver and executors share, and how long a table is worth a broadcast."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Tables of no more rows than this are sent to all tasks; longer ones are joined by shuffle.
 SMALL_ROWS = 100_000
@@ -65,8 +64,3 @@ def replace(spark: SparkSession, staged: str, path: str) -> None:
     fs.delete(target, True)
     if not fs.rename(source, target):
         raise OSError(f"{staged} can't be moved to {path}")
-
-
-def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A broadcast hint for a table of at most so many rows, which one pass of limited length finds out."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
