@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, licenses, line_dedup, mixing, ngram_join, quality_rules, toxicity, url_filter, weak_quality
+from . import byte_bpe, chat_format, decontaminate, licenses, line_dedup, mixing, ngram_join, quality_rules, toxicity, url_filter, weak_quality
 from .common import table
 
 
@@ -51,5 +52,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents")).drop("links")
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_license_scans, op3_quality_rules, op4_toxicity, op5_chat_formatting, op6_benchmark_decontamination, op7_url_filters, op8_line_dedup, op9_mixing, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_license_scans, op3_quality_rules, op4_toxicity, op5_chat_formatting, op6_benchmark_decontamination, op7_url_filters, op8_line_dedup, op9_mixing, op10_ngram_jaccard_join, op13_byte_bpe)}
