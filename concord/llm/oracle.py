@@ -72,6 +72,16 @@ y as (select *, base + case when upto <= need then 1 when upto - g <= need and n
 select doc_id, size, source_size, target, cast(k * size as bigint) as taken, cast(k as bigint) as copies from y
 """
 
+NEGATIVES = """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, a.label as wanted, b.vec_id, b.label, cast(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) as bigint) as score from e a join e b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where label = wanted qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as int) as rank, vec_id as negative_id, positive_score, score as negative_score
+from p join s on p.anchor_id = s.anchor_id and label <> wanted and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) <= 10
+"""
+
 
 def sql() -> dict[str, str]:
-    return {"op3_quality_rules": QUALITY_RULES, "op5_chat_formatting": CHAT, "op7_url_filters": URLS, "op8_line_dedup": LINES, "op9_mixing": MIX}
+    return {"op3_quality_rules": QUALITY_RULES, "op5_chat_formatting": CHAT, "op7_url_filters": URLS, "op8_line_dedup": LINES, "op9_mixing": MIX, "op11_hard_negatives": NEGATIVES}

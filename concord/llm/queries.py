@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, cross_tokens, decontaminate, licenses, line_dedup, mixing, ngram_join, quality_rules, toxicity, url_filter, weak_quality
+from . import byte_bpe, chat_format, cross_tokens, decontaminate, hard_negatives, licenses, line_dedup, mixing, ngram_join, quality_rules, toxicity, url_filter, weak_quality
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents")).drop("links")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = cross_tokens.read_models(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     return cross_tokens.align(table(spark, sf_dir, "documents"), *models, digest=True).withColumnRenamed("groups", "groups_sha256")
@@ -63,4 +67,4 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_license_scans, op3_quality_rules, op4_toxicity, op5_chat_formatting, op6_benchmark_decontamination, op7_url_filters, op8_line_dedup, op9_mixing, op10_ngram_jaccard_join, op12_cross_tokenizer_alignment, op13_byte_bpe)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_license_scans, op3_quality_rules, op4_toxicity, op5_chat_formatting, op6_benchmark_decontamination, op7_url_filters, op8_line_dedup, op9_mixing, op10_ngram_jaccard_join, op11_hard_negatives, op12_cross_tokenizer_alignment, op13_byte_bpe)}
