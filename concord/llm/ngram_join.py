@@ -13,9 +13,13 @@ be similar only if their distances from the representative differ by no more tha
 into rings by that distance, and only sets of a ring and the next one are compared, block by block, so that no task
 holds a whole ring and no row is made for a pair that isn't a link.
 
-Defined results: null and empty texts have the empty set and are linked with nothing; a text shorter than the width is
-one token; rows with equal ids keep rows of their own, judged by their own text; a null id stays null; an empty table
-gives an empty result; extra columns don't matter.
+Sets are named by numbers of their own, never by ids of documents, so that rows are judged by their own text whatever
+their ids. A set's tokens are read again from the rows of its smallest id (from those without an id, if all lack one).
+
+Defined results: null and empty texts have the empty set and are linked with nothing, their component is their own id; a
+text shorter than the width is one token; rows with equal ids keep rows of their own, judged by their own text; a row
+without an id has the smallest id that its links reach, null if there is none; an empty table gives an empty result;
+extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -24,10 +28,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Tables, small_batches, text_of
+from .common import Tables, free_name, small_batches, text_of
 from .components import components
 
 #: A signature that more sets share is handled by blocks. A token that more windows hold is heavy.
@@ -47,6 +51,11 @@ _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 _S = np.uint64(29)
 
 
+def mark_of(text) -> Column:
+    """A digest of a whole text, 16 bytes."""
+    return F.unhex(F.md5(text))
+
+
 class _Words(dict):
     """64-bit hashes of words; starts anew when it has grown large."""
 
@@ -133,14 +142,16 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
 
 
+def _key(tokens: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(tokens.tobytes())
+
+
 def _first_tokens(width: int, percent: int):
     def run(batches):
         words = _Words()
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            sets = [shingles(t, width, words) for t in texts]
-            keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), _lists([s[: _window(len(s), percent)] for s in sets])], ["doc_id", "n", "key", "win"])
+            sets = [shingles(t, width, words) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(map(len, sets), pa.int64()), pa.array(map(_key, sets), pa.binary()), _lists([s[: _window(len(s), percent)] for s in sets])], ["doc_id", "mark", "n", "key", "win"])
 
     return run
 
@@ -150,7 +161,7 @@ def _sets(width: int):
         words = _Words()
         for batch in batches:
             sets = [shingles(t, width, words) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(map(len, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(map(_key, sets), pa.binary()), pa.array(map(len, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "n", "tokens"])
 
     return run
 
@@ -283,20 +294,33 @@ def cluster_links(clusters: DataFrame, sets: DataFrame, percent: int, tables: Ta
     return near.where("linked and node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(found)
 
 
-def _of_ids(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    return docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, docs.doc_id == ids.id, "left_semi")
+def _sets_of(texts: DataFrame, wanted: DataFrame, width: int, repeats: bool) -> DataFrame:
+    """(id, n, tokens) of the sets wanted (id, doc, key). repeats: whether ids of documents are repeated or null."""
+    per = wanted.agg(F.count(F.lit(1)).alias("n"), F.count("doc").alias("docs")).first()
+    send = F.broadcast if per["n"] <= BROADCAST_IDS else (lambda df: df)
+    docs = send(wanted.where("doc is not null").select("doc").distinct())
+    rows = texts.join(docs, texts.doc_id == docs.doc, "left_semi")
+    if per["docs"] < per["n"]:
+        rows = rows.union(texts.where("doc_id is null"))
+    sets = rows.select("text").mapInArrow(_sets(width), "key binary, n long, tokens binary").where("n > 0")
+    found = sets.join(send(wanted.select("id", "key")), "key").select("id", "n", "tokens")
+    return found.groupBy("id").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")) if repeats else found
 
 
-def join_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id, links): a row per document. component_id is the smallest id that links reach;
-    links counts the representative's links to other sets that were needed to connect it."""
+def _joined(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, mark, n, root, component, links): a row per document. mark: a digest of its text; root: the number of its
+    component, null for the empty set; component: the smallest id in it."""
     spark = docs.sparkSession
     small_batches(spark)
     tables = Tables(spark, "ngrams")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    first = tables.put(texts.mapInArrow(_first_tokens(width, percent), "doc_id long, n long, key binary, win array<long>"))
-    rows = tables.put(first.select("doc_id", "n", "key"))
-    nodes = tables.put(first.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("win").alias("tokens")))
+    marked = texts.withColumn("mark", mark_of("text"))
+    first = tables.put(marked.mapInArrow(_first_tokens(width, percent), "doc_id long, mark binary, n long, key binary, win array<long>"))
+    rows = tables.put(first.select("doc_id", "mark", "n", "key"))
+    repeats = not rows.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty()
+    sets_ = first.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("win").alias("tokens"))
+    nodes = tables.put(sets_.withColumn("id", F.monotonically_increasing_id()))
+    names = tables.put(nodes.select("id", "doc", "key"))
     tables.drop(first)
 
     counts = nodes.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
@@ -311,9 +335,8 @@ def join_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataF
     shape = "sig long, id long, n long, light boolean, done boolean"
     short = nodes.select("id", "n", "tokens").mapInArrow(_signature_rows(heavy, percent, False), shape)
     made = tables.put(short)
-    deep = made.where("not done").select("id").distinct()
-    again = _of_ids(texts, deep, deep.count()).mapInArrow(_sets(width), "id long, n long, tokens binary")
-    more = again.where("n > 0").mapInArrow(_signature_rows(heavy, percent, True), shape).select("sig", "id", "n", "light")
+    deep = tables.put(names.join(made.where("not done").select("id").distinct(), "id", "left_semi"))
+    more = _sets_of(texts, deep, width, repeats).mapInArrow(_signature_rows(heavy, percent, True), shape).select("sig", "id", "n", "light")
     every = made.where("done").select("sig", "id", "n", "light").union(more)
     per = Window.partitionBy("sig")
     shared = tables.put(every.withColumns({"c": F.count(F.lit(1)).over(per), "pivot": F.min("id").over(per)}).where("c > 1"))
@@ -327,8 +350,9 @@ def join_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataF
     many = shared.where(F.col("c") > FEW).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     clusters = tables.put(components(many, tables))
 
-    asked = tables.put(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(clusters.select("node")).distinct())
-    sets = tables.put(_of_ids(texts, asked, asked.count()).mapInArrow(_sets(width), "id long, n long, tokens binary").where("n > 0"))
+    linked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(clusters.select("node")).distinct()
+    asked = tables.put(names.join(linked, "id", "left_semi"))
+    sets = tables.put(_sets_of(texts, asked, width, repeats))
     with_x = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
     with_y = with_x.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
     links = with_y.select("a", "x", "b", "y").mapInArrow(_similar(percent), "a long, b long")
@@ -338,7 +362,40 @@ def join_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataF
 
     roots = tables.put(components(found_links, tables))
     degree = found_links.select(F.col("a").alias("node")).union(found_links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    reps = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("node"))
-    named = reps.join(roots, "node", "left").join(degree, "node", "left").select("key", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-    out = rows.join(named, "key", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    members = roots.join(names.select(F.col("id").alias("node"), "doc"), "node")
+    members = members.join(members.groupBy("root").agg(F.min("doc").alias("component")), "root").join(degree, "node", "left")
+    named = names.join(members.select(F.col("node").alias("id"), "root", "component", "links"), "id", "left")
+    named = named.select("key", F.coalesce("root", "id").alias("root"), F.when(F.col("root").isNull(), F.col("doc")).otherwise(F.col("component")).alias("component"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    return rows.join(named, "key", "left")
+
+
+def join_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+    """(doc_id, n_shingles, component_id, links): a row per document. component_id is the smallest id that links reach;
+    links counts the representative's links to other sets that were needed to connect it."""
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    return _joined(docs, width, percent).select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
+
+
+def keep_one(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Rows of docs, all columns: of each component the row of the smallest id (without an id if all are), and of several
+    rows of that id the one whose text's digest is the smallest. Documents without words all stay."""
+    tables = Tables(docs.sparkSession, "kept")
+    rows = tables.put(_joined(docs, width, percent).select("doc_id", "mark", "root"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("m")
+    kept = rows.where("root is not null").groupBy("root").agg(first).select("m.doc_id", "m.mark")
+    kept = tables.put(kept.union(rows.where("root is null").select("doc_id", "mark").distinct()))
+    send = F.broadcast if kept.count() <= BROADCAST_IDS else (lambda df: df)
+    place, mark = free_name(docs, "place"), free_name(docs, "mark")
+    at = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"))
+    marked = docs.withColumns({place: at, mark: mark_of(text_of())})
+
+    def among(df: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
+        wanted = send(wanted.select(at.alias("p"), F.col("mark").alias("m")))
+        return df.join(wanted, (df[place] == wanted["p"]) & (df[mark] == wanted["m"]), how)
+
+    out = among(marked, kept, "left_semi")
+    twice = rows.where("root is not null").groupBy("doc_id", "mark").count().where("count > 1").select("doc_id", "mark")
+    twice = tables.put(twice.join(kept, twice.doc_id.eqNullSafe(kept.doc_id) & (twice.mark == kept.mark), "left_semi"))
+    if not twice.isEmpty():
+        out = among(out, twice, "left_anti").unionByName(among(out, twice, "left_semi").dropDuplicates([place, mark]))
+    return out.select(*docs.columns)

@@ -491,11 +491,23 @@ def test_stages_keep_rows_of_equal_and_null_ids(spark):
     texts = {k: " ".join(f"{k}{n}" for n in range(60)) for k in "pqr"}
     rows = docs(spark, [(1, texts["p"], "a"), (1, texts["p"], "a"), (1, texts["q"], "a"), (None, texts["r"], "a"), (None, texts["r"], None)])
     kept = corpus_pipeline.near_duplicates(spark, rows, "")
-    assert sorted((r["doc_id"] or 0, r["text"][0]) for r in kept.collect()) == [(0, "r"), (0, "r"), (1, "p"), (1, "q")]
+    assert sorted((r["doc_id"] or 0, r["text"][0]) for r in kept.collect()) == [(0, "r"), (1, "p"), (1, "q")]
     mixed = corpus_pipeline.mix_sources(spark, rows, "").collect()
     assert len(mixed) <= 5 and all(r["mixed_size"] == 60 for r in mixed)
 
 
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_rows_of_one_id_are_judged_by_their_own_text(spark, monkeypatch, broadcast):
+    """Q shares its id with a copy of P, which isn't the smallest of P's group; copies without an id go too."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", broadcast)
+    p, q, r, s = (" ".join(f"{k}{n}" for n in range(90)) for k in "pqrs")
+    rows = [(1, p, "a"), (5, p + " tail", "a"), (5, q, "a"), (7, r, "a"), (None, r, "a"), (None, r + " end", "b"), (None, s, "a"), (None, s, "a"), (9, q + " more", "b"), (9, "", "b"), (9, None, "b"), (5, q, "c")]
+    kept = corpus_pipeline.near_duplicates(spark, docs(spark, rows), "")
+    assert sorted((str(x["doc_id"]), str(x["text"])) for x in kept.collect()) == sorted([("1", p), ("5", q), ("7", r), ("None", s), ("9", ""), ("9", "None")])
+    found = ngram_join.join_components(docs(spark, rows), 5, 80).collect()
+    assert sorted((str(x["doc_id"]), x["n_shingles"], str(x["component_id"])) for x in found) == sorted([("1", 86, "1"), ("5", 87, "1"), ("5", 86, "5"), ("5", 86, "5"), ("7", 86, "7"), ("None", 86, "7"), ("None", 87, "7"), ("None", 86, "None"), ("None", 86, "None"), ("9", 87, "5"), ("9", 0, "9"), ("9", 0, "9")])
+
+
 def test_weak_labels_tell_junk(spark):
     junk = [(i, " ".join(f"w{k}&&&" for k in range(80)), "a") for i in range(20)] + [(20 + i, "same " * 90, "a") for i in range(20)]
     good = [(100 + i, PROSE + f" Tail{i} ends here.", "a") for i in range(160)]
