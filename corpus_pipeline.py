@@ -32,15 +32,8 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays; of rows with one id and text, one."""
-    found = ngram_join.join_components(docs, WIDTH, PERCENT)
-    keep = Tables(spark, "kept").put(found.where((F.col("doc_id") == F.col("component_id")) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("id")))
-    out = docs.join(keep, docs.doc_id.eqNullSafe(keep.id), "left_semi")
-    per = keep.where("id is not null").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids")).first()
-    if per["n"] == per["ids"]:
-        return out
-    named = out.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(out.where("doc_id is null"))
+    """Of each group of linked documents the one with the smallest id stays, however many rows have that id or none."""
+    return ngram_join.keep_one(docs, WIDTH, PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
