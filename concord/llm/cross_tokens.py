@@ -26,6 +26,7 @@ import functools
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 from operator import itemgetter
 from typing import NamedTuple
 
@@ -135,21 +136,69 @@ class Aligner:
         if odd := [p for p in names if re.search("[^▁]▁", p)]:
             raise ValueError(f"pieces with a space within: {odd[:5]}")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+        lengths = {i: len(t) for i, t in self.a_bytes.items()}
+        self.a_length = np.array([lengths.get(i, 0) for i in range(max(lengths) + 1)])
+        self.b_length = np.array([len(t) for t in self.b_bytes])
+        self.names = np.array([str(i) for i in range(max(len(self.a_length), len(self.b_length)))], object)
         self.known: dict[str, tuple[bytes, bytes, int]] = {}
 
-    def _encoded(self, stretches: list[str]) -> Iterator[tuple[list[int], list[int], list[bytes], list[bytes]]]:
-        """Ids and bytes of both sides, no ids where a side doesn't give the text back."""
-        a = self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)
-        for s, x, j in zip(stretches, a, self.b.encode(stretches, num_threads=1), strict=True):
-            i = x.ids
-            p, q = [self.a_bytes[t] for t in i], [self.b_bytes[t] for t in j]
-            raw = (" " + s).encode("utf-8", "surrogatepass")
-            yield (i, j, p, q) if b"".join(p) == raw == b"".join(q) else ([], [], [], [])
+    def _encoded(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+        """Ids of both sides, and whether both give a stretch back. All are compared in one go; only if something differs
+        is each looked at."""
+        spaced = [" " + s for s in stretches]
+        a = [x.ids for x in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        b = self.b.encode(stretches, num_threads=1)
+        raw = [s.encode("utf-8", "surrogatepass") for s in spaced]
+        ends = np.cumsum(list(map(len, raw)))
+        whole, same = b"".join(raw), True
+        for ids, of, lengths in ((a, self.a_bytes, self.a_length), (b, self.b_bytes, self.b_length)):
+            flat = list(chain.from_iterable(ids))
+            at = np.cumsum(lengths[flat])[np.cumsum(list(map(len, ids))) - 1] if flat else np.empty(0)
+            same = same and np.array_equal(at, ends) and b"".join(map(of.__getitem__, flat)) == whole
+        if same:
+            return a, b, [True] * len(raw)
+        side = lambda ids, of: b"".join(map(of.__getitem__, ids))
+        return a, b, [side(i, self.a_bytes) == r == side(j, self.b_bytes) for i, j, r in zip(a, b, raw, strict=True)]
 
     def learn(self, stretches: list[str]) -> None:
-        """Aligns stretches: their groups as text, pairs of ids, and how many tokens and groups, in one number."""
-        for s, (i, j, p, q) in zip(stretches, self._encoded(stretches), strict=True):
-            self.known[s] = _aligned(i, j, list(map(len, p)), list(map(len, q))) if i else (b"", b"", _BAD)
+        """Aligns stretches, all in one go: their groups as text, pairs of ids, and how many tokens and groups, in one
+        number. Laid end to end they are one document, with a cut at each end."""
+        if not stretches:
+            return
+        a, b, back = self._encoded(stretches)
+        self.known.update((s, (b"", b"", _BAD)) for s, ok in zip(stretches, back, strict=True) if not ok)
+        good = [x for x, ok in zip(zip(stretches, a, b, strict=True), back, strict=True) if ok]
+        if not good:
+            return
+        ids, ends, at = [], [], []
+        for side, lengths in ((1, self.a_length), (2, self.b_length)):
+            ids.append(np.array(list(chain.from_iterable(x[side] for x in good)), np.int64))
+            ends.append(np.cumsum(lengths[ids[-1]]))
+            at.append(np.cumsum([0, *(len(x[side]) for x in good)]))
+        cuts = np.intersect1d(*ends, assume_unique=True)
+        of = [np.searchsorted(cuts, e) for e in ends]  # the group of each token
+        firsts = [np.searchsorted(g, np.arange(len(cuts))) for g in of]
+        stretch_ends = ends[0][at[0][1:] - 1]
+        begins = np.unique(np.concatenate([[0], *(e[:-1] for e in ends)]))
+        pairs = ids[0][np.searchsorted(ends[0], begins, side="right")] << 32 | ids[1][np.searchsorted(ends[1], begins, side="right")]
+        links = np.concatenate([[0], np.searchsorted(begins, stretch_ends)]) * 8
+        groups = np.concatenate([[0], np.searchsorted(cuts, stretch_ends) + 1])
+        # as text: tokens of A and B of each group in turn, every one followed by what parts it from the next
+        line = np.empty(2 * (len(ids[0]) + len(ids[1])), object)
+        for side, other in ((0, 1), (1, 0)):
+            before = firsts[other][of[side]] if side == 0 else np.append(firsts[0], len(ids[0]))[of[1] + 1]
+            place = 2 * (np.arange(len(ids[side])) + before)
+            line[place] = self.names[ids[side]]
+            mark = np.full(len(ids[side]), ",", object)
+            mark[np.append(firsts[side][1:], len(ids[side])) - 1] = "|" if side == 0 else ";"
+            if side:
+                mark[at[1][1:] - 1] = "\n"
+            line[place + 1] = mark
+        raw = pairs.tobytes()
+        lines = "".join(line.tolist()).encode().split(b"\n")
+        numbers = zip(np.diff(at[0]).tolist(), np.diff(at[1]).tolist(), np.diff(groups).tolist(), strict=True)
+        for (s, _, _), text, lo, hi, (n_a, n_b, n) in zip(good, lines, links.tolist(), links[1:].tolist(), numbers, strict=False):
+            self.known[s] = text, raw[lo:hi], n_a * _A + n_b * _B + n
 
     def align(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray, int, int, int]]:
         """Of each text: groups, pairs of all links, tokens of A and B, number of groups."""
@@ -167,41 +216,17 @@ class Aligner:
 
     def tokens(self, piece: str, begin: int) -> Tokens | None:
         """Tokens of a piece that begins (with a space) at a byte of its document; None if they don't give it back."""
-        encoded = list(self._encoded(_BORDER.split(piece)))
-        if not all(i for i, _, _, _ in encoded):
+        *encoded, back = self._encoded(_BORDER.split(piece))
+        if not all(back):
             return None
         sides = []
-        for side in (0, 1):
-            ids = np.array([t for x in encoded for t in x[side]], np.int64)
-            ends = begin + np.cumsum([len(t) for x in encoded for t in x[side + 2]])
+        for of, lengths in zip(encoded, (self.a_length, self.b_length), strict=True):
+            ids = np.array(list(chain.from_iterable(of)), np.int64)
+            ends = begin + np.cumsum(lengths[ids])
             sides.append(np.stack([ids, np.concatenate([[begin], ends[:-1]]), ends], 1))
         return Tokens(*sides)
 
 
-def _aligned(i: list[int], j: list[int], p: list[int], q: list[int]) -> tuple[bytes, bytes, int]:
-    """One stretch, side by side; p and q are the tokens' lengths."""
-    groups, pairs = [], []
-    x = y = at_a = at_b = n = 0
-    end_a, end_b = p[0], q[0]
-    while True:
-        pairs.append(i[x] << 32 | j[y])
-        if end_a < end_b:
-            x += 1
-            end_a += p[x]
-        elif end_b < end_a:
-            y += 1
-            end_b += q[y]
-        else:
-            x, y, n = x + 1, y + 1, n + 1
-            groups.append(f"{','.join(map(str, i[at_a:x]))}|{','.join(map(str, j[at_b:y]))}")
-            if x == len(i):
-                break
-            at_a, at_b = x, y
-            end_a += p[x]
-            end_b += q[y]
-    return ";".join(groups).encode(), np.array(pairs, np.int64).tobytes(), len(i) * _A + len(j) * _B + n
-
-
 @functools.lru_cache(maxsize=2)
 def _aligner(a: bytes, b: bytes) -> Aligner:
     return Aligner(a, b)
@@ -306,7 +331,7 @@ def _branch(last: bool):
 
 def _long_groups(long: DataFrame, sent, chunk: int, tables: Tables) -> DataFrame:
     """(key, begin, groups, pairs, n_a, n_b, n_groups): groups of documents (key, text) in parts."""
-    parts = long.mapInArrow(_pieces(chunk), "key long, begin long, text string").repartition("key", "begin")
+    parts = long.mapInArrow(_pieces(chunk), "key long, begin long, text string").repartition(max(2, int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "key", "begin")
     level = tables.put(parts.mapInPandas(_leaves(sent, chunk), _FRAGMENT))
     top = level.agg(F.max("range")).first()[0]
     out = level.where("range is null")
