@@ -19,8 +19,8 @@ def norm_contig(c: Column) -> Column:
 
 
 def alt_key(alt: Column, sep: str = ",") -> Column:
-    """Alternatives regardless of their order."""
-    return F.array_sort(F.split(alt, sep))
+    """Alternatives regardless of their order, as a text."""
+    return F.array_join(F.array_sort(F.split(alt, sep)), sep)
 
 
 def norm_empty(v: Column, sentinels=SENTINELS) -> Column:

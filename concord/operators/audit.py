@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.functions.cells import norm_contig
+from concord.functions.cells import natural_order, norm_contig
 from concord.sources.store import SMALL_ROWS, Store
 
 from .order import running, with_previous
 
 
-def compare_keys(left: DataFrame, right: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(counts, only_left, only_right) of two key sets."""
-    a, b = left.select(*cols).distinct(), right.select(*cols).distinct()
-    both = a.withColumn("__a", F.lit(True)).join(b.withColumn("__b", F.lit(True)), cols, "full_outer")
-    n = lambda c: F.count_if(c)
-    has_a, has_b = F.col("__a").isNotNull(), F.col("__b").isNotNull()
-    counts = both.agg(n(has_a).alias("n_left"), n(has_b).alias("n_right"), n(has_a & has_b).alias("n_both"), n(~has_b).alias("only_left"), n(~has_a).alias("only_right"))
-    return counts.withColumn("identical", (F.col("only_left") == 0) & (F.col("only_right") == 0)), a.join(b, cols, "left_anti"), b.join(a, cols, "left_anti")
+def compare_keys(left: DataFrame, right: DataFrame, cols: list[str], store: Store | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(counts, only_left, only_right) of two key sets. Both sides are one tagged table, summed by key in each task before
+    one shuffle; a store keeps its result, from which all three are then read. Null keys are keys."""
+    side = lambda df, bit: df.select(*cols, F.lit(bit).alias("__side"))
+    keys = side(left, 1).unionAll(side(right, 2)).groupBy(*cols).agg(F.bit_or("__side").alias("__sides"))
+    keys = store.put(keys) if store else keys
+    n = lambda *of: F.count_if(F.col("__sides").isin(*of))
+    counts = keys.agg(n(1, 3).alias("n_left"), n(2, 3).alias("n_right"), n(3).alias("n_both"), n(1).alias("only_left"), n(2).alias("only_right"))
+    only = lambda bit: keys.where(F.col("__sides") == bit).drop("__sides")
+    return counts.withColumn("identical", (F.col("only_left") == 0) & (F.col("only_right") == 0)), only(1), only(2)
 
 
 def examples(df: DataFrame, n: int = 10) -> DataFrame:
@@ -57,20 +59,35 @@ def require_sorted(violations: DataFrame) -> None:
         raise ValueError(f"{r['source']} is not in order ({r['kind']}): {r['contig']}:{r['pos']} came after {r['previous_contig']}:{r['previous_pos']}")
 
 
-def positional_residual(left: DataFrame, right: DataFrame, strip: str, store: Store) -> DataFrame:
+def require_equal_lines(left: DataFrame, right: DataFrame) -> None:
+    """Raises unless each contig has as many lines in both bodies: else comparing them by position means nothing."""
+    n = lambda df, name: df.groupBy("contig").agg(F.count(F.lit(1)).alias(name))
+    a, b = n(left, "a"), n(right, "b")
+    rows = a.join(b, a.contig.eqNullSafe(b.contig), "full_outer").select(F.coalesce(a.contig, b.contig).alias("contig"), F.coalesce("a", F.lit(0)).alias("a"), F.coalesce("b", F.lit(0)).alias("b"))
+    bad = rows.where("a <> b").orderBy("contig").limit(5).collect()
+    if bad:
+        raise ValueError("bodies of different lengths can't be compared by position: " + "; ".join(f"{r['contig']}: {r['a']} and {r['b']} lines" for r in bad))
+
+
+def positional_residual(left: DataFrame, right: DataFrame, strip: str, store: Store, require_equal: bool = True) -> DataFrame:
     """Of two bodies (contig, seq, line) compared line by line: lines, those that differ, those that still do without what
-    strip matches, and the first three of these. Row numbers run within a contig, over range partitions."""
+    strip matches, and the first three of these. Row numbers run within a contig (null is one), over range partitions.
+    Bodies of different lengths are refused first, unless that isn't required."""
+    if require_equal:
+        require_equal_lines(left, right)
     one = lambda df: df.select("contig", "seq", "line", F.lit(1).cast("long").alias("one"))
-    number = lambda df, name: running(one(df), ["contig"], ["seq", "line"], "one", "rn", store).select("contig", "rn", F.col("line").alias(name))
-    rows = number(left, "a").join(number(right, "b"), ["contig", "rn"], "full_outer")
+    number = lambda df, x: running(one(df), ["contig"], ["seq", "line"], "one", "rn", store).select(F.col("contig").alias(f"c{x}"), F.col("rn").alias(f"n{x}"), F.col("line").alias(x), F.lit(True).alias(f"in_{x}"))
+    rows = number(left, "a").join(number(right, "b"), F.col("ca").eqNullSafe(F.col("cb")) & (F.col("na") == F.col("nb")), "full_outer")
+    rows = rows.select(F.when(F.col("in_a"), F.col("ca")).otherwise(F.col("cb")).alias("contig"), F.coalesce("na", "nb").alias("rn"), "a", "b", "in_a", "in_b")
     bare = lambda c: F.regexp_replace(c, strip, "")
-    differs = ~F.col("a").eqNullSafe(F.col("b"))
-    rests = differs & ~bare("a").eqNullSafe(bare("b"))
+    alone = F.col("in_a").isNull() | F.col("in_b").isNull()
+    differs = alone | ~F.col("a").eqNullSafe(F.col("b"))
+    rests = differs & (alone | ~bare("a").eqNullSafe(bare("b")))
     rows = rows.select("contig", "rn", differs.alias("d"), rests.alias("r"))
     firsts = lambda acc, k: F.slice(F.array_sort(acc), 1, k)
-    few = rows.where("r").groupBy("contig", F.floor(F.col("rn") / 10_000).alias("__at")).agg(firsts(F.collect_list("rn"), 3).alias("f")).groupBy("contig").agg(firsts(F.flatten(F.collect_list("f")), 3).alias("first"))
+    few = rows.where("r").groupBy("contig", F.floor(F.col("rn") / 10_000).alias("__at")).agg(firsts(F.collect_list("rn"), 3).alias("f")).groupBy(F.col("contig").alias("__c")).agg(firsts(F.flatten(F.collect_list("f")), 3).alias("first"))
     counts = rows.groupBy("contig").agg(F.count(F.lit(1)).alias("lines"), F.count_if("d").alias("raw"), F.count_if("r").alias("residual"))
-    return counts.join(few, "contig", "left")
+    return counts.join(few, counts.contig.eqNullSafe(few["__c"]), "left").drop("__c")
 
 
 def id_column(table: DataFrame, candidates: list[str]) -> str:
@@ -171,6 +188,30 @@ def union_checked(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def concat_planned(plan: DataFrame, shards: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows in order, integrity) of shards put together as a plan (contig, chunk) lists them: contigs in natural order,
+    chunks as numbers, rows of a shard by their seq. shards: (contig, chunk, seq, ...). Rows of shards that aren't planned
+    stay out; a plan without shards is refused. integrity: (contig, chunk, n, state), state being ok, missing (a planned
+    shard without rows), repeated (planned twice) or unplanned."""
+    if plan.isEmpty():
+        raise ValueError("the plan lists no shard")
+    at = ["contig", "chunk"]
+    planned = plan.groupBy(*at).agg(F.count(F.lit(1)).alias("planned"))
+    have = shards.groupBy(*at).agg(F.count(F.lit(1)).alias("n"))
+    state = F.when(F.col("planned").isNull(), "unplanned").when(F.col("planned") > 1, "repeated").when(F.col("n").isNull(), "missing").otherwise("ok")
+    integrity = planned.join(have, at, "full_outer").select(*at, F.coalesce("n", F.lit(0)).alias("n"), state.alias("state"))
+    keys = [*natural_order(F.col("contig")), "chunk", "seq"]
+    rows = shards.join(planned.select(*at), at, "left_semi").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return rows, integrity
+
+
+def require_planned(integrity: DataFrame) -> None:
+    """Raises on planned shards that are missing or repeated."""
+    bad = integrity.where("state in ('missing', 'repeated')").orderBy("contig", "chunk").limit(20).collect()
+    if bad:
+        raise ValueError("; ".join(f"{r['contig']}, chunk {r['chunk']}: {r['state']}" for r in bad))
+
+
 def union_integrity(whole: DataFrame, counts: DataFrame) -> DataFrame:
     """(part, n, expected, ok)."""
     got = whole.groupBy("part").agg(F.count(F.lit(1)).alias("n"))

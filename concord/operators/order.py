@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concord.sources.store import Store
+from concord.sources.store import SMALL_ROWS, Store
 
 
+def _carried(rows: DataFrame, edges: DataFrame, by: list[str], value: str) -> DataFrame:
+    """rows with a column of edges (__p, by, value), a row for each partition and group at most; null groups are groups.
+    Edges are sent to all tasks while they are few."""
+    named = edges.select(*[F.col(c).alias(f"__e{c}") for c in ("__p", *by)], value)
+    named = F.broadcast(named) if named.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else named
+    same = [F.col(c).eqNullSafe(F.col(f"__e{c}")) for c in ("__p", *by)]
+    return rows.join(named, same, "left").drop(*[f"__e{c}" for c in ("__p", *by)])
+
 
 
 def placed(df: DataFrame, keys: list[str], store: Store) -> DataFrame:
@@ -24,7 +32,20 @@ def running(df: DataFrame, by: list[str], order: list[str], value: str, as_: str
     sums = rows.groupBy("__p", *by).agg(F.sum(value).alias("__s"))
     before = F.coalesce(F.sum("__s").over(Window.partitionBy(*by).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sums.withColumn("__before", before).drop("__s")
-    return rows.join(offsets, ["__p", *by]).withColumn(as_, F.col(as_) + F.col("__before")).drop("__p", "__id", "__before")
+    return _carried(rows, offsets, by, "__before").withColumn(as_, F.col(as_) + F.col("__before")).drop("__p", "__id", "__before")
+
+
+def next_value(df: DataFrame, by: list[str], order: list[str], value: str, as_: str, store: Store) -> DataFrame:
+    """df with as_: the first value that isn't null in the row or after it, within by."""
+    rows = placed(df, [*by, *order], store)
+    back = Window.partitionBy("__p", *by).orderBy(F.desc("__id")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn(as_, F.last(value, ignorenulls=True).over(back))
+    firsts = rows.where(F.col(value).isNotNull()).groupBy("__p", *by).agg(F.min_by(value, "__id").alias("__v"))
+    edges = rows.select("__p", *by).distinct()
+    edges = edges.join(firsts.select(*[F.col(c).alias(f"__f{c}") for c in ("__p", *by)], "__v"), [F.col(c).eqNullSafe(F.col(f"__f{c}")) for c in ("__p", *by)], "left").drop(*[f"__f{c}" for c in ("__p", *by)])
+    after = F.last("__v", ignorenulls=True).over(Window.partitionBy(*by).orderBy(F.desc("__p")).rowsBetween(Window.unboundedPreceding, -1))
+    rows = _carried(rows, edges.withColumn("__after", after).drop("__v"), by, "__after")
+    return rows.withColumn(as_, F.coalesce(as_, "__after")).drop("__p", "__id", "__after")
 
 
 def with_previous(df: DataFrame, keys: list[str], what: list[str], as_: str, store: Store) -> DataFrame:

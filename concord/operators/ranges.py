@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concord.sources.store import SMALL_ROWS, Store
 
-from .order import running
+from .order import next_value, running, with_previous
 
 
 def _size(n: int, k: int, i: int) -> int:
@@ -15,57 +17,124 @@ def _size(n: int, k: int, i: int) -> int:
     return n // k + (i < n % k)
 
 
-def find_cuts(counts: DataFrame, totals: dict[str, int], k: int, sequential: bool) -> dict[str, list[int]]:
+def _begin(k: int, i):
+    """Rows in the first i of k chunks, as a column; needs total."""
+    q, r = F.expr(f"total div {k}"), F.col("total") % k
+    return F.lit(i) * q + F.least(F.lit(i).cast("long"), r)
+
+
+def _reachable(counts: DataFrame, spans: DataFrame, k: int) -> DataFrame:
+    """(contig, upto): where a cut can fall at all, and the total. Before cut i at most i runs of equal positions have moved
+    it on, so it lies no further behind its target than i times the longest run."""
+    few = spans.select(F.col("contig").alias("__c"), "total", "longest")
+    rows = counts.join(F.broadcast(few), F.col("contig").eqNullSafe(F.col("__c")))
+    q, r = F.expr(f"total div {k}"), F.col("total") % k
+    early = r * (q + 1)
+    i = F.when(F.col("upto") < early, F.expr(f"upto div (total div {k} + 1)")).when(q > 0, r + F.try_divide(F.col("upto") - early, q).cast("long")).otherwise(k)
+    i = F.least(i.cast("long"), F.lit(k - 1).cast("long"))
+    return rows.where((F.col("upto") == F.col("total")) | ((i > 0) & (F.col("upto") <= _begin(k, i) + i * (F.col("longest") - 1)))).select("contig", "upto", "total")
+
+
+def _walk(uptos: list[int], total: int, k: int) -> list[int]:
+    """The cuts of one contig from all places where they can fall, one after the other."""
+    at, out = 0, []
+    for i in range(k - 1):
+        at = uptos[bisect_left(uptos, min(at + _size(total, k, i), total))]
+        out.append(at)
+    return out
+
+
+def _doubled(places: DataFrame, totals: dict[str, int], k: int, store: Store) -> dict[str, list[int]]:
+    """The same over tables: the map from a place to the next cut, for both sizes of chunks, is composed with itself, so
+    that cuts are looked up in log2(k) steps, each for all that are known."""
+    spark = places.sparkSession
+    nodes = places.unionByName(places.select("contig", F.lit(0).cast("long").alias("upto"), "total").distinct())
+    asked = nodes.select("contig", F.explode(F.array(F.lit(True), F.lit(False))).alias("big"), F.col("upto").alias("x"), "total")
+    asked = asked.withColumn("v", F.least(F.col("total"), F.col("x") + F.expr(f"total div {k}") + F.col("big").cast("long")))
+    asked = asked.select("contig", "big", "x", "v", F.lit(None).cast("long").alias("u"))
+    there = places.select("contig", F.explode(F.array(F.lit(True), F.lit(False))).alias("big"), F.lit(None).cast("long").alias("x"), F.col("upto").alias("v"), F.col("upto").alias("u"))
+    step = next_value(asked.union(there).withColumn("known", F.col("u").isNotNull()), ["contig", "big"], ["v", "known"], "u", "y", store)
+    steps = [store.put(step.where("x is not null").select("contig", "big", "x", "y"))]
+    while 1 << len(steps) < k:
+        a, b = steps[-1], steps[-1].select(F.col("contig").alias("c"), F.col("big").alias("g"), F.col("x").alias("from"), F.col("y").alias("to"))
+        steps.append(store.put(a.join(b, a.contig.eqNullSafe(b.c) & (a.big == b.g) & (a.y == b["from"])).select("contig", "big", "x", F.col("to").alias("y"))))
+    known = {c: {0: 0} for c in totals}
+    for big in (True, False):
+        for j in reversed(range(len(steps))):
+            ends = {c: totals[c] % k if big else k - 1 for c in totals}
+            begins = {c: 0 if big else totals[c] % k for c in totals}
+            wanted = [(c, i, x) for c in totals for i, x in known[c].items() if begins[c] <= i and i + (1 << j) <= ends[c]]
+            if wanted:
+                rows = F.broadcast(spark.createDataFrame(wanted, "c string, i long, at long"))
+                for r in steps[j].where(F.col("big") == big).join(rows, F.col("contig").eqNullSafe(F.col("c")) & (F.col("x") == F.col("at"))).select("c", "i", "y").collect():
+                    known[r["c"]][r["i"] + (1 << j)] = r["y"]
+    return {c: [known[c][i] for i in range(1, k)] for c in totals}
+
+
+def find_cuts(counts: DataFrame, spans: DataFrame, totals: dict[str, int], k: int, sequential: bool, store: Store, small: int = SMALL_ROWS) -> dict[str, list[int]]:
     """The k - 1 cuts of each contig as running counts. A cut never falls between equal positions: it moves on to the
     next position, and where sequential, later cuts move with it.
 
-    Each pass looks up all cuts still open at once, as if none of them had to move; those up to the first that did are
-    settled. counts: (contig, pos, n, upto). The driver sees cuts only, k for each contig."""
-    spark = counts.sparkSession
-    cuts: dict[str, list[int]] = {c: [] for c in totals}
-    while open_ := [c for c in cuts if len(cuts[c]) < k - 1]:
-        wanted = []
-        for c in open_:
-            at, done = (cuts[c][-1] if cuts[c] else 0), len(cuts[c])
-            if not sequential:
-                at = sum(_size(totals[c], k, i) for i in range(done))
-            for i in range(done, k - 1):
-                at += _size(totals[c], k, i)
-                wanted.append((c, i, min(at, totals[c])))
-        asked = spark.createDataFrame(wanted, "contig string, i int, want long")
-        asked = F.broadcast(asked) if len(wanted) <= SMALL_ROWS else asked
-        hits = counts.join(asked, "contig").where("upto >= want and upto - n < want").select("contig", "i", "want", "upto")
-        found = sorted((r["contig"], r["i"], r["want"], r["upto"]) for r in hits.collect())
-        moved: set[str] = set()
-        for c, _, want, upto in found:
-            if c not in moved:
-                cuts[c].append(upto)
-                if sequential and upto > want:
-                    moved.add(c)
-    return cuts
-
-
-def balanced_ranges(df: DataFrame, contig: str, pos: str, k: int, store: Store, mode: str = "sequential") -> DataFrame:
+    Places where cuts can fall are few (see _reachable): up to small of them come to the driver, which walks along them;
+    more are composed as tables. counts: (contig, pos, n, upto); spans: (contig, total, longest)."""
+    if k == 1:
+        return {c: [] for c in totals}
+    if sequential:
+        places = store.put(_reachable(counts, spans, k))
+        if places.count() > small:
+            return _doubled(places, totals, k, store)
+        found: dict[str, list[int]] = {c: [] for c in totals}
+        for r in places.collect():
+            found[r["contig"]].append(r["upto"])
+        return {c: _walk(sorted(found[c]), totals[c], k) for c in totals}
+    wanted, cuts = [], {c: [] for c in totals}
+    for c in totals:
+        wanted += [(c, min(sum(_size(totals[c], k, j) for j in range(i + 1)), totals[c])) for i in range(k - 1)]
+    asked = counts.sparkSession.createDataFrame(wanted, "c string, want long")
+    asked = F.broadcast(asked) if len(wanted) <= SMALL_ROWS else asked
+    for r in counts.join(asked, F.col("contig").eqNullSafe(F.col("c")) & (F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("n") < F.col("want"))).select("c", "upto").collect():
+        cuts[r["c"]].append(r["upto"])
+    return {c: sorted(x) for c, x in cuts.items()}
+
+
+def require_countable(df: DataFrame, contig: str, pos: str, wanted: DataFrame | None = None, seq: str | None = None, store: Store | None = None) -> DataFrame:
+    """df, if ranges can be cut from it: every contig wanted has rows with a position, and with seq, the rows of a contig
+    stand in order of their positions (needs a store). An empty contig and unsorted input are errors."""
+    have = df.where(F.col(pos).isNotNull()).select(F.col(contig).alias("contig")).distinct()
+    if wanted is not None:
+        empty = [r["contig"] for r in wanted.select("contig").distinct().join(have, "contig", "left_anti").orderBy("contig").limit(20).collect()]
+        if empty:
+            raise ValueError(f"contigs without a position to cut at: {empty}")
+    if seq is not None:
+        rows = df.where(F.col(pos).isNotNull()).select(F.col(contig).alias("contig"), F.col(pos).cast("long").alias("pos"), F.col(seq).alias("seq"))
+        back = with_previous(rows, ["contig", "seq"], ["contig", "pos"], "p", store).where(F.col("p").isNotNull() & F.col("p.contig").eqNullSafe(F.col("contig")) & (F.col("pos") < F.col("p.pos")))
+        for r in back.orderBy("contig", "seq").limit(1).collect():
+            raise ValueError(f"positions of {r['contig']} aren't sorted: {r['p']['pos']}, then {r['pos']}")
+    return df
+
+
+def balanced_ranges(df: DataFrame, contig: str, pos: str, k: int, store: Store, mode: str = "sequential", small: int = SMALL_ROWS) -> DataFrame:
     """(contig, chunk, start, end, n), chunks counted from 0. Rows are summed by position, the sums are added up over
-    range partitions, and only rows at a cut are looked at after that."""
+    range partitions, and only rows at a cut are looked at after that. Rows without a contig are a contig of their own."""
     if k < 1:
         raise ValueError("at least one chunk")
     per = df.where(F.col(pos).isNotNull()).groupBy(F.col(contig).alias("contig"), F.col(pos).cast("long").alias("pos")).agg(F.count(F.lit(1)).alias("n"))
     counts = store.put(running(per, ["contig"], ["pos"], "n", "upto", store))
-    spans = counts.groupBy("contig").agg(F.max("upto").alias("total"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
-    totals = {r["contig"]: r["total"] for r in spans.collect()}
-    cuts = find_cuts(counts, totals, k, mode == "sequential")
-    bounds = [(c, b) for c in cuts for b in sorted({x for x in cuts[c] if 0 < x < totals[c]} | {totals[c]})]
-    ends = df.sparkSession.createDataFrame(bounds, "contig string, b long")
+    spans = store.put(counts.groupBy("contig").agg(F.max("upto").alias("total"), F.min("pos").alias("lo"), F.max("n").alias("longest")))
+    held = spans.collect()
+    totals, lows = {r["contig"]: r["total"] for r in held}, {r["contig"]: r["lo"] for r in held}
+    cuts = find_cuts(counts, spans, totals, k, mode == "sequential", store, small)
+    bounds = [(c, lows[c], b) for c in cuts for b in sorted({x for x in cuts[c] if 0 < x < totals[c]} | {totals[c]})]
+    ends = df.sparkSession.createDataFrame(bounds, "c string, lo long, b long")
     ends = F.broadcast(ends) if len(bounds) <= SMALL_ROWS else ends
-    last = counts.join(ends, (counts.contig == ends.contig) & (F.col("upto") == F.col("b"))).select(ends.contig, "b", F.col("pos").alias("last"))
-    following = counts.join(ends, (counts.contig == ends.contig) & (F.col("upto") - F.col("n") == F.col("b"))).select(ends.contig, "b", F.col("pos").alias("next"))
-    rows = last.join(following, ["contig", "b"], "left").join(spans.select("contig", "lo"), "contig")
+    here = F.col("contig").eqNullSafe(F.col("c"))
+    at = counts.join(ends, here & (F.col("b") >= F.col("upto") - F.col("n")) & (F.col("b") <= F.col("upto")))
+    rows = at.groupBy("c", "lo", "b").agg(F.max(F.when(F.col("upto") == F.col("b"), F.col("pos"))).alias("last"), F.min(F.when(F.col("upto") - F.col("n") == F.col("b"), F.col("pos"))).alias("next"))
     rows = rows.withColumn("end", F.when(F.col("next").isNull(), F.col("last")).otherwise(F.expr("(last + next) div 2")))
-    order = Window.partitionBy("contig").orderBy("b")
+    order = Window.partitionBy("c").orderBy("b")
     before = lambda c: F.lag(c).over(order)
     return rows.select(
-        "contig",
+        F.col("c").alias("contig"),
         (F.row_number().over(order) - 1).alias("chunk"),
         F.coalesce(before("end") + 1, "lo").cast("long").alias("start"),
         F.col("end").cast("long").alias("end"),
@@ -79,15 +148,16 @@ def range_violations(regions: DataFrame, totals: DataFrame) -> DataFrame:
     rows = regions.withColumn("before", before)
     gap = rows.where(F.col("before").isNotNull() & (F.col("start") != F.col("before") + 1)).select("contig", "chunk", F.lit("gap").alias("violation"))
     back = rows.where(F.col("start") > F.col("end")).select("contig", "chunk", F.lit("reversed").alias("violation"))
-    sums = regions.groupBy("contig").agg(F.sum("n").alias("n")).join(totals, "contig", "full_outer").where(~F.col("n").eqNullSafe(F.col("total")))
-    return gap.union(back).union(sums.select("contig", F.lit(None).cast("int").alias("chunk"), F.lit("total").alias("violation")))
+    held = regions.groupBy(F.col("contig").alias("__c")).agg(F.sum("n").alias("n"), F.lit(True).alias("__in"))
+    sums = held.join(totals, F.col("__c").eqNullSafe(F.col("contig")), "full_outer").where(~F.col("n").eqNullSafe(F.col("total")))
+    return gap.union(back).union(sums.select(F.when(F.col("__in"), F.col("__c")).otherwise(F.col("contig")).alias("contig"), F.lit(None).cast("int").alias("chunk"), F.lit("total").alias("violation")))
 
 
 def assign_regions(df: DataFrame, regions: DataFrame, small: int = SMALL_ROWS) -> DataFrame:
     """Rows (contig, pos, ...) with the chunk that holds them; null outside all. Up to so many regions are broadcast; more
     meet the rows by contig and bin of positions, a region standing in each bin that it touches."""
     r = regions.select(F.col("contig").alias("__c"), "chunk", F.col("start").alias("__a"), F.col("end").alias("__b"))
-    inside = (F.col("contig") == F.col("__c")) & F.col("pos").between(F.col("__a"), F.col("__b"))
+    inside = F.col("contig").eqNullSafe(F.col("__c")) & F.col("pos").between(F.col("__a"), F.col("__b"))
     if r.limit(small + 1).count() <= small:
         return df.join(F.broadcast(r), inside, "left").drop("__c", "__a", "__b")
     width = max(1, int(r.agg(F.avg(F.col("__b") - F.col("__a") + 1)).first()[0]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.functions.cells import alt_key, norm_contig
@@ -20,30 +20,68 @@ def keyed(records: DataFrame) -> DataFrame:
     return records.where(F.coalesce("packed", F.lit("")) != "").withColumns({"contig": norm_contig(F.col("contig")), "alts": alt_key(F.col("alt"))})
 
 
-def first_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records that stay, those after the first of their key). seq gives the order and must be there."""
+def repeated_keys(records: DataFrame) -> DataFrame:
+    """(RECORD, __first, n) of record keys that occur more than once: a minimum and a count, summed in each task before
+    they are shuffled. The records themselves stay where they are."""
     if "seq" not in records.columns:
         raise ValueError("first-wins needs a sequence column")
-    ranked = records.withColumn("__n", F.row_number().over(Window.partitionBy(*RECORD).orderBy("seq")))
-    return ranked.where("__n = 1").drop("__n"), ranked.where("__n > 1").drop("__n")
+    return records.groupBy(*RECORD).agg(F.min("seq").alias("__first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def with_later(records: DataFrame) -> DataFrame:
+    """records with later_record: whether another record of the same key comes before, by seq (which must be unique within
+    a key). Only keys that are repeated meet the records again; few of them are broadcast by the optimizer, and a key with
+    many records is no group of its own."""
+    again = repeated_keys(records).select(*[F.col(c).alias(f"__{c}") for c in RECORD], "__first")
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in RECORD]
+    later = F.coalesce(F.col("seq") > F.col("__first"), F.lit(False))
+    return records.join(again, same, "left").withColumn("later_record", later).drop("__first", *[f"__{c}" for c in RECORD])
+
+
+def first_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records that stay, those after the first of their key). seq gives the order and must be there."""
+    marked = with_later(records)
+    return marked.where("not later_record").drop("later_record"), marked.where("later_record").drop("later_record")
+
+
+def parts(n_fields: int, key: tuple[int, int] = (0, 1), packed: str = "packed") -> Column:
+    """Entries of a packed text in order, as an array of structs: entry_no, allele, feature, values (the other fields, ''
+    where missing), malformed (too short for the key)."""
+
+    def part(entry: Column, no: Column) -> Column:
+        fields = F.split(entry, "[|]")
+        at = lambda f, i: F.coalesce(F.get(f, F.lit(i)), F.lit(""))
+        made = lambda f: F.struct(no.alias("entry_no"), at(f, key[0]).alias("allele"), at(f, key[1]).alias("feature"), F.array(*[at(f, i) for i in range(n_fields) if i not in key]).alias("values"), (F.size(f) <= max(key)).alias("malformed"))
+        return F.transform(F.array(fields), made)[0]
+
+    return F.transform(F.split(packed, ","), part)
+
+
+def marked_parts(n_fields: int, key: tuple[int, int] = (0, 1)) -> Column:
+    """parts() with surplus: not the first well-formed entry of its key within the record. Entries are sorted by their key
+    within the row, so that equal ones are neighbours; nothing is shuffled."""
+    mark = lambda x: (x["malformed"], x["allele"], x["feature"])
+    ordered = F.array_sort(F.transform(parts(n_fields, key), lambda x: F.struct(*[c.alias(n) for c, n in zip(mark(x), ("malformed", "allele", "feature"))], x["entry_no"].alias("entry_no"), x["values"].alias("values"))))
+
+    def flagged(rows: Column) -> Column:
+        same = lambda x, y: (x["allele"] == y["allele"]) & (x["feature"] == y["feature"]) & ~y["malformed"]
+        return F.transform(rows, lambda x, i: x.withField("surplus", ~x["malformed"] & F.when(i > 0, same(x, F.get(rows, i - 1))).otherwise(False)))
+
+    return F.transform(F.array(ordered), flagged)[0]
 
 
 def entries(records: DataFrame, n_fields: int, key: tuple[int, int] = (0, 1)) -> DataFrame:
-    """A row per entry: allele, feature, values (the other fields, '' where missing), entry_no, malformed (too short for
-    the key)."""
-    rows = records.select("*", F.posexplode(F.split("packed", ",")).alias("entry_no", "entry")).withColumn("parts", F.split("entry", "[|]"))
-    at = lambda i: F.coalesce(F.get("parts", F.lit(i)), F.lit(""))
-    values = F.array(*[at(i) for i in range(n_fields) if i not in key])
-    return rows.select(*records.columns, "entry_no", at(key[0]).alias("allele"), at(key[1]).alias("feature"), values.alias("values"), (F.size("parts") <= max(key)).alias("malformed")).drop("packed")
+    """A row per entry: entry_no, allele, feature, values, malformed."""
+    rows = records.select("*", F.explode(parts(n_fields, key)).alias("__e"))
+    return rows.select(*records.columns, *[F.col(f"__e.{c}") for c in ("entry_no", "allele", "feature", "values", "malformed")]).drop("packed")
 
 
 def unpacked(records: DataFrame, n_fields: int, key: tuple[int, int] = (0, 1)) -> DataFrame:
     """entries() of all records with what keeps an entry out of the join: later_record (not the first record of its key),
-    malformed, surplus (not the first entry of its key within the record). One shuffle by record serves both ranks."""
-    later = F.row_number().over(Window.partitionBy(*RECORD).orderBy("seq")) > 1
-    rows = entries(keyed(records).withColumn("later_record", later), n_fields, key)
-    per = Window.partitionBy(*RECORD, "seq", "malformed", "allele", "feature").orderBy("entry_no")
-    return rows.withColumn("surplus", ~F.col("malformed") & (F.row_number().over(per) > 1))
+    malformed, surplus (not the first entry of its key within the record). No window, and no shuffle of records."""
+    rows = with_later(keyed(records)).withColumn("__e", F.explode(marked_parts(n_fields, key)))
+    keep = [c for c in rows.columns if c not in ("packed", "__e")]
+    return rows.select(*keep, *[F.col(f"__e.{c}") for c in ("entry_no", "allele", "feature", "values", "malformed", "surplus")])
 
 
 def side_counts(rows: DataFrame, side: str, by: tuple[str, ...] = ("run",)) -> DataFrame:
@@ -57,6 +95,19 @@ def malformed_counts(rows: DataFrame) -> DataFrame:
     return side_counts(rows, "side").where("malformed_side > 0").select("run", F.col("malformed_side").alias("malformed"))
 
 
+def lookup(records: DataFrame, allele: str, feature: str, n_fields: int, at: DataFrame | None = None, key: tuple[int, int] = (0, 1)) -> DataFrame:
+    """(record's columns, values): the entry of one allele and feature in each record that has it, the first if there are
+    several, picked inside the packed text before any row is made. at: (contig, pos) to look at, sent ahead as a filter."""
+    rows = keyed(records)
+    if at is not None:
+        places = at.select(norm_contig(F.col("contig")).alias("contig"), "pos").distinct()
+        rows = rows.join(places, ["contig", "pos"], "left_semi")
+    starts = F.filter(F.split("packed", ","), lambda e: (F.get(F.split(e, "[|]"), F.lit(key[0])) == allele) & (F.get(F.split(e, "[|]"), F.lit(key[1])) == feature))
+    rows = rows.withColumn("__e", F.get(starts, F.lit(0))).where("__e is not null").withColumn("__p", F.split("__e", "[|]"))
+    values = F.array(*[F.coalesce(F.get("__p", F.lit(i)), F.lit("")) for i in range(n_fields) if i not in key])
+    return rows.withColumn("values", values).drop("packed", "__e", "__p")
+
+
 def annotations(rows: DataFrame) -> DataFrame:
     """What is joined: well-formed first entries of first records."""
     return rows.where("not later_record and not malformed and not surplus").drop("later_record", "malformed", "surplus", "entry_no", "seq")
@@ -79,6 +130,15 @@ def field_asymmetry(candidate: list[str], truth: list[str]) -> tuple[list[str],
     return [f for f in candidate if f in truth], sorted(set(candidate) - set(truth)), sorted(set(truth) - set(candidate))
 
 
+def run_asymmetry(candidate: DataFrame, truth: DataFrame, keys: list[str]) -> DataFrame:
+    """(run, shared_fields, candidate_only_fields, truth_only_fields) of field lists (run, fields) as headers declare them:
+    how many fields both sides of a run have, and those of one side only, sorted. keys: fields that make the key."""
+    a, b = (df.select("run", F.array_except("fields", F.array(*map(F.lit, keys))).alias(x)) for df, x in ((candidate, "a"), (truth, "b")))
+    held = lambda x: F.coalesce(F.col(x), F.array().cast("array<string>"))
+    only = lambda x, y: F.array_sort(F.array_except(held(x), held(y)))
+    return a.join(b, "run", "full_outer").select("run", F.size(F.array_intersect(held("a"), held("b"))).alias("shared_fields"), only("a", "b").alias("candidate_only_fields"), only("b", "a").alias("truth_only_fields"))
+
+
 def compare_fields(candidate: DataFrame, truth: DataFrame) -> DataFrame:
     """(part, field): the same for fields given as rows (field, repeats allowed)."""
     a, b = (df.select("field").distinct().withColumn(name, F.lit(True)) for df, name in ((candidate, "a"), (truth, "b")))

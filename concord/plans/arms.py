@@ -6,6 +6,11 @@ The rules by part key put every kind of disagreement into the truth arm; runs ar
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from concord.sources.blocks import read_headers
+from concord.sources.records import field_lists, header_catalogue
+from concord.sources.store import Store
 
 FIELDS = ["Quantity", "Price", "Discount", "Tax", "Tags", "Note"]
 N_FIELDS = 8
@@ -13,25 +18,29 @@ RUNS = ["clean", "m", "m_am"]
 #: The flag that Tax needs, and the flags of each run.
 NEEDS = {"Tax": "tax"}
 FLAGS = {"clean": [], "m": [], "m_am": ["tax"]}
-#: The cache of each run, and the packed field that one side has beyond FIELDS.
+#: The cache of each run. A ninth packed field, where entries have one, is named so by the side's header.
 CACHES = {"clean": "base", "m": "merged", "m_am": "merged"}
-CANDIDATE_ONLY = {"clean": [], "m": ["Extra"], "m_am": []}
-TRUTH_ONLY = {"clean": [], "m": [], "m_am": ["Score"]}
+KEYS = ["Allele", "Feature"]
+NINTH = {"candidate": "Extra", "truth": "Score"}
 
 _ORDER = "l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_shipdate"
 
 
-def arm_sql(gather: str) -> str:
-    """Common table expressions rec_c and rec_t (run, contig, pos, ref, alt, packed, seq); gather is the engine's ordered
-    string aggregate of {what} by {order}."""
+def entry_sql() -> str:
+    """Common table expression e1: the entries of both arms, a row each."""
     text = lambda x: f"cast(cast({x} as decimal(12,2)) as string)"
-    join = lambda what, order: gather.format(what=what, order=order)
     return f"""
 e0 as (select case l_suppkey % 3 when 0 then 'clean' when 1 then 'm' else 'm_am' end as run, l_orderkey as pos, concat('chr', cast(l_orderkey % 22 + 1 as string)) as contig,
   o_orderstatus as ref, l_returnflag as allele, case when l_partkey % 97 = 0 then '' else concat(case l_partkey % 4 when 0 then 'ENST' when 1 then 'NM_' when 2 then 'P' else 'XR_' end, cast(l_partkey as string)) end as feature, l_partkey as k, {text('l_quantity')} as q, {text('l_quantity + 1')} as q1, {text('l_extendedprice')} as price, {text('l_extendedprice + 0.01')} as price1,
   {text('l_discount')} as disc, {text('l_tax')} as tax, concat(l_returnflag, '&', l_linestatus) as tags, concat(l_linestatus, '&', l_returnflag) as gats,
   row_number() over (partition by l_suppkey % 3, l_orderkey order by {_ORDER}) as n from lineitem join orders on l_orderkey = o_orderkey),
-e1 as (select * from (select *, row_number() over (partition by run, pos, allele, feature order by n) as rep from e0) x where run <> 'clean' or rep = 1),
+e1 as (select * from (select *, row_number() over (partition by run, pos, allele, feature order by n) as rep from e0) x where run <> 'clean' or rep = 1)"""
+
+
+def record_sql(gather: str) -> str:
+    """Common table expressions rec_c and rec_t over e1."""
+    join = lambda what, order: gather.format(what=what, order=order)
+    return f"""
 a0 as (select distinct run, pos, allele from e1),
 a1 as (select run, pos, {join('allele', 'allele')} as alt, {join('allele', 'allele desc')} as tla from a0 group by run, pos),
 ec as (select run, contig, pos, ref, {join("concat(allele, '|', feature, '|', q, '|', price, '|', case when k % 79 = 0 then '' else disc end, '|', tax, '|', tags, '|', case when run = 'm' then '|e' else '' end)", 'n')} as packed from e1
@@ -44,12 +53,41 @@ rec_t0 as (select et.run, contig, et.pos, ref, case when et.pos % 2 = 1 then tla
 rec_t as (select * from rec_t0 union all select run, contig, pos, ref, alt, packed, seq + 1 as seq from rec_t0 where run <> 'clean' and pos % 194 = 0)"""
 
 
+def arm_sql(gather: str) -> str:
+    """Common table expressions rec_c and rec_t (run, contig, pos, ref, alt, packed, seq); gather is the engine's ordered
+    string aggregate of {what} by {order}."""
+    return f"{entry_sql()},{record_sql(gather)}"
+
+
 SPARK_GATHER = "listagg({what}, ',') within group (order by {order})"
+#: Where the arms over a folder of tables are stored, by application and folder.
+_BUILT: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
 def arms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(candidate, truth) records."""
-    for name in ("lineitem", "orders"):
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    body = arm_sql(SPARK_GATHER)
-    return tuple(spark.sql(f"with {body} select * from {name}") for name in ("rec_c", "rec_t"))
+    """(candidate, truth) records, made once in an application for each folder of tables and stored; the entries that both
+    are made of are made once as well."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        store = Store(spark, "arms")
+        for name in ("lineitem", "orders"):
+            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        store.put(spark.sql(f"with {entry_sql()} select * from e1")).createOrReplaceTempView("e1")
+        _BUILT[key] = tuple(store.put(spark.sql(f"with {record_sql(SPARK_GATHER)} select * from {name}")) for name in ("rec_c", "rec_t"))
+    return _BUILT[key]
+
+
+def headers(spark: SparkSession, sf_dir: str, store: Store) -> DataFrame:
+    """(side, run, fields) as read from the headers of both arms: a file for each side and run, which declares as many
+    fields as the longest entry of its records has."""
+    path = store.path()
+    rows = None
+    for side, records_ in zip(NINTH, arms(spark, sf_dir), strict=True):
+        longest = F.array_max(F.transform(F.split("packed", ","), lambda e: F.size(F.split(e, "[|]"))))
+        n = records_.groupBy("run").agg(F.max(longest).alias("n"))
+        names = F.slice(F.array(*map(F.lit, [*KEYS, *FIELDS, NINTH[side]])), F.lit(1), F.col("n"))
+        one = n.select(F.lit(side).alias("side"), "run", F.concat(F.lit('##INFO=<ID=CSQ,Number=.,Description="Format: '), F.array_join(names, "|"), F.lit('">')).alias("value"))
+        rows = one if rows is None else rows.union(one)
+    rows.write.partitionBy("side", "run").text(path)
+    found = field_lists(header_catalogue(read_headers(spark, path)))
+    return found.select(F.regexp_extract("file", "side=([^/]+)", 1).alias("side"), F.regexp_extract("file", "run=([^/]+)", 1).alias("run"), "fields")

@@ -49,10 +49,12 @@ SHARDS = f"""{STUDY},{_bad('c', 'candidate')},{_bad('t', 'truth')},
 covc as (select run, contig, count(*) filter (state = 'both') as aligned, count(*) filter (state = 'candidate') as only_candidate, count(*) filter (state = 'truth') as only_truth from j group by run, contig),
 sh as (select covc.*, coalesce(malformed_candidate, 0) as malformed_candidate, coalesce(malformed_truth, 0) as malformed_truth, coalesce(duplicate_candidate, 0) as duplicate_candidate, coalesce(duplicate_truth, 0) as duplicate_truth
   from covc left join m_c using (run, contig) left join m_t using (run, contig) left join d_c using (run, contig) left join d_t using (run, contig)),
-mg as (select run, {', '.join(f'cast(sum({c}) as bigint) as {c}' for c in _COUNTS)}, string_agg(contig, ',' order by contig) as contigs, string_agg(run || '/' || contig, ',' order by run || '/' || contig) as mismatches, case when run = 'clean' then 'base' else 'merged' end as cache from sh group by run),
-mr as (select *, round_even(aligned / nullif(aligned + only_candidate + only_truth, 0), 4) as join_rate from mg),
+mg as (select run, {', '.join(f'cast(sum({c}) as bigint) as {c}' for c in _COUNTS)}, string_agg(contig, ',' order by contig) as contigs, string_agg(run || '/' || contig, ',' order by run || '/' || contig) as mismatches, case when bool_and(aligned + only_truth > 0) then 'ok' else 'no_gt' end as status, case when run = 'clean' then 'base' else 'merged' end as cache from sh group by run),
+wide as (select run, max(c) as c, max(t) as t from (select run, len(p) as c, 0 as t from p_c union all select run, 0, len(p) from p_t) q group by run),
+one as (select run, least(c, t) - 2 as shared_fields, case when c > greatest(t, 8) then ['Extra'] else [] end as c_only, case when t > greatest(c, 8) then ['Score'] else [] end as t_only from wide),
+mr as (select mg.*, shared_fields, c_only, t_only, round_even(aligned / nullif(aligned + only_candidate + only_truth, 0), 4) as join_rate from mg join one using (run)),
 cv as (select *, only_candidate + only_truth as not_compared, list_filter([case when join_rate < 0.99 then 'join_rate' end, case when only_truth > 0 then 'only_truth' end, case when only_candidate > 0 then 'only_candidate' end, case when malformed_candidate > 0 then 'malformed_candidate' end,
-  case when duplicate_candidate > 0 then 'duplicate_candidate' end, case when malformed_truth > 0 then 'malformed_truth' end, case when duplicate_truth > 0 then 'duplicate_truth' end, case when run = 'm_am' then 'truth_only_fields' end, case when run = 'm' then 'candidate_only_fields' end], lambda w: w is not null) as w from mr)"""
+  case when duplicate_candidate > 0 then 'duplicate_candidate' end, case when malformed_truth > 0 then 'malformed_truth' end, case when duplicate_truth > 0 then 'duplicate_truth' end, case when len(t_only) > 0 then 'truth_only_fields' end, case when len(c_only) > 0 then 'candidate_only_fields' end], lambda w: w is not null) as w from mr)"""
 
 _PCT = "round_even(100.0 * {a} / nullif({b}, 0), 3)"
 _DRIFT = f"""dr as (select run, field, {' + '.join(_CATS)} as mismatches, {' + '.join(_CATS)} - flag_expected as real, {_PCT.format(a='cast(match as double)', b='total')} as pct,
@@ -95,6 +97,24 @@ def sql() -> dict[str, str]:
     return {
         "scan_packed": arms("select run, replace(contig, 'chr', '') as contig, pos, ref, alt, packed, seq from rec_c"),
         "scan_text": arms("select run, replace(contig, 'chr', '') as contig, pos, ref, alt, packed from rec_c"),
+        "build_arms": arms("select run, count(*) filter (s = 'c') as candidate, count(*) filter (s = 't') as truth from (select run, 'c' as s from rec_c union all select run, 't' from rec_t) q group by run"),
+        "scan_blocks": arms("select run, replace(contig, 'chr', '') as contig, pos, ref, alt, packed from rec_c"),
+        "scan_positions": arms("select replace(contig, 'chr', '') as contig, pos from rec_c"),
+        "scan_keys": arms("select distinct replace(contig, 'chr', '') as contig, pos, ref, alt from rec_c"),
+        "annotated_records": arms("select replace(contig, 'chr', '') as contig, count(*) as n from rec_c group by 1"),
+        "dimension_table": "select cast(s_suppkey as bigint) as s_suppkey, s_name, cast(s_nationkey as int) as s_nationkey from supplier",
+        "mismatch_quotes": study("select contig, pos, ref, alt, allele, feature, field, '\"' || candidate_val || '\" \\' || field || chr(9) as candidate_val, truth_val || chr(10) || '\"\"' as truth_val from x"),
+        "bucketed_runs": study("select * from cov"),
+        "incremental_fields": study(f"select {every_field} from fld"),
+        "packed_lookup": study("select run, contig, pos, seq, array_to_string(vals, '|') as vals from (select *, row_number() over (partition by run, contig, pos, ref, alts, seq order by entry_no) as nth from v_c where allele = 'N' and feature = '' and pos % 3 = 0 and not malformed) q where nth = 1"),
+        "observed_outputs": arms(""", p as (select distinct run, replace(contig, 'chr', '') as c from rec_c),
+          f as (select 'run=' || run || '/contig=' || c as key, cast(c as double) as est, cast(c as int) % 5 <> 0 and c <> '1' as there, case when cast(c as int) % 3 <> 0 then case when cast(c as int) % 4 = 0 then 2.0 * cast(c as double) else cast(c as double) end end as actual from p)
+          select key, case when not there then 'missing' when actual is null then 'annotated' else 'done' end as state, there and coalesce(actual > est * 1.25, false) as overran from f"""),
+        "planned_concat": """with s as (select cast(o_orderkey % 22 + 1 as varchar) as contig, o_custkey % 12 as chunk, count(*) as n from orders group by 1, 2),
+          p as (select contig, chunk from s where chunk <> 3 union all select '9', n_nationkey + 100 from nation where n_nationkey < 2)
+          select coalesce(s.contig, p.contig) as contig, coalesce(s.chunk, p.chunk) as chunk, coalesce(n, 0) as n, case when p.contig is null then 'unplanned' when s.contig is null then 'missing' else 'ok' end as state, case when p.contig is null then 0 else coalesce(n, 0) end as rows
+          from s full join p on s.contig = p.contig and s.chunk = p.chunk""",
+        "settings_cells": "select cast(user_id % 30 as varchar) as run, event_type as flag, cast(count(*) as varchar) as value from events group by 1, 2",
         "contig_ranks": arms("select run, replace(contig, 'chr', '') as contig, cast(row_number() over (partition by run order by contig) - 1 as int) as rank from (select distinct run, contig from rec_c) q"),
         "mismatch_text": study("select contig, pos, ref, alt, allele, feature, field, candidate_val, truth_val, category from x"),
         "summary_text": shards("select mr.run, aligned, only_candidate, only_truth, malformed_candidate, malformed_truth, duplicate_candidate, duplicate_truth, contigs, join_rate, f.total, f.match from mr join (select run, cast(sum(total) as bigint) as total, cast(sum(match) as bigint) as match from fld group by run) f on f.run = mr.run"),
@@ -115,8 +135,8 @@ def sql() -> dict[str, str]:
         "per_field_concordance": study(f"select {every_field}, {_PCT.format(a='cast(match as double)', b='total')} as pct from fld"),
         "overall_concordance": study("select run, cast(sum(total) as bigint) as total, cast(sum(match) as bigint) as match, round_even(100.0 * cast(sum(match) as double) / sum(total), 3) as overall_pct from fld group by run"),
         "mismatch_samples": f"{STUDY}, {_SAMPLES} select run, contig, pos, ref, alt, allele, feature, field, candidate_val, truth_val, category, locus, cast(place as int) as place from smp where place <= 15",
-        "merge_shards": shards("""select run, aligned, only_candidate, only_truth, malformed_candidate, malformed_truth, duplicate_candidate, duplicate_truth, cache, 6 as shared_fields, case when run = 'm' then 'Extra' else '' end as candidate_only_fields,
-          case when run = 'm_am' then 'Score' else '' end as truth_only_fields, 'ok' as status, contigs, mismatches, join_rate from mr"""),
+        "merge_shards": shards("""select run, aligned, only_candidate, only_truth, malformed_candidate, malformed_truth, duplicate_candidate, duplicate_truth, cache, cast(shared_fields as int) as shared_fields, array_to_string(c_only, ',') as candidate_only_fields,
+          array_to_string(t_only, ',') as truth_only_fields, status, contigs, mismatches, join_rate from mr"""),
         "merge_fields": study(f"select {every_field}, {_PCT.format(a='cast(match as double)', b='total')} as pct from fld"),
         "shard_set_violations": f"""{SHARDS},
           s1 as (select run, contig, case when run = 'm' and contig = '3' then 'failed' else 'ok' end as status, case when run = 'm' and contig = '4' then 'other' when run = 'clean' then 'base' else 'merged' end as cache, case when run = 'm_am' and contig = '8' then 5 else 6 end as shared_fields from sh where not (run = 'clean' and contig = '5')),
@@ -152,7 +172,7 @@ def sql() -> dict[str, str]:
           round_even(100.0 * (select cast(sum(total - match) as double) from fld where run in (select run from fit)) / (select sum(aligned * 6) from fit), 6) as moved_pct""",
         "moved_matrix": study(matrix("total - match")),
         "concordance_matrix": study(matrix(_PCT.format(a="cast(match as double)", b="total"))),
-        "run_overview": f"""{SHARDS}, {_OVERVIEW} select list_position(['clean', 'm', 'm_am'], cv.run) as place, cv.run, cache, overall_pct, true_pct, join_rate, aligned, 'ok' as status, len(w) = 0 as trustworthy, {_RISK} as risk from o join cv on o.run = cv.run""",
+        "run_overview": f"""{SHARDS}, {_OVERVIEW} select list_position(['clean', 'm', 'm_am'], cv.run) as place, cv.run, cache, overall_pct, true_pct, join_rate, aligned, status, len(w) = 0 as trustworthy, {_RISK} as risk from o join cv on o.run = cv.run""",
         "contig_counts": arms("select replace(contig, 'chr', '') as contig, count(*) as n from rec_c group by 1"),
         "contig_filter": arms("select run, '7' as contig, pos, ref, alt from rec_c where contig = 'chr7'"),
         "region_slice": arms("select run, contig, pos from rec_c where contig = 'chr7' and pos between 1000 and 20000"),

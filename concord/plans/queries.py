@@ -2,37 +2,38 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concord.functions import cells as C
 from concord.operators import audit, diff, ranges, summary, unpack
-from concord.sources import records
-from concord.sources.store import Store
+from concord.sources import blocks, records
+from concord.sources.store import Store, touch
+from concord.streaming.resume import Incremental
 
-from .arms import CACHES, CANDIDATE_ONLY, FIELDS, FLAGS, N_FIELDS, NEEDS, RUNS, TRUTH_ONLY, arms
+from .arms import CACHES, FIELDS, FLAGS, KEYS, N_FIELDS, NEEDS, RUNS, arms, headers
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _constant(by_run: dict, kind: str):
-    """A column that depends on the run only."""
-    out = F.lit(None).cast(kind)
-    for run, value in by_run.items():
-        out = F.when(F.col("run") == run, (F.array(*map(F.lit, value)) if isinstance(value, list) else F.lit(value)).cast(kind)).otherwise(out)
+def _cache():
+    out = F.lit(None).cast("string")
+    for run, value in CACHES.items():
+        out = F.when(F.col("run") == run, value).otherwise(out)
     return out
 
 
 class _Study:
-    """The pieces of one reconciliation, made on demand. Queries that count both sides store the arms and take everything
-    from one tally of the join."""
+    """The pieces of one reconciliation, made on demand. Queries that count both sides take everything from one tally of
+    the join."""
 
-    def __init__(self, spark: SparkSession, sf: str, stored: bool = False):
-        self.store = Store(spark, "study")
-        sides = arms(spark, sf)
-        self.c, self.t = (self.store.put(x) for x in sides) if stored else sides
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf, self.store = spark, sf, Store(spark, "study")
+        self.c, self.t = arms(spark, sf)
         self.sides = [unpack.unpacked(x, N_FIELDS) for x in (self.c, self.t)]
         self.joined = diff.align(*map(unpack.annotations, self.sides))
         self._tally = None
@@ -54,15 +55,20 @@ class _Study:
         out = diff.tallied_coverage(self.tally(), tuple(by))
         for rows, side in zip(self.sides, ("candidate", "truth")):
             out = out.join(unpack.side_counts(rows, side, tuple(by)), by, "left")
-        same = {"cache": _constant(CACHES, "string"), "shared_fields": F.lit(len(FIELDS)), "candidate_only_fields": _constant(CANDIDATE_ONLY, "array<string>"), "truth_only_fields": _constant(TRUTH_ONLY, "array<string>")}
-        return out.fillna(0).withColumns({"status": F.lit("ok"), "mismatches": F.concat_ws("/", *by), **same})
+        found = headers(self.spark, self.sf, self.store)
+        fields = unpack.run_asymmetry(*(found.where(F.col("side") == side) for side in ("candidate", "truth")), KEYS)
+        status = F.when(F.col("aligned") + F.col("only_truth") > 0, "ok").otherwise("no_gt")
+        out = out.fillna(0).withColumns({"status": status, "mismatches": F.concat_ws("/", *by), "cache": _cache()})
+        return out.join(F.broadcast(fields), "run", "left")
 
     def merged(self) -> DataFrame:
         return summary.merge_shards(self.shards())
 
 
-def _counted(spark, sf) -> _Study:
-    return _Study(spark, sf, stored=True)
+def build_arms(spark, sf):
+    """How many records the arms have; the first query over a folder of tables makes and stores them."""
+    c, t = arms(spark, sf)
+    return c.groupBy("run").agg(F.count(F.lit(1)).alias("candidate")).join(t.groupBy("run").agg(F.count(F.lit(1)).alias("truth")), "run")
 
 
 def scan_text(spark, sf):
@@ -75,12 +81,60 @@ def scan_text(spark, sf):
     return rows.select("run", C.norm_contig(F.col("contig")).alias("contig"), "pos", "ref", "alt", "packed")
 
 
+def scan_blocks(spark, sf):
+    """The same from block-compressed files, a folder for each run, each file read by several tasks."""
+    path = Store(spark, "blocks").path()
+    line = F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("."), F.concat(F.lit("N=1;CSQ="), "packed"))
+    for run in RUNS:
+        blocks.write_blocks(arms(spark, sf)[0].where(F.col("run") == run).coalesce(2).select(line.alias("value")), f"{path}/run={run}")
+    rows = records.require_positions(records.scan_records(blocks.read_blocks(spark, path, split=1 << 18)))
+    rows = rows.where("not skipped").withColumn("run", F.regexp_extract("file", "run=([^/]+)", 1))
+    return rows.select("run", C.norm_contig(F.col("contig")).alias("contig"), "pos", "ref", "alt", "packed")
+
+
+def _lines(spark, sf):
+    """Records of the candidate arm as lines of text."""
+    path = Store(spark, "text").path()
+    c = arms(spark, sf)[0]
+    c.select(F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("."), F.concat(F.lit("CSQ="), "packed")).alias("value")).write.text(path)
+    return records.read_lines(spark, path)
+
+
+def scan_positions(spark, sf):
+    return records.scan_positions(_lines(spark, sf))
+
+
+def scan_keys(spark, sf):
+    return records.scan_keys(_lines(spark, sf))
+
+
+def annotated_records(spark, sf):
+    """Records by contig, once the header of the files that they come from declares the annotation."""
+    header = Store(spark, "header").path()
+    declared = arms(spark, sf)[0].where("packed <> ''").limit(1).select(F.lit('##INFO=<ID=CSQ,Number=.,Description="Format: Allele|Feature">').alias("value"))
+    declared.write.text(header)
+    rows = records.scan_records(_lines(spark, sf)).where("not skipped")
+    found = audit.assert_annotated(rows, records.header_catalogue(blocks.read_headers(spark, header)))
+    return found.groupBy(C.norm_contig(F.col("contig")).alias("contig")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def dimension_table(spark, sf):
+    """Suppliers as a delimited text with a header, read with types."""
+    path = Store(spark, "dimension").path()
+    _table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey").write.csv(path, sep="\t", header=True)
+    return records.read_table(spark, path, "s_suppkey bigint,s_name string,s_nationkey int")
+
+
 def contig_ranks(spark, sf):
-    """Ranks by the headers of files, one file for each run, written from the contigs that occur."""
+    """Ranks by the headers of files, one file for each run, written from the contigs that occur; a record and a line that
+    only looks like a header stand after the header."""
     path = Store(spark, "headers").path()
     c = arms(spark, sf)[0].select("run", "contig").distinct()
-    c.repartition("run").sortWithinPartitions("run", "contig").select("run", F.concat(F.lit("##contig=<ID="), "contig", F.lit(">")).alias("value")).write.partitionBy("run").text(path)
-    ranks = records.contig_ranks(records.header_catalogue(records.read_lines(spark, path)))
+    line = lambda k, value: F.struct(F.lit(k).alias("k"), value.alias("value"))
+    lines = F.array(line(1, F.concat(F.lit("##contig=<ID="), "contig", F.lit(">"))), line(2, F.concat(F.lit("#CHROM\tPOS"), F.lit(""))), line(3, F.concat("contig", F.lit("\t1"))), line(4, F.concat(F.lit("##contig=<ID=late"), "contig", F.lit(">"))))
+    rows = c.select("run", "contig", F.inline(lines))
+    rows.repartition("run").sortWithinPartitions("run", "k", "contig").select("run", "value").write.partitionBy("run").text(path)
+    ranks = records.contig_ranks(records.header_catalogue(blocks.read_headers(spark, path)))
     return ranks.select(F.regexp_extract("file", "run=([^/]+)", 1).alias("run"), "contig", "rank")
 
 
@@ -91,13 +145,23 @@ def mismatch_text(spark, sf):
     return records.read_mismatches(spark, path).withColumn("pos", F.col("pos").cast("long"))
 
 
+def mismatch_quotes(spark, sf):
+    """The same with quotes, tabs, backslashes and line ends in the cells."""
+    path = Store(spark, "mismatches").path()
+    rows = _Study(spark, sf).mismatches().select("contig", "pos", "ref", "alt", "allele", "feature", "field", "candidate_val", "truth_val")
+    odd = {"candidate_val": F.concat(F.lit('"'), "candidate_val", F.lit('" \\'), "field", F.lit("\t")), "truth_val": F.concat("truth_val", F.lit('\n""'))}
+    records.write_mismatches(rows.withColumns(odd), path, text=True)
+    return records.read_mismatches(spark, path).withColumn("pos", F.col("pos").cast("long"))
+
+
 def summary_text(spark, sf):
-    """The shards written as JSON summaries, read again and merged."""
-    s = _counted(spark, sf)
+    """The shards written as JSON summaries with their samples, read again and merged."""
+    s = _Study(spark, sf)
     path = Store(spark, "summaries").path()
-    records.write_summaries(s.shards(), s.field(("run", "contig")), diff.samples(s.mismatches()).limit(0), path)
+    counted = s.store.put(s.shards())
+    records.write_summaries(counted, s.field(("run", "contig")), diff.samples(s.mismatches()), path)
     shards, fields, _ = records.read_summaries(spark, path)
-    runs, by_field = summary.merge_checked(shards, fields, s.shards().select("run", "contig"), _runs(spark))
+    runs, by_field = summary.merge_checked(shards, fields, counted.select("run", "contig"), _runs(spark))
     totals = by_field.groupBy("run").agg(F.sum("total").alias("total"), F.sum("match").alias("match"))
     return runs.join(totals, "run").select("run", *summary.SUMS, "contigs", "join_rate", "total", "match")
 
@@ -142,6 +206,34 @@ def annotation_full_outer(spark, sf):
     return _Study(spark, sf).joined.select("run", "contig", "pos", "ref", "allele", "feature", "state")
 
 
+def bucketed_runs(spark, sf):
+    """Each run of the candidate against one bucketed table of the truth."""
+    s = _Study(spark, sf)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    truth = diff.store_bucketed(unpack.annotations(s.sides[1]), f"truth_{uuid.uuid4().hex}", n)
+    runs = [diff.coverage_counts(diff.align(unpack.annotations(s.sides[0]).where(F.col("run") == run), truth.where(F.col("run") == run))) for run in RUNS]
+    return runs[0].union(runs[1]).union(runs[2])
+
+
+def incremental_fields(spark, sf):
+    """The candidate's shards land a few files at a time and are reconciled as they land; the last batch is run again."""
+    store = Store(spark, "incremental")
+    landing, target, check = store.path(), store.path(), store.path()
+    c, t = arms(spark, sf)
+    c.repartition(6, "run", "contig").write.parquet(landing)
+    going = Incremental(t, target, N_FIELDS, FIELDS, FLAGS, NEEDS)
+    going.run(landing, c.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), check, files=3)
+    found = going.tally()
+    return diff.per_field(found, diff.tallied_coverage(found), FIELDS)
+
+
+def packed_lookup(spark, sf):
+    """One feature's entry in the records at a third of the positions."""
+    c = arms(spark, sf)[0]
+    at = _table(spark, sf, "orders").where("o_orderkey % 3 = 0").select((F.col("o_orderkey") % 22 + 1).cast("string").alias("contig"), F.col("o_orderkey").alias("pos"))
+    return unpack.lookup(c, "N", "", N_FIELDS, at).select("run", "contig", "pos", "seq", F.array_join("values", "|").alias("vals"))
+
+
 def coverage_counts(spark, sf):
     return diff.coverage_counts(_Study(spark, sf).joined)
 
@@ -175,7 +267,7 @@ def order_only_diff(spark, sf):
 
 
 def per_field_concordance(spark, sf):
-    return _counted(spark, sf).field().select("*", C.pct(F.col("match"), F.col("total")).alias("pct"))
+    return _Study(spark, sf).field().select("*", C.pct(F.col("match"), F.col("total")).alias("pct"))
 
 
 def overall_concordance(spark, sf):
@@ -187,7 +279,7 @@ def mismatch_samples(spark, sf):
 
 
 def merge_shards(spark, sf):
-    out = summary.merge_shards(_counted(spark, sf).shards())
+    out = summary.merge_shards(_Study(spark, sf).shards())
     return out.select("run", *summary.SUMS, "cache", "shared_fields", _joined("candidate_only_fields"), _joined("truth_only_fields"), "status", "contigs", F.array_join("mismatches", ",").alias("mismatches"), "join_rate")
 
 
@@ -201,7 +293,7 @@ def merge_fields(spark, sf):
 
 def shard_set_violations(spark, sf):
     """Shards and fields with a fault of every kind put in."""
-    s = _counted(spark, sf)
+    s = _Study(spark, sf)
     shards = s.store.put(s.shards())
     at = lambda run, contig: (F.col("run") == run) & (F.col("contig") == contig)
     marked = shards.withColumn("status", F.when(at("m", "3"), "failed").otherwise("ok")).where(~at("clean", "5"))
@@ -217,7 +309,7 @@ def required_runs(spark, sf):
 
 
 def run_status(spark, sf):
-    shards = _counted(spark, sf).shards()
+    shards = _Study(spark, sf).shards()
     return summary.run_status(shards.withColumn("status", F.when((F.col("run") == "m") | ((F.col("run") == "m_am") & (F.col("contig") == "3")), "no_gt").otherwise("ok")))
 
 
@@ -226,11 +318,11 @@ def true_concordance(spark, sf):
 
 
 def coverage_verdict(spark, sf):
-    return summary.coverage(_counted(spark, sf).merged()).select("run", "join_rate", "not_compared", "warnings", "n_warnings", "trustworthy")
+    return summary.coverage(_Study(spark, sf).merged()).select("run", "join_rate", "not_compared", "warnings", "n_warnings", "trustworthy")
 
 
 def headline_risk(spark, sf):
-    runs = _counted(spark, sf).merged()
+    runs = _Study(spark, sf).merged()
     return summary.headline_risk(summary.coverage(runs.withColumn("status", F.when(F.col("run") == "m_am", "no_gt").otherwise(F.col("status")))))
 
 
@@ -279,12 +371,12 @@ def moved_totals(spark, sf):
 
 
 def structure_violations(spark, sf):
-    return summary.structure_violations(_counted(spark, sf).merged())
+    return summary.structure_violations(_Study(spark, sf).merged())
 
 
 def moved_summary(spark, sf):
     """Over the runs that can be summed."""
-    s = _counted(spark, sf)
+    s = _Study(spark, sf)
     runs = s.merged()
     fit = runs.join(summary.structure_violations(runs), "run", "left_anti")
     return summary.moved_summary(s.store.put(fit), s.field())
@@ -299,7 +391,7 @@ def concordance_matrix(spark, sf):
 
 
 def run_overview(spark, sf):
-    s = _counted(spark, sf)
+    s = _Study(spark, sf)
     return summary.overview(s.store.put(s.merged()), s.store.put(s.field()), RUNS)
 
 
@@ -308,12 +400,20 @@ def contig_counts(spark, sf):
     return records.write_by_contig(unpack.keyed(arms(spark, sf)[0]), Store(spark, "contigs").path())
 
 
+def _by_contig(spark, sf):
+    """The candidate arm in a folder for each contig, in ranges of positions."""
+    path = Store(spark, "contigs").path()
+    records.write_by_contig(unpack.keyed(arms(spark, sf)[0]), path)
+    return records.by_contig(spark, path)
+
+
 def contig_filter(spark, sf):
-    return ranges.filter_contig(arms(spark, sf)[0], "7").select("run", C.norm_contig(F.col("contig")).alias("contig"), "pos", "ref", "alt")
+    return ranges.filter_contig(_by_contig(spark, sf), "7").select("run", C.norm_contig(F.col("contig")).alias("contig"), "pos", "ref", "alt")
 
 
 def region_slice(spark, sf):
-    return ranges.slice_region(arms(spark, sf)[0], "chr7", 1000, 20000).select("run", "contig", "pos")
+    rows = ranges.slice_region(_by_contig(spark, sf), "chr7", 1000, 20000)
+    return rows.select("run", F.concat(F.lit("chr"), "contig").alias("contig"), "pos")
 
 
 def natural_order(spark, sf):
@@ -376,6 +476,35 @@ def plan_vs_observed_summary(spark, sf):
     return audit.plan_summary(plan_vs_observed(spark, sf))
 
 
+def observed_outputs(spark, sf):
+    """Shards by their files in storage: some were never written, some are empty, one in four took longer than planned."""
+    path = Store(spark, "outputs").path()
+    c = arms(spark, sf)[0].withColumn("contig", C.norm_contig(F.col("contig")))
+    key = F.concat(F.lit("run="), "run", F.lit("/contig="), "contig")
+    c.where("contig % 5 <> 0 and contig <> 1").select("run", "contig", "packed").write.partitionBy("run", "contig").text(path)
+    for run in RUNS:
+        touch(spark, f"{path}/run={run}/contig=1/part-0.txt")
+    plan = c.select(key.alias("key"), F.col("contig").cast("double").alias("est")).distinct()
+    timings = c.where("contig % 3 <> 0").groupBy("run", "contig").agg(F.max(F.col("contig").cast("int")).alias("x")).select(key.alias("key"), F.when(F.col("x") % 4 == 0, F.col("x") * 2).otherwise(F.col("x")).cast("double").alias("actual"))
+    return audit.plan_vs_observed(plan, records.observed_outputs(spark, path, "(run=[^/]+/contig=[^/]+)/"), timings)
+
+
+def planned_concat(spark, sf):
+    """Shards put together as a plan lists them; orders' parts as chunks."""
+    shards = _table(spark, sf, "orders").select((F.col("o_orderkey") % 22 + 1).cast("string").alias("contig"), (F.col("o_custkey") % 12).alias("chunk"), F.col("o_orderkey").alias("seq"))
+    plan = shards.select("contig", "chunk").distinct().where("chunk <> 3").union(_table(spark, sf, "nation").where("n_nationkey < 2").select(F.lit("9").alias("contig"), (F.col("n_nationkey") + 100).alias("chunk")))
+    rows, integrity = audit.concat_planned(plan, shards)
+    got = rows.withColumn("part", F.spark_partition_id()).groupBy("contig", "chunk").agg(F.count(F.lit(1)).alias("rows"))
+    return integrity.join(got, ["contig", "chunk"], "left").select("contig", "chunk", "n", "state", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+def settings_cells(spark, sf):
+    """Settings of runs as JSON cells: how often each type of event occurs."""
+    e = _table(spark, sf, "events").groupBy((F.col("user_id") % 30).cast("string").alias("run"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    cells = e.groupBy("run").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("event_type", "n")))).alias("settings"))
+    return records.read_settings(cells)
+
+
 def manifest_reconcile(spark, sf):
     c = _table(spark, sf, "customer")
     digest = lambda salt, m: F.when(F.col("c_custkey") % m == 0, F.lit("none")).otherwise(F.md5(F.concat("c_name", salt)))
@@ -476,6 +605,7 @@ def queries() -> dict:
             slice_distinct_ids, fields_moved, moved_totals, structure_violations, moved_summary, moved_matrix, concordance_matrix, run_overview, contig_counts, contig_filter, region_slice, natural_order,
             field_asymmetry, keyset_compare, keyset_only_left, keyset_examples, unranked_contigs, order_violations, positional_residual, id_membership, plan_vs_observed, plan_vs_observed_summary,
             manifest_reconcile, pairwise_runs, config_audit, config_flavours, integrity_counts, pending_shards, union_integrity, attribute_agreement, balanced_ranges, independent_ranges, range_gaps,
-            assign_regions, expand_ranges, compress_ranges,
+            assign_regions, expand_ranges, compress_ranges, scan_blocks, scan_positions, scan_keys, annotated_records, dimension_table, mismatch_quotes, bucketed_runs, incremental_fields, packed_lookup,
+            observed_outputs, planned_concat, settings_cells, build_arms,
         )
     }

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from concord.functions.cells import CATEGORIES, natural_order, norm_contig, pct, rate
 from concord.operators.unpack import extract
 
-from .store import replace
+from .store import current, publish
 
 _COUNTERS = ("aligned", "only_candidate", "only_truth", "malformed_candidate", "malformed_truth", "duplicate_candidate", "duplicate_truth")
 #: Keys of a shard's summary and their types: identity, status, counters, what all shards share, what is collected, and
@@ -113,27 +112,26 @@ def header_attributes(header: DataFrame) -> DataFrame:
     return one.select("file", F.regexp_extract("p", r"^([^=]+)=", 1).alias("key"), F.regexp_extract("p", r'="([^"]*)"', 1).alias("value"))
 
 
-def write_staged(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Written beside its place and moved there when it is whole, so that a reader never sees a part of it."""
-    staged = f"{path}.staged-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(staged)
-    replace(df.sparkSession, staged, path)
-
-
 def write_shards(df: DataFrame, path: str, by: tuple[str, ...] = ("run", "contig")) -> None:
     """Replaces the shards that df has and leaves all others."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+#: How delimited mismatches are written and read: a quote within a quoted cell is doubled; nothing else is special.
+_DELIMITED = {"sep": "\t", "header": True, "quote": '"', "escape": '"'}
+
+
 def read_mismatches(spark: SparkSession, path: str) -> DataFrame:
-    """A table of mismatches, whatever its line ends; empty cells are empty texts."""
-    df = spark.read.csv(path, sep="\t", header=True)
+    """A table of mismatches, whatever its line ends; empty cells are empty texts. Cells with quotes, tabs or line ends are
+    quoted."""
+    df = spark.read.csv(path, multiLine=True, **_DELIMITED)
     return df.select([F.rtrim(F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit("\r")).alias(c.rstrip("\r")) for c in df.columns])
 
 
 def write_mismatches(df: DataFrame, path: str, text: bool = False) -> None:
+    """As text: cells that need it are quoted, so that read_mismatches() gives back what was written (null as empty)."""
     if text:
-        df.write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", nullValue="", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        df.write.mode("overwrite").csv(path, emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **_DELIMITED)
     else:
         write_shards(df, path)
 
@@ -204,14 +202,45 @@ def _renamed(key, rename: dict[str, str] | None):
 
 
 def write_by_contig(df: DataFrame, path: str, order: tuple[str, ...] = ("pos",)) -> DataFrame:
-    """A folder per contig, written in ranges of contig and order, so that a long contig is many tasks and files; returns
-    counts from what was written and refuses a total of nothing."""
-    df.repartitionByRange("contig", *order).sortWithinPartitions("contig", *order).write.mode("overwrite").partitionBy("contig").parquet(path)
-    schema = df.select(*[c for c in df.columns if c != "contig"]).schema.add("contig", "string")
-    counts = df.sparkSession.read.schema(schema).parquet(path).groupBy("contig").agg(F.count(F.lit(1)).alias("n"))
-    if counts.isEmpty():
+    """A folder per contig in a new version of the table at path (see publish), written in ranges of contig and order, so
+    that a long contig is many tasks and files and a file holds few positions. A total of nothing is refused before
+    anything is published. Returns counts from what was written."""
+    rows = df.repartitionByRange("contig", *order).sortWithinPartitions("contig", *order)
+    if df.isEmpty():
         raise ValueError("nothing to write")
-    return counts
+    publish(rows, path, ("contig",))
+    return by_contig(df.sparkSession, path).groupBy("contig").agg(F.count(F.lit(1)).alias("n"))
+
+
+def by_contig(spark: SparkSession, path: str) -> DataFrame:
+    """What write_by_contig() has published; contig is the partition, a text. A filter by contig reads its folder only, one
+    by the order columns the row groups that can hold them."""
+    found = current(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    inferred = spark.read.parquet(found).schema
+    schema = StructType([f if f.name != "contig" else StructField("contig", StringType()) for f in inferred])
+    return spark.read.schema(schema).parquet(found)
+
+
+def observed_outputs(spark: SparkSession, path: str | list[str], key: str) -> DataFrame:
+    """(key, length) of files under path whose key is the first group of the pattern. Names and lengths only are read, no
+    content; empty files are no outputs."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.where("length > 0").select(F.regexp_extract("path", key, 1).alias("key"), "length").where("key <> ''")
+
+
+def read_settings(cells: DataFrame, run: str = "run", cell: str = "settings") -> DataFrame:
+    """(run, flag, value) of settings given as a JSON object in a cell, a row for each key, values as text. An empty cell
+    and one that is no JSON object are refused: a run of unknown settings must not be taken for one of default settings."""
+    text = F.trim(F.coalesce(F.col(cell), F.lit("")))
+    object_ = F.try_parse_json(text)
+    fault = F.when(text == "", "empty").when(object_.isNull() | ~F.schema_of_variant(object_).startswith("OBJECT<"), "malformed")
+    bad = cells.select(F.col(run).alias("run"), fault.alias("fault")).where("fault is not null").orderBy("run").limit(5).collect()
+    if bad:
+        raise ValueError("settings: " + "; ".join(f"{r['run']} has an {r['fault']} cell" if r["fault"] == "empty" else f"{r['run']} has a malformed cell" for r in bad))
+    entries = F.from_json(text, "map<string,string>")
+    return cells.select(F.col(run).alias("run"), F.explode(entries).alias("flag", "value"))
 
 
 def write_ordered(df: DataFrame, path: str, then: tuple[str, ...] = ("pos",)) -> None:

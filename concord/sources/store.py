@@ -57,10 +57,62 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
-def replace(spark: SparkSession, staged: str, path: str) -> None:
-    """Puts a finished folder in the place of another."""
-    fs, source = _fs(spark, staged)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"{staged} can't be moved to {path}")
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, at = _fs(spark, path)
+    fs.create(at, True).close()
+
+
+#: The file that names the version of a published table which readers take.
+POINTER = "_current"
+
+
+def publish(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
+    """Writes df as a new version beside all earlier ones and then puts the pointer to it in place of the old one, by one
+    rename. A reader sees the old table or the new one, whole; a writer that dies leaves the old one. Returns the version."""
+    spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(f"{path}/{version}")
+    _point(spark, path, version)
+    return version
+
+
+def _point(spark: SparkSession, path: str, version: str) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs, staged = _fs(spark, f"{path}/{POINTER}.{version}")
+    out = fs.create(staged, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    context.rename(fs.makeQualified(staged), fs.makeQualified(_fs(spark, f"{path}/{POINTER}")[1]), how)
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """The folder of the published version, None before the first one."""
+    fs, at = _fs(spark, f"{path}/{POINTER}")
+    if not fs.exists(at):
+        return None
+    source = fs.open(at)
+    name = spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    source.close()
+    return f"{path}/{name}"
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    found = current(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return spark.read.parquet(found)
+
+
+def prune(spark: SparkSession, path: str) -> list[str]:
+    """Deletes versions other than the published one, left over or no longer read; returns their names."""
+    held = current(spark, path)
+    fs, at = _fs(spark, path)
+    old = [x.getPath().getName() for x in fs.listStatus(at) if x.isDirectory() and x.getPath().getName().startswith("v-")]
+    old = [name for name in old if held is None or not held.endswith(name)]
+    for name in old:
+        remove(spark, f"{path}/{name}")
+    return sorted(old)

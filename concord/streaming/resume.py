@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from concord.operators import diff, unpack
 
 
 def ingest_new(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, by: tuple[str, ...] = ()) -> None:
@@ -10,3 +13,37 @@ def ingest_new(spark: SparkSession, source: str, schema: str, target: str, check
     stream = spark.readStream.schema(schema).parquet(source)
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     (writer.partitionBy(*by) if by else writer).start(target).awaitTermination()
+
+
+class Incremental:
+    """A reconciliation that goes on as shards of the candidate land.
+
+    source: a folder of Parquet files of records (run, contig, pos, ref, alt, packed, seq). A shard (run, contig) lands
+    whole in one batch; one that lands again replaces what it gave before. truth: records of all shards. Each batch joins
+    its shards with theirs of the truth and leaves a tally under its number in target, so that a batch which is run again
+    puts the same in the place of the same."""
+
+    def __init__(self, truth: DataFrame, target: str, n_fields: int, fields: list[str], flags: dict, needs: dict):
+        self.truth, self.target = truth, target
+        self.n_fields, self.fields, self.flags, self.needs = n_fields, fields, flags, needs
+
+    def batch(self, candidate: DataFrame, number: int) -> None:
+        by = ["run", "contig"]
+        shards = unpack.keyed(candidate).select(*by).distinct()
+        truth = unpack.keyed(self.truth).join(F.broadcast(shards), by, "left_semi")
+        sides = [unpack.annotations(unpack.unpacked(x, self.n_fields)) for x in (candidate, truth)]
+        counted = diff.tally(diff.align(*sides), self.fields, self.flags, self.needs)
+        counted.write.mode("overwrite").parquet(f"{self.target}/batch={number}")
+
+    def run(self, source: str, schema: str, checkpoint: str, files: int | None = None) -> None:
+        """Takes what has landed since the last call with this checkpoint; files: at most so many files in a batch."""
+        spark = self.truth.sparkSession
+        reader = spark.readStream.schema(schema)
+        stream = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(source)
+        stream.writeStream.foreachBatch(lambda df, n: self.batch(df, n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    def tally(self) -> DataFrame:
+        """diff.tally() of all shards that have landed, each as its latest batch gave it."""
+        rows = self.truth.sparkSession.read.parquet(self.target)
+        latest = rows.groupBy("run", "contig").agg(F.max("batch").alias("batch"))
+        return rows.join(latest, ["run", "contig", "batch"], "left_semi").drop("batch")
