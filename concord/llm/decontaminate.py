@@ -4,8 +4,9 @@ Items and documents are compared as lower-case words with one space between two.
 item with at most k edits shares at least m + 1 - q - k q q-grams with it (m: the item's length), on diagonals that
 differ by at most k. So q-grams that a document shares with each item are counted in bands of diagonals, of width
 2 (k + 1) by the item's own k and each half over the next, and only bands that reach the bound are aligned. Bands in a
-row are aligned as one. Shared q-grams are counted a bounded number at a time, so that a text and an item that repeat
-one phrase need no more memory than others.
+row are aligned as one. Shared q-grams are counted a bounded number at a time, and a band is settled, and dropped unless
+it reaches the bound, as soon as the text has passed the last place that could fall into it: what is held at once is
+bounded by the benchmark's block, whatever the length of a text and however often text and item repeat a phrase.
 
 The benchmark is taken in blocks of bounded size. One block is matched in a single pass over the documents; more blocks
 are a pass each, of which only texts with a match are stored, under the MD5 of the text.
@@ -97,6 +98,7 @@ class Index:
         self.bits[self.grams >> np.uint64(64 - _BITS)] = True
         self.bounds = np.array([bound(len(t), self.rate, self.q) for t in self.texts], np.int64)
         self.half = np.array([budget(len(t), self.rate) + 1 for t in self.texts], np.int64)
+        self.lengths = np.array([len(t) for t in self.texts], np.int64)
         self.least = int(self.bounds.min()) if len(self.bounds) else 1 << 60
 
     def bands(self, text: str) -> list[tuple[int, int, int]]:
@@ -110,14 +112,19 @@ class Index:
         upto = np.cumsum(count)
         if upto[-1] < self.least:
             return []
-        keys, n, begin = np.empty(0, np.int64), np.empty(0, np.int64), 0
+        keys, n, begin, settled = np.empty(0, np.int64), np.empty(0, np.int64), 0, []
         while begin < len(at):
             end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + PAIRS, side="right")))
             found = self._counted(at[begin:end], lo[begin:end], count[begin:end])
             keys, back = np.unique(np.concatenate([keys, found[0]]), return_inverse=True)
             n = np.bincount(back, np.concatenate([n, found[1]]), len(keys)).astype(np.int64)
             begin = end
-        keys = keys[n >= self.bounds[keys >> 40]]
+            item = keys >> 40
+            last = ((keys & ((1 << 40) - 1)) - (1 << 32) + 2) * self.half[item] + self.lengths[item]
+            over = last <= at[begin] if begin < len(at) else np.ones(len(keys), bool)
+            settled.append(keys[over & (n >= self.bounds[item])])
+            keys, n = keys[~over], n[~over]
+        keys = np.sort(np.concatenate(settled))
         out: list[tuple[int, int, int]] = []
         for key in keys.tolist():
             item, band = key >> 40, (key & ((1 << 40) - 1)) - (1 << 32)

@@ -487,6 +487,32 @@ def test_mix_keeps_targets(spark):
     assert all(r["taken"] <= 3 * r["size"] for r in out)
 
 
+def test_long_varied_texts_need_no_more_memory(monkeypatch):
+    """Bands are dropped as the text passes them; what is found doesn't depend on how many are counted at a time."""
+    import tracemalloc
+
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randrange(2, 7))) for _ in range(150)]
+    prose = lambda n: " ".join(rng.choices(words, k=n))
+    items = [prose(60) for _ in range(500)]
+    index = decontaminate.Index(np.arange(500), items, decontaminate.EDIT_RATE, decontaminate.Q)
+    base = prose(150_000)
+    parts = lambda n: " ".join([base[: n // 2].rsplit(" ", 1)[0], items[7], items[7], base[n // 2 : n].split(" ", 1)[1], items[3][:-4] + "zz"])
+    monkeypatch.setattr(decontaminate, "PAIRS", 50_000)
+    peaks = []
+    for n in (100_000, 600_000):
+        tracemalloc.start()
+        found = index.bands(parts(n))
+        peaks.append(tracemalloc.get_traced_memory()[1] - 60 * n)
+        tracemalloc.stop()
+        assert {x[0] for x in found} >= {3, 7} and [m[0] for m in index.matches(parts(n))] == [3, 7]
+    assert peaks[1] < 1.5 * max(peaks[0], 20e6), peaks
+    short = parts(20_000)
+    some = index.bands(short)
+    monkeypatch.setattr(decontaminate, "PAIRS", 10**9)
+    assert index.bands(short) == some
+
+
 def test_stages_keep_rows_of_equal_and_null_ids(spark):
     texts = {k: " ".join(f"{k}{n}" for n in range(60)) for k in "pqr"}
     rows = docs(spark, [(1, texts["p"], "a"), (1, texts["p"], "a"), (1, texts["q"], "a"), (None, texts["r"], "a"), (None, texts["r"], None)])
