@@ -9,7 +9,7 @@ from concord.operators import audit, diff, summary, unpack
 from concord.sources import records
 from concord.sources.store import Store
 
-FORMAT = ["Allele", "Consequence", "Feature", "SIFT", "HGVSc"]
+FORMAT = ["Allele", "Effect", "Feature", "Grade", "Notation"]
 
 
 def text(rows, fields=FORMAT, contigs=("chr22",)):
@@ -57,55 +57,55 @@ def run(spark, folder, name, candidate, truth, fields=(FORMAT, FORMAT), contigs=
     }
 
 
-MINI_C = [("chr22", 100, "A", "G", ["G|missense|F1|low|c.1A>G"]), ("chr22", 200, "C", "T", ["T|intron|F2||c.9C>T"])]
-MINI_T = [("chr22", 100, "A", "G", ["G|missense|F1|high|"]), ("chr22", 200, "C", "T", ["T|intron|F2||"])]
+LEFT_ROWS = [("chr22", 100, "A", "G", ["G|missense|F1|low|c.1A>G"]), ("chr22", 200, "C", "T", ["T|intron|F2||c.9C>T"])]
+RIGHT_ROWS = [("chr22", 100, "A", "G", ["G|missense|F1|high|"]), ("chr22", 200, "C", "T", ["T|intron|F2||"])]
 
 
-def test_mini(spark, tmp_path):
-    got = run(spark, tmp_path, "mini", MINI_C, MINI_T, needs={"HGVSc": "hgvs"})
+def test_two_rows(spark, tmp_path):
+    got = run(spark, tmp_path, "two_rows", LEFT_ROWS, RIGHT_ROWS, needs={"Notation": "notation"})
     assert got["counts"] == (2, 0, 0, 1.0)
     fields = {r["field"]: r for r in got["by_field"].collect()}
-    assert fields["SIFT"]["value_diff"] == 1 and fields["HGVSc"]["flag_expected"] == 2 and got["mismatches"].count() == 3
+    assert fields["Grade"]["value_diff"] == 1 and fields["Notation"]["flag_expected"] == 2 and got["mismatches"].count() == 3
     for contig, expected in (("22", (2, 0, 0, 1.0)), ("1", None)):
-        assert run(spark, tmp_path, "mini", MINI_C, MINI_T, contig=contig)["counts"] == expected
+        assert run(spark, tmp_path, "two_rows", LEFT_ROWS, RIGHT_ROWS, contig=contig)["counts"] == expected
 
 
 def test_order_and_contigs_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="22:100 came after 22:200"):
-        run(spark, tmp_path, "unsorted", MINI_C[::-1], MINI_T)
+        run(spark, tmp_path, "unsorted", LEFT_ROWS[::-1], RIGHT_ROWS)
     odd = [("chrUn_A", 1, "A", "G", ["G|x|F1|a|"])]
     with pytest.raises(ValueError, match="Un_A"):
-        run(spark, tmp_path, "unranked", odd, MINI_T)
+        run(spark, tmp_path, "unranked", odd, RIGHT_ROWS)
     with pytest.raises(ValueError, match="'M'"):
         run(spark, tmp_path, "mito", [("chrM", 1, "A", "G", ["G|x|F1|a|"])], [("MT", 1, "A", "G", ["G|x|F1|a|"])], contigs=(("chrM",), ("MT",)))
 
 
 def test_one_sided_fields(spark, tmp_path):
-    c, t = FORMAT[:4] + ["ONLY_C"], FORMAT[:4] + ["ONLY_T"]
-    got = run(spark, tmp_path, "extra", MINI_T, MINI_T, fields=(c, t))
-    assert got["fields"] == (FORMAT[:4], ["ONLY_C"], ["ONLY_T"]) and got["overall"] == 100.0
+    c, t = FORMAT[:4] + ["Left"], FORMAT[:4] + ["Right"]
+    got = run(spark, tmp_path, "own_fields", RIGHT_ROWS, RIGHT_ROWS, fields=(c, t))
+    assert got["fields"] == (FORMAT[:4], ["Left"], ["Right"]) and got["overall"] == 100.0
 
 
 def test_short_entries(spark, tmp_path):
     good = ["G|a|F1|x|", "G|b|F2|y|"]
-    got = run(spark, tmp_path, "truncated", [("22", 1, "A", "G", [*good, "G|a"])], [("22", 1, "A", "G", ["G|b", *good[::-1]])])
+    got = run(spark, tmp_path, "cut", [("22", 1, "A", "G", [*good, "G|a"])], [("22", 1, "A", "G", ["G|b", *good[::-1]])])
     assert (got["malformed"], got["counts"][0], got["overall"], got["mismatches"].count()) == ([1, 1], 2, 100.0, 0)
 
 
-ALLELES = ["T|a|F1|1|", "T|a|F2|2|", "CCGC|a|F1|3|", "CCGC|a|F2|4|"]
+ALLELES = ["T|a|F1|1|", "T|a|F2|2|", "GGTA|a|F1|3|", "GGTA|a|F2|4|"]
 
 
 def test_alternatives_in_any_order(spark, tmp_path):
-    got = run(spark, tmp_path, "multi", [("22", 1, "C", "T,CCGC", ALLELES)], [("22", 1, "C", "T,CCGC", ALLELES[::-1])])
+    got = run(spark, tmp_path, "pair", [("22", 1, "C", "T,GGTA", ALLELES)], [("22", 1, "C", "T,GGTA", ALLELES[::-1])])
     assert (got["counts"], got["mismatches"].count(), got["malformed"]) == ((4, 0, 0, 1.0), 0, [0, 0])
-    changed = [*ALLELES[:3], "CCGC|a|F2|9|"]
-    got = run(spark, tmp_path, "altorder", [("22", 1, "C", "CCGC,T", changed)], [("22", 1, "C", "T,CCGC", ALLELES)])
+    changed = [*ALLELES[:3], "GGTA|a|F2|9|"]
+    got = run(spark, tmp_path, "swapped", [("22", 1, "C", "GGTA,T", changed)], [("22", 1, "C", "T,GGTA", ALLELES)])
     (row,) = got["mismatches"].collect()
-    assert got["counts"] == (4, 0, 0, 1.0) and (row["alt"], row["allele"], row["field"]) == ("CCGC,T", "CCGC", "SIFT")
+    assert got["counts"] == (4, 0, 0, 1.0) and (row["alt"], row["allele"], row["field"]) == ("GGTA,T", "GGTA", "Grade")
 
 
 def test_one_side_has_more(spark, tmp_path):
-    got = run(spark, tmp_path, "partial", [("22", 1, "C", "T", ["T|a|F1|1|", "T|a|F2|1|"])], [("22", 1, "C", "T", ["T|a|F1|1|"])])
+    got = run(spark, tmp_path, "more", [("22", 1, "C", "T", ["T|a|F1|1|", "T|a|F2|1|"])], [("22", 1, "C", "T", ["T|a|F1|1|"])])
     assert got["counts"] == (1, 1, 0, 0.5) and got["overall"] == 100.0
 
 
@@ -124,8 +124,8 @@ def test_two_contigs_and_repeated_records(spark, tmp_path):
 
 def test_headers(spark, tmp_path):
     (tmp_path / "h").mkdir()
-    (tmp_path / "h" / "a.txt").write_text(text(MINI_C, contigs=("chr1", "chr2", "chr1", "chr3")) + "22\t7\tshort\n22\t8\t.\tA\tG\t.\t.\tDP=3\n")
-    (tmp_path / "h" / "b.txt").write_text(text(MINI_C, fields=FORMAT[:3], contigs=("chr2",)))
+    (tmp_path / "h" / "a.txt").write_text(text(LEFT_ROWS, contigs=("chr1", "chr2", "chr1", "chr3")) + "22\t7\tshort\n22\t8\t.\tA\tG\t.\t.\tDP=3\n")
+    (tmp_path / "h" / "b.txt").write_text(text(LEFT_ROWS, fields=FORMAT[:3], contigs=("chr2",)))
     lines = records.read_lines(spark, str(tmp_path / "h"))
     header = records.header_catalogue(lines)
     name = lambda r: r["file"][-5]
@@ -164,13 +164,13 @@ def test_gzip_keeps_file_order(spark, tmp_path):
 
 
 def test_mismatch_files(spark, tmp_path):
-    m = run(spark, tmp_path, "mini", MINI_C, MINI_T)["mismatches"]
+    m = run(spark, tmp_path, "two_rows", LEFT_ROWS, RIGHT_ROWS)["mismatches"]
     records.write_mismatches(m.drop("run", "alts"), str(tmp_path / "t"), text=True)
     back = records.read_mismatches(spark, str(tmp_path / "t"))
     assert sorted(map(tuple, back.collect())) == sorted(tuple("" if v is None else str(v) for v in r) for r in m.drop("run", "alts").collect())
-    (tmp_path / "crlf.tsv").write_bytes(b"field\tfeature\tcategory\r\nSIFT\tNM_1\tvalue_diff\r\nSIFT\t\ttruth_only\r\n")
+    (tmp_path / "crlf.tsv").write_bytes(b"field\tfeature\tcategory\r\nGrade\tNM_1\tvalue_diff\r\nGrade\t\ttruth_only\r\n")
     crlf = records.read_mismatches(spark, str(tmp_path / "crlf.tsv"))
-    assert crlf.columns == ["field", "feature", "category"] and {tuple(r) for r in crlf.collect()} == {("SIFT", "NM_1", "value_diff"), ("SIFT", "", "truth_only")}
+    assert crlf.columns == ["field", "feature", "category"] and {tuple(r) for r in crlf.collect()} == {("Grade", "NM_1", "value_diff"), ("Grade", "", "truth_only")}
     assert {r["kind"] for r in summary.triage_counts(crlf).collect()} == {"REFSEQ", "NONE"}
     records.write_mismatches(m, str(tmp_path / "p"))
     assert spark.read.parquet(str(tmp_path / "p")).count() == 3

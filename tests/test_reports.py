@@ -215,9 +215,6 @@ def test_writers(spark, tmp_path):
     records.write_shards(rows.where("contig = 'chr2'").limit(5), str(tmp_path / "s"))
     got = {r["contig"]: r["count"] for r in spark.read.parquet(str(tmp_path / "s")).groupBy("contig").count().collect()}
     assert got == {"chr1": 100, "chr2": 5, "chr3": 100, "chr10": 1}
-    records.write_staged(rows, str(tmp_path / "w"))
-    records.write_staged(rows.limit(7), str(tmp_path / "w"))
-    assert spark.read.parquet(str(tmp_path / "w")).count() == 7 and not list(tmp_path.glob("w.staged*"))
     records.write_ordered(rows, str(tmp_path / "o"))
     files = sorted(p for p in (tmp_path / "o").glob("part-*"))
     order_ = [r["contig"] for p in files for r in spark.read.parquet(str(p)).collect()]
