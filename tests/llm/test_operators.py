@@ -513,6 +513,23 @@ def test_long_varied_texts_need_no_more_memory(monkeypatch):
     assert index.bands(short) == some
 
 
+def test_a_short_list_against_a_large_universe(spark, monkeypatch):
+    """Few other keys pass the first filter, whatever their number, so that no later level is larger than it; a level
+    beyond the bound deals the list in more parts."""
+    levels = []
+    build = url_filter.build_level
+    monkeypatch.setattr(url_filter, "build_level", lambda *a: levels.append(build(*a)) or levels[-1])
+    pages = spark.range(60_000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 30_000, F.lit(".test/x")).alias("url"))
+    hosts = spark.range(12).select(F.concat(F.lit("h"), F.col("id") * 2500, F.lit(".test")).alias("host"))
+    blocked = lambda: sorted(r["page_id"] for r in url_filter.judge(pages, hosts=hosts).where("verdict = 'block'").collect())
+    want = sorted(i for i in range(60_000) if i % 2500 == 0)
+    assert blocked() == want and len(levels[0].words) >= max(len(x.words) for x in levels)
+    assert levels[0].probes > 10 and all(x.probes == 6 for x in levels[1:])
+    monkeypatch.setattr(url_filter, "MAX_BITS", 256)
+    levels.clear()
+    assert blocked() == want and max(len(x.words) for x in levels) <= 4
+
+
 def test_stages_keep_rows_of_equal_and_null_ids(spark):
     texts = {k: " ".join(f"{k}{n}" for n in range(60)) for k in "pqr"}
     rows = docs(spark, [(1, texts["p"], "a"), (1, texts["p"], "a"), (1, texts["q"], "a"), (None, texts["r"], "a"), (None, texts["r"], None)])
