@@ -77,10 +77,21 @@ def arms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return _BUILT[key]
 
 
-def headers(spark: SparkSession, sf_dir: str, store: Store) -> DataFrame:
-    """(side, run, fields) as read from the headers of both arms: a file for each side and run, which declares as many
-    fields as the longest entry of its records has."""
-    path = store.path()
+#: Field lists of the arms, likewise.
+_HEADERS: dict[tuple[str, str], DataFrame] = {}
+
+
+def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(side, run, fields) as read from the headers of both arms, written and read once in an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _HEADERS:
+        store = Store(spark, "headers")
+        _HEADERS[key] = store.put(_headers(spark, sf_dir, store.path()))
+    return _HEADERS[key]
+
+
+def _headers(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Of a file for each side and run, which declares as many fields as the longest entry of its records has."""
     rows = None
     for side, records_ in zip(NINTH, arms(spark, sf_dir), strict=True):
         longest = F.array_max(F.transform(F.split("packed", ","), lambda e: F.size(F.split(e, "[|]"))))

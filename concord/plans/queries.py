@@ -55,7 +55,7 @@ class _Study:
         out = diff.tallied_coverage(self.tally(), tuple(by))
         for rows, side in zip(self.sides, ("candidate", "truth")):
             out = out.join(unpack.side_counts(rows, side, tuple(by)), by, "left")
-        found = headers(self.spark, self.sf, self.store)
+        found = headers(self.spark, self.sf)
         fields = unpack.run_asymmetry(*(found.where(F.col("side") == side) for side in ("candidate", "truth")), KEYS)
         status = F.when(F.col("aligned") + F.col("only_truth") > 0, "ok").otherwise("no_gt")
         out = out.fillna(0).withColumns({"status": status, "mismatches": F.concat_ws("/", *by), "cache": _cache()})

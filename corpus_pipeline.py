@@ -59,11 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder and read again."""
+    """All stages over documents; each result is written to the shared folder and read again, and goes once the next one is
+    there."""
     tables = Tables(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = tables.put(docs)
+            if i:
+                tables.drop(before)
     return docs
