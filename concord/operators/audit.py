@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from concord.functions.cells import natural_order, norm_contig
 from concord.sources.store import SMALL_ROWS, Store
 
-from .order import running, with_previous
+from .order import numbered, with_previous
 
 
 def compare_keys(left: DataFrame, right: DataFrame, cols: list[str], store: Store | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -75,8 +75,7 @@ def positional_residual(left: DataFrame, right: DataFrame, strip: str, store: St
     Bodies of different lengths are refused first, unless that isn't required."""
     if require_equal:
         require_equal_lines(left, right)
-    one = lambda df: df.select("contig", "seq", "line", F.lit(1).cast("long").alias("one"))
-    number = lambda df, x: running(one(df), ["contig"], ["seq", "line"], "one", "rn", store).select(F.col("contig").alias(f"c{x}"), F.col("rn").alias(f"n{x}"), F.col("line").alias(x), F.lit(True).alias(f"in_{x}"))
+    number = lambda df, x: numbered(df.select("contig", "seq", "line"), ["contig"], ["seq", "line"], "rn", store).select(F.col("contig").alias(f"c{x}"), F.col("rn").alias(f"n{x}"), F.col("line").alias(x), F.lit(True).alias(f"in_{x}"))
     rows = number(left, "a").join(number(right, "b"), F.col("ca").eqNullSafe(F.col("cb")) & (F.col("na") == F.col("nb")), "full_outer")
     rows = rows.select(F.when(F.col("in_a"), F.col("ca")).otherwise(F.col("cb")).alias("contig"), F.coalesce("na", "nb").alias("rn"), "a", "b", "in_a", "in_b")
     bare = lambda c: F.regexp_replace(c, strip, "")

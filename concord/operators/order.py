@@ -35,6 +35,17 @@ def running(df: DataFrame, by: list[str], order: list[str], value: str, as_: str
     return _carried(rows, offsets, by, "__before").withColumn(as_, F.col(as_) + F.col("__before")).drop("__p", "__id", "__before")
 
 
+def numbered(df: DataFrame, by: list[str], order: list[str], as_: str, store: Store) -> DataFrame:
+    """df with as_: the number of the row within by, from 1. Rows have their place from the range partition that they are
+    written from; only the first place and the count of each group in a partition are summed up and sent back, so that no
+    row is shuffled again and no group is a task."""
+    rows = placed(df, [*by, *order], store)
+    held = rows.groupBy("__p", *by).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy(*by).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = held.withColumn("__off", before - F.col("__first") + 1).drop("__first", "__n")
+    return _carried(rows, offsets, by, "__off").withColumn(as_, F.col("__id") + F.col("__off")).drop("__p", "__id", "__off")
+
+
 def next_value(df: DataFrame, by: list[str], order: list[str], value: str, as_: str, store: Store) -> DataFrame:
     """df with as_: the first value that isn't null in the row or after it, within by."""
     rows = placed(df, [*by, *order], store)

@@ -154,16 +154,28 @@ def range_violations(regions: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def assign_regions(df: DataFrame, regions: DataFrame, small: int = SMALL_ROWS) -> DataFrame:
-    """Rows (contig, pos, ...) with the chunk that holds them; null outside all. Up to so many regions are broadcast; more
-    meet the rows by contig and bin of positions, a region standing in each bin that it touches."""
+    """Rows (contig, pos, ...) with the chunk that holds them, a row for each if there are several; null outside all. Up to
+    small regions are broadcast. More are dealt in levels by length, doubling from one to the next, and stand in the bins
+    of their level that they touch, two at most; rows meet each level by contig and bin, so that a region far longer than
+    the others is no more rows than they."""
     r = regions.select(F.col("contig").alias("__c"), "chunk", F.col("start").alias("__a"), F.col("end").alias("__b"))
     inside = F.col("contig").eqNullSafe(F.col("__c")) & F.col("pos").between(F.col("__a"), F.col("__b"))
     if r.limit(small + 1).count() <= small:
         return df.join(F.broadcast(r), inside, "left").drop("__c", "__a", "__b")
-    width = max(1, int(r.agg(F.avg(F.col("__b") - F.col("__a") + 1)).first()[0]))
-    binned = r.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("__a") / width), F.floor(F.col("__b") / width))))
-    rows = df.withColumn("__at", F.floor(F.col("pos") / width))
-    return rows.join(binned, inside & (F.col("__at") == F.col("__bin")), "left").drop("__c", "__a", "__b", "__at", "__bin")
+    r = r.where("__b >= __a").withColumn("__level", F.ceil(F.log2((F.col("__b") - F.col("__a") + 1).cast("double"))).cast("int"))
+    levels = sorted(x["__level"] for x in r.select("__level").distinct().collect())
+    if not levels:
+        return df.withColumn("chunk", F.lit(None).cast(r.schema["chunk"].dataType))
+    out = df
+    for level in levels:
+        place = lambda c: F.floor(F.shiftright(c, level)) if level < 63 else F.lit(0)  # noqa: B023, E731
+        one = F.struct("chunk", F.col("__a").alias("a"), F.col("__b").alias("b"))
+        bins = r.where(F.col("__level") == level).withColumn("__bin", F.explode(F.sequence(place(F.col("__a")), place(F.col("__b")))))
+        bins = bins.groupBy("__c", "__bin").agg(F.collect_list(one).alias(f"__in{level}"))
+        out = out.join(bins, F.col("contig").eqNullSafe(F.col("__c")) & (place(F.col("pos")) == F.col("__bin")), "left").drop("__c", "__bin")
+    held = F.flatten(F.filter(F.array(*[F.col(f"__in{x}") for x in levels]), lambda x: x.isNotNull()))
+    hits = F.transform(F.filter(held, lambda x: F.col("pos").between(x["a"], x["b"])), lambda x: x["chunk"])
+    return out.withColumn("chunk", F.explode_outer(hits)).drop(*[f"__in{x}" for x in levels])
 
 
 def filter_contig(df: DataFrame, contig: str) -> DataFrame:

@@ -106,6 +106,17 @@ def test_cuts_by_doubling_equal_the_walk(spark, monkeypatch, small):
     assert placed.where("chunk is null").isEmpty()
 
 
+def test_regions_of_very_different_lengths(spark):
+    """Regions that overlap, of one position and of a whole contig; nothing is dealt in bins of their mean length."""
+    rng = random.Random(4)
+    regions = [("1", 0, 1, 10**9), ("1", 1, 5, 5), (None, 2, 3, 90), ("2", 3, 8, 7)] + [("1", 4 + i, 100 * i, 100 * i + rng.randrange(0, 150)) for i in range(200)]
+    rows = [(rng.choice(["1", "1", "2", None]), rng.choice([None, 5, rng.randrange(0, 25_000), 10**9, 10**9 + 1])) for _ in range(800)]
+    a, b = spark.createDataFrame(rows, "contig string, pos long"), spark.createDataFrame(regions, "contig string, chunk int, start long, end long")
+    want = [(c, p, k) for c, p in rows for k in ([k for d, k, lo, hi in regions if d == c and p is not None and lo <= p <= hi] or [None])]
+    for small in (1000, 3):
+        assert sorted(map(tuple, ranges.assign_regions(a, b, small).collect()), key=str) == sorted(want, key=str)
+
+
 def test_ranges_refuse_empty_and_unsorted_contigs(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", 3, 2), ("b", None, 3), ("a", 3, 4)], "c string, p long, s long")
     ranges.require_countable(df, "c", "p", spark.createDataFrame([("a",)], "contig string"), "s", Store(spark, "t"))
