@@ -42,12 +42,13 @@ from .byte_bpe import _BORDER, pieces
 from .common import Tables, small_batches, text_of
 
 #: Bytes of a range (longer documents are dealt in such ranges), fragments composed into one in a round of the tree.
-CHUNK, FAN = 1 << 16, 8
+CHUNK, FAN = 1 << 16, 8  # CHUNK below 2^20
 #: Stretches that a worker remembers; pairs sent to all tasks at once (13 bytes each).
-REMEMBERED, SLICE = 400_000, 4_000_000
+REMEMBERED, SLICE = 500_000, 4_000_000
 
-_A, _B, _GROUPS, _BAD = (1 << 160), (1 << 80), 1, (1 << 240)
-_FIELD = (1 << 80) - 1
+#: Places of three counts in one number, each below 2^20 as a document of this path is shorter, and what marks no tokens.
+_A, _B, _BAD = 1 << 40, 1 << 20, 1 << 62
+_FIELD = _B - 1
 
 
 def byte_of_character() -> dict[str, int]:
