@@ -119,12 +119,13 @@ class Index:
             keys, back = np.unique(np.concatenate([keys, found[0]]), return_inverse=True)
             n = np.bincount(back, np.concatenate([n, found[1]]), len(keys)).astype(np.int64)
             begin = end
-            item = keys >> 40
-            last = ((keys & ((1 << 40) - 1)) - (1 << 32) + 2) * self.half[item] + self.lengths[item]
-            over = last <= at[begin] if begin < len(at) else np.ones(len(keys), bool)
-            settled.append(keys[over & (n >= self.bounds[item])])
-            keys, n = keys[~over], n[~over]
-        keys = np.sort(np.concatenate(settled))
+            if begin < len(at):
+                item = keys >> 40
+                over = ((keys & ((1 << 40) - 1)) - (1 << 32) + 2) * self.half[item] + self.lengths[item] <= at[begin]
+                settled.append(keys[over & (n >= self.bounds[item])])
+                keys, n = keys[~over], n[~over]
+        settled.append(keys[n >= self.bounds[keys >> 40]])
+        keys = np.sort(np.concatenate(settled)) if len(settled) > 1 else settled[0]
         out: list[tuple[int, int, int]] = []
         for key in keys.tolist():
             item, band = key >> 40, (key & ((1 << 40) - 1)) - (1 << 32)
