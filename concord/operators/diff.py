@@ -21,11 +21,11 @@ def align(candidate: DataFrame, truth: DataFrame) -> DataFrame:
     return joined.withColumn("state", F.when(F.col("l").isNull(), "truth").when(F.col("r").isNull(), "candidate").otherwise("both"))
 
 
-def store_bucketed(annotations: DataFrame, table: str, buckets: int) -> DataFrame:
-    """Annotations as a table in buckets of the whole key, sorted within. align() reads it without shuffling it, in any
-    number of runs, if buckets is at least the session's number of shuffle partitions."""
+def store_bucketed(annotations: DataFrame, table: str, buckets: int, path: str) -> DataFrame:
+    """Annotations as a table in buckets of the whole key, sorted within, its files at path. align() reads it without
+    shuffling it, in any number of runs, if buckets is at least the session's number of shuffle partitions."""
     columns = [*KEY, "values"]
-    annotations.select(*columns).repartition(buckets, *KEY).write.bucketBy(buckets, *KEY).sortBy(*KEY).format("parquet").saveAsTable(table)
+    annotations.select(*columns).repartition(buckets, *KEY).write.bucketBy(buckets, *KEY).sortBy(*KEY).format("parquet").option("path", path).saveAsTable(table)
     return annotations.sparkSession.table(table)
 
 

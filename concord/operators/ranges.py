@@ -97,19 +97,29 @@ def find_cuts(counts: DataFrame, spans: DataFrame, totals: dict[str, int], k: in
     return {c: sorted(x) for c, x in cuts.items()}
 
 
-def require_countable(df: DataFrame, contig: str, pos: str, wanted: DataFrame | None = None, seq: str | None = None, store: Store | None = None) -> DataFrame:
-    """df, if ranges can be cut from it: every contig wanted has rows with a position, and with seq, the rows of a contig
-    stand in order of their positions (needs a store). An empty contig and unsorted input are errors."""
-    have = df.where(F.col(pos).isNotNull()).select(F.col(contig).alias("contig")).distinct()
+def input_violations(df: DataFrame, contig: str, pos: str, wanted: DataFrame | None = None, seq: str | None = None, store: Store | None = None) -> DataFrame:
+    """(contig, violation, seq, pos, previous) of what ranges can't be cut from: empty for a contig wanted (contig) that has
+    no row with a position, and with seq (which needs a store), unsorted for a row whose position is below that of the row
+    before it in its contig."""
+    rows = df.where(F.col(pos).isNotNull()).select(F.col(contig).alias("contig"), F.col(pos).cast("long").alias("pos"), (F.col(seq) if seq else F.lit(None)).cast("long").alias("seq"))
+    none = F.lit(None).cast("long")
+    out = rows.limit(0).select("contig", F.lit("").alias("violation"), "seq", "pos", none.alias("previous"))
     if wanted is not None:
-        empty = [r["contig"] for r in wanted.select("contig").distinct().join(have, "contig", "left_anti").orderBy("contig").limit(20).collect()]
-        if empty:
-            raise ValueError(f"contigs without a position to cut at: {empty}")
+        empty = wanted.select("contig").distinct().join(rows.select("contig").distinct(), "contig", "left_anti")
+        out = out.union(empty.select("contig", F.lit("empty"), none, none, none))
     if seq is not None:
-        rows = df.where(F.col(pos).isNotNull()).select(F.col(contig).alias("contig"), F.col(pos).cast("long").alias("pos"), F.col(seq).alias("seq"))
         back = with_previous(rows, ["contig", "seq"], ["contig", "pos"], "p", store).where(F.col("p").isNotNull() & F.col("p.contig").eqNullSafe(F.col("contig")) & (F.col("pos") < F.col("p.pos")))
-        for r in back.orderBy("contig", "seq").limit(1).collect():
-            raise ValueError(f"positions of {r['contig']} aren't sorted: {r['p']['pos']}, then {r['pos']}")
+        out = out.union(back.select("contig", F.lit("unsorted"), "seq", "pos", "p.pos"))
+    return out
+
+
+def require_countable(df: DataFrame, contig: str, pos: str, wanted: DataFrame | None = None, seq: str | None = None, store: Store | None = None) -> DataFrame:
+    """df, if ranges can be cut from it: an empty contig and unsorted input are errors."""
+    bad = input_violations(df, contig, pos, wanted, seq, store).orderBy("violation", "contig", "seq").limit(20).collect()
+    if empty := [r["contig"] for r in bad if r["violation"] == "empty"]:
+        raise ValueError(f"contigs without a position to cut at: {empty}")
+    for r in bad[:1]:
+        raise ValueError(f"positions of {r['contig']} aren't sorted: {r['previous']}, then {r['pos']}")
     return df
 
 

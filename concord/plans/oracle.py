@@ -114,6 +114,10 @@ def sql() -> dict[str, str]:
           p as (select contig, chunk from s where chunk <> 3 union all select '9', n_nationkey + 100 from nation where n_nationkey < 2)
           select coalesce(s.contig, p.contig) as contig, coalesce(s.chunk, p.chunk) as chunk, coalesce(n, 0) as n, case when p.contig is null then 'unplanned' when s.contig is null then 'missing' else 'ok' end as state, case when p.contig is null then 0 else coalesce(n, 0) end as rows
           from s full join p on s.contig = p.contig and s.chunk = p.chunk""",
+        "range_input": """with o as (select o_orderstatus as contig, cast(o_orderkey as bigint) as pos, cast(case when o_orderkey % 100 = 0 then o_orderkey + 150 else o_orderkey end as bigint) * 10000000000 + o_orderkey as seq from orders),
+          p as (select *, lag(pos) over (partition by contig order by seq) as previous from o)
+          select contig, 'unsorted' as violation, seq, pos, previous from p where pos < previous
+          union all select distinct n_name[1:1], 'empty', cast(null as bigint), cast(null as bigint), cast(null as bigint) from nation where n_name[1:1] not in (select o_orderstatus from orders)""",
         "settings_cells": "select cast(user_id % 30 as varchar) as run, event_type as flag, cast(count(*) as varchar) as value from events group by 1, 2",
         "contig_ranks": arms("select run, replace(contig, 'chr', '') as contig, cast(row_number() over (partition by run order by contig) - 1 as int) as rank from (select distinct run, contig from rec_c) q"),
         "mismatch_text": study("select contig, pos, ref, alt, allele, feature, field, candidate_val, truth_val, category from x"),

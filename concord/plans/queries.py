@@ -210,7 +210,7 @@ def bucketed_runs(spark, sf):
     """Each run of the candidate against one bucketed table of the truth."""
     s = _Study(spark, sf)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    truth = diff.store_bucketed(unpack.annotations(s.sides[1]), f"truth_{uuid.uuid4().hex}", n)
+    truth = diff.store_bucketed(unpack.annotations(s.sides[1]), f"truth_{uuid.uuid4().hex}", n, s.store.path())
     runs = [diff.coverage_counts(diff.align(unpack.annotations(s.sides[0]).where(F.col("run") == run), truth.where(F.col("run") == run))) for run in RUNS]
     return runs[0].union(runs[1]).union(runs[2])
 
@@ -573,6 +573,15 @@ def independent_ranges(spark, sf):
     return ranges.balanced_ranges(_days(spark, sf), "contig", "pos", 9, Store(spark, "ranges"), mode="independent")
 
 
+def range_input(spark, sf):
+    """What keeps ranges from being cut: orders by status, one in a hundred standing 150 keys too late; letters of nations
+    as the statuses wanted."""
+    late = F.when(F.col("o_orderkey") % 100 == 0, F.col("o_orderkey") + 150).otherwise(F.col("o_orderkey"))
+    rows = _table(spark, sf, "orders").select(F.col("o_orderstatus").alias("contig"), F.col("o_orderkey").alias("pos"), (late * 10_000_000_000 + F.col("o_orderkey")).alias("seq"))
+    wanted = _table(spark, sf, "nation").select(F.substring("n_name", 1, 1).alias("contig"))
+    return ranges.input_violations(rows, "contig", "pos", wanted, "seq", Store(spark, "sorted"))
+
+
 def range_gaps(spark, sf):
     days = _days(spark, sf)
     regions = balanced_ranges(spark, sf).withColumn("start", F.when(F.col("chunk") % 4 == 0, F.col("start") + 1).otherwise(F.col("start")))
@@ -606,6 +615,6 @@ def queries() -> dict:
             field_asymmetry, keyset_compare, keyset_only_left, keyset_examples, unranked_contigs, order_violations, positional_residual, id_membership, plan_vs_observed, plan_vs_observed_summary,
             manifest_reconcile, pairwise_runs, config_audit, config_flavours, integrity_counts, pending_shards, union_integrity, attribute_agreement, balanced_ranges, independent_ranges, range_gaps,
             assign_regions, expand_ranges, compress_ranges, scan_blocks, scan_positions, scan_keys, annotated_records, dimension_table, mismatch_quotes, bucketed_runs, incremental_fields, packed_lookup,
-            observed_outputs, planned_concat, settings_cells, build_arms,
+            observed_outputs, planned_concat, settings_cells, build_arms, range_input,
         )
     }

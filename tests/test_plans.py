@@ -42,11 +42,11 @@ def test_first_wins_with_a_hot_key(spark):
     assert len(kept) == sum(not (w[3] or w[4] or w[5]) for w in want) and sum(r["pos"] == 7 for r in kept) <= 5
 
 
-def test_bucketed_truth_is_not_shuffled_again(spark):
+def test_bucketed_truth_is_not_shuffled_again(spark, tmp_path):
     _, df = hot(spark, 300)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = unpack.annotations(unpack.unpacked(df, 3))
-    truth = diff.store_bucketed(rows, "bucketed_truth_test", n)
+    truth = diff.store_bucketed(rows, "bucketed_truth_test", n, str(tmp_path / "t"))
     try:
         off = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
         before = {k: spark.conf.get(k) for k in off}
