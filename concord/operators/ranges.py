@@ -20,19 +20,28 @@ def _size(n: int, k: int, i: int) -> int:
 def _begin(k: int, i):
     """Rows in the first i of k chunks, as a column; needs total."""
     q, r = F.expr(f"total div {k}"), F.col("total") % k
-    return F.lit(i) * q + F.least(F.lit(i).cast("long"), r)
+    return i * q + F.least(i, r)
+
+
+def _begun(k: int, u):
+    """The greatest i for which the first i of k chunks have no more than u rows, as a column; needs total."""
+    q, r = F.expr(f"total div {k}"), F.col("total") % k
+    early = r * (q + 1)
+    late = F.when(q > 0, r + F.floor(F.try_divide(u - early, q))).otherwise(k)
+    return F.least(F.when(u < early, F.floor(u / (q + 1))).otherwise(late).cast("long"), F.lit(k).cast("long"))
+
+
+def _with_spans(counts: DataFrame, spans: DataFrame) -> DataFrame:
+    few = spans.select(F.col("contig").alias("__c"), "total", "longest")
+    return counts.join(F.broadcast(few), F.col("contig").eqNullSafe(F.col("__c"))).drop("__c")
 
 
 def _reachable(counts: DataFrame, spans: DataFrame, k: int) -> DataFrame:
     """(contig, upto): where a cut can fall at all, and the total. Before cut i at most i runs of equal positions have moved
     it on, so it lies no further behind its target than i times the longest run."""
-    few = spans.select(F.col("contig").alias("__c"), "total", "longest")
-    rows = counts.join(F.broadcast(few), F.col("contig").eqNullSafe(F.col("__c")))
-    q, r = F.expr(f"total div {k}"), F.col("total") % k
-    early = r * (q + 1)
-    i = F.when(F.col("upto") < early, F.expr(f"upto div (total div {k} + 1)")).when(q > 0, r + F.try_divide(F.col("upto") - early, q).cast("long")).otherwise(k)
-    i = F.least(i.cast("long"), F.lit(k - 1).cast("long"))
-    return rows.where((F.col("upto") == F.col("total")) | ((i > 0) & (F.col("upto") <= _begin(k, i) + i * (F.col("longest") - 1)))).select("contig", "upto", "total")
+    i = F.least(_begun(k, F.col("upto")), F.lit(k - 1).cast("long"))
+    near = (i > 0) & (F.col("upto") <= _begin(k, i) + i * (F.col("longest") - 1))
+    return _with_spans(counts, spans).where((F.col("upto") == F.col("total")) | near).select("contig", "upto", "total")
 
 
 def _walk(uptos: list[int], total: int, k: int) -> list[int]:
@@ -87,13 +96,11 @@ def find_cuts(counts: DataFrame, spans: DataFrame, totals: dict[str, int], k: in
         for r in places.collect():
             found[r["contig"]].append(r["upto"])
         return {c: _walk(sorted(found[c]), totals[c], k) for c in totals}
-    wanted, cuts = [], {c: [] for c in totals}
-    for c in totals:
-        wanted += [(c, min(sum(_size(totals[c], k, j) for j in range(i + 1)), totals[c])) for i in range(k - 1)]
-    asked = counts.sparkSession.createDataFrame(wanted, "c string, want long")
-    asked = F.broadcast(asked) if len(wanted) <= SMALL_ROWS else asked
-    for r in counts.join(asked, F.col("contig").eqNullSafe(F.col("c")) & (F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("n") < F.col("want"))).select("c", "upto").collect():
-        cuts[r["c"]].append(r["upto"])
+    upto = F.col("upto")
+    passed = _with_spans(counts, spans).withColumns({"i": F.least(_begun(k, upto), F.lit(k - 1).cast("long")), "before": _begun(k, upto - F.col("n"))})
+    cuts = {c: [] for c in totals}
+    for r in passed.where("i > before").select("contig", "upto").collect():
+        cuts[r["contig"]].append(r["upto"])
     return {c: sorted(x) for c, x in cuts.items()}
 
 
@@ -137,9 +144,11 @@ def balanced_ranges(df: DataFrame, contig: str, pos: str, k: int, store: Store,
     bounds = [(c, lows[c], b) for c in cuts for b in sorted({x for x in cuts[c] if 0 < x < totals[c]} | {totals[c]})]
     ends = df.sparkSession.createDataFrame(bounds, "c string, lo long, b long")
     ends = F.broadcast(ends) if len(bounds) <= SMALL_ROWS else ends
-    here = F.col("contig").eqNullSafe(F.col("c"))
-    at = counts.join(ends, here & (F.col("b") >= F.col("upto") - F.col("n")) & (F.col("b") <= F.col("upto")))
-    rows = at.groupBy("c", "lo", "b").agg(F.max(F.when(F.col("upto") == F.col("b"), F.col("pos"))).alias("last"), F.min(F.when(F.col("upto") - F.col("n") == F.col("b"), F.col("pos"))).alias("next"))
+    edge = lambda at, last, following: F.struct(at.alias("at"), last.alias("last"), following.alias("next"))
+    none, pos_ = F.lit(None).cast("long"), F.col("pos")
+    edges = counts.select("contig", F.inline(F.array(edge(F.col("upto"), pos_, none), edge(F.col("upto") - F.col("n"), none, pos_))))
+    at = edges.join(ends, F.col("contig").eqNullSafe(F.col("c")) & (F.col("at") == F.col("b")))
+    rows = at.groupBy("c", "lo", "b").agg(F.max("last").alias("last"), F.min("next").alias("next"))
     rows = rows.withColumn("end", F.when(F.col("next").isNull(), F.col("last")).otherwise(F.expr("(last + next) div 2")))
     order = Window.partitionBy("c").orderBy("b")
     before = lambda c: F.lag(c).over(order)
