@@ -7,13 +7,17 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 from typing import BinaryIO, NamedTuple
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from .records import read_lines
+
 #: Fixed values of the format: how a member begins (gzip, deflate, with extra fields), the subfield that holds its size less
 #: one, bytes of text in a member at most, and the empty member at the end of a file.
 MAGIC, SUBFIELD, TEXT = b"\x1f\x8b\x08\x04", b"BC\x02\x00", 0xFF00
@@ -212,6 +216,30 @@ def read_blocks(spark: SparkSession, path: str | list[str], split: int = SPLIT)
     return spark.read.format("blocks").option("files", files).option("split", split).load()
 
 
+def _are_blocks(batches):
+    for batch in batches:
+        found = []
+        for path in batch.column("path").to_pylist():
+            with _open(path) as source:
+                found.append(block_at(source.read(256), 0) is not None)
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.bool_())], ["path", "blocks"])
+
+
+def read_text(spark: SparkSession, path: str | list[str], split: int = SPLIT) -> DataFrame:
+    """(file, seq, value) of plain, gzip and block-compressed files alike: those of blocks by ranges, others as
+    records.read_lines() does. How compressed files begin is looked at in tasks."""
+    spark.dataSource.register(BlockText)
+    files = _listed(spark, path)
+    packed_ = [(p,) for p, n in files if p.endswith(".gz") and n]
+    kinds = spark.createDataFrame(packed_, "path string").mapInArrow(_are_blocks, "path string, blocks boolean").where("blocks").collect() if packed_ else []
+    blocked = {r["path"] for r in kinds}
+    parts = [read_lines(spark, others)] if (others := [p for p, _ in files if p not in blocked]) else []
+    if blocked or not parts:
+        listed = "\n".join(f"{p}\t{n}" for p, n in files if p in blocked)
+        parts.append(spark.read.format("blocks").option("files", listed).option("split", split).load())
+    return reduce(DataFrame.union, parts)
+
+
 def write_blocks(lines: DataFrame, path: str, size: int = TEXT) -> None:
     """A block-compressed file for each partition of lines (one column of text)."""
     if not 0 < size <= TEXT:

@@ -57,6 +57,18 @@ def test_blocks_written_and_read_again(spark, tmp_path):
         blocks.read_blocks(spark, str(tmp_path / "other.gz")).collect()
 
 
+def test_files_of_any_kind_together(spark, tmp_path):
+    texts = {"a.txt": ["a1", "", "a2"], "b.gz": ["b1", "b2"], "c.gz": [f"c{i}" for i in range(900)], "d.txt": []}
+    for name, lines in texts.items():
+        raw = "".join(x + "\n" for x in lines).encode()
+        (tmp_path / name).write_bytes(block_file(raw, 500) if name == "c.gz" else gzip.compress(raw) if name == "b.gz" else raw)
+    got = blocks.read_text(spark, str(tmp_path), split=300).orderBy("file", "seq").collect()
+    for name, lines in texts.items():
+        assert [r["value"] for r in got if r["file"].endswith(name)] == lines
+    assert len({r["seq"]["block"] for r in got if r["file"].endswith("c.gz")}) > 5
+    assert blocks.read_text(spark, str(tmp_path / "d.txt")).count() == 0 and blocks.read_text(spark, [str(tmp_path / "c.gz")]).count() == 900
+
+
 class Counted(io.BytesIO):
     taken = 0
 
