@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.sources.blocks import read_headers
-from concord.sources.records import field_lists, header_catalogue
+from concord.sources.records import field_lists, header_catalogue, read_lines
 from concord.sources.store import Store
 
 FIELDS = ["Quantity", "Price", "Discount", "Tax", "Tags", "Note"]
@@ -100,5 +99,5 @@ def _headers(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
         one = n.select(F.lit(side).alias("side"), "run", F.concat(F.lit('##INFO=<ID=CSQ,Number=.,Description="Format: '), F.array_join(names, "|"), F.lit('">')).alias("value"))
         rows = one if rows is None else rows.union(one)
     rows.write.partitionBy("side", "run").text(path)
-    found = field_lists(header_catalogue(read_headers(spark, path)))
+    found = field_lists(header_catalogue(read_lines(spark, path)))
     return found.select(F.regexp_extract("file", "side=([^/]+)", 1).alias("side"), F.regexp_extract("file", "run=([^/]+)", 1).alias("run"), "fields")
