@@ -31,8 +31,8 @@ class Incremental:
         by = ["run", "contig"]
         shards = unpack.keyed(candidate).select(*by).distinct()
         truth = unpack.keyed(self.truth).join(F.broadcast(shards), by, "left_semi")
-        sides = [unpack.annotations(unpack.unpacked(x, self.n_fields)) for x in (candidate, truth)]
-        counted = diff.tally(diff.align(*sides), self.fields, self.flags, self.needs)
+        joined = diff.align_matched(diff.match_records(candidate, truth, self.n_fields), self.n_fields)
+        counted = diff.tally(joined, self.fields, self.flags, self.needs)
         counted.write.mode("overwrite").parquet(f"{self.target}/batch={number}")
 
     def run(self, source: str, schema: str, checkpoint: str, files: int | None = None) -> None:

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from concord.operators import audit, diff, order, ranges, unpack
-from concord.sources.store import Store
+from concord.plans import arms
+from concord.sources.store import Store, widen
 from concord.streaming.resume import Incremental
 
 RECORDS = "run string, contig string, pos long, ref string, alt string, packed string, seq long"
@@ -42,6 +43,53 @@ def test_first_wins_with_a_hot_key(spark):
     assert len(kept) == sum(not (w[3] or w[4] or w[5]) for w in want) and sum(r["pos"] == 7 for r in kept) <= 5
 
 
+def test_packed_records_are_matched_as_annotations_are(spark):
+    """Matched records give what the join of annotations gives, with hot keys, repeated entries and one-sided records; each
+    side is shuffled once, and the join adds no sort."""
+    rows, a = hot(spark)
+    rng = random.Random(1)
+    b = spark.createDataFrame([(*r[:5], ",".join(rng.sample(r[5].split(","), len(r[5].split(",")))) + ",T|late|v", r[6]) for r in rows if r[2] % 5], RECORDS)
+    b = b.union(spark.createDataFrame([("r", "2", 9, "A", "T", "T|f2|b", 1), ("r", "2", 9, "A", "T", "T|f2|z", 0), ("r", "2", 8, "A", "T", "T", 5), ("r", "2", 8, None, "T", "T|f|a", 5)], RECORDS))
+    matched = diff.match_records(a, b, 3)
+    text = matched._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2
+    want = diff.align(*(unpack.annotations(unpack.unpacked(x, 3)) for x in (a, b)))
+    got = diff.align_matched(matched, 3)
+    assert got.columns == want.columns
+    both = lambda df: sorted(map(str, df.collect()))
+    assert both(got) == both(want)
+    counts = unpack.side_counts(unpack.unpacked(a, 3), "candidate", ("run", "contig")).join(unpack.side_counts(unpack.unpacked(b, 3), "truth", ("run", "contig")), ["run", "contig"], "full_outer").fillna(0)
+    names = ["run", "contig", "malformed_candidate", "duplicate_candidate", "malformed_truth", "duplicate_truth"]
+    assert both(diff.matched_counts(matched).select(*names)) == both(counts.select(*names))
+    kept = ["run", "contig", "pos", "ref", "alt", "allele", "feature", "values"]
+    assert both(unpack.first_annotations(b, 3).select(*kept)) == both(unpack.annotations(unpack.unpacked(b, 3)).select(*kept))
+    assert both(unpack.bad_counts(b, 3)) == both(unpack.malformed_counts(unpack.unpacked(b, 3)))
+    other = lambda df: df.withColumn("packed", F.transform(F.split("packed", ","), lambda e: F.concat(F.lit("x|"), e)).cast("array<string>")).withColumn("packed", F.array_join("packed", ","))
+    assert both(unpack.bad_counts(other(b), 4, (1, 2))) == both(unpack.bad_counts(b, 3))
+
+
+def test_shuffle_partitions_follow_the_rows(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        widen(spark, 100)
+        assert spark.conf.get(name) == before
+        widen(spark, 216_000_000)
+        assert spark.conf.get(name) == "864"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_arms_are_made_in_one_shuffle_of_each_table(spark, monkeypatch):
+    """Windows and groups use the deal of the join."""
+    plans = []
+    put = Store.put
+    monkeypatch.setattr(Store, "put", lambda self, df: plans.append(plan(df)) or put(self, df))
+    monkeypatch.setattr(arms, "_BUILT", {})
+    assert arms.arms(spark, "/root/testdata/sf0.001")[0].count() > 0
+    assert len(plans) == 1 and plans[0].count("Exchange hashpartitioning") == 2
+
+
 def test_bucketed_truth_is_not_shuffled_again(spark, tmp_path):
     _, df = hot(spark, 300)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
