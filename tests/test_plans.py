@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from concord.operators import audit, diff, order, ranges, unpack
-from concord.plans import arms
+from concord.plans import arms, queries
 from concord.sources.store import Store, widen
 from concord.streaming.resume import Incremental
 
@@ -240,3 +240,64 @@ def test_shards_as_they_land(spark, tmp_path):
     land("2", side["2"])
     going.run(landing, RECORDS, check)
     assert shown(going.tally().select(whole().columns)) == shown(whole())
+
+
+def test_shards_in_parts(spark, tmp_path):
+    """Parts of a shard in several batches, a call that fails midway, batches run again, shards of the truth alone, null
+    contigs, and a shard that lands again without an annotation: each time as the whole tables give it."""
+    record = lambda c, i, x: ("r", c, i, "A", "C", f"C|f{i}|{x}", i)
+    truth = spark.createDataFrame([record(c, i, i % 3) for c in ("1", "2", "3", "4", None) for i in range(12)], RECORDS)
+    side = {"1": [record("chr1" if i % 2 else "1", i, i % 2) for i in range(11)], "2": [record("2", i, 0) for i in range(3, 9)], "3": [record("3", i, 1) for i in range(9)], None: [record(None, i, 0) for i in range(4)]}
+    landing, target, check = (str(tmp_path / x) for x in ("landing", "target", "check"))
+    land = lambda rows: spark.createDataFrame(rows, RECORDS).coalesce(1).write.mode("append").parquet(landing)
+    shown = lambda df: sorted(map(tuple, df.select("run", "contig", "field", "category", "n").collect()), key=str)
+
+    def whole(*contigs):
+        c = spark.createDataFrame([r for rows in side.values() for r in rows], RECORDS)
+        rows = shown(diff.tally(diff.align_matched(diff.match_records(c, truth, 3), 3), ["F"], {"r": []}, {}))
+        return [r for r in rows if not contigs or r[1] in contigs]
+
+    class Failing(Incremental):
+        def batch(self, candidate, number):
+            super().batch(candidate, number)
+            if number == 2:
+                raise RuntimeError("midway")
+
+    make = lambda kind: kind(truth, target, 3, ["F"], {"r": []}, {})
+    with pytest.raises(ValueError, match="no batch"):
+        make(Incremental).again(landing, RECORDS)
+    for rows in (side["1"][:4], side["2"] + side["1"][4:5], side["1"][5:], side["3"], side[None]):
+        land(rows)
+    with pytest.raises(Exception, match="midway"):
+        make(Failing).run(landing, RECORDS, check, files=1)
+    going = make(Incremental)
+    going.run(landing, RECORDS, check, files=1)
+    assert shown(going.tally()) == whole("1", "2", "3", None)
+    assert shown(going.tally(rest=True)) == whole()
+    for number in (1, None):
+        going.again(landing, RECORDS, number)
+        assert shown(going.tally(rest=True)) == whole()
+    side["2"] = [(*r[:5], None, r[6]) for r in side["2"]]
+    land(side["2"])
+    side["3"] = side["3"][:2]
+    land(side["3"])
+    going.run(landing, RECORDS, check, files=1)
+    going.run(landing, RECORDS, check, files=1)
+    assert shown(going.tally(rest=True)) == whole()
+    (min((tmp_path / "landing").glob("part-*"), key=lambda p: p.stat().st_mtime_ns)).unlink()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        going.again(landing, RECORDS, 0)
+
+
+def test_incremental_fields_takes_every_step(spark, tmp_path, monkeypatch):
+    """Two deliveries, the last batch run again, and a run that only the truth has."""
+    li = [(i, 103 if i % 3 == 1 else i * 7, i % 3, 1, float(i % 50), i * 1.5, 0.05, 0.02, "NRA"[i % 3], "OF"[i % 2], None) for i in range(90)]
+    spark.createDataFrame(li, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(i, "OFP"[i % 3]) for i in range(90)], "o_orderkey long, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    taken, put = [], Incremental.batch
+    monkeypatch.setattr(Incremental, "batch", lambda self, df, number: (taken.append(number), put(self, df, number))[1])
+    got = queries.incremental_fields(spark, str(tmp_path))
+    want = queries.per_field_concordance(spark, str(tmp_path)).drop("pct")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert {(r["run"], r["total"] > 0) for r in got.collect()} == {("clean", True), ("m", False), ("m_am", True)}
+    assert len(taken) > 2 and taken[-2:] == [max(taken)] * 2
